@@ -45,7 +45,7 @@ def definition_spread(df: DataFrame, a: str, b: str) -> DataFrame:
     counted = df.agg(
         cond_count(in_a).alias("in_a"),
         cond_count(in_a & ~in_b).alias("only_a"),
-        cond_count(in_a & in_b).alias("both"),
+        cond_count(in_a & in_b).alias("in_both"),
         cond_count(in_b & ~in_a).alias("only_b"),
         cond_count(in_b).alias("in_b"),
     )

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywork.functions.times import ntz
+from tallywork.operators._union import union_all
 
 
 class DataQualityError(RuntimeError):
@@ -118,7 +119,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             for i, c in enumerate(rules)
         ]
         parts.append(counted.select(F.inline(F.array(*lines))))
-    report = reduce(DataFrame.unionByName, parts)
+    report = union_all(parts)
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
     return report.withColumn("status", status)
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywork.operators._union import union_all
 from tallywork.operators.quality import Check, DataQualityError, enforce, freshness, run_checks
 from tallywork.sources.writers import publish, read_mart, stage_version
 
@@ -22,7 +22,7 @@ class RunResult:
 
 
 def freshness_report(domain: ModuleType, raw: Mapping[str, DataFrame], as_of) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
+    return union_all([
         freshness(raw[source], source, column, warn, error, as_of, blocking)
         for source, (column, warn, error, blocking) in domain.FRESHNESS.items()
     ])

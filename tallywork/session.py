@@ -16,6 +16,8 @@ SETTINGS = {
     # Split a hot key even when the next operator then needs another exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Column call sites are recorded for error messages only; it costs more than small plans take to run.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

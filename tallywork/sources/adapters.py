@@ -2,385 +2,382 @@
 
 The domains run on any DataFrames in the declared schemas; this is one supplier of them.
 All dirt is placed by integer modulo, so the feeds are the same on every run and engine.
-Rows that multiply (retries, duplicate charges, second campaigns) come from one scan with
-an array of candidate rows that is filtered and exploded.
+Rows that multiply (retries, duplicate charges, second campaigns) come from one scan: a
+constant list of variants is exploded next to each row and filtered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.functions import null_sentinel
-from tallywork.sources.readers import conform, read_raw
+from tallywork.sources.readers import conform
 from tallywork.sources.schemas import SCHEMAS
 
+# The benchmark columns the feeds use; a declared schema saves a job per read.
+_BENCH = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
-def _after(ts: Column, days: Column | int = 0, hours: Column | int = 0, mins: Column | int = 0) -> Column:
-    parts = [p if isinstance(p, Column) else F.lit(p) for p in (days, hours, mins)]
-    return ts + F.make_dt_interval(*[p.cast("int") for p in parts])
+_CITIES = "'metro_north', 'bayview', 'rivermouth', 'sunbelt'"
 
 
-def _pick(index: Column, names: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+def _after(ts: str, days="0", hours="0", mins="0") -> str:
+    return f"{ts} + make_dt_interval(CAST({days} AS int), CAST({hours} AS int), CAST({mins} AS int))"
 
 
-def _money(column: Column) -> Column:
-    return column.cast("decimal(12,2)")
+def _elt(index: str, names: str) -> str:
+    return f"elt(CAST({index} AS int) + 1, {names})"
 
 
-def _dec(text: str) -> Column:
-    return F.expr(text)
+def _columns(text: str) -> list[str]:
+    """One column per line."""
+    return [line.strip() for line in text.strip().splitlines()]
 
 
-def _rows(df: DataFrame, candidates: Sequence[tuple[Column, dict[str, Column]]], carry: Sequence[str]) -> DataFrame:
-    """Explode the candidate rows whose condition holds."""
+def _variants(df: DataFrame, names: str, rows: list[str], keep: str) -> DataFrame:
+    """Every row next to a constant list of variants, where ``keep`` says which ones apply."""
+    aliases = [n.strip() for n in names.split(",")]
     structs = [
-        F.when(condition, F.struct(*[value.alias(name) for name, value in row.items()])) for condition, row in candidates
+        "struct(" + ", ".join(f"{v.strip()} AS {a}" for v, a in zip(row.split(","), aliases)) + ")" for row in rows
     ]
-    present = F.filter(F.array(*structs), lambda row: row.isNotNull())
-    return df.select(*carry, F.inline(present))
+    return df.selectExpr("*", f"inline(array({', '.join(structs)}))").where(keep)
+
+
+class LazyTables(Mapping):
+    """Raw tables of a domain, each built when it is first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 class Feeds:
     """Raw feeds of the four domains over one folder of benchmark tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._raw = {domain: self._domain(domain) for domain in SCHEMAS}
+
+    def _domain(self, domain: str) -> LazyTables:
+        def maker(name, schema):
+            return lambda: conform(getattr(self, f"{domain}_{name.removeprefix('raw_')}")(), schema)
+
+        return LazyTables({name: maker(name, schema) for name, schema in SCHEMAS[domain].items()})
 
     def table(self, name: str) -> DataFrame:
-        return read_raw(self.spark, self.folder, name)
+        return self.spark.read.schema(_BENCH[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def raw(self, domain: str) -> dict[str, DataFrame]:
-        return {
-            name: conform(getattr(self, f"{domain}_{name[len('raw_'):]}")(), schema)
-            for name, schema in SCHEMAS[domain].items()
-        }
+    def raw(self, domain: str) -> LazyTables:
+        return self._raw[domain]
 
     # ---- commerce -------------------------------------------------------------------
 
     def commerce_orders(self) -> DataFrame:
-        k, c, bucket = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderkey") % 100
-        created = _after(F.col("o_orderdate"), mins=k % 1440)
-        return self.table("orders").select(
-            k.alias("order_id"),
-            c.alias("customer_id"),
-            F.when(bucket < 64, "completed").when(bucket < 83, "confirmed").when(bucket < 92, "cancelled")
-            .otherwise("placed").alias("order_status"),
-            _money(F.col("o_totalprice")).alias("order_amount"),
-            F.when(c % 7 == 5, "EUR").when(c % 7 == 6, "GBP").otherwise("USD").alias("currency"),
-            created.alias("created_at"),
-            F.when(k % 499 == 0, _after(created, hours=-5)).otherwise(_after(created, hours=30)).alias("updated_at"),
+        stamped = self.table("orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_totalprice AS decimal(12,2)) AS order_amount",
+            f"{_after('o_orderdate', mins='o_orderkey % 1440')} AS created_at",
         )
+        return stamped.selectExpr("*", *_columns(f"""
+            CASE WHEN order_id % 100 < 64 THEN 'completed' WHEN order_id % 100 < 83 THEN 'confirmed' WHEN order_id % 100 < 92 THEN 'cancelled' ELSE 'placed' END AS order_status
+            CASE customer_id % 7 WHEN 5 THEN 'EUR' WHEN 6 THEN 'GBP' ELSE 'USD' END AS currency
+            {_after('created_at', hours='if(order_id % 499 = 0, -5, 30)')} AS updated_at
+        """))
 
     def _paid_orders(self) -> DataFrame:
-        k, status = F.col("order_id"), F.col("order_status")
-        settled = status.isin("completed", "confirmed")
-        paid = settled | ((status == "cancelled") & (k % 9 < 4)) | ((status == "placed") & (k % 4 == 0))
-        return self.commerce_orders().withColumns({"settled": settled, "paid": paid})
+        settled = self.commerce_orders().selectExpr("*", "order_status IN ('completed', 'confirmed') AS settled")
+        return settled.selectExpr(
+            "*",
+            "settled OR (order_status = 'cancelled' AND order_id % 9 < 4) OR (order_status = 'placed' AND order_id % 4 = 0) AS paid",
+        )
 
     def commerce_payments(self) -> DataFrame:
-        k, created = F.col("order_id"), F.col("created_at")
-        never = F.lit(None).cast("timestamp_ntz")
-
-        def attempt(number: int, status: str, minutes: int) -> dict[str, Column]:
-            return {
-                "payment_id": k * 10 + number, "payment_status": F.lit(status),
-                "attempted_at": _after(created, mins=minutes),
-                "processed_at": _after(created, mins=minutes + 1) if status == "succeeded" else never,
-            }
-
-        attempts = _rows(self._paid_orders(), [
-            ((k % 11).isin(3, 7), attempt(1, "failed", 10)),
-            (k % 11 == 7, attempt(2, "failed", 20)),
-            (F.col("paid"), attempt(3, "succeeded", 40)),
-            (F.col("settled") & (k % 67 == 0), attempt(4, "succeeded", 41)),
-        ], ["order_id", "order_amount", "currency"])
-        return attempts.withColumns({
-            "amount": F.col("order_amount"),
-            "payment_method": _pick(k % 4, ["card", "paypal", "apple_pay", "bank_transfer"]),
-            "gateway_fee": _money(F.col("order_amount") * _dec("0.029") + _dec("0.30")),
-        })
+        attempts = _variants(
+            self._paid_orders(), "n, payment_status, mins",
+            ["1, 'failed', 10", "2, 'failed', 20", "3, 'succeeded', 40", "4, 'succeeded', 41"],
+            "CASE n WHEN 1 THEN order_id % 11 IN (3, 7) WHEN 2 THEN order_id % 11 = 7 WHEN 3 THEN paid "
+            "ELSE settled AND order_id % 67 = 0 END",
+        )
+        return attempts.selectExpr(*_columns(f"""
+            order_id * 10 + n AS payment_id
+            order_id
+            payment_status
+            order_amount AS amount
+            currency
+            {_elt('order_id % 4', "'card', 'paypal', 'apple_pay', 'bank_transfer'")} AS payment_method
+            CAST(order_amount * 0.029 + 0.30 AS decimal(12,2)) AS gateway_fee
+            {_after('created_at', mins='mins')} AS attempted_at
+            CASE WHEN payment_status = 'succeeded' THEN {_after('created_at', mins='mins + 1')} END AS processed_at
+        """))
 
     def commerce_refunds(self) -> DataFrame:
-        k, status, amount = F.col("order_id"), F.col("order_status"), F.col("order_amount")
-        refunded = F.when(status == "cancelled", k % 5 < 4).otherwise(k % 13 == 0)
-        settled_at = _after(F.col("created_at"), mins=41)
-        return self._paid_orders().where(F.col("paid") & refunded).select(
-            k.alias("refund_id"), "order_id", (k * 10 + 3).alias("payment_id"),
-            F.when(k % 3 == 0, _money(amount * _dec("0.5"))).otherwise(amount).alias("refund_amount"),
-            "currency",
-            _pick(k % 5, ["damaged", "late", "wrong_item", "changed_mind", "fraud"]).alias("refund_reason"),
-            F.lit("completed").alias("refund_status"),
-            _after(settled_at, days=(k % 6) * 10).alias("requested_at"),
-            _after(settled_at, days=(k % 6) * 11, hours=1).alias("processed_at"),
-        )
+        refunded = "paid AND CASE order_status WHEN 'cancelled' THEN order_id % 5 < 4 ELSE order_id % 13 = 0 END"
+        return self._paid_orders().where(refunded).selectExpr(*_columns(f"""
+            order_id AS refund_id
+            order_id
+            order_id * 10 + 3 AS payment_id
+            CASE WHEN order_id % 3 = 0 THEN CAST(order_amount * 0.5 AS decimal(12,2)) ELSE order_amount END AS refund_amount
+            currency
+            {_elt('order_id % 5', "'damaged', 'late', 'wrong_item', 'changed_mind', 'fraud'")} AS refund_reason
+            'completed' AS refund_status
+            {_after('created_at', days='order_id % 6 * 10', mins='41')} AS requested_at
+            {_after('created_at', days='order_id % 6 * 11', mins='101')} AS processed_at
+        """))
 
     def commerce_shipping(self) -> DataFrame:
-        k, created = F.col("order_id"), F.col("created_at")
-        shipped = F.col("paid") & ((F.col("order_status") != "cancelled") | (k % 5 == 0))
-
-        def parcel(number: int, status: Column) -> dict[str, Column]:
-            return {
-                "shipment_id": k * 2 + number, "status": status,
-                "shipped_at": F.when(k % 12 != 0, _after(created, days=2 + number)),
-                "delivered_at": F.when(k % 16 != 0, _after(created, days=6 + number)),
-            }
-
-        parcels = _rows(self._paid_orders(), [
-            (shipped, parcel(0, F.when(k % 8 == 0, "in_transit").otherwise("delivered"))),
-            (shipped & (k % 37 == 0), parcel(1, F.lit("in_transit"))),
-        ], ["order_id"])
-        return parcels.withColumns({
-            "carrier": _pick(k % 4, ["north", "swift", "harbor", "local"]),
-            "shipping_cost": _money(k % 7 + _dec("4.99")),
-        })
+        shipped = self._paid_orders().where("paid AND (order_status <> 'cancelled' OR order_id % 5 = 0)")
+        parcels = _variants(shipped, "n", ["0", "1"], "n = 0 OR order_id % 37 = 0")
+        return parcels.selectExpr(*_columns(f"""
+            order_id * 2 + n AS shipment_id
+            order_id
+            {_elt('order_id % 4', "'north', 'swift', 'harbor', 'local'")} AS carrier
+            CAST(order_id % 7 + 4.99 AS decimal(12,2)) AS shipping_cost
+            if(n = 1 OR order_id % 8 = 0, 'in_transit', 'delivered') AS status
+            CASE WHEN order_id % 12 <> 0 THEN {_after('created_at', days='2 + n')} END AS shipped_at
+            CASE WHEN order_id % 16 <> 0 THEN {_after('created_at', days='6 + n')} END AS delivered_at
+        """))
 
     # ---- rides ----------------------------------------------------------------------
 
     def rides_trips(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        cancelled = k % 6 == 0
-        asked = _after(F.col("o_orderdate"), mins=k % 1440)
-        price = _money(F.col("o_totalprice"))
-        free = cancelled & ((k % 5 == 2) | (k % 7 < 3))
-        return self.table("orders").select(
-            k.alias("trip_id"), c.alias("rider_id"), (k % 97).alias("driver_id"),
-            _pick(c % 4, ["metro_north", "bayview", "rivermouth", "sunbelt"]).alias("city"),
-            _pick(k % 4, ["standard", "pool", "premium", "xl"]).alias("product"),
-            F.when(cancelled, "cancelled").otherwise("completed").alias("trip_status"),
-            F.when(cancelled, _pick(k % 5, [
-                "rider_cancel", "driver_cancel", "no_driver_found", "rider_no_show", "rider_cancel",
-            ])).alias("cancel_reason"),
-            F.when(free, F.lit(0)).when(cancelled, _money(price * _dec("0.25"))).otherwise(price).alias("gross_fare"),
-            ((k % 5) * _dec("0.25") + _dec("1.00")).alias("surge_multiplier"),
-            F.when(c % 4 == 2, "GBP").otherwise("USD").alias("currency"),
-            F.when(k % 1009 != 0, ~cancelled & (k % 31 == 0)).alias("is_fraud_flagged"),
-            ((k % 1000) * _dec("0.0001") + 40).alias("pickup_lat"),
-            ((c % 1000) * _dec("0.0001") - 74).alias("pickup_lon"),
-            ((k % 777) * _dec("0.0002") + 40).alias("dropoff_lat"),
-            ((c % 555) * _dec("0.0002") - 74).alias("dropoff_lon"),
-            asked.alias("requested_at"),
-            F.when(k % 499 == 0, _after(asked, mins=-2)).otherwise(_after(asked, mins=3)).alias("accepted_at"),
-            F.when(~cancelled, _after(asked, mins=10)).alias("started_at"),
-            F.when(~cancelled, _after(asked, mins=35)).alias("ended_at"),
+        priced = self.table("orders").selectExpr(
+            "o_orderkey AS k", "o_custkey AS c", "CAST(o_totalprice AS decimal(12,2)) AS price",
+            "o_orderkey % 6 = 0 AS off", f"{_after('o_orderdate', mins='o_orderkey % 1440')} AS requested_at",
         )
+        reasons = "'rider_cancel', 'driver_cancel', 'no_driver_found', 'rider_no_show', 'rider_cancel'"
+        return priced.selectExpr(*_columns(f"""
+            k AS trip_id
+            c AS rider_id
+            k % 97 AS driver_id
+            {_elt('c % 4', _CITIES)} AS city
+            {_elt('k % 4', "'standard', 'pool', 'premium', 'xl'")} AS product
+            if(off, 'cancelled', 'completed') AS trip_status
+            CASE WHEN off THEN {_elt('k % 5', reasons)} END AS cancel_reason
+            CASE WHEN off AND (k % 5 = 2 OR k % 7 < 3) THEN 0 WHEN off THEN CAST(price * 0.25 AS decimal(12,2)) ELSE price END AS gross_fare
+            k % 5 * 0.25 + 1.00 AS surge_multiplier
+            if(c % 4 = 2, 'GBP', 'USD') AS currency
+            CASE WHEN k % 1009 <> 0 THEN NOT off AND k % 31 = 0 END AS is_fraud_flagged
+            k % 1000 * 0.0001 + 40 AS pickup_lat
+            c % 1000 * 0.0001 - 74 AS pickup_lon
+            k % 777 * 0.0002 + 40 AS dropoff_lat
+            c % 555 * 0.0002 - 74 AS dropoff_lon
+            requested_at
+            {_after('requested_at', mins='if(k % 499 = 0, -2, 3)')} AS accepted_at
+            CASE WHEN NOT off THEN {_after('requested_at', mins='10')} END AS started_at
+            CASE WHEN NOT off THEN {_after('requested_at', mins='35')} END AS ended_at
+        """))
 
     def rides_riders(self) -> DataFrame:
-        c, segment = F.col("c_custkey"), F.col("c_mktsegment")
-        loaded = self.table("customer").select(
-            c.alias("rider_id"),
-            _pick(c % 4, ["metro_north", "bayview", "rivermouth", "sunbelt"]).alias("home_city"),
-            F.when(c % 50 == 7, "suspended").when(segment == "MACHINERY", "dormant")
-            .when(segment == "HOUSEHOLD", "guest").otherwise("active").alias("account_status"),
-            _after(F.lit("1994-01-01").cast("timestamp_ntz"), days=c % 700).alias("signup_at"),
-            # The feed writes -1 for riders nobody referred.
-            F.when(c % 4 == 1, c - 1).otherwise(F.lit(-1)).alias("referred_by"),
-        )
-        return loaded.withColumn("referred_by", null_sentinel(F.col("referred_by"), -1))
+        loaded = self.table("customer").selectExpr(*_columns(f"""
+            c_custkey AS rider_id
+            {_elt('c_custkey % 4', _CITIES)} AS home_city
+            CASE WHEN c_custkey % 50 = 7 THEN 'suspended' WHEN c_mktsegment = 'MACHINERY' THEN 'dormant' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'guest' ELSE 'active' END AS account_status
+            {_after("timestamp_ntz'1994-01-01'", days='c_custkey % 700')} AS signup_at
+            if(c_custkey % 4 = 1, c_custkey - 1, -1) AS referred_by
+        """))
+        # The feed writes -1 for riders nobody referred.
+        return loaded.withColumn("referred_by", null_sentinel(loaded["referred_by"], -1))
 
     def rides_drivers(self) -> DataFrame:
-        s = F.col("s_suppkey")
-        first_day = _after(F.lit("1993-01-01").cast("timestamp_ntz"), days=s % 400)
-
-        def onboarding(days: int, vehicle: Column) -> dict[str, Column]:
-            return {"onboarded_at": _after(first_day, days=days), "vehicle_class": _pick(vehicle, ["standard", "premium", "xl"])}
-
-        onboarded = _rows(self.table("supplier").withColumn("driver_id", s), [
-            (F.lit(True), onboarding(0, s % 3)),
-            (s % 25 == 0, onboarding(500, (s + 1) % 3)),
-        ], ["driver_id"])
-        d = F.col("driver_id")
-        return onboarded.withColumns({
-            "home_city": _pick(d % 4, ["metro_north", "bayview", "rivermouth", "sunbelt"]),
-            "driver_status": F.when(d % 20 == 3, "deactivated").when(d % 13 == 5, "inactive").otherwise("active"),
-            "rating": (d % 111) * _dec("0.01") + _dec("3.90"),
-        })
+        onboarded = _variants(self.table("supplier"), "n", ["0", "1"], "n = 0 OR s_suppkey % 25 = 0")
+        return onboarded.selectExpr(*_columns(f"""
+            s_suppkey AS driver_id
+            {_elt('s_suppkey % 4', _CITIES)} AS home_city
+            CASE WHEN s_suppkey % 20 = 3 THEN 'deactivated' WHEN s_suppkey % 13 = 5 THEN 'inactive' ELSE 'active' END AS driver_status
+            s_suppkey % 111 * 0.01 + 3.90 AS rating
+            {_after("timestamp_ntz'1993-01-01'", days='s_suppkey % 400 + 500 * n')} AS onboarded_at
+            {_elt('(s_suppkey + n) % 3', "'standard', 'premium', 'xl'")} AS vehicle_class
+        """))
 
     def rides_payments(self) -> DataFrame:
-        k, asked = F.col("trip_id"), F.col("requested_at")
-        never = F.lit(None).cast("timestamp_ntz")
-        settles = k % 33 != 0
-
-        def attempt(number: int, status: str, minutes: int) -> dict[str, Column]:
-            captured = F.when(F.col("trip_status") == "completed", _after(asked, mins=minutes + 1))
-            return {
-                "payment_id": k * 10 + number, "payment_status": F.lit(status),
-                "attempted_at": _after(asked, mins=minutes),
-                "captured_at": captured if status == "captured" else never,
-            }
-
-        attempts = _rows(self.rides_trips().where("gross_fare > 0"), [
-            ((k % 11).isin(3, 7), attempt(1, "failed", 40)),
-            (k % 11 == 7, attempt(2, "failed", 45)),
-            (settles, attempt(3, "captured", 50)),
-            (settles & (k % 67 == 0), attempt(4, "captured", 51)),
-        ], ["trip_id", "rider_id", "gross_fare", "currency"])
-        return attempts.withColumns({
-            "amount": F.col("gross_fare"),
-            "payment_method": _pick(k % 4, ["card", "wallet", "apple_pay", "cash"]),
-            "processor_fee": _money(F.col("gross_fare") * _dec("0.025") + _dec("0.20")),
-        })
+        attempts = _variants(
+            self.rides_trips().where("gross_fare > 0"), "n, payment_status, mins",
+            ["1, 'failed', 40", "2, 'failed', 45", "3, 'captured', 50", "4, 'captured', 51"],
+            "CASE n WHEN 1 THEN trip_id % 11 IN (3, 7) WHEN 2 THEN trip_id % 11 = 7 WHEN 3 THEN trip_id % 33 <> 0 "
+            "ELSE trip_id % 33 <> 0 AND trip_id % 67 = 0 END",
+        )
+        return attempts.selectExpr(*_columns(f"""
+            trip_id * 10 + n AS payment_id
+            trip_id
+            rider_id
+            payment_status
+            gross_fare AS amount
+            currency
+            {_elt('trip_id % 4', "'card', 'wallet', 'apple_pay', 'cash'")} AS payment_method
+            CAST(gross_fare * 0.025 + 0.20 AS decimal(12,2)) AS processor_fee
+            {_after('requested_at', mins='mins')} AS attempted_at
+            CASE WHEN payment_status = 'captured' AND trip_status = 'completed' THEN {_after('requested_at', mins='mins + 1')} END AS captured_at
+        """))
 
     def rides_driver_incentives(self) -> DataFrame:
-        k, ended = F.col("trip_id"), F.col("ended_at")
-        rewarded = (F.col("trip_status") == "completed") & (k % 3 == 0)
-        campaigns = ["quest_weekly", "referral_bonus", "consecutive_trips", "surge_guarantee", "peak_hour_boost"]
-
-        def line(number: int) -> dict[str, Column]:
-            return {
-                "incentive_id": k * 2 + number, "campaign": _pick((k + number) % 5, campaigns),
-                "bonus_amount": (k % 9 + number) * _dec("0.75") + _dec("2.50"),
-                "paid_at": _after(ended, days=k % 35 + 3, hours=(k + number) % 24),
-            }
-
-        return _rows(self.rides_trips(), [
-            (rewarded, line(0)), (rewarded & (k % 11 == 0), line(1)),
-        ], ["driver_id", "trip_id", "currency", F.col("ended_at").alias("earned_at")])
+        rewarded = self.rides_trips().where("trip_status = 'completed' AND trip_id % 3 = 0")
+        lines = _variants(rewarded, "n", ["0", "1"], "n = 0 OR trip_id % 11 = 0")
+        campaigns = "'quest_weekly', 'referral_bonus', 'consecutive_trips', 'surge_guarantee', 'peak_hour_boost'"
+        return lines.selectExpr(*_columns(f"""
+            trip_id * 2 + n AS incentive_id
+            driver_id
+            trip_id
+            {_elt('(trip_id + n) % 5', campaigns)} AS campaign
+            (trip_id % 9 + n) * 0.75 + 2.50 AS bonus_amount
+            currency
+            ended_at AS earned_at
+            {_after('ended_at', days='trip_id % 35 + 3', hours='(trip_id + n) % 24')} AS paid_at
+        """))
 
     # ---- telecom --------------------------------------------------------------------
 
     def telecom_subscribers(self) -> DataFrame:
-        c = F.col("c_custkey")
-        cancelled = c % 7 == 0
-        activated = _after(F.lit("2023-01-01").cast("timestamp_ntz"), days=c % 365)
-        gone = _after(F.lit("2023-12-01").cast("timestamp_ntz"), days=c % 60)
-        reason = F.when(c % 49 != 0, _pick(c % 3, ["voluntary", "involuntary", "ported_out"]))
-        lines = _rows(self.table("customer").withColumn("subscriber_id", c), [
-            (F.lit(True), {
-                "account_status": F.when(cancelled, "cancelled").otherwise("active"),
-                "disconnect_reason": F.when(cancelled, reason), "activated_at": activated,
-                "cancelled_at": F.when(cancelled, gone),
-            }),
-            (c % 50 == 0, {
-                "account_status": F.lit("active"), "disconnect_reason": F.lit(None).cast("string"),
-                "activated_at": _after(activated, days=40), "cancelled_at": F.lit(None).cast("timestamp_ntz"),
-            }),
-        ], ["subscriber_id"])
-        s = F.col("subscriber_id")
-        return lines.withColumns({
-            "plan_code": F.concat(F.lit("Brand#"), (s % 25 + 1).cast("string")),
-            "region": _pick(s % 5, ["north", "south", "east", "west", "central"]),
-            "autopay_enrolled": s % 2 == 0,
-        })
+        lines = _variants(self.table("customer"), "n", ["0", "1"], "n = 0 OR c_custkey % 50 = 0")
+        marked = lines.selectExpr("c_custkey AS c", "n", "n = 0 AND c_custkey % 7 = 0 AS gone")
+        return marked.selectExpr(*_columns(f"""
+            c AS subscriber_id
+            concat('Brand#', CAST(c % 25 + 1 AS string)) AS plan_code
+            {_elt('c % 5', "'north', 'south', 'east', 'west', 'central'")} AS region
+            if(gone, 'cancelled', 'active') AS account_status
+            c % 2 = 0 AS autopay_enrolled
+            CASE WHEN gone AND c % 49 <> 0 THEN {_elt('c % 3', "'voluntary', 'involuntary', 'ported_out'")} END AS disconnect_reason
+            {_after("timestamp_ntz'2023-01-01'", days='c % 365 + 40 * n')} AS activated_at
+            CASE WHEN gone THEN {_after("timestamp_ntz'2023-12-01'", days='c % 60')} END AS cancelled_at
+        """))
 
     def telecom_plans(self) -> DataFrame:
-        return self.table("part").groupBy(F.col("p_brand").alias("plan_code")).agg(
-            F.when(F.min("p_partkey") % 2 == 0, "prepaid").otherwise("postpaid").alias("plan_type"),
-            _money(F.min("p_retailprice")).alias("monthly_recurring_charge"),
-            F.max("p_size").alias("data_allowance_gb"),
-            ((F.min("p_partkey") % 3) * 12).alias("contract_months"),
-        )
+        brands = self.table("part").groupBy("p_brand").agg({"p_retailprice": "min", "p_size": "max", "p_partkey": "min"})
+        return brands.selectExpr(*_columns("""
+            p_brand AS plan_code
+            if(`min(p_partkey)` % 2 = 0, 'prepaid', 'postpaid') AS plan_type
+            CAST(`min(p_retailprice)` AS decimal(12,2)) AS monthly_recurring_charge
+            `max(p_size)` AS data_allowance_gb
+            `min(p_partkey)` % 3 * 12 AS contract_months
+        """))
 
     def telecom_usage(self) -> DataFrame:
-        return self.table("events").where("event_type <> 'error'").select(
-            F.col("event_id").alias("usage_id"), (F.col("user_id") * 10).alias("subscriber_id"),
-            F.col("event_type").alias("usage_type"), F.round(F.col("value") / 10).alias("usage_units"),
-            F.col("ts").alias("usage_date"),
+        return self.table("events").where("event_type <> 'error'").selectExpr(
+            "event_id AS usage_id", "user_id * 10 AS subscriber_id", "event_type AS usage_type",
+            "round(value / 10) AS usage_units", "ts AS usage_date",
         )
 
     def telecom_payments(self) -> DataFrame:
-        c = F.col("c_custkey")
-
-        def cycle(n: int, retry: bool = False) -> dict[str, Column]:
-            due = _after(F.lit("2023-11-15").cast("timestamp_ntz"), days=30 * (n - 1))
-            failed = (c + n) % 9 == 0
-            past_due = c % 11 == 0 if n == 3 else (c % 55 == 0 if n == 2 else F.lit(False))
-            status = F.when(past_due, "past_due").when(failed, "failed").otherwise("paid")
-            return {
-                "payment_id": c * 10 + (n + 5 if retry else n),
-                "billing_period": F.lit(["2023-11", "2023-12", "2024-01"][n - 1]),
-                "payment_status": F.lit("paid") if retry else status,
-                "due_at": due,
-                "paid_at": _after(due, days=5) if retry else F.when(status == "paid", _after(due, days=2)),
-            }
-
-        charges = _rows(self.table("customer").withColumn("subscriber_id", c), [
-            *[(F.lit(True), cycle(n)) for n in (1, 2, 3)],
-            *[(((c + n) % 9 == 0) & (c % 2 == 0), cycle(n, retry=True)) for n in (1, 2, 3)],
-        ], ["subscriber_id"])
-        s = F.col("subscriber_id")
-        return charges.withColumns({
-            "amount_due": s % 30 + _dec("20.00"),
-            "payment_method": _pick(s % 4, ["card", "direct_debit", "wallet", "voucher"]),
-        })
+        cycles = _variants(
+            self.table("customer"), "n, billing_period, retry",
+            [f"{n}, '{month}', {retry}" for n, month in [(1, "2023-11"), (2, "2023-12"), (3, "2024-01")] for retry in ("false", "true")],
+            "NOT retry OR ((c_custkey + n) % 9 = 0 AND c_custkey % 2 = 0)",
+        )
+        charged = cycles.selectExpr("c_custkey AS c", "n", "billing_period", "retry", *_columns(f"""
+            CASE WHEN retry THEN 'paid' WHEN (n = 3 AND c_custkey % 11 = 0) OR (n = 2 AND c_custkey % 55 = 0) THEN 'past_due' WHEN (c_custkey + n) % 9 = 0 THEN 'failed' ELSE 'paid' END AS payment_status
+            {_after("timestamp_ntz'2023-11-15'", days='30 * (n - 1)')} AS due_at
+        """))
+        return charged.selectExpr(*_columns(f"""
+            c * 10 + n + if(retry, 5, 0) AS payment_id
+            c AS subscriber_id
+            billing_period
+            c % 30 + 20.00 AS amount_due
+            payment_status
+            {_elt('c % 4', "'card', 'direct_debit', 'wallet', 'voucher'")} AS payment_method
+            due_at
+            CASE WHEN payment_status = 'paid' THEN {_after('due_at', days='if(retry, 5, 2)')} END AS paid_at
+        """))
 
     def telecom_support_tickets(self) -> DataFrame:
-        e, opened = F.col("event_id"), F.col("ts")
-        return self.table("events").where("event_type = 'error'").select(
-            e.alias("ticket_id"), (F.col("user_id") * 10).alias("subscriber_id"),
-            _pick(e % 6, ["billing", "coverage", "device", "roaming", "porting", "other"]).alias("category"),
-            _pick(e % 5, ["phone", "chat", "email", "store", "app"]).alias("channel"),
-            opened.alias("opened_at"),
-            F.when(e % 10 != 0, _after(opened, hours=e % 72)).alias("resolved_at"),
-        )
+        return self.table("events").where("event_type = 'error'").selectExpr(*_columns(f"""
+            event_id AS ticket_id
+            user_id * 10 AS subscriber_id
+            {_elt('event_id % 6', "'billing', 'coverage', 'device', 'roaming', 'porting', 'other'")} AS category
+            {_elt('event_id % 5', "'phone', 'chat', 'email', 'store', 'app'")} AS channel
+            ts AS opened_at
+            CASE WHEN event_id % 10 <> 0 THEN {_after('ts', hours='event_id % 72')} END AS resolved_at
+        """))
 
     # ---- learning -------------------------------------------------------------------
 
     def learning_students(self) -> DataFrame:
-        k, enrolled = F.col("o_orderkey"), F.col("o_orderdate")
-        return self.table("orders").select(
-            k.alias("enrollment_id"), F.col("o_custkey").alias("student_id"),
-            F.when(k % 997 == 0, F.lit(-1)).otherwise(k % 200).alias("course_id"),
-            _pick(k % 3, ["free", "individual", "team"]).alias("plan"),
-            _pick(k % 4, ["en", "fr", "de", "es"]).alias("locale"),
-            F.when(k % 5 == 0, "completed").when(k % 5 == 1, "enrolled").otherwise("in_progress")
-            .alias("enrollment_status"),
-            enrolled.alias("enrolled_at"),
-            F.when(k % 499 == 0, _after(enrolled, days=-1)).otherwise(_after(enrolled, days=k % 90))
-            .alias("last_active_at"),
-        )
+        return self.table("orders").selectExpr(*_columns(f"""
+            o_orderkey AS enrollment_id
+            o_custkey AS student_id
+            if(o_orderkey % 997 = 0, -1, o_orderkey % 200) AS course_id
+            {_elt('o_orderkey % 3', "'free', 'individual', 'team'")} AS plan
+            {_elt('o_orderkey % 4', "'en', 'fr', 'de', 'es'")} AS locale
+            CASE o_orderkey % 5 WHEN 0 THEN 'completed' WHEN 1 THEN 'enrolled' ELSE 'in_progress' END AS enrollment_status
+            o_orderdate AS enrolled_at
+            {_after('o_orderdate', days='if(o_orderkey % 499 = 0, -1, o_orderkey % 90)')} AS last_active_at
+        """))
 
     def learning_courses(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.table("part").select(
-            p.alias("course_id"), F.col("p_name").alias("course_title"),
-            _pick(p % 4, ["data", "design", "business", "language"]).alias("category"),
-            (p % 4 + 2).alias("lesson_count"), F.lit(70).alias("pass_threshold"), (p % 10 != 9).alias("is_active"),
-            _after(F.lit("1994-01-01").cast("timestamp_ntz"), days=p % 365).alias("created_at"),
-        )
+        return self.table("part").selectExpr(*_columns(f"""
+            p_partkey AS course_id
+            p_name AS course_title
+            {_elt('p_partkey % 4', "'data', 'design', 'business', 'language'")} AS category
+            p_partkey % 4 + 2 AS lesson_count
+            70 AS pass_threshold
+            p_partkey % 10 <> 9 AS is_active
+            {_after("timestamp_ntz'1994-01-01'", days='p_partkey % 365')} AS created_at
+        """))
 
     def learning_lessons(self) -> DataFrame:
-        k, n, p, s = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-        started = _after(F.col("l_shipdate"), mins=p % 600)
-        opened_only = p % 19 == 0
-        return self.table("lineitem").where(n <= k % 4 + 2).select(
-            ((k * 8 + n) * 4194304 + (p * 31 + s + F.dayofyear("l_shipdate") * 7919) % 4194304).alias("lesson_event_id"),
-            k.alias("enrollment_id"), k.alias("student_id"), (k % 200).alias("course_id"), n.alias("lesson_number"),
-            _pick(p % 4, ["video", "reading", "quiz", "lab"]).alias("lesson_type"),
-            F.when(opened_only, "started").otherwise("completed").alias("lesson_status"),
-            _pick(s % 3, ["web", "ios", "android"]).alias("device"),
-            F.col("l_quantity").alias("duration_minutes"), started.alias("started_at"),
-            F.when(~opened_only & (p % 17 != 0), _after(started, mins=F.col("l_quantity"))).alias("completed_at"),
+        events = self.table("lineitem").where("l_linenumber <= l_orderkey % 4 + 2").selectExpr(
+            "*", f"{_after('l_shipdate', mins='l_partkey % 600')} AS started_at"
         )
+        return events.selectExpr(*_columns(f"""
+            (l_orderkey * 8 + l_linenumber) * 4194304 + (l_partkey * 31 + l_suppkey + dayofyear(l_shipdate) * 7919) % 4194304 AS lesson_event_id
+            l_orderkey AS enrollment_id
+            l_orderkey AS student_id
+            l_orderkey % 200 AS course_id
+            l_linenumber AS lesson_number
+            {_elt('l_partkey % 4', "'video', 'reading', 'quiz', 'lab'")} AS lesson_type
+            if(l_partkey % 19 = 0, 'started', 'completed') AS lesson_status
+            {_elt('l_suppkey % 3', "'web', 'ios', 'android'")} AS device
+            l_quantity AS duration_minutes
+            started_at
+            CASE WHEN l_partkey % 19 <> 0 AND l_partkey % 17 <> 0 THEN {_after('started_at', mins='l_quantity')} END AS completed_at
+        """))
 
     def learning_assessments(self) -> DataFrame:
-        k, enrolled = F.col("enrollment_id"), F.col("enrolled_at")
-
-        def attempt(number: int, score: Column, graded: Column) -> dict[str, Column]:
-            submitted = _after(enrolled, days=30 + 7 * number)
-            return {
-                "assessment_attempt_id": k * 2 + number, "score": F.when(graded, score),
-                "is_passed": F.when(graded, score >= 70),
-                "attempt_status": F.when(graded, "graded").otherwise("submitted"),
-                "submitted_at": submitted, "graded_at": F.when(graded, _after(submitted, days=1)),
-            }
-
-        attempts = _rows(self.learning_students(), [
-            (k % 3 == 0, attempt(0, k % 66 + 35, k % 41 != 0)),
-            (k % 9 == 0, attempt(1, k % 31 + 70, F.lit(True))),
-        ], ["enrollment_id", "student_id", "course_id"])
-        return attempts.withColumns({"assessment_type": F.lit("final_exam"), "pass_threshold": F.lit(70)})
+        attempts = _variants(
+            self.learning_students(), "n", ["0", "1"], "CASE n WHEN 0 THEN enrollment_id % 3 = 0 ELSE enrollment_id % 9 = 0 END"
+        )
+        scored = attempts.selectExpr(
+            "*", "CASE WHEN n = 1 THEN enrollment_id % 31 + 70 WHEN enrollment_id % 41 <> 0 THEN enrollment_id % 66 + 35 END AS score",
+            f"{_after('enrolled_at', days='30 + 7 * n')} AS submitted_at",
+        )
+        return scored.selectExpr(*_columns(f"""
+            enrollment_id * 2 + n AS assessment_attempt_id
+            enrollment_id
+            student_id
+            course_id
+            'final_exam' AS assessment_type
+            score
+            70 AS pass_threshold
+            score >= 70 AS is_passed
+            if(score IS NULL, 'submitted', 'graded') AS attempt_status
+            submitted_at
+            CASE WHEN score IS NOT NULL THEN {_after('submitted_at', days='1')} END AS graded_at
+        """))
 
     # ---- exchange rates -------------------------------------------------------------
 
     def fx_quotes(self) -> DataFrame:
         """Weekday quotes per currency on every day that has orders."""
-        days = self.table("orders").select(F.col("o_orderdate").cast("date").alias("rate_date")).distinct()
-        weekdays = days.where(F.weekday("rate_date") < 5)
-        quote = F.dayofmonth("rate_date") * _dec("0.001")
-        return weekdays.select("rate_date", F.inline(F.array(
-            F.struct(F.lit("EUR").alias("currency"), (quote + _dec("1.05")).alias("rate")),
-            F.struct(F.lit("GBP").alias("currency"), (quote + _dec("1.20")).alias("rate")),
-        )))
+        days = self.table("orders").selectExpr("CAST(o_orderdate AS date) AS rate_date").distinct()
+        bases = "inline(array(struct('EUR' AS currency, 1.05 AS base), struct('GBP' AS currency, 1.20 AS base)))"
+        return days.where("weekday(rate_date) < 5").selectExpr("rate_date", bases).selectExpr(
+            "rate_date", "currency", "CAST(base + dayofmonth(rate_date) * 0.001 AS decimal(6,3)) AS rate"
+        )

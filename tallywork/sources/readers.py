@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallywork.operators._union import union_all
 from tallywork.sources.schemas import SCHEMAS
 
-_ISO = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+_ISO = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
 
 
-def _parsed(column: Column) -> Column:
-    return F.when(column.rlike(_ISO), column.try_cast("timestamp_ntz"))
+def _parsed(column: str) -> Column:
+    return F.expr(_parsed_sql(column))
+
+
+def _parsed_sql(column: str) -> str:
+    return f"CASE WHEN `{column}` RLIKE '{_ISO}' THEN try_cast(`{column}` AS timestamp_ntz) END"
 
 
 def parse_timestamps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """ISO strings to ``timestamp_ntz``; text that is no timestamp becomes NULL and is flagged."""
-    parsed = {c: _parsed(F.col(c)) for c in cols}
-    flags = {f"{c}_unparsed": F.col(c).isNotNull() & _parsed(F.col(c)).isNull() for c in cols}
+    parsed = {c: _parsed(c) for c in cols}
+    flags = {f"{c}_unparsed": F.col(c).isNotNull() & parsed[c].isNull() for c in cols}
     return df.withColumns(flags | parsed)
 
 
@@ -30,16 +34,17 @@ def unparsed_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to the declared columns; timestamps delivered as text are parsed."""
+    delivered = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for field in schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.TimestampNTZType) and isinstance(df.schema[field.name].dataType, T.StringType):
-            column = _parsed(column)
-        columns.append(column.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+        text = isinstance(field.dataType, T.TimestampNTZType) and isinstance(delivered[field.name], T.StringType)
+        value = _parsed_sql(field.name) if text else f"`{field.name}`"
+        columns.append(f"CAST({value} AS {field.dataType.simpleString()}) AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def read_raw(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """One raw table; a declared schema is enforced by casts, so that types may drift at the source."""
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     return conform(df, schema) if schema is not None else df
 
@@ -55,4 +60,4 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return union_all(counted)
