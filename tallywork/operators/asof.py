@@ -6,18 +6,20 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tallywork.operators.rollup import with_boundary
+
 BASE_RATE = Decimal("1.0")
 
 
 def daily_rates(rates: DataFrame, horizon: DataFrame) -> DataFrame:
     """Dense table (currency, rate_date, rate, quoted_on): one row per currency and calendar day.
 
-    ``rates`` holds at most one quote per currency and day; ``horizon`` is one row with
-    column ``last_day`` up to which the latest quotes stay valid.  Its size is currencies
+    ``rates`` holds at most one quote per currency and day; ``horizon`` is the one-value
+    aggregate with the day up to which the latest quotes stay valid.  Its size is currencies
     times days whatever the size of the facts, and the windows below see quotes only.
     """
     until = F.lead("rate_date").over(W.partitionBy("currency").orderBy("rate_date"))
-    quoted = rates.withColumn("__next", until).crossJoin(F.broadcast(horizon))
+    quoted = with_boundary(rates.withColumn("__next", until), "last_day", horizon)
     last_valid = F.coalesce(F.date_sub("__next", 1), F.greatest(F.col("last_day"), F.col("rate_date")))
     return quoted.select(
         "currency",
@@ -33,7 +35,7 @@ def rate_as_of(facts: DataFrame, rates: DataFrame, currency: str, ts: str, base:
     An equi-join on currency and day: a currency that holds most of the facts is spread
     over its days, and Spark broadcasts the rates when they are small enough.
     """
-    horizon = facts.agg(F.max(F.col(ts).cast("date")).alias("last_day"))
+    horizon = facts.agg(F.max(F.col(ts).cast("date")))
     dense = daily_rates(rates, horizon).select(
         F.col("currency").alias("__ccy"), F.col("rate_date").alias("__day"), F.col("rate").alias("__rate"), "quoted_on"
     )

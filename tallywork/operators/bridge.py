@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallywork.functions.money import pct
 from tallywork.functions.times import month_of
+from tallywork.operators.rollup import with_boundary
 
 
 def bridge(
@@ -39,9 +40,7 @@ def gap_ties(df: DataFrame, start: str, end: str, gap: str, digits: int = 2, kee
 
 def tie_out(mart: DataFrame, mart_total: Column, ledger: DataFrame, ledger_total: Column, tol="0") -> DataFrame:
     """One row: mart total, ledger total, difference, and whether they agree within ``tol``."""
-    both = mart.agg(mart_total.alias("mart_total")).crossJoin(
-        F.broadcast(ledger.agg(ledger_total.alias("ledger_total")))
-    )
+    both = with_boundary(mart.agg(mart_total.alias("mart_total")), "ledger_total", ledger.agg(ledger_total))
     difference = F.coalesce(F.col("mart_total"), F.lit(0)) - F.coalesce(F.col("ledger_total"), F.lit(0))
     return both.withColumn("difference", difference).withColumn(
         "ties", F.abs(F.col("difference")) <= F.lit(Decimal(tol))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallywork.functions.aggregates import row_count
 from tallywork.functions.money import pct
+from tallywork.operators.rollup import with_boundary
 
 
 def profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -42,8 +43,8 @@ def profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value with the share of all rows."""
     counted = df.groupBy(F.col(column).alias("value")).agg(row_count().alias("n"))
-    total = df.agg(row_count().alias("__total"))
-    return counted.crossJoin(F.broadcast(total)).select("value", "n", pct(F.col("n"), F.col("__total")).alias("share_pct"))
+    counted = with_boundary(counted, "__total", df.agg(row_count()))
+    return counted.select("value", "n", pct(F.col("n"), F.col("__total")).alias("share_pct"))
 
 
 def dup_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

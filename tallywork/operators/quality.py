@@ -64,12 +64,22 @@ def _row_rule(check: Check) -> Column:
     return ~F.expr(check.rule)
 
 
-def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: number of keys that occur more than once; keys with a NULL are left out."""
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    return (
-        df.where(complete).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-        .agg(F.count_if(F.col("__n") > 1).alias("failures"))
+def _table_counts(df: DataFrame, key: Sequence[str], rules: Sequence[Column]) -> DataFrame:
+    """One row: ``repeated`` keys (NULL keys left out) and rejected rows per rule, in one pass.
+
+    The rules are counted per key together with the rows, so the pass that finds repeated
+    keys answers them too.
+    """
+    counts = [F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(rules)]
+    if not key:
+        return df.agg(*counts)
+    complete = reduce(lambda a, b: a & b, [F.col(f"__k{i}").isNotNull() for i in range(len(key))])
+    per_key = df.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)]).agg(
+        F.count(F.lit(1)).alias("__n"), *counts
+    )
+    return per_key.agg(
+        F.count_if(complete & (F.col("__n") > 1)).alias("repeated"),
+        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rules))],
     )
 
 
@@ -85,8 +95,8 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> D
     return counted.join(known, F.col("orphan_key") == F.col("__known"), "left_anti")
 
 
-def _result(df: DataFrame, check: Check, failures: Column) -> DataFrame:
-    return df.select(
+def _line(check: Check, failures: Column) -> Column:
+    return F.struct(
         F.lit(check.table).alias("table_name"), F.lit(check.name).alias("check_name"),
         F.lit(check.severity).alias("severity"), failures.cast("bigint").alias("failures"),
     )
@@ -95,33 +105,32 @@ def _result(df: DataFrame, check: Check, failures: Column) -> DataFrame:
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report (table_name, check_name, severity, failures, status), one row per check.
 
-    All row-level checks of a table share one pass over it.  ``failures`` counts rejected
-    rows, for ``unique`` the keys that repeat.
+    All row-level checks of a table and its first uniqueness check share one pass over it.
+    ``failures`` counts rejected rows, for ``unique`` the keys that repeat.
     """
-    row_level: dict[str, list[Check]] = defaultdict(list)
+    by_table: dict[str, list[Check]] = defaultdict(list)
     parts: list[DataFrame] = []
     for check in checks:
-        df = tables[check.table]
-        if check.kind == "unique":
-            parts.append(_result(duplicate_keys(df, check.columns), check, F.col("failures")))
-        elif check.kind == "relationship":
-            missing = orphans(df, tables[check.parent], check.columns[0], check.parent_key)
-            parts.append(_result(missing.agg(F.sum("n_rows").alias("n")), check, F.coalesce(F.col("n"), F.lit(0))))
-        else:
-            row_level[check.table].append(check)
-    for table, rules in row_level.items():
-        counted = tables[table].agg(*[F.count_if(_row_rule(c)).alias(f"c{i}") for i, c in enumerate(rules)])
-        lines = [
-            F.struct(
-                F.lit(c.table).alias("table_name"), F.lit(c.name).alias("check_name"),
-                F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(rules)
-        ]
-        parts.append(counted.select(F.inline(F.array(*lines))))
-    report = union_all(parts)
+        by_table[check.table].append(check)
+    for table, declared in by_table.items():
+        df = tables[table]
+        uniques = [c for c in declared if c.kind == "unique"]
+        rules = [c for c in declared if c.kind not in ("unique", "relationship")]
+        for i, check in enumerate(uniques or [None]):
+            shared = rules if i == 0 else []
+            if check is None and not shared:
+                continue
+            counted = _table_counts(df, check.columns if check else (), [_row_rule(c) for c in shared])
+            lines = [_line(check, F.col("repeated"))] if check else []
+            lines += [_line(c, F.col(f"c{j}")) for j, c in enumerate(shared)]
+            parts.append(counted.select(F.inline(F.array(*lines))))
+        for check in declared:
+            if check.kind == "relationship":
+                missing = orphans(df, tables[check.parent], check.columns[0], check.parent_key)
+                counted = missing.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+                parts.append(counted.select(F.inline(F.array(_line(check, F.col("n"))))))
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
-    return report.withColumn("status", status)
+    return union_all(parts).withColumn("status", status)
 
 
 def enforce(report: DataFrame) -> list:

@@ -38,9 +38,9 @@ def lookup(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return df.join(dim, key, "left")
 
 
-def with_boundary(df: DataFrame, boundary: DataFrame) -> DataFrame:
-    """Put the columns of a one-row aggregate on every row."""
-    return df.crossJoin(F.broadcast(boundary))
+def with_boundary(df: DataFrame, name: str, boundary: DataFrame) -> DataFrame:
+    """Put a one-value aggregate on every row, as a scalar subquery that runs once."""
+    return df.withColumn(name, boundary.scalar())
 
 
 def summarize(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:

@@ -82,10 +82,8 @@ def ops_findings(raw: Tables) -> DataFrame:
         row_count().alias("all_refunds"),
         cond_count(F.col("refund_amount") < F.col("order_amount")).alias("partial_refunds"),
     )
-    charged = commerce.payment_rollup(raw).agg(
-        cond_count(F.col("had_duplicate_charge")).alias("duplicate_charge_orders")
-    )
-    return partial.crossJoin(F.broadcast(charged))
+    charged = commerce.payment_rollup(raw).agg(cond_count(F.col("had_duplicate_charge")))
+    return with_boundary(partial, "duplicate_charge_orders", charged)
 
 
 # ---- rides --------------------------------------------------------------------------
@@ -174,8 +172,10 @@ def person_completion(completion: DataFrame) -> DataFrame:
 
 def active_learners(students: DataFrame) -> DataFrame:
     """Active in the last 28 and 7 days before the latest activity in the data, per enrolment and person."""
-    boundary = students.agg(F.max("last_active_at").alias("anchor"))
-    marked = with_boundary(students.select("student_id", "last_active_at"), boundary).select(
+    anchored = with_boundary(
+        students.select("student_id", "last_active_at"), "anchor", students.agg(F.max("last_active_at"))
+    )
+    marked = anchored.select(
         "student_id",
         active_since(F.col("last_active_at"), F.col("anchor"), 28).alias("a28"),
         active_since(F.col("last_active_at"), F.col("anchor"), 7).alias("a7"),

@@ -162,13 +162,12 @@ def incentives_by_driver(lines: DataFrame) -> DataFrame:
 
 
 def mart_driver_performance(trips: DataFrame, raw: Tables) -> DataFrame:
+    drivers = stg_drivers(raw)
     joined = fan_in(
-        stg_drivers(raw), "driver_id",
-        [trip_stats_by_driver(trips), incentives_by_driver(stg_driver_incentives(raw))],
+        drivers, "driver_id", [trip_stats_by_driver(trips), incentives_by_driver(stg_driver_incentives(raw))]
     )
-    dates = ["first_trip_at", "last_trip_at"]
-    driver_columns = stg_drivers(raw).columns
-    filled = fill(joined, zeros=[c for c in joined.columns if c not in driver_columns + dates])
+    unfilled = [*drivers.columns, "first_trip_at", "last_trip_at"]
+    filled = fill(joined, zeros=[c for c in joined.columns if c not in unfilled])
     return filled.withColumns({
         "completion_rate_pct": pct0(F.col("completed_trips"), F.col("total_trips")),
         "fraud_rate_pct": pct0(F.col("fraud_trips"), F.col("completed_trips")),
@@ -194,9 +193,10 @@ def trip_stats_by_rider(trips: DataFrame) -> DataFrame:
 
 def mart_rider_activity(trips: DataFrame, raw: Tables, window_days: int = 30) -> DataFrame:
     """Four definitions of an active rider, anchored to the latest trip in the data."""
-    boundary = trips.agg(F.max("requested_at").alias("max_trip_date"))
     riders = stg_riders(raw).drop("referred_by")
-    joined = with_boundary(fan_in(riders, "rider_id", [trip_stats_by_rider(trips)]), boundary)
+    joined = with_boundary(
+        fan_in(riders, "rider_id", [trip_stats_by_rider(trips)]), "max_trip_date", trips.agg(F.max("requested_at"))
+    )
     filled = fill(joined, zeros=[
         "total_trips_requested", "completed_trips", "clean_completed_trips", "fraud_completed_trips",
         "cancelled_trips", "total_gross_fare_usd", "total_clean_revenue_usd", "total_captured_usd",
