@@ -26,6 +26,21 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _LOCAL_FALLBACK = "tallywork.local.shared.dir"
 
 
+def cluster_settings(input_bytes: int, partition_bytes: int = 128 * 2**20) -> dict[str, str]:
+    """Sizing for a large input: start with enough shuffle partitions to hold it, let AQE merge the rest.
+
+    100 TB in partitions of 128 MB is about 800,000; one shuffle never carries the whole
+    pruned input, so the start is capped where the shuffle's own bookkeeping begins to cost.
+    """
+    partitions = max(200, min(100_000, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 from conftest import at, rows_of
-from tallywork.session import shared_dir
+from tallywork.session import cluster_settings, shared_dir
 from tallywork.sources import (
     SCHEMAS, conform, current_version, parse_timestamps, publish, read_domain, read_mart, row_counts, stage_version,
     unparsed_counts, write_mart,
@@ -73,3 +73,8 @@ def test_shared_dir_is_the_one_the_cluster_names(spark):
     assert shared_dir(_session(**named)) == "hdfs://shared/checkpoints"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_session(**{"spark.master": "yarn"}))
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    counts = [int(cluster_settings(size)["spark.sql.shuffle.partitions"]) for size in (2**30, 2**40, 100 * 2**40)]
+    assert counts == [200, 8192, 100_000]
