@@ -109,7 +109,7 @@ def mart_revenue(f):
 
 @query
 def mart_monthly_revenue(f):
-    return c_months(f)
+    return c_months(f).orderBy("report_month")
 
 
 @query
@@ -129,7 +129,7 @@ def mart_rider_activity(f):
 
 @query
 def mart_marketplace_kpis(f):
-    return r_months(f)
+    return r_months(f).orderBy("report_month")
 
 
 @query

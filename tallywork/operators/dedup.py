@@ -36,11 +36,21 @@ def _columns(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Every row of ``df`` plus aggregates over its group; NULL keys form a group too."""
+def with_group_stats(
+    df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], lookup: DataFrame | None = None
+) -> DataFrame:
+    """Every row of ``df`` plus aggregates over its group; NULL keys form a group too.
+
+    Columns of ``lookup``, a table with one row per key, are joined to the group first, so
+    the rows themselves are shuffled once for both.
+    """
     per_key = df.groupBy(*[F.col(k).alias(f"__on_{k}") for k in keys]).agg(
         *[column.alias(name) for name, column in stats.items()]
     )
+    if lookup is not None:
+        per_key = per_key.join(
+            lookup.withColumnsRenamed({k: f"__on_{k}" for k in keys}), [f"__on_{k}" for k in keys], "left"
+        )
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__on_{k}")) for k in keys])
     return df.join(per_key, same_key, "left").drop(*[f"__on_{k}" for k in keys])
 
@@ -135,9 +145,11 @@ def first_success_rollup(
     return rolled.withColumns(summed).drop("__first", "__rows")
 
 
-def flag_multi(df: DataFrame, keys: Sequence[str], count_col: str, flag_col: str) -> DataFrame:
-    """Number of lines per key on every line, and whether there is more than one."""
-    return with_group_stats(df, keys, {count_col: row_count()}).withColumn(flag_col, F.col(count_col) > 1)
+def flag_multi(
+    df: DataFrame, keys: Sequence[str], count_col: str, flag_col: str, lookup: DataFrame | None = None
+) -> DataFrame:
+    """Number of lines per key on every line, whether there is more than one, and what ``lookup`` says of the key."""
+    return with_group_stats(df, keys, {count_col: row_count()}, lookup).withColumn(flag_col, F.col(count_col) > 1)
 
 
 def flag_primary_completion(

@@ -152,7 +152,10 @@ def intermediate(raw: Tables, **_) -> DataFrame:
 
 
 def marts(inter: DataFrame, raw: Tables) -> dict[str, DataFrame]:
-    return {"mart_revenue": mart_revenue(inter), "mart_monthly_revenue": mart_monthly_revenue(inter)}
+    return {
+        "mart_revenue": mart_revenue(inter),
+        "mart_monthly_revenue": mart_monthly_revenue(inter).orderBy("report_month"),
+    }
 
 
 CHECKS = [

@@ -28,11 +28,22 @@ def freshness_report(domain: ModuleType, raw: Mapping[str, DataFrame], as_of) ->
     ])
 
 
+def stage(domain: ModuleType, raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The staging layer: one lazy DataFrame per model."""
+    return {name: model(raw) for name, model in domain.STAGING.items()}
+
+
 def build(domain: ModuleType, raw: Mapping[str, DataFrame], **options) -> dict[str, DataFrame]:
     """Every model of a domain as lazy DataFrames; nothing runs here."""
     inter = domain.intermediate(raw, **options)
-    staged = {name: stage(raw) for name, stage in domain.STAGING.items()}
-    return {**raw, **staged, domain.INTERMEDIATE: inter, **domain.marts(inter, raw)}
+    return {**raw, **stage(domain, raw), domain.INTERMEDIATE: inter, **domain.marts(inter, raw)}
+
+
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
+    """Make models available to SQL under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in tables]
 
 
 def run_domain(
@@ -52,13 +63,15 @@ def run_domain(
         stale = sorted(row.source for row in fresh if row.status == "error")
         if stale:
             raise DataQualityError(f"stale sources: {', '.join(stale)}")
-    roots = lambda name: f"{out.rstrip('/')}/{name}"
-    inter = stage_version(domain.intermediate(raw, **options), roots(domain.INTERMEDIATE), run)
-    staged = {name: stage(raw) for name, stage in domain.STAGING.items()}
-    written = {name: stage_version(df, roots(name), run) for name, df in domain.marts(inter, raw).items()}
+
+    def root(name: str) -> str:
+        return f"{out.rstrip('/')}/{name}"
+
+    inter = stage_version(domain.intermediate(raw, **options), root(domain.INTERMEDIATE), run)
+    written = {name: stage_version(df, root(name), run) for name, df in domain.marts(inter, raw).items()}
     report = enforce(run_checks(
-        {**raw, **staged, domain.INTERMEDIATE: inter, **written}, domain.CHECKS if checks is None else checks
+        {**raw, **stage(domain, raw), domain.INTERMEDIATE: inter, **written}, domain.CHECKS if checks is None else checks
     ))
     for name in written:
-        publish(spark, roots(name), run)
-    return RunResult(run, {name: read_mart(spark, roots(name)) for name in written}, fresh, report)
+        publish(spark, root(name), run)
+    return RunResult(run, {name: read_mart(spark, root(name)) for name in written}, fresh, report)

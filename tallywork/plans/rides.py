@@ -63,15 +63,15 @@ def stg_payments(raw: Tables) -> DataFrame:
     )
 
 
-def _line_flags(raw: Tables) -> DataFrame:
-    fraud = raw["raw_trips"].select("trip_id", F.col("is_fraud_flagged").alias("is_fraud_trip"))
-    flagged = raw["raw_driver_incentives"].join(fraud, "trip_id", "left")
-    return flagged.withColumn("is_fraud_trip", truthy(F.col("is_fraud_trip")))
-
-
 def stg_driver_incentives(raw: Tables) -> DataFrame:
-    lines = flag_multi(_line_flags(raw), ["trip_id"], "campaign_lines_per_trip", "is_multi_campaign")
-    return lines.withColumn("payout_lag_days", lag_days(F.col("earned_at"), F.col("paid_at")))
+    fraud = raw["raw_trips"].select("trip_id", F.col("is_fraud_flagged").alias("is_fraud_trip"))
+    lines = flag_multi(
+        raw["raw_driver_incentives"], ["trip_id"], "campaign_lines_per_trip", "is_multi_campaign", lookup=fraud
+    )
+    return lines.withColumns({
+        "is_fraud_trip": truthy(F.col("is_fraud_trip")),
+        "payout_lag_days": lag_days(F.col("earned_at"), F.col("paid_at")),
+    })
 
 
 # ---- children at trip grain ---------------------------------------------------------
@@ -268,7 +268,7 @@ def marts(inter: DataFrame, raw: Tables) -> dict[str, DataFrame]:
     return {
         "mart_driver_performance": mart_driver_performance(inter, raw),
         "mart_rider_activity": mart_rider_activity(inter, raw),
-        "mart_marketplace_kpis": mart_marketplace_kpis(inter),
+        "mart_marketplace_kpis": mart_marketplace_kpis(inter).orderBy("report_month"),
     }
 
 

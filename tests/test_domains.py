@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import at, rows_of
 from tallywork.operators import DataQualityError, run_checks
-from tallywork.plans import commerce, learning, metrics, rides, run_domain, telecom
-from tallywork.plans.pipeline import build, freshness_report
+from tallywork.plans import build, commerce, learning, metrics, register_views, rides, run_domain, telecom
+from tallywork.plans.pipeline import freshness_report
 from tallywork.sources import SCHEMAS, read_mart
 
 OBSERVED = {"observation_date": date(2024, 1, 30), "window_days": 1}
@@ -316,3 +316,9 @@ def test_result_does_not_depend_on_partitioning(feeds):
     mixed = {name: df.repartition(5) for name, df in raw.items()}
     expected = rows_of(commerce.mart_monthly_revenue(commerce.int_orders_enriched(raw)))
     assert rows_of(commerce.mart_monthly_revenue(commerce.int_orders_enriched(mixed))) == expected
+
+
+def test_models_are_available_to_sql(shop, spark):
+    names = register_views(build(commerce, shop), "shop_")
+    assert "shop_mart_monthly_revenue" in names and "shop_stg_payments" in names
+    assert spark.sql("SELECT sum(captured_usd) FROM shop_mart_revenue WHERE is_paid").first()[0] == Decimal("508")
