@@ -157,7 +157,7 @@ FEEDS = {
         FROM part""",
     "l_raw_lessons": """
         SELECT (l_orderkey * 8 + l_linenumber) * 4194304
-                 + (l_partkey * 31 + l_suppkey + dayofyear(l_shipdate) * 7919) % 4194304 AS lesson_event_id,
+                 + (l_partkey * 40503 + l_suppkey * 977 + dayofyear(l_shipdate) * 31) % 4194304 AS lesson_event_id,
                l_orderkey AS enrollment_id, l_orderkey AS student_id, l_orderkey % 200 AS course_id,
                l_linenumber AS lesson_number, ['video','reading','quiz','lab'][1 + l_partkey % 4] AS lesson_type,
                if(l_partkey % 19 = 0, 'started', 'completed') AS lesson_status,

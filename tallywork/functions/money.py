@@ -12,7 +12,8 @@ FIXED_RATES: dict[str, Decimal] = {"GBP": Decimal("1.27"), "EUR": Decimal("1.08"
 # Markets that trade in USD and GBP only.
 GBP_ONLY: dict[str, Decimal] = {"GBP": Decimal("1.27")}
 
-_HUNDRED = Decimal("100.0")
+# Quotients of this type keep twelve decimals however wide the sums are that go in.
+_OPERAND = "decimal(26,6)"
 
 
 def fx_rate(currency: Column, rates: Mapping[str, Decimal] = FIXED_RATES) -> Column:
@@ -29,8 +30,13 @@ def to_usd(amount: Column, currency: Column, rates: Mapping[str, Decimal] = FIXE
 
 
 def pct(num: Column, den: Column, digits: int = 2) -> Column:
-    """Percentage, NULL when the denominator is zero or NULL."""
-    return F.round(num * F.lit(_HUNDRED) / F.nullif(den, F.lit(0)), digits)
+    """Percentage of exact numbers, rounded half up; NULL when the denominator is zero or NULL.
+
+    Both sides are brought to a fixed width first: dividing two wide sums would leave six
+    decimals, and rounding those again turns 5.7549998 into 5.76.
+    """
+    hundredfold = (num.cast(_OPERAND) * F.lit(100)).cast(_OPERAND)
+    return F.round(hundredfold / F.nullif(den.cast(_OPERAND), F.lit(0)), digits)
 
 
 def pct0(num: Column, den: Column, digits: int = 2) -> Column:

@@ -337,7 +337,7 @@ class Feeds:
             "*", f"{_after('l_shipdate', mins='l_partkey % 600')} AS started_at"
         )
         return events.selectExpr(*_columns(f"""
-            (l_orderkey * 8 + l_linenumber) * 4194304 + (l_partkey * 31 + l_suppkey + dayofyear(l_shipdate) * 7919) % 4194304 AS lesson_event_id
+            (l_orderkey * 8 + l_linenumber) * 4194304 + (l_partkey * 40503 + l_suppkey * 977 + dayofyear(l_shipdate) * 31) % 4194304 AS lesson_event_id
             l_orderkey AS enrollment_id
             l_orderkey AS student_id
             l_orderkey % 200 AS course_id

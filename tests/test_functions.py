@@ -34,6 +34,11 @@ def test_percentages_guard_zero_and_null(frame):
     assert got[(201, 20000)][0] == Decimal("1.01")  # 1.005 rounds half up, not to even or by binary error
 
 
+def test_percentage_of_wide_sums_is_rounded_once(frame):
+    df = frame("n decimal(36,4), d decimal(36,4)", [(Decimal("109276.1000"), Decimal("1898802.8300"))])
+    assert df.select(pct(F.col("n"), F.col("d"))).first()[0] == Decimal("5.75")  # 5.75499985 exactly
+
+
 def test_month_edges_stay_without_zone(spark, frame):
     df = frame("t timestamp_ntz", [(at("2024-01-31 23:59:59"),), (at("2024-02-01 00:00:00"),)])
     for zone in ("UTC", "America/Sao_Paulo"):
