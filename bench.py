@@ -57,7 +57,7 @@ def main() -> None:
         timings[f"build_{name}"] = round(time.perf_counter() - started, 3)
     scale = os.path.basename(folder).removeprefix("sf")
     print(json.dumps({
-        "metric": "headline_total", "value": round(sum(timings.values()), 3), "unit": "sec", "queries": timings, "sf": scale,
+        "metric": "headline_total", "value": round(sum(timings.values()), 3), "unit": "sec", "queries": timings, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
     }))
 
 

@@ -322,3 +322,27 @@ def test_models_are_available_to_sql(shop, spark):
     names = register_views(build(commerce, shop), "shop_")
     assert "shop_mart_monthly_revenue" in names and "shop_stg_payments" in names
     assert spark.sql("SELECT sum(captured_usd) FROM shop_mart_revenue WHERE is_paid").first()[0] == Decimal("508")
+
+
+def test_hot_order_with_a_third_of_all_attempts(spark):
+    """One order, and the NULL order, hold most attempts; flags and rollup still name one success each."""
+    attempts = spark.range(0, 6000, 1, 8).selectExpr(
+        "id AS payment_id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 5 = 0 THEN NULL ELSE id END AS order_id",
+        "if(id % 4 = 1, 'failed', 'succeeded') AS payment_status", "CAST(id % 7 + 1 AS decimal(12,2)) AS amount",
+        "'USD' AS currency", "CAST(0 AS decimal(12,2)) AS gateway_fee",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, CAST(6000 - id AS int)) AS processed_at",
+    )
+    schema = SCHEMAS["commerce"]["raw_payments"]
+    raw = {"raw_payments": attempts.selectExpr("*", "CAST(NULL AS string) AS payment_method", "processed_at AS attempted_at").select(*schema.fieldNames())}
+    staged = commerce.stg_payments(raw)
+    assert staged.count() == 6000
+    won = staged.where("is_primary_record AND payment_status = 'succeeded'")
+    pairs = [(i, 1 if i % 3 == 0 else None if i % 5 == 0 else i) for i in range(6000) if i % 4 != 1]
+    latest_id = {order: i for i, order in pairs}     # the clock runs backwards, so the highest id succeeded first
+    assert {r.order_id: r.payment_id for r in won.collect()} == latest_id
+    assert won.count() == len(latest_id)
+    hot = [i for i, order in pairs if order == 1]
+    assert {r.succeeded_per_order for r in staged.where("order_id = 1").select("succeeded_per_order").distinct().collect()} == {len(hot)}
+    rolled = {r.order_id: (r.captured_usd, r.succeeded_per_order) for r in commerce.payment_rollup(raw).collect()}
+    assert rolled[1] == (max(hot) % 7 + 1, len(hot))
+    assert sum(n for _, n in rolled.values()) == len(pairs)
