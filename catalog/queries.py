@@ -166,7 +166,7 @@ def mart_completion_summary(f):
 
 @query
 def parse_timestamps_query(f):
-    created = F.when(F.col("order_id") % 499 == 0, "n/a").otherwise(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    created = F.when(F.col("order_id") % 499 == 0, "n/a").otherwise(F.col("created_at").cast("string"))
     delivered = f.commerce_orders().select("order_id", created.alias("created_at"))
     return parse_timestamps(delivered, ["created_at"])
 
@@ -689,7 +689,7 @@ def _usage_stream(f: Feeds) -> DataFrame:
     return events.where("event_type <> 'error'").select(
         F.col("user_id").alias("subscriber_id"), F.col("event_type").alias("usage_type"),
         F.round(F.col("value") / 10).cast("decimal(14,3)").alias("usage_units"),
-        F.col("ts").cast("timestamp").alias("usage_date"), F.col("ts").cast("date").alias("usage_day"),
+        F.col("ts").alias("usage_date"), F.col("ts").cast("date").alias("usage_day"),
     )
 
 

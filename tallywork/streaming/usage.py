@@ -1,4 +1,8 @@
-"""Replayed and late usage records on a stream."""
+"""Replayed and late usage records on a stream.
+
+A watermark needs an event time with a zone, so ``timestamp_ntz`` columns are cast, and daily
+windows start at midnight UTC: run the session in UTC, as ``SETTINGS`` does.
+"""
 
 from __future__ import annotations
 
@@ -16,15 +20,19 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
     return reader.options(**options).parquet(folder)
 
 
+def _zoned(usage: DataFrame, event_time: str) -> DataFrame:
+    return usage.withColumn(event_time, F.col(event_time).cast("timestamp"))
+
+
 def replay_dedup(usage: DataFrame, key: Sequence[str], event_time: str, watermark: str = "1 day") -> DataFrame:
     """First arrival per business key within the watermark; state is dropped behind it."""
-    return usage.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(key))
+    return _zoned(usage, event_time).withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(key))
 
 
 def daily_usage(usage: DataFrame, event_time: str, kind: str, units: str, watermark: str = "1 day") -> DataFrame:
     """Events and units per day and type; a day is final once the watermark has passed it."""
     return (
-        usage.withWatermark(event_time, watermark)
+        _zoned(usage, event_time).withWatermark(event_time, watermark)
         .groupBy(F.window(event_time, "1 day").alias("day"), F.col(kind).alias("usage_type"))
         .agg(F.count(F.lit(1)).alias("events"), F.sum(units).alias("units"))
         .select(F.col("day.start").cast("timestamp_ntz").alias("usage_day"), "usage_type", "events", "units")

@@ -10,7 +10,8 @@ from conftest import at, rows_of
 from tallywork.operators import DataQualityError, run_checks
 from tallywork.plans import build, commerce, learning, metrics, register_views, rides, run_domain, telecom
 from tallywork.plans.pipeline import freshness_report
-from tallywork.sources import SCHEMAS, read_mart
+from tallywork.run import main
+from tallywork.sources import SCHEMAS, current_version, read_mart
 
 OBSERVED = {"observation_date": date(2024, 1, 30), "window_days": 1}
 
@@ -346,3 +347,14 @@ def test_hot_order_with_a_third_of_all_attempts(spark):
     rolled = {r.order_id: (r.captured_usd, r.succeeded_per_order) for r in commerce.payment_rollup(raw).collect()}
     assert rolled[1] == (max(hot) % 7 + 1, len(hot))
     assert sum(n for _, n in rolled.values()) == len(pairs)
+
+
+def test_run_as_a_job(feeds, spark, tmp_path, capsys):
+    for name, df in feeds.raw("learning").items():
+        df.write.parquet(f"{tmp_path}/raw/{name}.parquet")
+    args = ["learning", f"{tmp_path}/raw", f"{tmp_path}/out", "--run", "r1"]
+    assert main(args) == 0
+    assert rows_of(read_mart(spark, f"{tmp_path}/out/mart_completion_summary"), "total_enrollments") == [(1500,)]
+    assert main([*args[:3], "--run", "r2", "--as-of", "2030-01-01 00:00:00"]) == 1
+    assert "stale sources: raw_assessments, raw_lessons" in capsys.readouterr().err
+    assert current_version(spark, f"{tmp_path}/out/mart_completion_summary") == "r1"
