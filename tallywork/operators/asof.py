@@ -14,12 +14,13 @@ BASE_RATE = Decimal("1.0")
 def daily_rates(rates: DataFrame, horizon: DataFrame) -> DataFrame:
     """Dense table (currency, rate_date, rate, quoted_on): one row per currency and calendar day.
 
-    ``rates`` holds at most one quote per currency and day; ``horizon`` is the one-value
+    Of several quotes for one currency and day the highest counts; ``horizon`` is the one-value
     aggregate with the day up to which the latest quotes stay valid.  Its size is currencies
     times days whatever the size of the facts, and the windows below see quotes only.
     """
-    until = F.lead("rate_date").over(W.partitionBy("currency").orderBy("rate_date"))
-    quoted = with_boundary(rates.withColumn("__next", until), "last_day", horizon)
+    until = F.lead("rate_date").over(W.partitionBy("currency").orderBy("rate_date", "rate"))
+    last_of_day = F.col("__next").isNull() | (F.col("__next") > F.col("rate_date"))
+    quoted = with_boundary(rates.withColumn("__next", until).where(last_of_day), "last_day", horizon)
     last_valid = F.coalesce(F.date_sub("__next", 1), F.greatest(F.col("last_day"), F.col("rate_date")))
     return quoted.select(
         "currency",

@@ -276,7 +276,7 @@ _STAGED_KEYS = [
     ("stg_riders", "rider_id"), ("stg_drivers", "driver_id"), ("stg_trips", "trip_id"),
     ("stg_payments", "payment_id"), ("stg_driver_incentives", "incentive_id"),
 ]
-_REFERENCES = [
+_FOREIGN_KEYS = [
     ("stg_trips", "rider_id", "stg_riders"), ("stg_trips", "driver_id", "stg_drivers"),
     ("stg_payments", "trip_id", "stg_trips"), ("stg_driver_incentives", "trip_id", "stg_trips"),
     ("stg_driver_incentives", "driver_id", "stg_drivers"),
@@ -290,8 +290,8 @@ CHECKS = [
     *[check(table, key) for table, key in _STAGED_KEYS for check in (unique, not_null)],
     not_null("stg_trips", "trip_classification"),
     accepted("stg_trips", "trip_classification", TRIP_CLASSES),
-    *[not_null(table, key) for table, key, _ in _REFERENCES],
-    *[relationship(table, key, parent, key) for table, key, parent in _REFERENCES],
+    *[not_null(table, key) for table, key, _ in _FOREIGN_KEYS],
+    *[relationship(table, key, parent, key) for table, key, parent in _FOREIGN_KEYS],
     *[check(table, key) for table, key in [
         ("mart_driver_performance", "driver_id"), ("mart_rider_activity", "rider_id"),
     ] for check in (unique, not_null)],

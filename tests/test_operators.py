@@ -131,6 +131,17 @@ def test_rate_of_the_day_or_the_last_known(frame):
         assert got[i] == ((1, None) if c == "USD" else (expected[1], expected[0]))
 
 
+def test_repeated_quotes_of_a_day_do_not_multiply_facts(frame):
+    quotes = frame("currency string, rate_date date, rate decimal(4,2)", [
+        ("EUR", date(2024, 1, 1), Decimal("1.10")), ("EUR", date(2024, 1, 1), Decimal("1.20")), ("EUR", date(2024, 1, 3), Decimal("1.30")),
+        ("EUR", None, Decimal("9.00")),
+    ])
+    facts = frame("c string, t timestamp_ntz", [("EUR", at("2024-01-02")), ("EUR", at("2024-01-05")), ("EUR", at("2023-12-31"))])
+    assert rows_of(rate_as_of(facts, quotes, "c", "t"), "t", "fx_rate_to_usd") == [
+        (at("2023-12-31"), None), (at("2024-01-02"), Decimal("1.20")), (at("2024-01-05"), Decimal("1.30")),
+    ]
+
+
 # ---- data quality -------------------------------------------------------------------
 
 def _tables(frame):
