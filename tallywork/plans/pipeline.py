@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from types import ModuleType
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.operators._union import union_all
@@ -68,7 +70,11 @@ def run_domain(
         return f"{out.rstrip('/')}/{name}"
 
     inter = stage_version(domain.intermediate(raw, **options), root(domain.INTERMEDIATE), run)
-    written = {name: stage_version(df, root(name), run) for name, df in domain.marts(inter, raw).items()}
+    marts = domain.marts(inter, raw)
+    # The marts only share the written intermediate, so their jobs run side by side.
+    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+        write = inheritable_thread_target(spark)(lambda item: stage_version(item[1], root(item[0]), run))
+        written = dict(zip(marts, pool.map(write, marts.items())))
     report = enforce(run_checks(
         {**raw, **stage(domain, raw), domain.INTERMEDIATE: inter, **written}, domain.CHECKS if checks is None else checks
     ))
