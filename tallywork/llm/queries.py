@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallywork.llm.decontaminate import contamination
 from tallywork.llm.ngram_join import jaccard_components
 from tallywork.llm.shared import ship
 from tallywork.llm.tokens import token_report
+from tallywork.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,3 +32,13 @@ def op4_ngram_jaccard_join(spark, table):
 @_query
 def op10_token_codes(spark, table):
     return token_report(table("documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1).drop("file", "at")
+
+
+@_query
+def op9_toxicity(spark, table):
+    return toxicity(table("documents"), table("labels"), threshold=0.7)
+
+
+@_query
+def op1_benchmark_decontamination(spark, table):
+    return contamination(table("documents"), table("benchmark"), n=4, similarity=0.6)
