@@ -271,3 +271,15 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     label = label.join(label.groupBy("r2").agg(F.min("least").alias("component")), "r2").select("d1", "d2", "n", "component")
     out = table.select("id", "n", "d1", "d2").join(label, ["d1", "d2", "n"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document of the smallest id of each component, all columns; rows without id or words stay.
+
+    Rows that repeat an id and its text count once.
+    """
+    found = written(jaccard_components(docs, k, percent, id, text), "components")
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_m"))
+    repeated = not kept.where("_m > 1").isEmpty()
+    out = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col(id).cast("long") == F.col("_kept"), "left_semi")
+    return (out.dropDuplicates([id, text]) if repeated else out).unionByName(docs.where(F.col(id).isNull()))

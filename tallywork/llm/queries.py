@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.llm.decontaminate import contamination
+from tallywork.llm.mixing import mixed
 from tallywork.llm.ngram_join import jaccard_components
 from tallywork.llm.shared import ship
 from tallywork.llm.tokens import token_report
@@ -42,3 +43,8 @@ def op9_toxicity(spark, table):
 @_query
 def op1_benchmark_decontamination(spark, table):
     return contamination(table("documents"), table("benchmark"), n=4, similarity=0.6)
+
+
+@_query
+def op7_temperature_mixing(spark, table):
+    return mixed(table("documents"), repetition=2.0)

@@ -3,3 +3,35 @@
 from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {}
+
+STATEMENTS["op7_temperature_mixing"] = r"""
+WITH sizes AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens FROM documents
+), sources AS (
+    SELECT source, CAST(sum(tokens) AS BIGINT) AS total FROM sizes GROUP BY source
+), shares AS (
+    SELECT source, total, CAST(total AS DOUBLE) / CAST(sum(total) OVER () AS DOUBLE) AS p FROM sources
+), exponent AS (
+    SELECT CASE WHEN max(p) / min(p) <= 2.0 THEN 0.0 ELSE 1 - ln(2.0) / ln(max(p) / min(p)) END AS x FROM shares WHERE total > 0
+), raw AS (
+    SELECT source, total, CASE WHEN total > 0 THEN pow(p, x) ELSE 0 END AS w FROM shares, exponent
+), plan AS (
+    SELECT source, total, CAST(round(w * (SELECT max(total / w) FROM raw WHERE w > 0)) AS BIGINT) AS budget FROM raw
+), reads AS (
+    SELECT s.doc_id, s.source, s.tokens, p.budget, unnest(range(0, CAST(greatest(1, ceil(p.budget / greatest(p.total, 1))) AS BIGINT))) AS pass
+    FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+), keyed AS (
+    SELECT *, CAST('0x' || substr(md5('mix|' || pass || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+    FROM reads WHERE tokens > 0 OR pass = 0
+), placed AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY pass, key, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM keyed
+), blocks AS (
+    SELECT greatest(1, CAST(ceil(sum(budget) / 1000000.0) AS BIGINT)) AS n FROM plan
+), kept AS (
+    SELECT doc_id, source, tokens, pass, least(n - 1, CAST(CAST(start AS HUGEINT) * n // greatest(budget, 1) AS BIGINT)) AS block
+    FROM placed, blocks WHERE start < budget OR tokens = 0
+)
+SELECT doc_id, source, CAST(pass AS INTEGER) AS pass, block,
+    CAST(row_number() OVER (PARTITION BY block ORDER BY CAST('0x' || substr(md5('mix|block|' || pass || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT), doc_id, source, tokens) AS INTEGER) AS place
+FROM kept
+"""

@@ -18,8 +18,10 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallywork.llm import text as tx
 from tallywork.llm.shared import written
@@ -209,28 +211,31 @@ def fit(labelled: DataFrame, prior: tuple[int, int] | None = None, pairing: floa
 
 # ---- scoring ------------------------------------------------------------------------
 
-def _scorer(model: Model):
+def _scorer(model: Model, text: int, keep: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.dense()
-        keep = np.zeros(2**BITS, dtype=bool)
-        keep[model.buckets] = True
+        marked = np.zeros(2**BITS, dtype=bool)
+        marked[model.buckets] = True
         known = _term_hashes(model.terms)
         for batch in batches:
             out = np.empty(batch.num_rows)
-            for low, high, data, offsets in tx.slices(batch.column(batch.num_columns - 1)):
-                row, bucket = _Batch(data, offsets, *known).buckets(keep)
+            for low, high, data, offsets in tx.slices(pc.fill_null(batch.column(text), "")):
+                row, bucket = _Batch(data, offsets, *known).buckets(marked)
                 logit = model.bias + np.bincount(row, weights[bucket], high - low)
                 out[low:high] = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], [*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(out)], names)
 
     return run
 
 
-def score(docs: DataFrame, model: Model, keys: dict[str, Column], text: str = "text") -> DataFrame:
-    """``keys`` and ``score`` of every row; a NULL text scores as an empty one, by the bias alone."""
-    rows = docs.select(*[c.alias(name) for name, c in keys.items()], F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_scorer(model), f"{fields}, score double")
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """Every row's columns, or those of ``keep``, and its score as column ``name``, which must be new.
+
+    A NULL text scores as an empty one, by the bias alone.
+    """
+    keep = docs.columns if keep is None else keep
+    schema = StructType([*(docs.schema[c] for c in keep), StructField(name, DoubleType())])
+    return docs.mapInArrow(_scorer(model, docs.columns.index(text), [docs.columns.index(c) for c in keep], schema.names), schema)
 
 
 def held_out(id: str = "doc_id") -> Column:
@@ -258,5 +263,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id: str
     Only the text is an input of the score.  Repeated rows come back as often; other columns take no part.
     """
     model = fit_to_labels(docs, labels, id=id, text=text, **options)
-    scored = score(docs, model, {"doc_id": F.col(id), "held_out": held_out(id)}, text)
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows = docs.select(F.col(id).alias("doc_id"), held_out(id).alias("held_out"), F.col(text).alias("text"))
+    return score(rows, model, keep=["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that score below ``threshold``, all columns."""
+    model = fit_to_labels(docs, labels, id=id, text=text, **options)
+    return score(docs, model, text, name="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
