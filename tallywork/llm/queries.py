@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywork.llm.chat import rotate
 from tallywork.llm.decontaminate import contamination
 from tallywork.llm.mixing import mixed
 from tallywork.llm.ngram_join import jaccard_components
+from tallywork.llm.secret_scan import findings, scan
 from tallywork.llm.shared import ship
 from tallywork.llm.tokens import token_report
 from tallywork.llm.toxicity import toxicity
+from tallywork.llm.url_lists import host, judge, keys
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,3 +52,42 @@ def op1_benchmark_decontamination(spark, table):
 @_query
 def op7_temperature_mixing(spark, table):
     return mixed(table("documents"), repetition=2.0)
+
+
+@_query
+def op5_perspective_rotation(spark, table):
+    return rotate(table("conversations"))
+
+
+def _number(*parts: Column | str) -> Column:
+    """32 bits of an MD5 over the parts, for attributes that the tables lack."""
+    text = F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def _day(*parts: Column | str) -> Column:
+    return F.date_add(F.lit("2024-01-01").cast("date"), (_number(*parts) % 366).cast("int"))
+
+
+def _action(*parts: Column | str) -> Column:
+    return F.element_at(F.array(F.lit("block"), F.lit("allow"), F.lit("drop"), F.lit(None).cast("string")), (_number(*parts) % 4 + 1).cast("int"))
+
+
+@_query
+def op6_temporal_list_join(spark, table):
+    """The pages have neither fetch days nor lists, so both are derived from them: three dated entries for the site of each
+    host, and one for each page's own address."""
+    pages = table("pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", _day("fetch", F.col("page_id")))
+    hosts = pages.select(host(F.col("url")).alias("host")).where("host <> ''").distinct().withColumn("i", F.explode(F.array(*map(F.lit, range(3)))))
+    sites = hosts.select(
+        F.regexp_replace("host", r"^(www|m|blog)\.", "").alias("key"), _action("action", F.col("host"), F.col("i")).alias("action"), _day("day", F.col("host"), F.col("i")).alias("listed_on"),
+    )
+    own = pages.select(F.get(keys(F.col("url")), 0).alias("key"), _action("page", F.col("page_id")).alias("action"), _day("listed", F.col("page_id")).alias("listed_on"))
+    return judge(captures, sites.unionByName(own))
+
+
+@_query
+def op8_secret_ledger(spark, table):
+    docs = table("documents")
+    return findings(docs, scan(docs))

@@ -35,3 +35,103 @@ SELECT doc_id, source, CAST(pass AS INTEGER) AS pass, block,
     CAST(row_number() OVER (PARTITION BY block ORDER BY CAST('0x' || substr(md5('mix|block|' || pass || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT), doc_id, source, tokens) AS INTEGER) AS place
 FROM kept
 """
+
+STATEMENTS["op5_perspective_rotation"] = """
+WITH said AS (
+    SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL AND role IS NOT NULL
+), speakers AS (
+    SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
+), lines AS (
+    SELECT s.*, p.perspective, coalesce(CAST(floor(turn / 256.0) AS BIGINT), -1) AS part,
+        '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head,
+        text || '<|im_end|>' || chr(10) AS body, role = perspective AS learned
+    FROM said s JOIN speakers p USING (conv_id)
+), placed AS (
+    SELECT *, coalesce(sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, perspective, part ORDER BY turn NULLS LAST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM lines
+)
+SELECT conv_id, perspective, part, count(*) AS n_turns, CAST(coalesce(sum(length(body)) FILTER (WHERE learned), 0) AS BIGINT) AS n_masked,
+    string_agg(head || body, '' ORDER BY turn NULLS LAST, role, text) AS rendered,
+    coalesce(string_agg(CAST(before + length(head) AS BIGINT) || ':' || CAST(before + length(head) + length(body) AS BIGINT), ',' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE learned), '') AS mask
+FROM placed GROUP BY conv_id, perspective, part
+"""
+
+
+def _number(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5({' || chr(124) || '.join(parts)}), 1, 8) AS BIGINT)"
+
+
+def _day(*parts: str) -> str:
+    return f"DATE '2024-01-01' + CAST({_number(*parts)} % 366 AS INTEGER)"
+
+
+def _action(*parts: str) -> str:
+    return f"(['block', 'allow', 'drop', NULL])[{_number(*parts)} % 4 + 1]"
+
+
+_HOST = r"regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', '')"
+_PATH = r"regexp_replace(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')"
+
+STATEMENTS["op6_temporal_list_join"] = rf"""
+WITH captures AS (
+    SELECT page_id, {_HOST} AS host, {_PATH} AS path, {_day("'fetch'", "page_id")} AS fetched_on, row_number() OVER () AS n FROM pages
+), entries AS (
+    SELECT regexp_replace(host, '^(www|m|blog)\.', '') AS key, {_action("'action'", "host", "i")} AS action, {_day("'day'", "host", "i")} AS listed_on
+    FROM (SELECT DISTINCT host FROM captures WHERE host <> '') h, (SELECT unnest(range(3)) AS i) t
+    UNION ALL
+    SELECT host || path, {_action("'page'", "page_id")}, {_day("'listed'", "page_id")} FROM captures WHERE host <> ''
+), days AS (
+    SELECT key, listed_on, arg_min(action, list_position(['block', 'allow', 'drop'], action)) AS action FROM entries WHERE action IS NOT NULL GROUP BY key, listed_on
+), spans AS (
+    SELECT key, action, listed_on AS valid_from, lead(listed_on) OVER (PARTITION BY key ORDER BY listed_on) AS valid_to
+    FROM (SELECT *, lag(action) OVER (PARTITION BY key ORDER BY listed_on) AS before FROM days) d WHERE before IS NULL OR before <> action
+), asked AS (
+    SELECT n, fetched_on, unnest(every) AS key, generate_subscripts(every, 1) AS place FROM (
+        SELECT n, fetched_on, CASE WHEN path = '' THEN domains ELSE list_prepend(host || path, domains) END AS every FROM (
+            SELECT *, [array_to_string(string_split(host, '.')[i:], '.') FOR i IN range(1, greatest(1, len(string_split(host, '.')) - 1) + 1)] AS domains FROM captures WHERE host <> ''
+        ) x
+    ) y
+), hits AS (
+    SELECT n, arg_min({{'action': action, 'key': key, 'since': valid_from}}, place) AS hit
+    FROM asked JOIN spans USING (key) WHERE valid_from <= fetched_on AND (valid_to IS NULL OR fetched_on < valid_to) AND action <> 'drop' GROUP BY n
+)
+SELECT page_id, host, fetched_on, coalesce(hit.action, 'none') AS verdict, hit.key AS list_key, hit.since AS active_since
+FROM captures LEFT JOIN hits USING (n)
+"""
+
+_KINDS = {
+    "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    "access": (r"AKIA[A-Z0-9]+", 0, 18),
+    "hex": (r"[0-9a-f]+", 0, 16),
+    "github": (r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    "pem": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
+}
+
+
+def _kind(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind, s AS start, s + length(m) AS stop FROM (
+        SELECT doc_id, matches[i] AS m, vals[i] AS v, CAST(list_sum([length(g) FOR g IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN matches[1:i-1]]), 0) AS BIGINT) AS s
+        FROM (
+            SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM (
+                SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS matches, regexp_extract_all(text, '{pattern}', {group}) AS vals, regexp_split_to_array(text, '{pattern}') AS gaps
+                FROM docs WHERE regexp_matches(text, '{pattern}')
+            ) a
+        ) b
+    ) c WHERE length(v) >= {least}"""
+
+
+STATEMENTS["op8_secret_ledger"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_kind(i, k, *v) for i, (k, v) in enumerate(_KINDS.items()))}),
+listed AS (
+    SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS a, count(*) FILTER (WHERE rank = 1) AS b, count(*) FILTER (WHERE rank = 2) AS c,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS every
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM docs LEFT JOIN listed USING (doc_id)
+"""
