@@ -1,0 +1,129 @@
+"""Cross-entropy difference between a target and a background language model.
+
+Both models are interpolated n-gram models (order 3) of one vocabulary, the bytes of UTF-8 and an end mark, with the same
+smoothing: at every order a context of ``N`` occurrences and ``T`` distinct successors keeps ``N / (N + T)`` for what it has
+seen and gives the rest to the next lower order, down to the uniform distribution.  The target model counts the documents a
+label marks, the background model all documents.  A document's score is the mean over its symbols of target loss less
+background loss, in nats: the lower, the more it reads like the target.
+
+The counts are sums over the whole corpus, gathered per task and n-gram.  A model has at most 256 ** 3 n-grams whatever the
+size of the corpus, which bounds what the driver and the executors hold.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallywork.llm import text as tx
+from tallywork.llm.shared import written
+
+#: UTF-8 has no such byte; it ends a text.  Two NUL bytes stand before it.
+END = 255
+_SYMBOLS = 256
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram ending at each symbol of each row, as a number, and the bounds of the rows."""
+    n = len(offsets) - 1
+    shift = 2 + 3 * np.arange(n)
+    padded = np.zeros(len(data) + 3 * n, dtype=np.uint8)
+    padded[np.arange(len(data)) + np.repeat(shift, np.diff(offsets))] = data
+    padded[offsets[1:] + shift] = END
+    wide = padded.astype(np.int32)
+    every = (wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:]
+    # The n-grams that end in the two leading NULs of a later row are none.
+    keep = np.ones(len(every), dtype=bool)
+    later = offsets[1:-1] + shift[1:] - 2
+    keep[later - 2], keep[later - 1] = False, False
+    return every[keep], offsets + np.arange(n + 1)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(_SYMBOLS**3, dtype=np.int64)
+    for batch in batches:
+        for _, _, data, offsets in tx.slices(batch.column(0)):
+            np.add.at(counts, _grams(data, offsets)[0], 1)
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["gram", "n"])
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """``gram, n`` over a one-column table of texts."""
+    return texts.mapInArrow(_counted, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+@dataclass(frozen=True)
+class Model:
+    """Counts of the n-grams seen, and losses by back-off for those that were not."""
+
+    grams: np.ndarray
+    loss: np.ndarray
+    backoff: np.ndarray
+    lower: np.ndarray
+
+    def table(self) -> np.ndarray:
+        """Loss of every n-gram: seen ones their own, others the context's back-off and the shorter n-gram's loss."""
+        out = (self.backoff[:, None] + np.tile(self.lower.reshape(_SYMBOLS, _SYMBOLS), (_SYMBOLS, 1))).astype(np.float32).ravel()
+        out[self.grams] = self.loss
+        return out
+
+
+def estimate(grams: np.ndarray, n: np.ndarray) -> Model:
+    """The model of counted n-grams; without any it is uniform."""
+    order = np.argsort(grams)
+    grams, n = grams[order].astype(np.int64), n[order].astype(np.float64)
+    symbols = np.bincount(grams % _SYMBOLS, n, _SYMBOLS)
+    one = (symbols + np.count_nonzero(symbols) / _SYMBOLS) / max(1.0, symbols.sum() + np.count_nonzero(symbols)) if len(n) else np.full(_SYMBOLS, 1 / _SYMBOLS)
+    pairs, at = np.unique(grams % _SYMBOLS**2, return_inverse=True)
+    pair_n = np.bincount(at, n, len(pairs))
+    total, kinds = np.bincount(pairs // _SYMBOLS, pair_n, _SYMBOLS), np.bincount(pairs // _SYMBOLS, minlength=_SYMBOLS)
+    weight = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
+    two = weight[:, None] * one[None, :]
+    two.reshape(-1)[pairs] += pair_n / (total + kinds)[pairs // _SYMBOLS]
+    context = grams // _SYMBOLS
+    total, kinds = np.bincount(context, n, _SYMBOLS**2), np.bincount(context, minlength=_SYMBOLS**2)
+    weight = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
+    seen = n / (total + kinds)[context] + weight[context] * two.reshape(-1)[grams % _SYMBOLS**2]
+    return Model(grams, -np.log(seen), -np.log(weight), -np.log(two).reshape(-1))
+
+
+def _scored(target: Model, background: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [target.table(), background.table()]
+        for batch in batches:
+            for low, high, data, offsets in tx.slices(batch.column(1)):
+                grams, bounds = _grams(data, offsets)
+                n = np.diff(bounds)
+                loss = [np.add.reduceat(t[grams], bounds[:-1], dtype=np.float64) / n for t in tables]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, high - low), pa.array(n), pa.array(loss[0]), pa.array(loss[1]), pa.array(loss[0] - loss[1])],
+                    ["doc_id", "n_symbols", "target_loss", "background_loss", "score"],
+                )
+
+    return run
+
+
+def _gathered(counts: DataFrame, name: str) -> Model:
+    """The model on the driver; it holds 256 ** 3 n-grams at most."""
+    table = written(counts, name).toPandas()
+    return estimate(table["gram"].to_numpy(), table["n"].to_numpy())
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_symbols, target_loss, background_loss, score`` of every document.
+
+    ``target`` names the target's documents by ``id``; others, NULL and repeated ids in it make no difference.  A NULL text is an
+    empty one and has the end mark alone.  An empty target is uniform over the vocabulary.  Rows that repeat an id are each
+    counted and scored; other columns take no part.
+    """
+    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    wanted = target.select(F.col(id).cast("long").alias("doc_id")).distinct()
+    background = _gathered(count_grams(texts.select("t")), "background")
+    chosen = _gathered(count_grams(texts.join(wanted, "doc_id", "left_semi").select("t")), "target")
+    return texts.mapInArrow(_scored(chosen, background), "doc_id long, n_symbols long, target_loss double, background_loss double, score double")

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallywork.llm.chat import rotate
 from tallywork.llm.decontaminate import contamination
+from tallywork.llm.lm_scores import cross_entropy_difference
 from tallywork.llm.mixing import mixed
+from tallywork.llm.multi_index import nearest
 from tallywork.llm.ngram_join import jaccard_components
 from tallywork.llm.secret_scan import findings, scan
 from tallywork.llm.shared import ship
@@ -91,3 +93,13 @@ def op6_temporal_list_join(spark, table):
 def op8_secret_ledger(spark, table):
     docs = table("documents")
     return findings(docs, scan(docs))
+
+
+@_query
+def op2_inverted_multi_index(spark, table):
+    return nearest(table("embeddings"), lambda i: i % 100 == 0, k=10)
+
+
+@_query
+def op3_cross_entropy_difference(spark, table):
+    return cross_entropy_difference(table("documents"), table("labels").where("quality = 1"))
