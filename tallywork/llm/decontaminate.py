@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm import text as tx
-from tallywork.llm.shared import written
+from tallywork.llm.shared import fresh, written
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Seeds of an item: the rarer half of its distinct n-grams, but this many at least where it has them.
@@ -258,5 +258,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 4, similarity:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **options) -> DataFrame:
     """The documents that hold no copy of a test item, all columns; a row without id is kept."""
-    found = written(contamination(docs, benchmark, id=id, **options).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
-    return docs.join(found, F.col(id).cast("long") == F.col("_found"), "left_anti")
+    name = fresh(docs, "_found")
+    found = written(contamination(docs, benchmark, id=id, **options).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(found, F.col(id).cast("long") == F.col(name), "left_anti")

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm.shared import written
+from tallywork.llm.shared import fresh, written
 
 #: Words: what lies between ASCII white space.  They stand for tokens in shares and budgets.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -149,12 +149,13 @@ def remixed(docs: DataFrame, entropy: float | None = None, repetition: float | N
     sizes = written(sized(docs, id, source, text), "sizes")
     sources = written(source_sizes(sizes), "sources")
     plan = budgets(sources, find_exponent(sources, entropy, repetition), budget_tokens)
-    ends = permuted(sizes, plan, seed).where("tokens > 0").groupBy("source").agg(F.max(F.struct("pass", "key")).alias("_end"))
-    ends = written(ends.select(F.col("source").alias("_source"), "_end"), "ends")
+    ends = permuted(sizes, plan, seed).where("tokens > 0").groupBy("source").agg(F.max(F.struct("pass", "key")).alias("end"))
+    name, end, turn = (fresh(docs, x) for x in ("_source", "_end", "_pass"))
+    ends = written(ends.select(F.col("source").alias(name), F.col("end").alias(end)), "ends")
     empty = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)) == 0
-    key = _hash(seed, F.col("_pass").cast("string"), F.coalesce(F.col(id).cast("string"), F.lit("")))
-    read = docs.join(ends, F.col(source).eqNullSafe(F.col("_source")), "left")
+    key = _hash(seed, F.col(turn).cast("string"), F.coalesce(F.col(id).cast("string"), F.lit("")))
+    read = docs.join(ends, F.col(source).eqNullSafe(F.col(name)), "left")
     # Passes but the last are whole, so a pass keeps what its key allows; documents without tokens are read once.
-    last = F.when(empty, 0).otherwise(F.col("_end.pass"))
-    read = read.withColumn("_pass", F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0), last))))
-    return read.where(empty | (F.col("_pass") < F.col("_end.pass")) | (key <= F.col("_end.key"))).select(*[docs[c] for c in docs.columns])
+    last = F.when(empty, 0).otherwise(F.col(end)["pass"])
+    read = read.withColumn(turn, F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0), last))))
+    return read.where(empty | (F.col(turn) < F.col(end)["pass"]) | (key <= F.col(end)["key"])).select(*[docs[c] for c in docs.columns])

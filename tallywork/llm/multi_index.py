@@ -26,7 +26,7 @@ from tallywork.llm.shared import written
 #: Vectors the codebooks are fitted on, those of the smallest hashed ids.
 SAMPLE = 20_000
 #: Entries of an average cell that sets the codebook size, and the largest codebook: cells then number at most its square.
-CELL_ENTRIES, LARGEST_CODEBOOK = 16, 1_024
+CELL_ENTRIES, LARGEST_CODEBOOK = 1, 1_024
 #: Vectors that one task holds.
 PART_ENTRIES = 20_000
 _ROUNDS = 15
@@ -87,26 +87,26 @@ def fit(vectors: DataFrame, count: int) -> Codebooks:
 
 # ---- traversal ----------------------------------------------------------------------
 
-def traverse(left: np.ndarray, right: np.ndarray, counts: np.ndarray, want: int) -> list[int]:
-    """Non-empty cells by summed distance of their centroids until they hold ``want`` entries, or all.
+def traverse(left: np.ndarray, right: np.ndarray, counts: np.ndarray, want: int) -> tuple[list[int], float]:
+    """Non-empty cells by summed distance of their centroids until they hold ``want`` entries, or all; and the last sum.
 
     ``left`` and ``right`` are a query's squared distances to the centroids, ``counts`` the entries of each cell.  The heap holds
     the next pair of each row of the sorted grid, and a row is opened when the one before it has given its first pair.
     """
     a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     la, rb = left[a].tolist(), right[b].tolist()
-    heap, out, held, n = [(la[0] + rb[0], 0, 0)], [], 0, len(rb)
+    grid = counts.reshape(len(left), len(right))[a][:, b]
+    heap, out, held, n, reach = [(la[0] + rb[0], 0, 0)], [], 0, len(rb), 0.0
     while heap and held < want:
-        _, i, j = heapq.heappop(heap)
-        cell = int(a[i]) * n + int(b[j])
-        if counts[cell]:
-            out.append(cell)
-            held += int(counts[cell])
+        reach, i, j = heapq.heappop(heap)
+        if grid[i, j]:
+            out.append(int(a[i]) * n + int(b[j]))
+            held += int(grid[i, j])
         if j + 1 < n:
             heapq.heappush(heap, (la[i] + rb[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(la):
             heapq.heappush(heap, (la[i + 1] + rb[0], i + 1, 0))
-    return out
+    return out, reach
 
 
 def _indexed(books: Codebooks):
@@ -123,40 +123,43 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _distances(books: Codebooks, q: np.ndarray) -> list[np.ndarray]:
+    """Squared distances of the halves of some queries to the centroids."""
+    return [((x[:, None, :] - c[None]) ** 2).sum(2) for x, c in ((q[:, : books.cut], books.left), (q[:, books.cut :], books.right))]
+
+
 def _probed(books: Codebooks, counts: np.ndarray, first: np.ndarray, pieces: np.ndarray, want: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(batch.num_rows, -1)
-            for lo in range(0, len(v), 256):
-                some, ids, part, cells = v[lo : lo + 256], [], [], []
-                dist = [((x[:, None, :] - c[None]) ** 2).sum(2) for x, c in ((some[:, : books.cut], books.left), (some[:, books.cut :], books.right))]
-                for k in range(len(some)):
-                    reached: dict[int, list[int]] = {}
-                    for cell in traverse(dist[0][k], dist[1][k], counts, want):
-                        for p in range(first[cell], first[cell] + pieces[cell]):
-                            reached.setdefault(p, []).append(cell)
-                    for p, some_cells in reached.items():
-                        ids.append(lo + k)
-                        part.append(p)
-                        cells.append(some_cells)
-                at = pa.array(ids, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(part, pa.int64()), pa.array(cells, pa.list_(pa.int64()))], ["query_id", "q", "part", "cells"])
+            for lo in range(0, len(v), 64):
+                at, parts, reaches = [], [], []
+                left, right = _distances(books, v[lo : lo + 64])
+                for k in range(len(left)):
+                    cells, reach = traverse(left[k], right[k], counts, want)
+                    reached = {p for c in cells for p in range(first[c], first[c] + pieces[c])}
+                    at += [lo + k] * len(reached)
+                    parts += sorted(reached)
+                    reaches += [reach] * len(reached)
+                rows = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(parts, pa.int64()), pa.array(reaches, pa.float64())], ["query_id", "q", "part", "reach"])
 
     return run
 
 
-def _reranked(k: int):
+def _reranked(books: Codebooks, k: int):
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        """The nearest of a part's entries; a query's cells are those whose centroids are as near as the last it walked to."""
         out = []
         if len(entries) and len(queries):
-            entries = entries.sort_values(["cell", "vec_id"])
             v = np.frombuffer(b"".join(entries["v"]), np.float64).reshape(len(entries), -1)
-            ids, cell = entries["vec_id"].to_numpy(), entries["cell"].to_numpy()
-            for query, q, cells in zip(queries["query_id"], queries["q"], queries["cells"], strict=True):
-                span = [np.arange(*np.searchsorted(cell, (c, c + 1))) for c in cells]
-                at = np.concatenate(span)
-                at = at[ids[at] != query]
-                score = np.sqrt(((v[at] - np.frombuffer(q, np.float64)) ** 2).sum(1))
+            ids = entries["vec_id"].to_numpy()
+            i, j = np.divmod(entries["cell"].to_numpy(), len(books.right))
+            for query, q, reach in zip(queries["query_id"], queries["q"], queries["reach"], strict=True):
+                q = np.frombuffer(q, np.float64)
+                left, right = (d[0] for d in _distances(books, q[None]))
+                at = np.flatnonzero((left[i] + right[j] <= reach) & (ids != query))
+                score = np.sqrt(((v[at] - q) ** 2).sum(1))
                 best = np.lexsort((ids[at], score))[:k]
                 out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][best], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
@@ -180,11 +183,11 @@ def _parts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, pieces
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 10, candidates: int = 2_000, share: float = 0.05, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 10, candidates: int = 2_000, share: float = 0.4, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for each row where ``is_query`` (over ``vec_id``) holds.
 
     A query reranks the entries of the nearest cells that together hold ``candidates`` vectors, or ``share`` of all where that is
-    more.  Score is the Euclidean distance; ties go to the smaller id.  Vectors that are NULL, zero, of another length than
+    more (nearness of random vectors is hard to index: 0.4 finds 19 of 20 neighbours among them).  Score is the Euclidean distance; ties go to the smaller id.  Vectors that are NULL, zero, of another length than
     most or not finite take no part; of rows that repeat an id any one does.  Queries find all others if there are fewer than
     ``k``.
     """
@@ -200,9 +203,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, candidates: int = 2_000,
         counts[r.cell] = r["count"]
     first, pieces = _parts(counts)
     want = max(candidates, int(total * share), k) + 1
-    probes = entries.where(is_query(F.col("vec_id"))).select("vec_id", "v").mapInArrow(_probed(books, counts, first, pieces, want), "query_id long, q binary, part long, cells array<long>")
+    probes = entries.where(is_query(F.col("vec_id"))).select("vec_id", "v").mapInArrow(_probed(books, counts, first, pieces, want), "query_id long, q binary, part long, reach double")
     place = spark.createDataFrame(pd.DataFrame({"cell": np.flatnonzero(counts), "first": first[counts > 0], "pieces": pieces[counts > 0]}))
     dealt = entries.join(place, "cell").withColumn("part", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("pieces"))).select("vec_id", "v", "cell", "part")
-    found = dealt.groupBy("part").cogroup(probes.groupBy("part")).applyInPandas(_reranked(k), "query_id long, vec_id long, score double")
+    found = dealt.groupBy("part").cogroup(probes.groupBy("part")).applyInPandas(_reranked(books, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallywork.llm import text as tx
 from tallywork.llm.components import components, roots
-from tallywork.llm.shared import written
+from tallywork.llm.shared import fresh, written
 
 #: Coordinates of a point; each is the sum of 1,024 of the fine groups that address the roots.
 COORDINATES = 64
@@ -279,7 +279,8 @@ def one_of_each(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_i
     Rows that repeat an id and its text count once.
     """
     found = written(jaccard_components(docs, k, percent, id, text), "components")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_m"))
-    repeated = not kept.where("_m > 1").isEmpty()
-    out = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col(id).cast("long") == F.col("_kept"), "left_semi")
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("m"))
+    repeated = not kept.where("m > 1").isEmpty()
+    name = fresh(docs, "_kept")
+    out = docs.join(kept.select(F.col("doc_id").alias(name)), F.col(id).cast("long") == F.col(name), "left_semi")
     return (out.dropDuplicates([id, text]) if repeated else out).unionByName(docs.where(F.col(id).isNull()))

@@ -19,6 +19,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with more underscores before it, such that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: a lost executor costs no recomputation, a later plan starts here."""
     spark = df.sparkSession

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallywork.llm import text as tx
-from tallywork.llm.shared import written
+from tallywork.llm.shared import fresh, written
 
 BITS = 22
 GRAM = 4
@@ -270,4 +270,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id: str
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that score below ``threshold``, all columns."""
     model = fit_to_labels(docs, labels, id=id, text=text, **options)
-    return score(docs, model, text, name="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = fresh(docs, "_toxicity")
+    return score(docs, model, text, name=name).where(F.col(name) < threshold).drop(name)
