@@ -245,6 +245,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     ``component_id`` is the smallest id reachable over links.  Every row comes back, judged by its own text, also where an id
     repeats; rows without id link with nothing and get a NULL component.  Other columns take no part.  Sets are compared by 64-bit hashes of their shingles.
     """
+    if not 70 <= percent <= 100:
+        raise ValueError("neighbouring bands hold all linked sizes from 70 percent up")
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     made = rows.mapInArrow(_points(k, percent), "id long, n long, d1 long, d2 long, point binary, roots array<long>")
     table = written(made.withColumn("row", F.monotonically_increasing_id()), "points")

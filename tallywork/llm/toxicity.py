@@ -29,10 +29,10 @@ from tallywork.llm.shared import fresh, written
 BITS = 22
 GRAM = 4
 #: Labelled rows of each class the model is fitted on, those of the smallest hashed ids.
-SAMPLE = 10_000
+SAMPLE = 4_000
 #: Features the model keeps at most, those whose presence tells most about the label.  A feature is in so many rows at least,
 #: and its log-likelihood ratio against the label is one that chance gives to one word in 10,000.
-FEATURES, MIN_ROWS, EVIDENCE = 20_000, 4, 15.0
+FEATURES, MIN_ROWS, EVIDENCE = 5_000, 4, 15.0
 
 #: Terms swapped for each other, by kind.
 IDENTITY_TERMS = (
@@ -147,7 +147,8 @@ def _example_rows(chosen: np.ndarray, terms: tuple[tuple[str, ...], ...]):
                     r, b = some.buckets(keep, swap)
                     if swap:  # rows without identity terms have no second version
                         r, b = r[has[r]], b[has[r]]
-                    lists.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(r, np.arange(some.n + 1)), pa.int32()), pa.array(b, pa.int32())))
+                    at, raw = np.searchsorted(r, np.arange(some.n + 1)), b.astype("<i4").tobytes()
+                    lists.append(pa.array([raw[4 * i : 4 * j] for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *lists, pa.array(has)], ["label", "words", "swapped", "named"])
 
     return run
@@ -158,16 +159,16 @@ def _fit(examples: list, chosen: np.ndarray, prior: tuple[int, int], pairing: fl
     label = np.array([e.label for e in examples], dtype=float)
     weight = np.where(label == 1, prior[1] / max(1, label.sum()), prior[0] / max(1, (1 - label).sum()))
     weight /= weight.sum()
-    rank = np.full(2**BITS, -1)
+    rank = np.full(2**BITS, -1, dtype=np.int32)
     rank[chosen] = np.arange(len(chosen))
-    flat = lambda lists: rank[np.fromiter((b for x in lists for b in x), np.int64, sum(map(len, lists)))]
-    owner = lambda lists: np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    flat = lambda lists: rank[np.frombuffer(b"".join(lists), "<i4")]
+    owner = lambda lists: np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) // 4 for x in lists])
     words = [e.words for e in examples]
     col, row, n = flat(words), owner(words), len(examples)
     named = [e for e in examples if e.named]
     dcol = np.r_[flat([e.words for e in named]), flat([e.swapped for e in named])]
     drow = np.r_[owner([e.words for e in named]), owner([e.swapped for e in named])]
-    sign = np.r_[np.ones(sum(len(e.words) for e in named)), -np.ones(sum(len(e.swapped) for e in named))]
+    sign = np.r_[np.ones(sum(len(e.words) // 4 for e in named)), -np.ones(sum(len(e.swapped) // 4 for e in named))]
     d = len(chosen)
     bias = float(np.log((prior[1] + 1) / (prior[0] + 1)))
     moment, second = np.zeros(d + 1), np.zeros(d + 1)
@@ -204,8 +205,8 @@ def fit(labelled: DataFrame, prior: tuple[int, int] | None = None, pairing: floa
     best = counts.where(present >= MIN_ROWS).withColumn("ratio", ratio).where(F.col("ratio") >= EVIDENCE).orderBy(F.desc("ratio"), "bucket").limit(FEATURES).select("bucket").collect()
     named = (_term_hashes(terms)[0] >> np.uint64(64 - BITS)).astype(np.int64)
     chosen = np.unique(np.r_[np.array([r.bucket for r in best], dtype=np.int64), named])
-    examples = held.mapInArrow(_example_rows(chosen, terms), "label int, words array<int>, swapped array<int>, named boolean").collect()
-    examples.sort(key=lambda e: (e.label, e.words))
+    examples = held.mapInArrow(_example_rows(chosen, terms), "label int, words binary, swapped binary, named boolean").collect()
+    examples.sort(key=lambda e: (e.label, bytes(e.words)))
     return replace(_fit(examples, chosen, prior, pairing, ridge, rounds), terms=terms)
 
 
