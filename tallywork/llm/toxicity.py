@@ -186,7 +186,7 @@ def _fit(examples: list, chosen: np.ndarray, prior: tuple[int, int], pairing: fl
     return Model(float(theta[-1]), chosen, theta[:-1])
 
 
-def fit(labelled: DataFrame, prior: tuple[int, int] | None = None, pairing: float = 1.0, ridge: float = 1e-4, rounds: int = 300, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Model:
+def fit(labelled: DataFrame, prior: tuple[int, int] | None = None, pairing: float = 1.0, ridge: float = 1e-5, rounds: int = 300, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Model:
     """The model of a bounded table of ``text, label`` rows, label 0 or 1, weighted to the ``prior`` counts of either label.
 
     Without rows of both labels the score is the smoothed share of label 1.
