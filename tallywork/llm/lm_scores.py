@@ -124,6 +124,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, id: str = "doc_
     """
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     wanted = target.select(F.col(id).cast("long").alias("doc_id")).distinct()
+    # The ids grow with the corpus, so the join is one that grows with them at every size.
     background = _gathered(count_grams(texts.select("t")), "background")
-    chosen = _gathered(count_grams(texts.join(wanted, "doc_id", "left_semi").select("t")), "target")
+    chosen = _gathered(count_grams(texts.join(wanted.hint("merge"), "doc_id", "left_semi").select("t")), "target")
     return texts.mapInArrow(_scored(chosen, background), "doc_id long, n_symbols long, target_loss double, background_loss double, score double")
