@@ -9,7 +9,7 @@ from tallywork.llm.shared import written
 
 
 def roots(parents: DataFrame) -> DataFrame:
-    """Root of every ``id`` of a forest given as one ``(id, parent)`` row each, ``parent < id``; roots have no row.
+    """Root of every ``id`` of a forest given as one ``(id, parent)`` row each, without cycles; roots have no row.
 
     Pointer jumping: each round halves the depth, so its number is logarithmic.
     """

@@ -11,8 +11,11 @@ meets below a common root.  The roots deal the work over the cluster; below a ro
 coordinates finds the pairs whose bound reaches the threshold, and those are verified on the shingle sets.
 
 Documents with equal sets are one class, joined in linear time.  Pairs of one component need no look: a first pass verifies one
-link per document, to the smallest document under its most frequent root, and the trees then only join across components.
-So a group of near copies costs as much as its size, and no link between components is lost.
+link per document, to the most central document under its most frequent root, and the trees then only join across
+components.  So a group of near copies costs as much as its size, and no link between components is lost.
+
+The texts are read where they lie and never moved: for the sets' digests, for the roots, for the points of documents that
+share a root with another one, and for the sets of those that a bound has left as candidates.
 """
 
 from __future__ import annotations
@@ -33,7 +36,17 @@ from tallywork.llm.shared import fresh, written
 COORDINATES = 64
 #: Points below a root that one task joins; larger roots are cut into chunks and every pair of chunks is a task.
 CHUNK = 2_048
+#: Bits of the sketch that leaves try first: the parities of the counts of as many groups.
+SKETCH = 512
 _LEAF, _FAN = 16, 4
+#: Rows of candidate roots that one task joins, about; it may get one root, or pair of chunks, more.
+TASK_ROWS = 30_000
+#: Points below a root up to which all its pairs are tried at once; beyond, through a tree.
+_SMALL = 48
+#: Bits of a class's digest that its roots carry; classes that agree in them are taken for each other until verified.
+_KEY_BITS = 48
+#: Bits of the map of wanted ids, 8 MB.  Beyond so many ids it lets more texts through to the join that decides.
+_MAP_BITS = 26
 _FINE = tx.mix(np.arange(1, 65_537, dtype=np.uint64))
 
 
@@ -56,18 +69,33 @@ def n_sections(band: np.ndarray, percent: int) -> np.ndarray:
     return 2 * (_BANDS[band + 1] - 1) * (100 - percent) // (100 + percent) + 1
 
 
+def _spread(band: np.ndarray, percent: int) -> np.ndarray:
+    """Sections used: some more than needed, by the share that is empty in the smallest set of the band.
+
+    A set with more filled sections than differences allowed shares a filled one with every partner, so it does without the
+    roots of its empty sections, which most other sets would share.
+    """
+    need = n_sections(band, percent)
+    fill = percent / 100 * _BANDS[band] / need
+    return need + np.ceil(1.5 * need * np.exp(-fill)).astype(np.int64) + 2
+
+
 def _sectioned(counts: np.ndarray, band: np.ndarray, rows: np.ndarray, values: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Addresses of the roots of every row with ``band >= 0``, end to end, and their number for each row."""
-    sections = np.where(band >= 0, n_sections(np.maximum(band, 0), percent), 0)
+    safe = np.maximum(band, 0)
+    sections = np.where(band >= 0, _spread(safe, percent), 0)
     base = np.r_[0, np.cumsum(sections)]
     use = band[rows] >= 0
     rows, values = rows[use], values[use]
     section = (tx.mix(values ^ np.uint64(0x5EC7)) % sections[rows].astype(np.uint64)).astype(np.int64)
-    sums = np.zeros(base[-1], dtype=np.uint64)
+    sums, filled = np.zeros(base[-1], dtype=np.uint64), np.zeros(base[-1], dtype=bool)
     np.add.at(sums, base[rows] + section, _FINE[(values >> np.uint64(48)).astype(np.int64)])
+    filled[base[rows] + section] = True
     owner = np.repeat(np.arange(len(counts)), sections)
+    enough = np.bincount(owner[filled], minlength=len(counts)) >= n_sections(safe, percent)
     place = (band[owner].astype(np.uint64) << np.uint64(44)) + (np.arange(base[-1]) - base[owner]).astype(np.uint64)
-    return tx.mix(sums + tx.mix(place + np.uint64(1))), sections
+    use = filled | ~enough[owner]
+    return tx.mix(sums + tx.mix(place + np.uint64(1)))[use], np.bincount(owner[use], minlength=len(counts))
 
 
 def _distinct_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,52 +113,87 @@ def _digests(values: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
     return [x.view(np.int64) for x in out]
 
 
-def _points(k: int, percent: int):
+def _digested(k: int):
+    """Size and digests of every row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, offsets in tx.slices(batch.column(1)):
+                values, bounds = _distinct_shingles(data, offsets, k)
+                counts = np.diff(bounds)
+                digest = _digests(values, np.repeat(np.arange(high - low), counts), high - low)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(counts, pa.int64()), *map(pa.array, digest)], ["id", "n", "d1", "d2"])
+
+    return run
+
+
+def _rooted(k: int, percent: int):
+    """Key and roots of every set; of equal sets that one task meets, the first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple[int, int]] = set()
+        for batch in batches:
+            for low, high, data, offsets in tx.slices(batch.column(0)):
                 n = high - low
                 values, bounds = _distinct_shingles(data, offsets, k)
                 counts = np.diff(bounds)
                 rows = np.repeat(np.arange(n), counts)
                 digest = _digests(values, rows, n)
-                vectors = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).astype("<u4")
-                band = np.searchsorted(_BANDS, counts, side="right") - 1
+                if len(met) > 1_000_000:
+                    met.clear()
+                for i, name in enumerate(zip(digest[0].tolist(), digest[1].tolist(), strict=True)):
+                    if name in met:
+                        counts[i] = 0
+                    elif counts[i]:
+                        met.add(name)
+                use = counts[rows] > 0
+                rows, values = rows[use], values[use]
+                band = np.where(counts > 0, np.searchsorted(_BANDS, np.maximum(counts, 1), side="right") - 1, -1)
                 # The larger document of a pair names the band; a smaller one just below it is indexed there too.
                 above = np.where((counts > 0) & (100 * counts >= percent * _BANDS[np.maximum(band, 0) + 1]), band + 1, -1)
-                parts = [_sectioned(counts, b, rows, values, percent) for b in (band, above)]
-                sizes = parts[0][1] + parts[1][1]
-                stops = np.cumsum(sizes)
-                keys = np.empty(stops[-1], dtype=np.uint64)
-                for shift, (address, each) in zip((np.zeros(n, np.int64), parts[0][1]), parts, strict=True):
-                    keys[np.repeat(stops - sizes + shift - (np.cumsum(each) - each), each) + np.arange(len(address))] = address
-                raw = vectors.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(low, n), pa.array(counts, pa.int64()), pa.array(digest[0]), pa.array(digest[1]),
-                    pa.array([raw[4 * COORDINATES * i : 4 * COORDINATES * (i + 1)] for i in range(n)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.r_[0, stops], pa.int32()), pa.array(keys.view(np.int64))),
-                ], ["id", "n", "d1", "d2", "point", "roots"])
+                key = digest[0] & ((1 << _KEY_BITS) - 1)
+                for b in (band, above):
+                    address, each = _sectioned(counts, b, rows, values, percent)
+                    yield pa.RecordBatch.from_arrays([pa.array(address.view(np.int64)), pa.array(np.repeat(key, each))], ["root", "key"])
 
     return run
 
 
-def _sets(k: int):
+def _looked_up(k: int, wanted: np.ndarray, shingles: bool):
+    """Digests, and point and sketch or the shingles, of the rows whose ids the map has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want = [batch.column(i).to_numpy() for i in (2, 3)]
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
             for low, high, data, offsets in tx.slices(batch.column(1)):
+                n = high - low
                 values, bounds = _distinct_shingles(data, offsets, k)
-                counts = np.diff(bounds)
-                found = _digests(values, np.repeat(np.arange(high - low), counts), high - low)
-                same = (found[0] == want[0][low:high]) & (found[1] == want[1][low:high])
-                ends = np.r_[0, np.cumsum(counts[same])]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(batch.column(0).to_numpy()[low:high][same]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[np.repeat(same, counts)].view(np.int64))),
-                ], ["id", "shingles"])
+                rows = np.repeat(np.arange(n), np.diff(bounds))
+                if shingles:
+                    more, names = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))], ["shingles"]
+                else:
+                    points = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).astype("<u4").tobytes()
+                    parity = np.bincount(rows * SKETCH + (values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=n * SKETCH) & 1
+                    words = np.packbits(parity.astype(bool)).view(np.int64)
+                    more = [
+                        pa.array([points[4 * COORDINATES * i : 4 * COORDINATES * (i + 1)] for i in range(n)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (SKETCH // 64), pa.int32()), pa.array(words)),
+                    ]
+                    names = ["point", "sketch"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(np.diff(bounds), pa.int64()), *map(pa.array, _digests(values, rows, n)), *more], ["least", "n", "d1", "d2", *names])
 
     return run
 
 
+def _id_map(ids: DataFrame) -> np.ndarray:
+    """Bits of the hashed ids, at most ``2 ** _MAP_BITS`` of them whatever the number of ids."""
+    at = F.pmod(F.xxhash64("id"), F.lit(1 << _MAP_BITS)) + 1
+    parts = ids.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = np.zeros((1 << _MAP_BITS) // 8, dtype=np.uint8)
+    for part in parts:
+        bits = np.frombuffer(bytes(part.bits), dtype=np.uint8)
+        out[(part.b - 1) * len(bits) : part.b * len(bits)] = bits
+    return out
+
+
 # ---- one tree -----------------------------------------------------------------------
 
 def _order(points: np.ndarray) -> np.ndarray:
@@ -148,14 +211,16 @@ def _order(points: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def tree_join(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def tree_join(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int, sketches: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of different labels whose summed coordinate minima reach the overlap that a link needs.
 
     Both sides walk one R-tree from the top; a pair of boxes goes on if the minima of their upper corners reach the
-    overlap that the smallest sizes below them need, and if not all rows below have one label.
+    overlap that the smallest sizes below them need, and if not all rows below have one label.  ``sketches`` spare most pairs
+    in a leaf the sum.
     """
     order = _order(points)
-    points, sizes, labels = points[order].astype(np.int64), sizes[order], labels[order]
+    points, sizes, labels = points[order].astype(np.int32), sizes[order], labels[order]
+    sketches = None if sketches is None else np.ascontiguousarray(sketches[order])
     levels = []
     width, box = _LEAF, None
     while box is None or len(box[0]) > _FAN:
@@ -168,13 +233,10 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent
         box = (np.maximum.reduceat(source[0], cut), np.minimum.reduceat(source[1], cut), np.minimum.reduceat(source[2], cut), np.maximum.reduceat(source[3], cut))
         levels.append(box)
 
-    def reach(upper_a, upper_b, size_a, size_b):
-        return (100 + percent) * np.minimum(upper_a, upper_b).sum(axis=1) >= percent * (size_a + size_b)
-
     a, b = np.triu_indices(len(levels[-1][0]))
     for depth in range(len(levels) - 1, -1, -1):
         upper, least, low, high = levels[depth]
-        keep = np.concatenate([reach(upper[a[i : i + 4096]], upper[b[i : i + 4096]], least[a[i : i + 4096]], least[b[i : i + 4096]]) for i in range(0, len(a), 4096)] or [np.zeros(0, bool)])
+        keep = np.concatenate([_reach(upper[a[i : i + 4096]], upper[b[i : i + 4096]], least[a[i : i + 4096]], least[b[i : i + 4096]], percent) for i in range(0, len(a), 4096)] or [np.zeros(0, bool)])
         keep &= (np.minimum(low[a], low[b]) != np.maximum(high[a], high[b]))
         a, b = a[keep], b[keep]
         fan, n = (_FAN, len(levels[depth - 1][0])) if depth else (_LEAF, len(points))
@@ -185,10 +247,7 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent
         x, y = _children(a[i : i + 256], b[i : i + 256], _LEAF, len(points))
         keep = (x != y) & (labels[x] != labels[y])
         x, y = x[keep], y[keep]
-        for j in range(0, len(x), 16_384):
-            s, t = x[j : j + 16_384], y[j : j + 16_384]
-            good = reach(points[s], points[t], sizes[s], sizes[t])
-            found.append((s[good], t[good]))
+        found.append(_bounded(x, y, points, sizes, percent, sketches))
     x = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
     y = np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])
     return order[x], order[y]
@@ -201,40 +260,120 @@ def _children(a: np.ndarray, b: np.ndarray, fan: int, n: int) -> tuple[np.ndarra
     return x[keep], y[keep]
 
 
+def _pairs_within(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of each run ``bounds[i]:bounds[i + 1]``."""
+    size = np.diff(bounds)
+    after = np.repeat(bounds[1:], size) - np.arange(bounds[0], bounds[-1]) - 1  # rows of the run behind each row
+    x = np.repeat(np.arange(bounds[0], bounds[-1]), after)
+    return x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
+
+
 def _joined(percent: int):
+    """Pairs of many roots at once: those of small roots together, each larger one through its tree."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["root", "one", "two"])
         points = np.frombuffer(b"".join(group["point"]), dtype="<u4").reshape(len(group), COORDINATES)
-        ids, labels, chunk = group["id"].to_numpy(), group["label"].to_numpy(), group["chunk"].to_numpy()
-        x, y = tree_join(points, group["n"].to_numpy(), labels, percent)
-        apart = (chunk[x] != chunk[y]) | (group["one"].to_numpy()[x] == group["two"].to_numpy()[x])
-        x, y = ids[x[apart]], ids[y[apart]]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+        sketches = np.array(group["sketch"].tolist(), dtype=np.int64).view(np.uint64)
+        ids, labels, chunk, n = (group[c].to_numpy() for c in ("id", "label", "chunk", "n"))
+        task = group[["root", "one", "two"]].to_numpy()
+        cuts = np.r_[0, np.flatnonzero((task[1:] != task[:-1]).any(axis=1)) + 1, len(group)]
+        apart = group["one"].to_numpy() != group["two"].to_numpy()
+        found = []
+
+        def keep(x: np.ndarray, y: np.ndarray) -> None:
+            # Pairs within a chunk belong to the task that has the chunk alone.
+            use = ~apart[x] | (chunk[x] != chunk[y])
+            found.append(np.unique(np.sort(np.c_[ids[x[use]], ids[y[use]]], axis=1), axis=0))
+
+        small = np.diff(cuts) <= _SMALL
+        for low, high in zip(cuts[:-1][~small].tolist(), cuts[1:][~small].tolist(), strict=True):
+            x, y = tree_join(points[low:high], n[low:high], labels[low:high], percent, sketches[low:high])
+            keep(x + low, y + low)
+        starts, ends = cuts[:-1][small], cuts[1:][small]
+        rows = np.repeat(starts, ends - starts) + np.arange((ends - starts).sum()) - np.repeat(np.cumsum(ends - starts) - (ends - starts), ends - starts)
+        bounds = np.r_[0, np.cumsum(ends - starts)]
+        for i in range(0, len(starts), 512):
+            x, y = _pairs_within(bounds[i : i + 513])
+            x, y = rows[x], rows[y]
+            use = labels[x] != labels[y]
+            x, y = _bounded(x[use], y[use], points, n, percent, sketches)
+            keep(x, y)
+        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
     return run
 
 
+def _bounded(x: np.ndarray, y: np.ndarray, points: np.ndarray, sizes: np.ndarray, percent: int, sketches: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose sketches do not rule a link out and whose summed coordinate minima reach the overlap it needs.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    out = []
+    for j in range(0, len(x), 16_384):
+        s, t = x[j : j + 16_384], y[j : j + 16_384]
+        if sketches is not None:
+            differ = np.bitwise_count(sketches[s] ^ sketches[t]).sum(axis=1, dtype=np.int64)
+            near = (100 + percent) * differ <= (100 - percent) * (sizes[s] + sizes[t])
+            s, t = s[near], t[near]
+        good = _reach(points[s], points[t], sizes[s], sizes[t], percent)
+        out.append((s[good], t[good]))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([o[0] for o in out] or [none]), np.concatenate([o[1] for o in out] or [none])
+
+
+def _reach(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the summed minima of two corners allow the overlap that sets of these sizes need for a link."""
+    return (100 + percent) * np.minimum(a, b).sum(axis=1, dtype=np.int64) >= percent * (size_a + size_b)
+
+
 # ---- the join -----------------------------------------------------------------------
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _lookup(rows: DataFrame, wanted: DataFrame, k: int, shingles: bool) -> DataFrame:
+    """Point and sketch, or the shingles, of the wanted classes, from the texts of their smallest ids."""
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << _MAP_BITS)).alias("place")
+    more = "shingles array<long>" if shingles else "point binary, sketch array<long>"
+    made = rows.select("id", "t", place).mapInArrow(_looked_up(k, _id_map(wanted.select(F.col("least").alias("id"))), shingles), f"least long, n long, d1 long, d2 long, {more}")
+    name = ["least", "n", "d1", "d2"]
+    found = made.join(wanted, name).dropDuplicates(name)  # of rows that repeat an id and its set, one
+    return written(found.drop("least", "d1", "d2"), "sets" if shingles else "points")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of classes that link, by their sets."""
+    pairs = written(pairs, "candidates")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = _lookup(rows, written(classes.join(ids, "id", "left_semi"), "wanted"), k, shingles=True)
     side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s{name}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     overlap, total = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-    return both.where((100 + percent) * overlap >= percent * total).select("a", "b")
+    return written(both.where((100 + percent) * overlap >= percent * total).select("a", "b"), "links")
+
+
+def _first_links(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """One candidate per class: the leader it shares most roots with; a root's leader is its most central member."""
+    degree = members.groupBy("id").agg(F.sum("m").alias("degree"))
+    leaders = members.join(degree, "id").groupBy("root").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("leader"))
+    shares = members.join(leaders, "root").where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("m"))
+    best = shares.groupBy("id").agg(F.max_by("leader", F.struct("m", -F.col("leader"))).alias("a")).select("a", F.col("id").alias("b"))
+    side = lambda name: points.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"k{name}"))
+    near = best.join(side("b"), "b").join(side("a"), "a")
+    differ = sum((F.bit_count(F.col("ka")[i].bitwiseXOR(F.col("kb")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    return near.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def _across(members: DataFrame, label: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different components under one root, each once."""
     held = members.select("root", "id").join(label.select("id", F.col("root").alias("top")), "id", "left").select("root", "id", F.coalesce("top", "id").alias("label"))
     mixed = held.groupBy("root").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).where("low <> high").select("root", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
-    held = written(held.join(mixed, "root"), "mixed")
-    if held.isEmpty():
-        return held.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    # Every pair of chunks is a task; a root of one chunk is one task.
+    held = held.join(mixed, "root")
+    # Every pair of chunks is a task of its own; a root of one chunk is one.
     held = held.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    held = held.select("root", "id", "label", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"))
-    held = held.join(points.select("id", "n", "point"), "id")
-    return held.groupBy("root", "one", "two").applyInPandas(_joined(percent), "a long, b long").distinct()
+    held = written(held.select("root", "id", "label", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two")), "mixed")
+    tasks = held.count() // TASK_ROWS + 1
+    held = held.join(points, "id").withColumn("task", F.pmod(F.xxhash64("root", "one", "two"), F.lit(tasks)))
+    return held.groupBy("task").applyInPandas(_joined(percent), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,32 +382,31 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     Words are what lies between ASCII white space after lower-casing A-Z, a set holds the distinct ``k``-word shingles; with
     fewer words the whole sequence is one.  Documents without words (NULL and empty texts too) have 0 shingles and stay alone.
     ``component_id`` is the smallest id reachable over links.  Every row comes back, judged by its own text, also where an id
-    repeats; rows without id link with nothing and get a NULL component.  Other columns take no part.  Sets are compared by 64-bit hashes of their shingles.
+    repeats; rows without id link with nothing and get a NULL component.  Other columns take no part.  Sets are compared by
+    64-bit hashes of their shingles.
     """
     if not 70 <= percent <= 100:
         raise ValueError("neighbouring bands hold all linked sizes from 70 percent up")
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    made = rows.mapInArrow(_points(k, percent), "id long, n long, d1 long, d2 long, point binary, roots array<long>")
-    table = written(made.withColumn("row", F.monotonically_increasing_id()), "points")
-    # One class per set, named by one of its rows.
-    classes = written(table.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("least"), F.min("row").alias("class")), "classes")
-    tops = table.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
-    below = tops.select(F.col("row").alias("id"), F.explode("roots").alias("root"))
-    shared = below.groupBy("root").agg(F.count("*").alias("m"), F.min("id").alias("leader")).where("m > 1").select("root", "leader")
-    members = written(below.join(shared, "root"), "members")
-    wanted = members.select(F.col("id").alias("class")).distinct().join(classes, "class").select("class", F.col("least").alias("id"), "d1", "d2")
-    sets = rows.join(wanted, "id").select("class", "t", "d1", "d2").mapInArrow(_sets(k), "id long, shingles array<long>")
-    sets = written(sets.dropDuplicates(["id"]), "sets")
-    # First pass: one link per class, to the leader it shares most roots with.
-    shares = members.where("id > leader").groupBy("id", "leader").agg(F.count("*").alias("m"))
-    best = shares.groupBy("id").agg(F.max_by("leader", F.struct("m", -F.col("leader"))).alias("a")).select("a", F.col("id").alias("b"))
-    first = roots(_verified(best, sets, percent).select(F.col("b").alias("id"), F.col("a").alias("parent")))
-    # Second pass: the trees, across what the first pass has joined.
-    links = _verified(_across(members, first, tops.select(F.col("row").alias("id"), "n", "point"), percent), sets, percent)
+    table = written(rows.mapInArrow(_digested(k), "id long, n long, d1 long, d2 long"), "digests")
+    rows = rows.where("id IS NOT NULL")
+    # One class per set.
+    classes = table.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("least"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    below = rows.select("t").mapInArrow(_rooted(k, percent), "root long, key long")
+    # Counted before they are joined: a root of very many classes is one row of each task, and then a join that Spark can split.
+    shared = below.groupBy("root").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("root")
+    named = classes.select("id", F.col("d1").bitwiseAND(F.lit((1 << _KEY_BITS) - 1)).alias("key"))
+    under = written(below.join(shared, "root", "left_semi").distinct().join(named, "key").select("root", "id"), "under")
+    members = written(under.join(under.groupBy("root").agg(F.count("*").alias("m")), "root"), "members")
+    points = _lookup(rows, written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted"), k, shingles=False)
+    first = roots(_verified(_first_links(members, points, percent), rows, classes, k, percent).select(F.col("b").alias("id"), F.col("a").alias("parent")))
+    # What the first pass has joined, the trees need not look at.
+    links = _verified(_across(members, first, points, percent), rows, classes, k, percent)
     name = lambda col: first.select(F.col("id").alias(col), F.col("root").alias(f"r{col}"))
     lifted = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     second = components(lifted)
-    label = classes.join(first.select(F.col("id").alias("class"), F.col("root").alias("r1")), "class", "left").withColumn("r1", F.coalesce("r1", "class"))
+    label = classes.join(first.select("id", F.col("root").alias("r1")), "id", "left").withColumn("r1", F.coalesce("r1", "id"))
     label = label.join(second.select(F.col("id").alias("r1"), F.col("root").alias("r2")), "r1", "left").withColumn("r2", F.coalesce("r2", "r1"))
     label = label.join(label.groupBy("r2").agg(F.min("least").alias("component")), "r2").select("d1", "d2", "n", "component")
     out = table.select("id", "n", "d1", "d2").join(label, ["d1", "d2", "n"], "left")
@@ -278,7 +416,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
 def one_of_each(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The document of the smallest id of each component, all columns; rows without id or words stay.
 
-    Rows that repeat an id and its text count once.
+    Rows that repeat an id and its text count once; of an id with several texts all stay if one of them leads a component.
     """
     found = written(jaccard_components(docs, k, percent, id, text), "components")
     kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("m"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywork.session import shared_dir
 
 _SHIPPED: set[str] = set()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -28,10 +29,18 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: a lost executor costs no recomputation, a later plan starts here."""
+    """``df`` as a Parquet table in the shared folder: a lost executor costs no recomputation, a later plan starts here.
+
+    Nothing reads the shuffle files of the write again, so Spark is told to remove them when it ends.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
