@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallywork.llm import text as tx
 from tallywork.llm.components import components, roots
-from tallywork.llm.shared import fresh, written
+from tallywork.llm.shared import fresh, scratch, written
 
 #: Coordinates of a point; each is the sum of 1,024 of the fine groups that address the roots.
 COORDINATES = 64
@@ -157,8 +157,24 @@ def _rooted(k: int, percent: int):
     return run
 
 
-def _looked_up(k: int, wanted: np.ndarray, shingles: bool):
-    """Digests, and point and sketch or the shingles, of the rows whose ids the map has."""
+#: What a look-up of the texts of some classes gives: point and sketch, a sketch as long as the set needs, or the set.
+_KINDS = {"points": "point binary, sketch array<long>", "parities": "parity binary", "sets": "shingles array<long>"}
+
+
+def _parity(values: np.ndarray) -> bytes:
+    """Parities of the counts of a power of two of groups, four groups a shingle or more."""
+    groups = 1 << max(9, int(4 * max(1, len(values)) - 1).bit_length())
+    return np.packbits((np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups) & 1).astype(bool)).tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """Bits in which two parities differ once the longer is folded to the length of the shorter."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def _looked_up(k: int, wanted: np.ndarray, kind: str):
+    """Digests, and what ``kind`` names, of the rows whose ids the map has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column(2).to_numpy()
@@ -167,8 +183,10 @@ def _looked_up(k: int, wanted: np.ndarray, shingles: bool):
                 n = high - low
                 values, bounds = _distinct_shingles(data, offsets, k)
                 rows = np.repeat(np.arange(n), np.diff(bounds))
-                if shingles:
+                if kind == "sets":
                     more, names = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))], ["shingles"]
+                elif kind == "parities":
+                    more, names = [pa.array([_parity(values[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["parity"]
                 else:
                     points = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).astype("<u4").tobytes()
                     parity = np.bincount(rows * SKETCH + (values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=n * SKETCH) & 1
@@ -329,25 +347,46 @@ def _reach(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
 
 # ---- the join -----------------------------------------------------------------------
 
-def _lookup(rows: DataFrame, wanted: DataFrame, k: int, shingles: bool) -> DataFrame:
-    """Point and sketch, or the shingles, of the wanted classes, from the texts of their smallest ids."""
+def _lookup(rows: DataFrame, wanted: DataFrame, k: int, kind: str) -> DataFrame:
+    """``id, n`` and what ``kind`` names of the wanted classes, from the texts of their smallest ids."""
     place = F.pmod(F.xxhash64("id"), F.lit(1 << _MAP_BITS)).alias("place")
-    more = "shingles array<long>" if shingles else "point binary, sketch array<long>"
-    made = rows.select("id", "t", place).mapInArrow(_looked_up(k, _id_map(wanted.select(F.col("least").alias("id"))), shingles), f"least long, n long, d1 long, d2 long, {more}")
+    made = rows.select("id", "t", place).mapInArrow(_looked_up(k, _id_map(wanted.select(F.col("least").alias("id"))), kind), f"least long, n long, d1 long, d2 long, {_KINDS[kind]}")
     name = ["least", "n", "d1", "d2"]
     found = made.join(wanted, name).dropDuplicates(name)  # of rows that repeat an id and its set, one
-    return written(found.drop("least", "d1", "d2"), "sets" if shingles else "points")
+    return found.drop("least", "d1", "d2")
+
+
+def _of_pairs(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, kind: str):
+    """The look-up of all classes of some pairs, as a table to be removed."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return scratch(_lookup(rows, written(classes.join(ids, "id", "left_semi"), "wanted"), k, kind), kind)
+
+
+def _near(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb, pa_, pb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "pa", "pb"))
+            keep = [(100 + percent) * _differ(x, y) <= (100 - percent) * (n + m) for n, m, x, y in zip(na, nb, pa_, pb, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, good in zip(side, keep, strict=True) if good], pa.int64()) for side in (a, b)], ["a", "b"])
+
+    return run
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that link, by their sets."""
+    """The pairs ``(a, b)`` of classes that link, by their sets.
+
+    The sets of long documents are large, so only pairs whose parities leave a link possible have theirs moved.
+    """
     pairs = written(pairs, "candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _lookup(rows, written(classes.join(ids, "id", "left_semi"), "wanted"), k, shingles=True)
-    side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s{name}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    overlap, total = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-    return written(both.where((100 + percent) * overlap >= percent * total).select("a", "b"), "links")
+    with _of_pairs(pairs, rows, classes, k, "parities") as parities:
+        side = lambda name: parities.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("parity").alias(f"p{name}"))
+        near = pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(_near(percent), "a long, b long")
+        pairs = written(near, "near")
+    with _of_pairs(pairs, rows, classes, k, "sets") as sets:
+        side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s{name}"))
+        both = pairs.join(side("b"), "b").join(side("a"), "a")
+        overlap, total = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
+        return written(both.where((100 + percent) * overlap >= percent * total).select("a", "b"), "links")
 
 
 def _first_links(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -399,7 +438,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     named = classes.select("id", F.col("d1").bitwiseAND(F.lit((1 << _KEY_BITS) - 1)).alias("key"))
     under = written(below.join(shared, "root", "left_semi").distinct().join(named, "key").select("root", "id"), "under")
     members = written(under.join(under.groupBy("root").agg(F.count("*").alias("m")), "root"), "members")
-    points = _lookup(rows, written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted"), k, shingles=False)
+    points = _lookup(rows, written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted"), k, "points")
+    points = written(points, "points")
     first = roots(_verified(_first_links(members, points, percent), rows, classes, k, percent).select(F.col("b").alias("id"), F.col("a").alias("parent")))
     # What the first pass has joined, the trees need not look at.
     links = _verified(_across(members, first, points, percent), rows, classes, k, percent)

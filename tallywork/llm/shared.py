@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A written table that is removed at the end; what was made from it must be written by then."""
+    spark = df.sparkSession
+    table = written(df, name)
+    yield table
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, as ``--py-files`` would; the driver serves the archive."""
     app = spark.sparkContext.applicationId
