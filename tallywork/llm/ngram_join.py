@@ -462,5 +462,6 @@ def one_of_each(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_i
     kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("m"))
     repeated = not kept.where("m > 1").isEmpty()
     name = fresh(docs, "_kept")
-    out = docs.join(kept.select(F.col("doc_id").alias(name)), F.col(id).cast("long") == F.col(name), "left_semi")
+    # The kept ids grow with the documents, so the join is one that grows with them at every size.
+    out = docs.join(kept.select(F.col("doc_id").alias(name)).hint("merge"), F.col(id).cast("long") == F.col(name), "left_semi")
     return (out.dropDuplicates([id, text]) if repeated else out).unionByName(docs.where(F.col(id).isNull()))

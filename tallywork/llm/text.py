@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 _U = np.uint64
 _BYTE = np.random.default_rng(77).integers(0, 2**64, 256, dtype=np.uint64)

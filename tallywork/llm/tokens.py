@@ -168,9 +168,16 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of words not met before."""
         plain, odd = [], []
+        counts = []  # pieces of each plain word
         for w in words:
-            (plain if self._SAFE.fullmatch(w) else odd).append(w)
-        counts = [len(self._piece.findall(w)) for w in plain]
+            if w.isascii() and w.isalpha():
+                plain.append(w)
+                counts.append(1)
+            elif self._SAFE.fullmatch(w):
+                plain.append(w)
+                counts.append(len(self._piece.findall(w)))
+            else:
+                odd.append(w)
         flat = np.fromiter((i for x in self._whole([" ".join(plain[k : k + 1000]) for k in range(0, len(plain), 1000)]) for i in x), np.uint32)
         ends = np.flatnonzero(self._ends[flat]) + 1
         last = np.cumsum(counts, dtype=np.int64)
@@ -281,13 +288,18 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_tokens: int):
             flat, counts = encode_texts(texts)
             with_end = np.full(len(flat) + len(some), end_id, dtype=np.uint32)
             with_end[np.arange(len(flat)) + np.repeat(np.arange(len(some)), counts)] = flat
-            keys += some
-            lengths.append(counts + 1)
-            ids.append(with_end)
-            held += len(with_end)
-            if held >= file_tokens:
-                yield flush()
-                held = 0
+            stops, low = np.r_[0, np.cumsum(counts + 1)], 0
+            while low < len(some):
+                # Up to the document that fills the file.
+                high = min(len(some), int(np.searchsorted(stops, stops[low] + file_tokens - held)))
+                keys += some[low:high]
+                lengths.append(counts[low:high] + 1)
+                ids.append(with_end[stops[low] : stops[high]])
+                held += int(stops[high] - stops[low])
+                low = high
+                if held >= file_tokens:
+                    yield flush()
+                    held = 0
         if keys:
             yield flush()
 

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallywork.llm import lm_scores as lm
+
+TARGET = "doc_id long, text string"
+
+
+def grams(text):
+    raw = b"\0\0" + (text or "").encode() + bytes([lm.END])
+    return [raw[i : i + 3] for i in range(len(raw) - 2)]
+
+
+class Brute:
+    """Probabilities straight from the recursion of the module's description."""
+
+    def __init__(self, texts):
+        three = Counter(g for t in texts for g in grams(t))
+        self.n = {3: three, 2: Counter(), 1: Counter()}
+        for g, c in three.items():
+            self.n[2][g[1:]] += c
+            self.n[1][g[2:]] += c
+        self.total, self.kinds = Counter(), Counter()
+        for k in (1, 2, 3):
+            for g, c in self.n[k].items():
+                self.total[k, g[:-1]] += c
+                self.kinds[k, g[:-1]] += 1
+
+    def p(self, g):
+        k = len(g)
+        lower = 1 / 256 if k == 1 else self.p(g[1:])
+        n, t = self.total[k, g[:-1]], self.kinds[k, g[:-1]]
+        return lower if not n else (self.n[k][g] + t * lower) / (n + t)
+
+    def loss(self, text):
+        return -sum(math.log(self.p(g)) for g in grams(text)) / len(grams(text))
+
+
+def texts(seed=1):
+    rng = random.Random(seed)
+    good = ["".join(rng.choices(["the ", "cat ", "sat ", "on é "], k=rng.randint(1, 20))) for _ in range(30)]
+    bad = ["".join(rng.choices("qxzjk#! ", k=rng.randint(0, 60))) for _ in range(30)]
+    return good + bad + ["", None, "the cat", "the cat", "\0 nul"]
+
+
+def test_scores_against_the_recursion(llm, docs):
+    rows = list(enumerate(texts())) + [(3, "repeated id"), (None, "no id")]
+    wanted = llm.createDataFrame([(i, "x") for i in [*range(20), 5, 5, 9999, None, 62]], TARGET)
+    background = Brute([t for _, t in rows])
+    target = Brute([t for i, t in rows if i in {*range(20), 62}])
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_symbols, r.target_loss, r.background_loss, r.score) for r in lm.cross_entropy_difference(docs(rows), wanted).collect())
+    expected = sorted((i is not None, i or 0, len(grams(t)), target.loss(t), background.loss(t), target.loss(t) - background.loss(t)) for i, t in rows)
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    for g, e in zip(got, expected, strict=True):
+        assert g[3:] == pytest.approx(e[3:], abs=1e-5)
+
+
+def test_models_are_distributions():
+    for some in (texts(), ["a"], []):
+        counts = Counter(g for t in some for g in grams(t))
+        keys = np.array([int.from_bytes(g, "big") for g in counts], dtype=np.int64)
+        table = lm.estimate(keys, np.array(list(counts.values()), dtype=np.int64)).table().reshape(-1, 256)
+        assert np.allclose(np.exp(-table[::97].astype(np.float64)).sum(1), 1, atol=1e-4)
+
+
+def test_documents_like_the_target_score_lower(llm, docs):
+    rows = list(enumerate(texts(7)))
+    scores = {r.doc_id: r.score for r in lm.cross_entropy_difference(docs(rows), llm.createDataFrame([(i, "") for i in range(15)], TARGET)).collect()}
+    assert np.mean([scores[i] for i in range(15, 30)]) < np.mean([scores[i] for i in range(30, 60)])
+
+
+def test_empty_tables(llm, docs):
+    none = llm.createDataFrame([], TARGET)
+    assert lm.cross_entropy_difference(docs([]), none).count() == 0
+    rows = lm.cross_entropy_difference(docs([(1, "abc")]), none).collect()
+    assert rows[0].target_loss == pytest.approx(math.log(256), abs=1e-5) and rows[0].score > 0
+
+
+def test_slices_end_in_the_same_counts(llm, docs, monkeypatch):
+    data = np.frombuffer("ab".encode() + "é".encode(), np.uint8)
+    every, bounds = lm._grams(data, np.array([0, 2, 2, 4]))
+    assert [int(g) for g in every] == [int.from_bytes(g, "big") for t in ("ab", "", "é") for g in grams(t)]
+    assert bounds.tolist() == [0, 3, 4, 7]
