@@ -152,7 +152,7 @@ def remixed(docs: DataFrame, entropy: float | None = None, repetition: float | N
     ends = permuted(sizes, plan, seed).where("tokens > 0").groupBy("source").agg(F.max(F.struct("pass", "key")).alias("end"))
     name, end, turn = (fresh(docs, x) for x in ("_source", "_end", "_pass"))
     ends = written(ends.select(F.col("source").alias(name), F.col("end").alias(end)), "ends")
-    empty = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)) == 0
+    empty = ~F.coalesce(F.col(text).rlike(WORD), F.lit(False))
     key = _hash(seed, F.col(turn).cast("string"), F.coalesce(F.col(id).cast("string"), F.lit("")))
     read = docs.join(ends, F.col(source).eqNullSafe(F.col(name)), "left")
     # Passes but the last are whole, so a pass keeps what its key allows; documents without tokens are read once.

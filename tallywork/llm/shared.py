@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywork.session import shared_dir
 
 _SHIPPED: set[str] = set()
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000}
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -58,7 +59,14 @@ def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application, as ``--py-files`` would; the driver serves the archive."""
+    """Make a session ready for the operators that run Python in tasks.
+
+    This package is sent to the executors once per application, as ``--py-files`` would; the driver serves the archive.  Arrow
+    batches are kept small, since whole texts of any length are in them and every worker holds a few.
+    """
+    for name, most in _BATCH.items():
+        if int(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

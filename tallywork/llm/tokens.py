@@ -33,7 +33,7 @@ MAGIC = b"DACTOK01"
 WIDTHS = (8, 8, 16)
 #: A file ends with the document that brings it to this many ids.
 FILE_TOKENS = 4_000_000
-#: Words whose ids a worker remembers; beyond that it starts anew.
+#: Words whose ids a worker remembers, about; beyond that it forgets those it met once.
 REMEMBERED = 600_000
 
 _BLOCK = 512
@@ -160,7 +160,19 @@ class Encoder:
 
     def _forget(self) -> None:
         self._index: dict[str, int] = {}
-        self._starts, self._ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self._starts, self._ids, self._again = np.zeros(1, np.int64), np.zeros(0, np.uint32), np.zeros(0, bool)
+
+    def _keep_frequent(self) -> None:
+        """Forget the words that were met only once, or all if the others are too many."""
+        words = [w for w, again in zip(self._index, self._again.tolist(), strict=True) if again]
+        if len(words) > REMEMBERED // 2:
+            self._forget()
+            return
+        lengths = np.diff(self._starts)
+        self._ids = self._ids[np.repeat(self._again, lengths)]
+        self._starts = np.r_[0, np.cumsum(lengths[self._again])]
+        self._index = dict(zip(words, range(len(words)), strict=True))
+        self._again = np.zeros(len(words), bool)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -178,7 +190,8 @@ class Encoder:
                 counts.append(len(self._piece.findall(w)))
             else:
                 odd.append(w)
-        flat = np.fromiter((i for x in self._whole([" ".join(plain[k : k + 1000]) for k in range(0, len(plain), 1000)]) for i in x), np.uint32)
+        found = self._whole([" ".join(plain[k : k + 1000]) for k in range(0, len(plain), 1000)])
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in found)])
         ends = np.flatnonzero(self._ends[flat]) + 1
         last = np.cumsum(counts, dtype=np.int64)
         if len(ends) != (last[-1] if len(last) else 0):
@@ -192,6 +205,7 @@ class Encoder:
         self._index.update(zip(plain + odd, range(base, base + len(words)), strict=True))
         self._ids = np.r_[self._ids, flat, np.fromiter((i for x in other for i in x), np.uint32)]
         self._starts = np.r_[self._starts, self._starts[-1] + np.cumsum(lengths)]
+        self._again = np.r_[self._again, np.zeros(len(words), bool)]
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and their number for each text."""
@@ -208,11 +222,11 @@ class Encoder:
                     text = text.lower()
                 words += text.split()
             ends.append(len(words))
+        if len(self._index) > REMEMBERED:
+            self._keep_frequent()
         at = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
+        self._again[at[at >= 0]] = True
         if (unseen := np.flatnonzero(at < 0)).size:
-            if len(self._index) > REMEMBERED:
-                self._forget()
-                unseen = np.arange(len(words))
             self._learn(list(dict.fromkeys(words[i] for i in unseen.tolist())))
             at[unseen] = [self._index[words[i]] for i in unseen.tolist()]
         lengths = self._starts[at + 1] - self._starts[at]
