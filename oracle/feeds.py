@@ -24,7 +24,7 @@ FEEDS = {
         UNION ALL SELECT k, 4, 'succeeded', 41 FROM c_settling WHERE settled AND k % 67 = 0""",
     "c_raw_payments": """
         SELECT a.k * 10 + a.n AS payment_id, a.k AS order_id, a.payment_status, o.order_amount AS amount, o.currency,
-               ['card','paypal','apple_pay','bank_transfer'][1 + a.k % 4] AS payment_method,
+               'pay-' || a.k % 4 AS payment_method,
                CAST(o.order_amount * 0.029 + 0.30 AS DECIMAL(12,2)) AS gateway_fee,
                o.created_at + to_minutes(a.mins) AS attempted_at,
                CASE WHEN a.payment_status = 'succeeded' THEN o.created_at + to_minutes(a.mins + 1) END AS processed_at
@@ -32,15 +32,15 @@ FEEDS = {
     "c_raw_refunds": """
         SELECT k AS refund_id, k AS order_id, k * 10 + 3 AS payment_id,
                CASE k % 3 WHEN 0 THEN CAST(order_amount * 0.5 AS DECIMAL(12,2)) ELSE order_amount END AS refund_amount,
-               currency, ['damaged','late','wrong_item','changed_mind','fraud'][1 + k % 5] AS refund_reason,
+               currency, 'reason-' || k % 5 AS refund_reason,
                'completed' AS refund_status,
                created_at + to_minutes(41) + to_days(CAST(k % 6 * 10 AS INTEGER)) AS requested_at,
                created_at + to_minutes(101) + to_days(CAST(k % 6 * 11 AS INTEGER)) AS processed_at
         FROM c_settling WHERE paid AND ((order_status = 'cancelled' AND k % 5 < 4) OR (order_status <> 'cancelled' AND k % 13 = 0))""",
     "c_raw_shipping": """
-        SELECT k * 2 + n AS shipment_id, k AS order_id, ['north','swift','harbor','local'][1 + k % 4] AS carrier,
+        SELECT k * 2 + n AS shipment_id, k AS order_id, 'carrier-' || k % 4 AS carrier,
                CAST(k % 7 + 4.99 AS DECIMAL(12,2)) AS shipping_cost,
-               CASE WHEN n = 1 OR k % 8 = 0 THEN 'in_transit' ELSE 'delivered' END AS status,
+               CASE WHEN n = 1 OR k % 8 = 0 THEN 'step-2' ELSE 'step-1' END AS status,
                CASE WHEN k % 12 <> 0 THEN created_at + to_days(2 + n) END AS shipped_at,
                CASE WHEN k % 16 <> 0 THEN created_at + to_days(6 + n) END AS delivered_at
         FROM c_settling, (VALUES (0), (1)) parcel(n)
@@ -52,10 +52,10 @@ FEEDS = {
         FROM orders""",
     "r_raw_trips": """
         SELECT k AS trip_id, c AS rider_id, k % 97 AS driver_id,
-               ['metro_north','bayview','rivermouth','sunbelt'][1 + c % 4] AS city,
-               ['standard','pool','premium','xl'][1 + k % 4] AS product,
+               'zone-' || c % 4 AS city,
+               'tier-' || k % 4 AS product,
                if(off, 'cancelled', 'completed') AS trip_status,
-               CASE WHEN off THEN ['rider_cancel','driver_cancel','no_driver_found','rider_no_show','rider_cancel'][1 + k % 5] END AS cancel_reason,
+               CASE WHEN off THEN 'cause-' || k % 5 END AS cancel_reason,
                CAST(CASE WHEN NOT off THEN price WHEN k % 5 = 2 OR k % 7 < 3 THEN 0
                     ELSE CAST(price * 0.25 AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS gross_fare,
                CAST(k % 5 * 0.25 + 1 AS DECIMAL(5,2)) AS surge_multiplier,
@@ -68,18 +68,17 @@ FEEDS = {
                CASE WHEN NOT off THEN asked + to_minutes(35) END AS ended_at
         FROM r_priced""",
     "r_raw_riders": """
-        SELECT c_custkey AS rider_id, ['metro_north','bayview','rivermouth','sunbelt'][1 + c_custkey % 4] AS home_city,
-               CASE WHEN c_custkey % 50 = 7 THEN 'suspended' ELSE
-                 coalesce(MAP {'MACHINERY': 'dormant', 'HOUSEHOLD': 'guest'}[c_mktsegment], 'active') END AS account_status,
+        SELECT c_custkey AS rider_id, 'zone-' || c_custkey % 4 AS home_city,
+               CASE WHEN c_custkey % 50 = 7 THEN 'account-0' WHEN c_mktsegment = 'MACHINERY' OR c_mktsegment = 'HOUSEHOLD' THEN lower(c_mktsegment) ELSE 'active' END AS account_status,
                TIMESTAMP '1994-01-01' + to_days(CAST(c_custkey % 700 AS INTEGER)) AS signup_at,
                CASE WHEN c_custkey % 4 = 1 THEN c_custkey - 1 END AS referred_by
         FROM customer""",
     "r_raw_drivers": """
-        SELECT s_suppkey AS driver_id, ['metro_north','bayview','rivermouth','sunbelt'][1 + s_suppkey % 4] AS home_city,
-               CASE WHEN s_suppkey % 20 = 3 THEN 'deactivated' WHEN s_suppkey % 13 = 5 THEN 'inactive' ELSE 'active' END AS driver_status,
+        SELECT s_suppkey AS driver_id, 'zone-' || s_suppkey % 4 AS home_city,
+               CASE WHEN s_suppkey % 20 = 3 THEN 'state-2' WHEN s_suppkey % 13 = 5 THEN 'state-1' ELSE 'state-0' END AS driver_status,
                CAST(3.90 + s_suppkey % 111 * 0.01 AS DECIMAL(4,2)) AS rating,
                TIMESTAMP '1993-01-01' + to_days(CAST(s_suppkey % 400 + 500 * n AS INTEGER)) AS onboarded_at,
-               ['standard','premium','xl'][1 + (s_suppkey + n) % 3] AS vehicle_class
+               'class-' || (s_suppkey + n) % 3 AS vehicle_class
         FROM supplier, (VALUES (0), (1)) again(n) WHERE n = 0 OR s_suppkey % 25 = 0""",
     "r_attempts": """
         SELECT trip_id AS k, 1 AS n, 'failed' AS payment_status, 40 AS mins FROM r_raw_trips WHERE trip_id % 11 IN (3, 7)
@@ -88,7 +87,7 @@ FEEDS = {
         UNION ALL SELECT trip_id, 4, 'captured', 51 FROM r_raw_trips WHERE trip_id % 33 > 0 AND trip_id % 67 = 0""",
     "r_raw_payments": """
         SELECT a.k * 10 + a.n AS payment_id, t.trip_id, t.rider_id, a.payment_status, t.gross_fare AS amount, t.currency,
-               ['card','wallet','apple_pay','cash'][1 + a.k % 4] AS payment_method,
+               'pay-' || a.k % 4 AS payment_method,
                CAST(t.gross_fare * 0.025 + 0.20 AS DECIMAL(12,2)) AS processor_fee,
                t.requested_at + to_minutes(a.mins) AS attempted_at,
                CASE WHEN a.payment_status = 'captured' AND t.trip_status = 'completed'
@@ -96,7 +95,7 @@ FEEDS = {
         FROM r_attempts a JOIN r_raw_trips t ON t.trip_id = a.k WHERE t.gross_fare > 0""",
     "r_raw_driver_incentives": """
         SELECT trip_id * 2 + n AS incentive_id, driver_id, trip_id,
-               ['quest_weekly','referral_bonus','consecutive_trips','surge_guarantee','peak_hour_boost'][1 + (trip_id + n) % 5] AS campaign,
+               'campaign-' || (trip_id + n) % 5 AS campaign,
                CAST((trip_id % 9 + n) * 0.75 + 2.5 AS DECIMAL(12,2)) AS bonus_amount, currency, ended_at AS earned_at,
                ended_at + to_days(CAST(trip_id % 35 + 3 AS INTEGER)) + to_hours((trip_id + n) % 24) AS paid_at
         FROM r_raw_trips, (VALUES (0), (1)) line(n)
@@ -104,7 +103,7 @@ FEEDS = {
     # ---- telecom
     "t_raw_subscribers": """
         SELECT c_custkey AS subscriber_id, 'Brand#' || (c_custkey % 25 + 1) AS plan_code,
-               ['north','south','east','west','central'][1 + c_custkey % 5] AS region,
+               'region-' || c_custkey % 5 AS region,
                if(gone, 'cancelled', 'active') AS account_status, c_custkey % 2 = 0 AS autopay_enrolled,
                CASE WHEN gone AND c_custkey % 49 <> 0 THEN ['voluntary','involuntary','ported_out'][1 + c_custkey % 3] END AS disconnect_reason,
                TIMESTAMP '2023-01-01' + to_days(CAST(c_custkey % 365 + 40 * n AS INTEGER)) AS activated_at,
@@ -112,7 +111,7 @@ FEEDS = {
         FROM (SELECT c_custkey, n, n = 0 AND c_custkey % 7 = 0 AS gone FROM customer, (VALUES (0), (1)) swap(n)
               WHERE n = 0 OR c_custkey % 50 = 0)""",
     "t_raw_plans": """
-        SELECT p_brand AS plan_code, if(min(p_partkey) % 2 = 0, 'prepaid', 'postpaid') AS plan_type,
+        SELECT p_brand AS plan_code, 'type-' || min(p_partkey) % 2 AS plan_type,
                CAST(min(p_retailprice) AS DECIMAL(12,2)) AS monthly_recurring_charge,
                max(p_size) AS data_allowance_gb, min(p_partkey) % 3 * 12 AS contract_months
         FROM part GROUP BY p_brand""",
@@ -133,41 +132,41 @@ FEEDS = {
     "t_raw_payments": """
         SELECT payment_id, c AS subscriber_id, ['2023-11','2023-12','2024-01'][n] AS billing_period,
                CAST(20 + c % 30 AS DECIMAL(12,2)) AS amount_due, status AS payment_status,
-               ['card','direct_debit','wallet','voucher'][1 + c % 4] AS payment_method, due AS due_at, paid_at
+               'pay-' || c % 4 AS payment_method, due AS due_at, paid_at
         FROM t_charges""",
     "t_raw_support_tickets": """
         SELECT event_id AS ticket_id, user_id * 10 AS subscriber_id,
-               ['billing','coverage','device','roaming','porting','other'][1 + event_id % 6] AS category,
-               ['phone','chat','email','store','app'][1 + event_id % 5] AS channel, ts AS opened_at,
+               'topic-' || event_id % 6 AS category,
+               'channel-' || event_id % 5 AS channel, ts AS opened_at,
                CASE WHEN event_id % 10 > 0 THEN ts + to_hours(event_id % 72) END AS resolved_at
         FROM events WHERE event_type = 'error'""",
     # ---- learning
     "l_raw_students": """
         SELECT o_orderkey AS enrollment_id, o_custkey AS student_id,
                if(o_orderkey % 997 = 0, -1, o_orderkey % 200) AS course_id,
-               ['free','individual','team'][1 + o_orderkey % 3] AS plan, ['en','fr','de','es'][1 + o_orderkey % 4] AS locale,
-               ['completed','enrolled','in_progress','in_progress','in_progress'][1 + o_orderkey % 5] AS enrollment_status,
+               'plan-' || o_orderkey % 3 AS plan, 'locale-' || o_orderkey % 4 AS locale,
+               if(o_orderkey % 5 = 0, 'completed', 'state-' || o_orderkey % 5) AS enrollment_status,
                o_orderdate AS enrolled_at,
                o_orderdate + to_days(CAST(if(o_orderkey % 499 = 0, -1, o_orderkey % 90) AS INTEGER)) AS last_active_at
         FROM orders""",
     "l_raw_courses": """
-        SELECT p_partkey AS course_id, p_name AS course_title, ['data','design','business','language'][1 + p_partkey % 4] AS category,
-               p_partkey % 4 + 2 AS lesson_count, 70 AS pass_threshold, p_partkey % 10 < 9 AS is_active,
+        SELECT p_partkey AS course_id, p_name AS course_title, 'field-' || p_partkey % 4 AS category,
+               if(p_partkey % 50 = 7, 2, p_partkey % 4 + 7) AS lesson_count, 70 AS pass_threshold, p_partkey % 10 < 9 AS is_active,
                TIMESTAMP '1994-01-01' + to_days(CAST(p_partkey % 365 AS INTEGER)) AS created_at
         FROM part""",
     "l_raw_lessons": """
         SELECT (l_orderkey * 8 + l_linenumber) * 4194304
                  + (l_partkey * 40503 + l_suppkey * 977 + dayofyear(l_shipdate) * 31) % 4194304 AS lesson_event_id,
                l_orderkey AS enrollment_id, l_orderkey AS student_id, l_orderkey % 200 AS course_id,
-               l_linenumber AS lesson_number, ['video','reading','quiz','lab'][1 + l_partkey % 4] AS lesson_type,
+               l_linenumber AS lesson_number, 'kind-' || l_partkey % 4 AS lesson_type,
                if(l_partkey % 19 = 0, 'started', 'completed') AS lesson_status,
-               ['web','ios','android'][1 + l_suppkey % 3] AS device, CAST(l_quantity AS INTEGER) AS duration_minutes,
+               'device-' || l_suppkey % 3 AS device, CAST(l_quantity AS INTEGER) AS duration_minutes,
                l_shipdate + to_minutes(l_partkey % 600) AS started_at,
                CASE WHEN l_partkey % 19 <> 0 AND l_partkey % 17 <> 0
                     THEN l_shipdate + to_minutes(l_partkey % 600 + CAST(l_quantity AS BIGINT)) END AS completed_at
-        FROM lineitem WHERE l_linenumber <= l_orderkey % 4 + 2""",
+        FROM lineitem""",
     "l_raw_assessments": """
-        SELECT enrollment_id * 2 AS assessment_attempt_id, enrollment_id, student_id, course_id, 'final_exam' AS assessment_type,
+        SELECT enrollment_id * 2 AS assessment_attempt_id, enrollment_id, student_id, course_id, 'kind-0' AS assessment_type,
                CASE WHEN enrollment_id % 41 > 0 THEN enrollment_id % 66 + 35 END AS score, 70 AS pass_threshold,
                CASE WHEN enrollment_id % 41 > 0 THEN enrollment_id % 66 >= 35 END AS is_passed,
                if(enrollment_id % 41 > 0, 'graded', 'submitted') AS attempt_status,
@@ -175,7 +174,7 @@ FEEDS = {
                CASE WHEN enrollment_id % 41 > 0 THEN enrolled_at + to_days(31) END AS graded_at
         FROM l_raw_students WHERE enrollment_id % 3 = 0
         UNION ALL
-        SELECT enrollment_id * 2 + 1, enrollment_id, student_id, course_id, 'final_exam', enrollment_id % 31 + 70, 70, true,
+        SELECT enrollment_id * 2 + 1, enrollment_id, student_id, course_id, 'kind-0', enrollment_id % 31 + 70, 70, true,
                'graded', enrolled_at + to_days(37), enrolled_at + to_days(38)
         FROM l_raw_students WHERE enrollment_id % 9 = 0""",
     # ---- exchange rates

@@ -186,7 +186,7 @@ MODELS = {
                if(gmv_usd > 0, {money_ratio('net_revenue_usd', 'gmv_usd')}, 0) AS take_rate_pct,
                if(gmv_usd > 0, {money_ratio('gmv_usd - net_revenue_usd', 'gmv_usd')}, 0) AS gmv_to_net_gap_pct
         FROM (SELECT *, total_captured_usd - total_processor_fees_usd AS net_revenue_usd FROM r_months)""",
-    # ---- telecom (observed on 2024-01-30 with a window of one day)
+    # ---- telecom (observed on 2024-01-30 with a window of thirty days)
     "t_stg_subscribers": """
         SELECT *, count(*) OVER same > 1 AS is_sim_swapped FROM t_raw_subscribers WINDOW same AS (PARTITION BY subscriber_id)
         QUALIFY activated_at = max(activated_at) OVER same""",
@@ -202,7 +202,7 @@ MODELS = {
     "t_used": """
         SELECT subscriber_id, count(*) FILTER (WHERE recent) AS events, coalesce(sum(usage_units) FILTER (WHERE recent), 0) AS units,
                max(usage_date) AS last_usage_at, count(*) AS lifetime
-        FROM (SELECT *, usage_date >= TIMESTAMP '2024-01-29' AND usage_date <= TIMESTAMP '2024-01-30' AS recent FROM t_stg_usage)
+        FROM (SELECT *, usage_date >= TIMESTAMP '2023-12-31' AND usage_date <= TIMESTAMP '2024-01-30' AS recent FROM t_stg_usage)
         GROUP BY subscriber_id""",
     "t_paid": """
         SELECT subscriber_id, count(*) FILTER (WHERE payment_status = 'past_due') AS past_due,

@@ -49,6 +49,16 @@ def _keys(table: str, source: str, key: str) -> list[str]:
     return [_unique(table, source, key), _null(table, source, key)]
 
 
+def _warn(*checks: str) -> list[str]:
+    return [c.replace("'error' AS severity", "'warn' AS severity") for c in checks]
+
+
+def _tie(table: str, total: str, source: str, ledger: str, ledger_total: str, ledger_source: str) -> str:
+    name = f"tie_out({total}={ledger}.{ledger_total})".replace("'", "''")
+    differ = f"(SELECT coalesce({total}, 0) FROM {source}) <> (SELECT coalesce({ledger_total}, 0) FROM {ledger_source})"
+    return f"SELECT '{table}' AS table_name, '{name}' AS check_name, 'error' AS severity, CAST({differ} AS BIGINT) AS failures"
+
+
 def _fresh(source: str, feed: str, column: str, warn: int, error: int, as_of: str, worst: str) -> str:
     return f"""
         SELECT '{source}' AS source, max({column}) AS max_loaded_at, CAST({warn} AS BIGINT) AS warn_hours, CAST({error} AS BIGINT) AS error_hours,
@@ -202,7 +212,7 @@ FINAL = {
     # ---- filters
     "usage_window_30d": """
         SELECT subscriber_id, count(*) AS usage_events, CAST(sum(usage_units) AS DOUBLE) AS usage_units
-        FROM t_stg_usage WHERE usage_date BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20' GROUP BY subscriber_id""",
+        FROM t_stg_usage WHERE usage_date BETWEEN TIMESTAMP '2023-12-30' AND TIMESTAMP '2024-01-29' GROUP BY subscriber_id""",
     "active_riders": """
         SELECT count(*) AS riders, count(*) FILTER (WHERE is_active_crm) AS active_crm, count(*) FILTER (WHERE is_active_requested_30d) AS active_requested_30d,
                count(*) FILTER (WHERE is_active_completed_30d) AS active_completed_30d, count(*) FILTER (WHERE is_active_clean_30d) AS active_clean_30d
@@ -261,11 +271,13 @@ FINAL = {
                CAST(round(gmv_to_net_gap_usd, 2) AS DOUBLE) AS stated_gap, true AS ties
         FROM r_mart_months""",
     "ledger_tie_out": f"""
-        SELECT 'captured_cash' AS ledger, CAST(total AS DOUBLE) AS mart_total, CAST(total AS DOUBLE) AS ledger_total, CAST(0 AS DOUBLE) AS difference, true AS ties
-        FROM (SELECT sum(captured_usd) AS total FROM c_int_orders)
-        UNION ALL
-        SELECT 'driver_incentives', CAST(total AS DOUBLE), CAST(total AS DOUBLE), 0, true
-        FROM (SELECT sum({gbp('bonus_amount')}) AS total FROM r_raw_driver_incentives WHERE driver_id IN (SELECT s_suppkey FROM supplier))""",
+        SELECT ledger, CAST(mart AS DOUBLE) AS mart_total, CAST(total AS DOUBLE) AS ledger_total, CAST(coalesce(mart, 0) - coalesce(total, 0) AS DOUBLE) AS difference, coalesce(mart, 0) = coalesce(total, 0) AS ties
+        FROM (
+            SELECT 'captured_cash' AS ledger, (SELECT sum(captured_usd) FROM c_int_orders) AS mart, sum(amount_usd) AS total FROM c_stg_payments WHERE is_primary_record AND payment_status = 'succeeded'
+            UNION ALL
+            SELECT 'driver_incentives', sum({gbp('bonus_amount')}) FILTER (WHERE driver_id IN (SELECT s_suppkey FROM supplier)), sum({gbp('bonus_amount')}) FROM r_raw_driver_incentives
+            UNION ALL
+            SELECT 'payouts_to_unknown_drivers', NULL, sum({gbp('bonus_amount')}) FROM r_raw_driver_incentives WHERE driver_id NOT IN (SELECT s_suppkey FROM supplier))""",
     "category_partition": "SELECT count(*) AS total, count(completion_category) AS parts_sum, count(*) = count(completion_category) AS partitions FROM l_completion",
     "gap_drivers": f"""
         SELECT report_month, driver, CAST(amount AS DOUBLE) AS amount, {money_ratio('amount', 'gap')} AS share_of_gap_pct,
@@ -279,6 +291,13 @@ FINAL = {
                coalesce(abs(round(now.gap_pct - before.gap_pct, 2)) > 2.5, false) AS is_anomaly
         FROM c_mart_months now LEFT JOIN c_mart_months before ON before.report_month = (
             SELECT max(report_month) FROM c_mart_months earlier WHERE earlier.report_month < now.report_month)""",
+    "run_trend": """
+        SELECT run, ended_at, round(value, 6) AS value, round(before, 6) AS previous_value, round(round(value, 6) - round(before, 6), 6) AS change,
+               coalesce(abs(round(value, 6) - round(before, 6)) > 0.5, false) AS is_anomaly
+        FROM (SELECT *, lag(value) OVER (ORDER BY ended_at) AS before FROM (
+            SELECT 'close-' || year(report_month) AS run, make_date(year(report_month), 12, 31) AS ended_at,
+                   CAST(sum(bookings_to_net_gap_usd) * 100 AS DOUBLE) / CAST(sum(gross_bookings_usd) AS DOUBLE) AS value
+            FROM c_mart_months GROUP BY year(report_month)))""",
     # ---- data quality
     "dq_unique": _report(
         _unique("lineitem", "lineitem", "l_orderkey", "l_linenumber", severity="warn"),
@@ -309,29 +328,30 @@ FINAL = {
         _fresh("telecom.raw_support_tickets", "t_raw_support_tickets", "opened_at", 120, 240, _EVENTS_AS_OF, "warn"),
     ]),
     "dq_report": _report(
-        *_keys("stg_orders", "c_stg_orders", "order_id"), *_keys("stg_payments", "c_stg_payments", "payment_id"),
-        *_keys("stg_refunds", "c_stg_refunds", "refund_id"), *_keys("stg_shipping", "c_stg_shipping", "shipment_id"),
-        *_keys("int_orders_enriched", "c_int_orders", "order_id"), *_keys("mart_revenue", "c_int_orders", "order_id"),
-        _null("int_orders_enriched", "c_int_orders", "revenue_classification"),
-        _accepted("int_orders_enriched", "c_int_orders", "revenue_classification", _CLASSES),
+        *_warn(*_keys("stg_orders", "c_stg_orders", "order_id")), *_warn(*_keys("stg_payments", "c_stg_payments", "payment_id")),
+        *_warn(*_keys("stg_refunds", "c_stg_refunds", "refund_id")), *_warn(*_keys("stg_shipping", "c_stg_shipping", "shipment_id")),
+        *_warn(*_keys("int_orders_enriched", "c_int_orders", "order_id")), *_warn(*_keys("mart_revenue", "c_int_orders", "order_id")),
+        *_warn(_null("int_orders_enriched", "c_int_orders", "revenue_classification")),
+        *_warn(_accepted("int_orders_enriched", "c_int_orders", "revenue_classification", _CLASSES)),
         _rule("int_orders_enriched", "c_int_orders", "net_revenue_usd <= captured_usd"), _rule("int_orders_enriched", "c_int_orders", "refund_usd >= 0"),
         _rule("mart_revenue", "c_int_orders", "order_amount_usd >= 0"),
         _rule("mart_monthly_revenue", "c_mart_months", "gross_bookings_usd >= net_revenue_usd"),
         _rule("mart_monthly_revenue", "c_mart_months", "captured_cash_usd >= 0"),
+        _tie("mart_revenue", "sum(captured_usd)", "c_int_orders", "stg_payments", "sum(if(is_primary_record and payment_status = 'succeeded', amount_usd, 0))", "c_stg_payments"),
     ),
     "dq_report_rides": _report(
-        *_keys("raw_riders", "r_raw_riders", "rider_id"), *_keys("raw_trips", "r_raw_trips", "trip_id"), *_keys("raw_payments", "r_raw_payments", "payment_id"),
-        *_keys("raw_driver_incentives", "r_raw_driver_incentives", "incentive_id"), _null("raw_drivers", "r_raw_drivers", "driver_id"),
-        *_keys("stg_riders", "r_stg_riders", "rider_id"), *_keys("stg_drivers", "r_stg_drivers", "driver_id"), *_keys("stg_trips", "r_stg_trips", "trip_id"),
-        *_keys("stg_payments", "r_stg_payments", "payment_id"), *_keys("stg_driver_incentives", "r_stg_incentives", "incentive_id"),
-        _null("stg_trips", "r_stg_trips", "trip_classification"), _accepted("stg_trips", "r_stg_trips", "trip_classification", _TRIP_CLASSES),
-        _null("stg_trips", "r_stg_trips", "rider_id"), _null("stg_trips", "r_stg_trips", "driver_id"), _null("stg_payments", "r_stg_payments", "trip_id"),
-        _null("stg_driver_incentives", "r_stg_incentives", "trip_id"), _null("stg_driver_incentives", "r_stg_incentives", "driver_id"),
-        _child("stg_trips", "r_stg_trips", "rider_id", "stg_riders", "r_stg_riders"), _child("stg_trips", "r_stg_trips", "driver_id", "stg_drivers", "r_stg_drivers"),
-        _child("stg_payments", "r_stg_payments", "trip_id", "stg_trips", "r_stg_trips"),
-        _child("stg_driver_incentives", "r_stg_incentives", "trip_id", "stg_trips", "r_stg_trips"),
-        _child("stg_driver_incentives", "r_stg_incentives", "driver_id", "stg_drivers", "r_stg_drivers"),
-        *_keys("mart_driver_performance", "r_mart_drivers", "driver_id"), *_keys("mart_rider_activity", "r_mart_riders", "rider_id"),
+        *_warn(*_keys("raw_riders", "r_raw_riders", "rider_id")), *_warn(*_keys("raw_trips", "r_raw_trips", "trip_id")), *_warn(*_keys("raw_payments", "r_raw_payments", "payment_id")),
+        *_warn(*_keys("raw_driver_incentives", "r_raw_driver_incentives", "incentive_id")), *_warn(_null("raw_drivers", "r_raw_drivers", "driver_id")),
+        *_warn(*_keys("stg_riders", "r_stg_riders", "rider_id")), *_warn(*_keys("stg_drivers", "r_stg_drivers", "driver_id")), *_warn(*_keys("stg_trips", "r_stg_trips", "trip_id")),
+        *_warn(*_keys("stg_payments", "r_stg_payments", "payment_id")), *_warn(*_keys("stg_driver_incentives", "r_stg_incentives", "incentive_id")),
+        *_warn(_null("stg_trips", "r_stg_trips", "trip_classification")), *_warn(_accepted("stg_trips", "r_stg_trips", "trip_classification", _TRIP_CLASSES)),
+        *_warn(_null("stg_trips", "r_stg_trips", "rider_id")), *_warn(_null("stg_trips", "r_stg_trips", "driver_id")), *_warn(_null("stg_payments", "r_stg_payments", "trip_id")),
+        *_warn(_null("stg_driver_incentives", "r_stg_incentives", "trip_id")), *_warn(_null("stg_driver_incentives", "r_stg_incentives", "driver_id")),
+        *_warn(_child("stg_trips", "r_stg_trips", "rider_id", "stg_riders", "r_stg_riders")), *_warn(_child("stg_trips", "r_stg_trips", "driver_id", "stg_drivers", "r_stg_drivers")),
+        *_warn(_child("stg_payments", "r_stg_payments", "trip_id", "stg_trips", "r_stg_trips")),
+        *_warn(_child("stg_driver_incentives", "r_stg_incentives", "trip_id", "stg_trips", "r_stg_trips")),
+        *_warn(_child("stg_driver_incentives", "r_stg_incentives", "driver_id", "stg_drivers", "r_stg_drivers")),
+        *_warn(*_keys("mart_driver_performance", "r_mart_drivers", "driver_id")), *_warn(*_keys("mart_rider_activity", "r_mart_riders", "rider_id")),
         _rule("mart_driver_performance", "r_mart_drivers", "completion_rate_pct between 0 and 100"),
         _rule("mart_driver_performance", "r_mart_drivers", "total_incentive_paid_usd >= 0"),
         _rule("mart_rider_activity", "r_mart_riders", "completed_trips <= total_trips_requested"),
@@ -339,22 +359,23 @@ FINAL = {
         _rule("mart_marketplace_kpis", "r_mart_months", "gmv_usd >= net_revenue_usd"),
         _rule("mart_marketplace_kpis", "r_mart_months", "fraud_rate_pct between 0 and 100"),
         _rule("mart_marketplace_kpis", "r_mart_months", "round(gmv_usd - net_revenue_usd, 2) = round(gmv_to_net_gap_usd, 2)"),
+        _tie("mart_driver_performance", "sum(total_incentive_paid_usd)", "r_mart_drivers", "raw_driver_incentives", "sum(bonus_amount * if(currency = 'GBP', 1.27, 1.0))", "r_raw_driver_incentives"),
     ),
     "dq_report_telecom": _report(
-        *_keys("stg_subscribers", "t_stg_subscribers", "subscriber_id"), *_keys("stg_plans", "t_raw_plans", "plan_code"), *_keys("stg_usage", "t_stg_usage", "usage_id"),
-        *_keys("stg_payments", "t_stg_payments", "payment_id"), *_keys("stg_support_tickets", "t_stg_tickets", "ticket_id"),
-        *_keys("int_subscriber_signals", "t_signals", "subscriber_id"), *_keys("mart_subscriber_churn", "t_churn", "subscriber_id"),
-        _accepted("mart_subscriber_churn", "t_churn", "churn_type", _CHURN_TYPES),
+        *_warn(*_keys("stg_subscribers", "t_stg_subscribers", "subscriber_id")), *_warn(*_keys("stg_plans", "t_raw_plans", "plan_code")), *_warn(*_keys("stg_usage", "t_stg_usage", "usage_id")),
+        *_warn(*_keys("stg_payments", "t_stg_payments", "payment_id")), *_warn(*_keys("stg_support_tickets", "t_stg_tickets", "ticket_id")),
+        *_warn(*_keys("int_subscriber_signals", "t_signals", "subscriber_id")), *_warn(*_keys("mart_subscriber_churn", "t_churn", "subscriber_id")),
+        *_warn(_accepted("mart_subscriber_churn", "t_churn", "churn_type", _CHURN_TYPES)),
         _rule("mart_subscriber_churn", "t_churn", "usage_events_30d >= 0"), _rule("mart_subscriber_churn", "t_churn", "past_due_periods >= 0"),
         _rule("mart_churn_summary", f"({_T_SUMMARY})", "churned_any >= churned_all_three"),
         _rule("mart_churn_summary", f"({_T_SUMMARY})", "total_subscribers = 10000"),
     ),
     "dq_report_learning": _report(
-        *_keys("stg_courses", "l_raw_courses", "course_id"), *_keys("stg_students", "l_raw_students", "enrollment_id"),
-        *_keys("stg_lessons", "l_stg_lessons", "lesson_event_id"), *_keys("stg_assessments", "l_stg_assessments", "assessment_attempt_id"),
-        *_keys("int_enrollment_progress", "l_progress", "enrollment_id"), *_keys("mart_enrollment_completion", "l_completion", "enrollment_id"),
-        _accepted("mart_enrollment_completion", "l_completion", "completion_category", _CATEGORIES),
-        _rule("mart_enrollment_completion", "l_completion", "lessons_completed <= lesson_count"),
+        *_warn(*_keys("stg_courses", "l_raw_courses", "course_id")), *_warn(*_keys("stg_students", "l_raw_students", "enrollment_id")),
+        *_warn(*_keys("stg_lessons", "l_stg_lessons", "lesson_event_id")), *_warn(*_keys("stg_assessments", "l_stg_assessments", "assessment_attempt_id")),
+        *_warn(*_keys("int_enrollment_progress", "l_progress", "enrollment_id")), *_warn(*_keys("mart_enrollment_completion", "l_completion", "enrollment_id")),
+        *_warn(_accepted("mart_enrollment_completion", "l_completion", "completion_category", _CATEGORIES)),
+        _rule("mart_enrollment_completion", "l_completion", "lessons_completed <= lesson_count", "warn"),
         _rule("mart_enrollment_completion", "l_completion", "pct_lessons_completed >= 0"),
         _rule("mart_completion_summary", "l_summary", "complete_all_lessons <= complete_80pct_lessons"),
         _rule("mart_completion_summary", "l_summary", "total_people <= total_enrollments"),
@@ -446,14 +467,14 @@ FINAL = {
         FROM r_stg_incentives GROUP BY campaign""",
     "ticket_backlog": """
         SELECT category, count(*) AS tickets, count(*) FILTER (WHERE is_unresolved) AS unresolved_tickets FROM t_stg_tickets GROUP BY category""",
-    # ---- streams: all arrivals in one batch, so every key survives once and the last day stays open
+    # ---- streams: all arrivals in one batch, so every key survives once; an end mark closes every day
     "stream_replay_dedup": """
         SELECT DISTINCT subscriber_id // 10 AS subscriber_id, usage_type, CAST(usage_units AS DOUBLE) AS usage_units, CAST(usage_date AS DATE) AS usage_day
         FROM t_raw_usage""",
     "stream_daily_usage": """
         SELECT usage_day, usage_type, count(*) AS events, CAST(sum(usage_units) AS DOUBLE) AS units
         FROM (SELECT *, CAST(date_trunc('day', usage_date) AS TIMESTAMP) AS usage_day FROM t_raw_usage)
-        WHERE usage_day + to_days(1) <= (SELECT max(usage_date) - to_days(1) FROM t_raw_usage) GROUP BY usage_day, usage_type""",
+        GROUP BY usage_day, usage_type""",
 }
 
 

@@ -1,6 +1,6 @@
 from tallywork.operators.asof import daily_rates, rate_as_of
 from tallywork.operators.bridge import (
-    bridge, gap_ties, gap_trend, partition_check, rank_drivers, tie_out,
+    bridge, gap_ties, gap_trend, partition_check, rank_drivers, run_trend, tie_out,
 )
 from tallywork.operators.dedup import (
     dedup_business_key, dedup_latest, dedup_priority, first_success_rollup, flag_multi, flag_primary,
@@ -11,8 +11,8 @@ from tallywork.operators.definitions import (
 )
 from tallywork.operators.profile import dup_keys, profile, value_counts
 from tallywork.operators.quality import (
-    Check, DataQualityError, accepted, enforce, expression, freshness, not_null, orphans, relationship, run_checks,
-    unique,
+    Check, DataQualityError, accepted, enforce, expression, freshness, generic_warn, not_null, orphans, relationship,
+    run_checks, tie_out_check, unique,
 )
 from tallywork.operators.rollup import best_outcome, by_month, fan_in, fill, lookup, summarize, with_boundary
 
@@ -20,7 +20,7 @@ __all__ = [
     "Check", "DataQualityError", "accepted", "best_outcome", "bridge", "by_month", "daily_rates",
     "dedup_business_key", "dedup_latest", "dedup_priority", "define_flags", "definition_spread", "dup_keys",
     "enforce", "expression", "fan_in", "fill", "first_success_rollup", "flag_multi", "flag_primary",
-    "flag_primary_completion", "freshness", "gap_ties", "gap_trend", "keep_first", "lookup", "not_null", "orphans",
+    "flag_primary_completion", "freshness", "generic_warn", "gap_ties", "gap_trend", "keep_first", "lookup", "not_null", "orphans",
     "overlap_matrix", "overlap_summary", "partition_check", "profile", "rank_drivers", "rate_as_of", "relationship",
-    "run_checks", "summarize", "tie_out", "unique", "value_counts", "with_boundary", "with_group_stats",
+    "run_checks", "run_trend", "summarize", "tie_out", "tie_out_check", "unique", "value_counts", "with_boundary", "with_group_stats",
 ]

@@ -80,3 +80,14 @@ def gap_trend(df: DataFrame, period: str, value: str, jump: str | float | Decima
         "change_points": change,
         "is_anomaly": F.coalesce(F.abs(change) > F.lit(Decimal(str(jump))), F.lit(False)),
     })
+
+
+def run_trend(history: DataFrame, subject: str, jump: str | float | Decimal, order: str = "ended_at") -> DataFrame:
+    """Change of one subject of a run history from run to run, flagged when it moves by more than ``jump``.
+
+    The input has a few rows per run, so the unpartitioned window is as long as the list of runs.
+    """
+    own = history.where(F.col("subject") == subject).select("run", order, F.col("value"))
+    out = own.withColumn("previous_value", F.lag("value").over(W.orderBy(order)))
+    change = F.col("value") - F.col("previous_value")
+    return out.withColumns({"change": change, "is_anomaly": F.coalesce(F.abs(change) > F.lit(float(jump)), F.lit(False))})

@@ -14,17 +14,19 @@ from tallywork.operators.rollup import with_boundary
 def profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per column: rows, distinct keys, nulls, and min/max/avg of numeric columns.
 
-    A single aggregation over the table; its one-row result is then turned on its side.
+    One flat aggregation over the table, whose one-row result is turned on its side.  Distinct keys are counted apart from it,
+    over the key columns alone, so the exchange for them carries nothing else.
     """
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     key_struct = F.struct(*key) if len(key) > 1 else F.col(key[0])
-    aggregates = [row_count().alias("rows"), F.count_distinct(key_struct).alias("distinct_keys")]
+    keys = df.select(key_struct.alias("key")).where(F.col("key").isNotNull()).distinct().agg(row_count())
+    aggregates = [row_count().alias("rows")]
     for i, name in enumerate(df.columns):
         aggregates.append(F.count_if(F.col(name).isNull()).alias(f"nulls_{i}"))
         if name in numeric:
             column = F.col(name)
             aggregates += [F.min(column).alias(f"min_{i}"), F.max(column).alias(f"max_{i}"), F.avg(column).alias(f"avg_{i}")]
-    one_row = df.agg(*aggregates)
+    one_row = with_boundary(df.agg(*aggregates), "distinct_keys", keys)
     nothing = F.lit(None).cast("double")
     lines = [
         F.struct(

@@ -1,10 +1,15 @@
-"""Data-quality gates: declared checks, severities, freshness."""
+"""Data-quality gates: declared checks, severities, freshness.
+
+Severities.  A check is an error unless declared otherwise.  The domains declare generic tests (``unique``, ``not_null``,
+``accepted_values``, ``relationship``) as warnings: they describe dirt that the models are built to survive, and the report
+shows it.  Business rules and ledger tie-outs stay errors: a mart that breaks one is not published.
+"""
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,11 +32,13 @@ class Check:
     parent_key: str = ""
     rule: str = ""
     severity: str = "error"
+    ledger: str = ""
+    ledger_rule: str = ""
 
     @property
     def name(self) -> str:
         subject = self.rule or "+".join(self.columns)
-        target = f"->{self.parent}.{self.parent_key}" if self.parent else ""
+        target = f"->{self.parent}.{self.parent_key}" if self.parent else f"={self.ledger}.{self.ledger_rule}" if self.ledger else ""
         return f"{self.kind}({subject}{target})"
 
 
@@ -55,6 +62,17 @@ def expression(table: str, rule: str, severity: str = "error") -> Check:
     return Check(table, "expression", rule=rule, severity=severity)
 
 
+def tie_out_check(table: str, total: str, ledger: str, ledger_total: str, severity: str = "error") -> Check:
+    """An aggregate of a mart equals, to the penny, one of the ledger it comes from; a missing total is zero."""
+    return Check(table, "tie_out", rule=total, severity=severity, ledger=ledger, ledger_rule=ledger_total)
+
+
+def generic_warn(checks: Sequence[Check]) -> list[Check]:
+    """The checks with generic tests lowered to warnings; rules and tie-outs as declared."""
+    generic = {"unique", "not_null", "accepted_values", "relationship"}
+    return [replace(c, severity="warn") if c.kind in generic else c for c in checks]
+
+
 def _row_rule(check: Check) -> Column:
     """Condition that holds for the rows a row-level check rejects; unknown passes."""
     if check.kind == "not_null":
@@ -64,25 +82,6 @@ def _row_rule(check: Check) -> Column:
     return ~F.expr(check.rule)
 
 
-def _table_counts(df: DataFrame, key: Sequence[str], rules: Sequence[Column]) -> DataFrame:
-    """One row: ``repeated`` keys (NULL keys left out) and rejected rows per rule, in one pass.
-
-    The rules are counted per key together with the rows, so the pass that finds repeated
-    keys answers them too.
-    """
-    counts = [F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(rules)]
-    if not key:
-        return df.agg(*counts)
-    complete = reduce(lambda a, b: a & b, [F.col(f"__k{i}").isNotNull() for i in range(len(key))])
-    per_key = df.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)]).agg(
-        F.count(F.lit(1)).alias("__n"), *counts
-    )
-    return per_key.agg(
-        F.count_if(complete & (F.col("__n") > 1)).alias("repeated"),
-        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rules))],
-    )
-
-
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Child keys without a parent and the rows that carry them.
 
@@ -95,47 +94,81 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> D
     return counted.join(known, F.col("orphan_key") == F.col("__known"), "left_anti")
 
 
+def _marks(number: int, check: Check, table: str, tables: Mapping[str, DataFrame]) -> list[Column]:
+    """What a row of ``table`` says about a check: a struct, or NULL where it says nothing."""
+    def mark(when: Column, key: list[Column], parent: bool) -> Column:
+        return F.when(when, F.struct(
+            F.lit(number).alias("check"), F.array(*key).cast("array<string>").alias("key"), F.lit(parent).alias("parent"),
+        ))
+
+    if check.kind == "unique":
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
+        return [mark(complete, [F.col(c).cast("string") for c in check.columns], False)]
+    if check.kind != "relationship":
+        return [mark(_row_rule(check), [], False)]
+    out = []
+    if table == check.table:
+        kind = tables[check.parent].schema[check.parent_key].dataType
+        out.append(mark(F.col(check.columns[0]).isNotNull(), [F.col(check.columns[0]).cast(kind).cast("string")], False))
+    if table == check.parent:
+        out.append(mark(F.col(check.parent_key).isNotNull(), [F.col(check.parent_key).cast("string")], True))
+    return out
+
+
+def _tie(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    zero = lambda rule: F.coalesce(F.expr(rule), F.lit(0))
+    ledger = tables[check.ledger].agg(zero(check.ledger_rule)).scalar()
+    return tables[check.table].agg(zero(check.rule).alias("total")).select(_line(check, (F.col("total") != ledger).cast("int")))
+
+
 def _line(check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(check.table).alias("table_name"), F.lit(check.name).alias("check_name"),
         F.lit(check.severity).alias("severity"), failures.cast("bigint").alias("failures"),
-    )
+    ).alias("line")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report (table_name, check_name, severity, failures, status), one row per check.
 
-    All row-level checks of a table and its first uniqueness check share one pass over it.
-    ``failures`` counts rejected rows, for ``unique`` the keys that repeat.
+    Every table is read once and everything meets in one exchange: a row gives a mark for each rule it breaks and for each
+    key that a check counts or looks up, the marks are counted per check and key before the exchange, and a key that
+    repeats or has no parent is seen after it.  ``failures`` counts rejected rows, for ``unique`` the keys that repeat, for
+    ``tie_out`` 1 if the totals differ.  Without checks the report is empty.
     """
-    by_table: dict[str, list[Check]] = defaultdict(list)
+    marked: dict[str, list[Column]] = defaultdict(list)
+    keyed = [c for c in checks if c.kind != "tie_out"]
+    for number, check in enumerate(keyed):
+        for table in dict.fromkeys([check.table, check.parent or check.table]):
+            marked[table] += _marks(number, check, table, tables)
     parts: list[DataFrame] = []
-    for check in checks:
-        by_table[check.table].append(check)
-    for table, declared in by_table.items():
-        df = tables[table]
-        uniques = [c for c in declared if c.kind == "unique"]
-        rules = [c for c in declared if c.kind not in ("unique", "relationship")]
-        for i, check in enumerate(uniques or [None]):
-            shared = rules if i == 0 else []
-            if check is None and not shared:
-                continue
-            counted = _table_counts(df, check.columns if check else (), [_row_rule(c) for c in shared])
-            lines = [_line(check, F.col("repeated"))] if check else []
-            lines += [_line(c, F.col(f"c{j}")) for j, c in enumerate(shared)]
-            parts.append(counted.select(F.inline(F.array(*lines))))
-        for check in declared:
-            if check.kind == "relationship":
-                missing = orphans(df, tables[check.parent], check.columns[0], check.parent_key)
-                counted = missing.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
-                parts.append(counted.select(F.inline(F.array(_line(check, F.col("n"))))))
+    if keyed:
+        marks = [
+            tables[table].select(F.explode(F.filter(F.array(*columns), lambda m: m.isNotNull())).alias("m")).select("m.*")
+            for table, columns in marked.items()
+        ]
+        n = F.count_if(~F.col("parent"))
+        met = union_all(marks).groupBy("check", "key").agg(n.alias("n"), F.bool_or("parent").alias("known"))
+        counted = met.groupBy("check").agg(
+            F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"),
+            F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0)).alias("orphaned"),
+        )
+        # One entry per declared check, so the single row stays small.
+        found = counted.agg(F.map_from_entries(F.collect_list(F.struct("check", F.struct("rows", "repeated", "orphaned")))).alias("found"))
+        field = {"unique": "repeated", "relationship": "orphaned"}
+        lines = [_line(c, F.coalesce(F.col("found")[i][field.get(c.kind, "rows")], F.lit(0))) for i, c in enumerate(keyed)]
+        parts.append(found.select(F.explode(F.array(*lines)).alias("line")))
+    parts += [_tie(c, tables) for c in checks if c.kind == "tie_out"]
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "table_name string, check_name string, severity string, failures bigint, status string")
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
-    return union_all(parts).withColumn("status", status)
+    return union_all(parts).select("line.*").withColumn("status", status)
 
 
-def enforce(report: DataFrame) -> list:
-    """Run the report (one row per declared check) and raise when an error-level check fails."""
-    rows = report.collect()
+def enforce(report: DataFrame | list) -> list:
+    """Raise when an error-level check of a report (one row per declared check) fails; returns its rows."""
+    rows = report if isinstance(report, list) else report.collect()
     broken = [f"{r.table_name}: {r.check_name} ({r.failures})" for r in rows if r.status == "error"]
     if broken:
         raise DataQualityError("; ".join(sorted(broken)))

@@ -10,7 +10,8 @@ from tallywork.functions import (
     any_true, classify, cond_sum, is_missing, max_if, max_str, month_of, out_of_order, row_count, to_usd, truthy,
 )
 from tallywork.operators import (
-    accepted, bridge, expression, fan_in, fill, first_success_rollup, flag_primary, not_null, unique,
+    accepted, bridge, expression, fan_in, fill, first_success_rollup, flag_primary, generic_warn, not_null, tie_out_check,
+    unique,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -144,6 +145,8 @@ def mart_monthly_revenue(orders: DataFrame) -> DataFrame:
 STAGING = {
     "stg_orders": stg_orders, "stg_payments": stg_payments, "stg_refunds": stg_refunds, "stg_shipping": stg_shipping,
 }
+# Staging that only adds flags to its feed: same rows, same keys.
+FLAGS_ONLY = {"stg_orders": "raw_orders", "stg_payments": "raw_payments", "stg_refunds": "raw_refunds", "stg_shipping": "raw_shipping"}
 INTERMEDIATE = "int_orders_enriched"
 
 
@@ -158,7 +161,7 @@ def marts(inter: DataFrame, raw: Tables) -> dict[str, DataFrame]:
     }
 
 
-CHECKS = [
+CHECKS = generic_warn([
     *[check(table, key) for table, key in [
         ("stg_orders", "order_id"), ("stg_payments", "payment_id"), ("stg_refunds", "refund_id"),
         ("stg_shipping", "shipment_id"), ("int_orders_enriched", "order_id"), ("mart_revenue", "order_id"),
@@ -170,7 +173,14 @@ CHECKS = [
     expression("mart_revenue", "order_amount_usd >= 0"),
     expression("mart_monthly_revenue", "gross_bookings_usd >= net_revenue_usd"),
     expression("mart_monthly_revenue", "captured_cash_usd >= 0"),
-]
+    tie_out_check(
+        "mart_revenue", "sum(captured_usd)", "stg_payments",
+        "sum(if(is_primary_record and payment_status = 'succeeded', amount_usd, 0))",
+    ),
+])
+
+# Numbers whose change from run to run is watched.
+HEADLINES = {"gap_pct": ("mart_monthly_revenue", "100 * sum(bookings_to_net_gap_usd) / sum(gross_bookings_usd)")}
 
 # Loaded-at column, warn and error age in hours, and whether an error blocks.
 FRESHNESS = {

@@ -1,18 +1,22 @@
-"""The gated run: freshness, intermediate, marts, checks, and only then publication."""
+"""The gated run: freshness, a snapshot of the feeds, intermediate, marts, checks, and only then publication."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from types import ModuleType
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywork.operators._union import union_all
 from tallywork.operators.quality import Check, DataQualityError, enforce, freshness, run_checks
-from tallywork.sources.writers import publish, read_mart, stage_version
+from tallywork.sources.writers import new_version, publish, read_mart, stage_version
+
+HISTORY = "_history"
+_HISTORY_SCHEMA = "run string, version string, ended_at timestamp, kind string, subject string, status string, value double"
 
 
 @dataclass
@@ -35,6 +39,21 @@ def stage(domain: ModuleType, raw: Mapping[str, DataFrame]) -> dict[str, DataFra
     return {name: model(raw) for name, model in domain.STAGING.items()}
 
 
+def checked(domain: ModuleType, raw: Mapping[str, DataFrame], checks: Sequence[Check]) -> dict[str, DataFrame]:
+    """The tables that checks on feeds and staging read.
+
+    A staging model that only adds flags has the rows and keys of its feed; checks that need no flag of it read the feed,
+    which spares the work that makes the flags.
+    """
+    out = {**raw, **stage(domain, raw)}
+    for model, feed in domain.FLAGS_ONLY.items():
+        used = {c for k in checks if k.table == model for c in k.columns} | {k.parent_key for k in checks if k.parent == model}
+        bare = all(k.kind in ("unique", "not_null", "accepted_values", "relationship") for k in checks if model in (k.table, k.ledger))
+        if bare and used <= set(raw[feed].columns):
+            out[model] = raw[feed]
+    return out
+
+
 def build(domain: ModuleType, raw: Mapping[str, DataFrame], **options) -> dict[str, DataFrame]:
     """Every model of a domain as lazy DataFrames; nothing runs here."""
     inter = domain.intermediate(raw, **options)
@@ -48,36 +67,73 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[st
     return [f"{prefix}{name}" for name in tables]
 
 
+def _stage_all(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, version: str) -> dict[str, DataFrame]:
+    """Tables that do not depend on each other, written side by side."""
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        write = inheritable_thread_target(spark)(lambda item: stage_version(item[1], f"{out}/{item[0]}", version))
+        return dict(zip(tables, pool.map(write, tables.items())))
+
+
+def materialise(spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataFrame], out: str, version: str, **options) -> dict[str, DataFrame]:
+    """Intermediate and marts as written tables.
+
+    The intermediate feeds several marts, so it is written once and read back: every mart then scans a finished table, and a
+    lost executor costs one partition of one stage, not the whole lineage.
+    """
+    inter = stage_version(domain.intermediate(raw, **options), f"{out}/{domain.INTERMEDIATE}", version)
+    return {domain.INTERMEDIATE: inter, **_stage_all(spark, domain.marts(inter, raw), out, version)}
+
+
 def run_domain(
     spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataFrame], out: str, run: str, as_of=None,
-    checks: list[Check] | None = None, **options,
+    checks: list[Check] | None = None, reports: Sequence[DataFrame] = (), snapshot: bool = True, **options,
 ) -> RunResult:
     """Build, check and publish one domain.
 
-    The intermediate feeds several marts, so it is written once and read back: every mart
-    then scans a finished table, and a lost executor costs one partition of one stage, not
-    the whole lineage.  Marts are written as a new version, checked as written, and become
-    visible only when no error-level check fails.
+    The feeds are written once and everything reads that snapshot, so the checks test the very rows the marts were built
+    from, whatever arrives meanwhile; with ``snapshot=False`` they are read as they are, for feeds that cannot change.
+    Marts are written as a new version, checked as written, and become visible together when no error-level check, tie-out or
+    row of ``reports`` (check reports made elsewhere) fails.  What a run found is added to the history, also if it is rejected.
     """
+    out, version = out.rstrip("/"), new_version(run)
     fresh = []
     if as_of is not None:
         fresh = freshness_report(domain, raw, as_of).collect()
         stale = sorted(row.source for row in fresh if row.status == "error")
         if stale:
             raise DataQualityError(f"stale sources: {', '.join(stale)}")
-
-    def root(name: str) -> str:
-        return f"{out.rstrip('/')}/{name}"
-
-    inter = stage_version(domain.intermediate(raw, **options), root(domain.INTERMEDIATE), run)
-    marts = domain.marts(inter, raw)
-    # The marts only share the written intermediate, so their jobs run side by side.
-    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
-        write = inheritable_thread_target(spark)(lambda item: stage_version(item[1], root(item[0]), run))
-        written = dict(zip(marts, pool.map(write, marts.items())))
-    report = enforce(run_checks(
-        {**raw, **stage(domain, raw), domain.INTERMEDIATE: inter, **written}, domain.CHECKS if checks is None else checks
-    ))
-    for name in written:
-        publish(spark, root(name), run)
-    return RunResult(run, {name: read_mart(spark, root(name)) for name in written}, fresh, report)
+    if snapshot:
+        raw = _stage_all(spark, dict(raw), f"{out}/_feeds", version)
+    built = materialise(spark, domain, raw, out, version, **options)
+    marts = [name for name in built if name != domain.INTERMEDIATE]
+    checks = domain.CHECKS if checks is None else checks
+    report = union_all([run_checks({**checked(domain, raw, checks), **built}, checks), *reports])
+    rows = report.collect()
+    _remember(spark, out, run, version, fresh, rows, {name: built[name].count() for name in marts}, _measures(domain, built))
+    enforce(rows)
+    publish(spark, out, {name: version for name in built})
+    return RunResult(run, {name: read_mart(spark, f"{out}/{name}") for name in marts}, fresh, rows)
+
+
+# ---- history ------------------------------------------------------------------------
+
+def _measures(domain: ModuleType, built: Mapping[str, DataFrame]) -> dict[str, float | None]:
+    """Headline numbers of a run, as the domain declares them."""
+    out = {}
+    for name, (table, rule) in getattr(domain, "HEADLINES", {}).items():
+        value = built[table].agg(F.expr(rule)).first()[0]
+        out[name] = None if value is None else float(value)
+    return out
+
+
+def _remember(spark: SparkSession, out: str, run: str, version: str, fresh: list, checks: list, counts: Mapping[str, int], measures: Mapping[str, float | None]) -> None:
+    """Append what a run found: a row per freshness source, check, mart and headline."""
+    now = datetime.now(timezone.utc)
+    rows = [("freshness", r.source, r.status, None) for r in fresh]
+    rows += [("check", f"{r.table_name}: {r.check_name}", r.status, float(r.failures)) for r in checks]
+    rows += [("rows", name, None, float(n)) for name, n in counts.items()] + [("headline", name, None, v) for name, v in measures.items()]
+    spark.createDataFrame([(run, version, now, *r) for r in rows], _HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{out}/{HISTORY}")
+
+
+def read_history(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(_HISTORY_SCHEMA).parquet(f"{out.rstrip('/')}/{HISTORY}")

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallywork.functions import (
     GBP_ONLY, active_since, any_true, classify, cond_count, cond_sum, fx_rate, is_present, lag_days, max_if, max_str,
-    n_distinct, pct, pct0, route_measure, row_count, span, truthy,
+    pct, pct0, route_measure, row_count, span, truthy,
 )
 from tallywork.operators import (
     accepted, bridge, dedup_latest, define_flags, expression, fan_in, fill, first_success_rollup, flag_multi,
-    flag_primary, not_null, relationship, unique, with_boundary,
+    flag_primary, generic_warn, not_null, relationship, tie_out_check, unique, with_boundary,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -63,15 +63,17 @@ def stg_payments(raw: Tables) -> DataFrame:
     )
 
 
+def payout_lag(lines: DataFrame) -> DataFrame:
+    """What a payout line says by itself, without its trip."""
+    return lines.withColumn("payout_lag_days", lag_days(F.col("earned_at"), F.col("paid_at")))
+
+
 def stg_driver_incentives(raw: Tables) -> DataFrame:
     fraud = raw["raw_trips"].select("trip_id", F.col("is_fraud_flagged").alias("is_fraud_trip"))
     lines = flag_multi(
         raw["raw_driver_incentives"], ["trip_id"], "campaign_lines_per_trip", "is_multi_campaign", lookup=fraud
     )
-    return lines.withColumns({
-        "is_fraud_trip": truthy(F.col("is_fraud_trip")),
-        "payout_lag_days": lag_days(F.col("earned_at"), F.col("paid_at")),
-    })
+    return payout_lag(lines.withColumn("is_fraud_trip", truthy(F.col("is_fraud_trip"))))
 
 
 # ---- children at trip grain ---------------------------------------------------------
@@ -149,22 +151,29 @@ def trip_stats_by_driver(trips: DataFrame) -> DataFrame:
     )
 
 
-def incentives_by_driver(lines: DataFrame) -> DataFrame:
-    """Payouts per driver from every ledger line, in the line's own currency."""
+def incentives_by_driver(raw: Tables) -> DataFrame:
+    """Payouts per driver from every ledger line, in the line's own currency.
+
+    Lines are summed per trip and driver first.  The trip's number of lines and its fraud flag are taken on those rows, of
+    which a trip has one per driver, and a last aggregation brings them to the driver.
+    """
     paid = F.col("bonus_amount") * fx_rate(F.col("currency"), GBP_ONLY)
-    return lines.groupBy("driver_id").agg(
-        F.sum(paid).alias("total_incentive_paid_usd"),
-        cond_sum(F.col("is_fraud_trip"), paid).alias("fraud_trip_incentive_usd"),
-        cond_sum(F.col("is_multi_campaign"), paid).alias("multi_campaign_incentive_usd"),
-        row_count().alias("total_incentive_lines"),
-        n_distinct(F.col("trip_id")).alias("trips_with_incentives"),
+    pairs = raw["raw_driver_incentives"].groupBy("trip_id", "driver_id").agg(F.sum(paid).alias("paid"), row_count().alias("lines"))
+    pairs = pairs.withColumn("is_multi_campaign", F.sum("lines").over(W.partitionBy("trip_id")) > 1)
+    fraud = raw["raw_trips"].select("trip_id", F.col("is_fraud_flagged").alias("is_fraud_trip"))
+    return pairs.join(fraud, "trip_id", "left").groupBy("driver_id").agg(
+        F.sum("paid").alias("total_incentive_paid_usd"),
+        cond_sum(truthy(F.col("is_fraud_trip")), F.col("paid")).alias("fraud_trip_incentive_usd"),
+        cond_sum(F.col("is_multi_campaign"), F.col("paid")).alias("multi_campaign_incentive_usd"),
+        F.sum("lines").alias("total_incentive_lines"),
+        F.count("trip_id").alias("trips_with_incentives"),
     )
 
 
 def mart_driver_performance(trips: DataFrame, raw: Tables) -> DataFrame:
     drivers = stg_drivers(raw)
     joined = fan_in(
-        drivers, "driver_id", [trip_stats_by_driver(trips), incentives_by_driver(stg_driver_incentives(raw))]
+        drivers, "driver_id", [trip_stats_by_driver(trips), incentives_by_driver(raw)]
     )
     unfilled = [*drivers.columns, "first_trip_at", "last_trip_at"]
     filled = fill(joined, zeros=[c for c in joined.columns if c not in unfilled])
@@ -257,6 +266,8 @@ STAGING = {
     "stg_riders": stg_riders, "stg_drivers": stg_drivers, "stg_trips": stg_trips, "stg_payments": stg_payments,
     "stg_driver_incentives": stg_driver_incentives,
 }
+# Staging that only adds flags to its feed: same rows, same keys.
+FLAGS_ONLY = {"stg_riders": "raw_riders", "stg_trips": "raw_trips", "stg_payments": "raw_payments", "stg_driver_incentives": "raw_driver_incentives"}
 INTERMEDIATE = "int_trips_enriched"
 
 
@@ -281,7 +292,7 @@ _FOREIGN_KEYS = [
     ("stg_payments", "trip_id", "stg_trips"), ("stg_driver_incentives", "trip_id", "stg_trips"),
     ("stg_driver_incentives", "driver_id", "stg_drivers"),
 ]
-CHECKS = [
+CHECKS = generic_warn([
     *[check(f"raw_{table}", key) for table, key in [
         ("riders", "rider_id"), ("trips", "trip_id"), ("payments", "payment_id"),
         ("driver_incentives", "incentive_id"),
@@ -302,7 +313,14 @@ CHECKS = [
     expression("mart_marketplace_kpis", "gmv_usd >= net_revenue_usd"),
     expression("mart_marketplace_kpis", "fraud_rate_pct between 0 and 100"),
     expression("mart_marketplace_kpis", "round(gmv_usd - net_revenue_usd, 2) = round(gmv_to_net_gap_usd, 2)"),
-]
+    tie_out_check(
+        "mart_driver_performance", "sum(total_incentive_paid_usd)", "raw_driver_incentives",
+        "sum(bonus_amount * if(currency = 'GBP', 1.27, 1.0))",
+    ),
+])
+
+# Numbers whose change from run to run is watched.
+HEADLINES = {"gap_pct": ("mart_marketplace_kpis", "100 * sum(gmv_to_net_gap_usd) / sum(gmv_usd)")}
 
 # Loaded-at column, warn and error age in hours, and whether an error blocks.
 FRESHNESS = {

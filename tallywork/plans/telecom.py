@@ -11,8 +11,8 @@ from tallywork.functions import (
     at_least, classify, cond_count, cond_sum, in_closed_range, is_missing, max_if, row_count, truthy,
 )
 from tallywork.operators import (
-    accepted, dedup_business_key, dedup_latest, dedup_priority, define_flags, expression, fan_in, fill, not_null,
-    overlap_summary, unique,
+    accepted, dedup_business_key, dedup_latest, dedup_priority, define_flags, expression, fan_in, fill, generic_warn,
+    not_null, overlap_summary, unique,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -156,6 +156,8 @@ STAGING = {
     "stg_subscribers": stg_subscribers, "stg_plans": stg_plans, "stg_usage": stg_usage,
     "stg_payments": stg_payments, "stg_support_tickets": stg_support_tickets,
 }
+# Staging that only adds flags to its feed: same rows, same keys.
+FLAGS_ONLY = {"stg_plans": "raw_plans", "stg_support_tickets": "raw_support_tickets"}
 INTERMEDIATE = "int_subscriber_signals"
 
 
@@ -173,7 +175,7 @@ def expected_lines(n: int):
     return expression("mart_churn_summary", f"total_subscribers = {n}")
 
 
-CHECKS = [
+CHECKS = generic_warn([
     *[check(table, key) for table, key in [
         ("stg_subscribers", "subscriber_id"), ("stg_plans", "plan_code"), ("stg_usage", "usage_id"),
         ("stg_payments", "payment_id"), ("stg_support_tickets", "ticket_id"),
@@ -183,7 +185,7 @@ CHECKS = [
     expression("mart_subscriber_churn", "usage_events_30d >= 0"),
     expression("mart_subscriber_churn", "past_due_periods >= 0"),
     expression("mart_churn_summary", "churned_any >= churned_all_three"),
-]
+])
 
 # Loaded-at column, warn and error age in hours, and whether an error blocks.
 FRESHNESS = {

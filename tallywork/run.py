@@ -13,8 +13,8 @@ from pyspark.sql import SparkSession
 
 from tallywork.operators import DataQualityError
 from tallywork.plans import DOMAINS, run_domain
-from tallywork.session import apply_settings
-from tallywork.sources import read_domain
+from tallywork.session import apply_settings, size_session
+from tallywork.sources import SCHEMAS, delivered, read_domain, unparsed_report
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -22,17 +22,20 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("domain", choices=sorted(DOMAINS))
     parser.add_argument("raw", help="folder with <table>.parquet")
     parser.add_argument("out", help="folder for the intermediate and the marts")
-    parser.add_argument("--run", required=True, help="name of this run; repeating it replaces its own output only")
+    parser.add_argument("--run", required=True, help="name of this run; every attempt writes folders of its own")
     parser.add_argument("--as-of", help="instant freshness is judged at; without it freshness is not checked")
     parser.add_argument("--observation-date", type=date.fromisoformat, help="telecom: last day of the usage window")
     args = parser.parse_args(argv)
 
     spark = apply_settings(SparkSession.builder.appName(f"tallywork-{args.domain}")).getOrCreate()
+    size_session(spark, args.raw)
     options = {"observation_date": args.observation_date} if args.observation_date else {}
+    schemas = SCHEMAS[args.domain]
+    unread = unparsed_report({name: delivered(spark, args.raw, name) for name in schemas}, schemas)
     try:
         done = run_domain(
             spark, DOMAINS[args.domain], read_domain(spark, args.raw, args.domain), args.out, args.run,
-            as_of=args.as_of, **options,
+            as_of=args.as_of, reports=[] if unread is None else [unread], **options,
         )
     except DataQualityError as rejected:
         print(f"rejected: {rejected}", file=sys.stderr)

@@ -27,12 +27,11 @@ _LOCAL_FALLBACK = "tallywork.local.shared.dir"
 
 
 def cluster_settings(input_bytes: int, partition_bytes: int = 128 * 2**20) -> dict[str, str]:
-    """Sizing for a large input: start with enough shuffle partitions to hold it, let AQE merge the rest.
+    """Sizing for an input: enough shuffle partitions to hold it, however large; AQE merges what turns out small.
 
-    100 TB in partitions of 128 MB is about 800,000; one shuffle never carries the whole
-    pruned input, so the start is capped where the shuffle's own bookkeeping begins to cost.
+    A shuffle of the pruned input is smaller than the input, so a partition never exceeds ``partition_bytes`` by plan.
     """
-    partitions = max(200, min(100_000, -(-input_bytes // partition_bytes)))
+    partitions = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -41,6 +40,26 @@ def cluster_settings(input_bytes: int, partition_bytes: int = 128 * 2**20) -> di
     }
 
 
+def input_size(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder, as its file system counts them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def size_session(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Size a running session for the files below ``folder``; returns what was set.
+
+    The number of partitions never falls below what the caller has set, and settings that only a new session can take are
+    left alone.
+    """
+    wanted = cluster_settings(input_size(spark, folder))
+    name = "spark.sql.shuffle.partitions"
+    wanted[name] = str(max(int(wanted[name]), int(spark.conf.get(name))))
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    return wanted
+
+
 def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)

@@ -1,8 +1,13 @@
-from tallywork.sources.readers import conform, parse_timestamps, read_domain, read_raw, row_counts, unparsed_counts
+from tallywork.sources.readers import (
+    conform, delivered, parse_timestamps, read_domain, read_raw, row_counts, unparsed_counts, unparsed_report,
+)
 from tallywork.sources.schemas import SCHEMAS
-from tallywork.sources.writers import current_version, publish, read_mart, stage_version, write_mart
+from tallywork.sources.writers import (
+    current_version, current_versions, new_version, publish, read_mart, stage_version, version_path, write_mart,
+)
 
 __all__ = [
-    "SCHEMAS", "conform", "current_version", "parse_timestamps", "publish", "read_domain", "read_mart", "read_raw",
-    "row_counts", "stage_version", "unparsed_counts", "write_mart",
+    "SCHEMAS", "conform", "current_version", "current_versions", "delivered", "new_version", "parse_timestamps", "publish",
+    "read_domain", "read_mart", "read_raw", "row_counts", "stage_version", "unparsed_counts", "unparsed_report", "version_path",
+    "write_mart",
 ]

@@ -29,7 +29,10 @@ _BENCH = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-_CITIES = "'metro_north', 'bayview', 'rivermouth', 'sunbelt'"
+# What the rules read.  Every other category is a number of its kind, as in "zone-2".
+#   order, trip, enrolment and lesson status: completed, confirmed, cancelled, placed, started; payment status: succeeded, captured, failed, paid,
+#   past_due; account status: active, cancelled; disconnect reason: voluntary, involuntary, ported_out; attempt status: submitted, graded;
+#   currency: USD, EUR, GBP.
 
 
 def _after(ts: str, days="0", hours="0", mins="0") -> str:
@@ -40,6 +43,10 @@ def _elt(index: str, names: str) -> str:
     return f"elt(CAST({index} AS int) + 1, {names})"
 
 
+def _code(kind: str, number: str) -> str:
+    return f"concat('{kind}-', CAST({number} AS bigint))"
+
+
 def _columns(text: str) -> list[str]:
     """One column per line."""
     return [line.strip() for line in text.strip().splitlines()]
@@ -124,7 +131,7 @@ class Feeds:
             payment_status
             order_amount AS amount
             currency
-            {_elt('order_id % 4', "'card', 'paypal', 'apple_pay', 'bank_transfer'")} AS payment_method
+            {_code('pay', 'order_id % 4')} AS payment_method
             CAST(order_amount * 0.029 + 0.30 AS decimal(12,2)) AS gateway_fee
             {_after('created_at', mins='mins')} AS attempted_at
             CASE WHEN payment_status = 'succeeded' THEN {_after('created_at', mins='mins + 1')} END AS processed_at
@@ -138,7 +145,7 @@ class Feeds:
             order_id * 10 + 3 AS payment_id
             CASE WHEN order_id % 3 = 0 THEN CAST(order_amount * 0.5 AS decimal(12,2)) ELSE order_amount END AS refund_amount
             currency
-            {_elt('order_id % 5', "'damaged', 'late', 'wrong_item', 'changed_mind', 'fraud'")} AS refund_reason
+            {_code('reason', 'order_id % 5')} AS refund_reason
             'completed' AS refund_status
             {_after('created_at', days='order_id % 6 * 10', mins='41')} AS requested_at
             {_after('created_at', days='order_id % 6 * 11', mins='101')} AS processed_at
@@ -150,9 +157,9 @@ class Feeds:
         return parcels.selectExpr(*_columns(f"""
             order_id * 2 + n AS shipment_id
             order_id
-            {_elt('order_id % 4', "'north', 'swift', 'harbor', 'local'")} AS carrier
+            {_code('carrier', 'order_id % 4')} AS carrier
             CAST(order_id % 7 + 4.99 AS decimal(12,2)) AS shipping_cost
-            if(n = 1 OR order_id % 8 = 0, 'in_transit', 'delivered') AS status
+            {_code('step', 'if(n = 1 OR order_id % 8 = 0, 2, 1)')} AS status
             CASE WHEN order_id % 12 <> 0 THEN {_after('created_at', days='2 + n')} END AS shipped_at
             CASE WHEN order_id % 16 <> 0 THEN {_after('created_at', days='6 + n')} END AS delivered_at
         """))
@@ -164,15 +171,14 @@ class Feeds:
             "o_orderkey AS k", "o_custkey AS c", "CAST(o_totalprice AS decimal(12,2)) AS price",
             "o_orderkey % 6 = 0 AS off", f"{_after('o_orderdate', mins='o_orderkey % 1440')} AS requested_at",
         )
-        reasons = "'rider_cancel', 'driver_cancel', 'no_driver_found', 'rider_no_show', 'rider_cancel'"
         return priced.selectExpr(*_columns(f"""
             k AS trip_id
             c AS rider_id
             k % 97 AS driver_id
-            {_elt('c % 4', _CITIES)} AS city
-            {_elt('k % 4', "'standard', 'pool', 'premium', 'xl'")} AS product
+            {_code('zone', 'c % 4')} AS city
+            {_code('tier', 'k % 4')} AS product
             if(off, 'cancelled', 'completed') AS trip_status
-            CASE WHEN off THEN {_elt('k % 5', reasons)} END AS cancel_reason
+            CASE WHEN off THEN {_code('cause', 'k % 5')} END AS cancel_reason
             CASE WHEN off AND (k % 5 = 2 OR k % 7 < 3) THEN 0 WHEN off THEN CAST(price * 0.25 AS decimal(12,2)) ELSE price END AS gross_fare
             k % 5 * 0.25 + 1.00 AS surge_multiplier
             if(c % 4 = 2, 'GBP', 'USD') AS currency
@@ -190,8 +196,8 @@ class Feeds:
     def rides_riders(self) -> DataFrame:
         loaded = self.table("customer").selectExpr(*_columns(f"""
             c_custkey AS rider_id
-            {_elt('c_custkey % 4', _CITIES)} AS home_city
-            CASE WHEN c_custkey % 50 = 7 THEN 'suspended' WHEN c_mktsegment = 'MACHINERY' THEN 'dormant' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'guest' ELSE 'active' END AS account_status
+            {_code('zone', 'c_custkey % 4')} AS home_city
+            CASE WHEN c_custkey % 50 = 7 THEN 'account-0' WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN lower(c_mktsegment) ELSE 'active' END AS account_status
             {_after("timestamp_ntz'1994-01-01'", days='c_custkey % 700')} AS signup_at
             if(c_custkey % 4 = 1, c_custkey - 1, -1) AS referred_by
         """))
@@ -202,11 +208,11 @@ class Feeds:
         onboarded = _variants(self.table("supplier"), "n", ["0", "1"], "n = 0 OR s_suppkey % 25 = 0")
         return onboarded.selectExpr(*_columns(f"""
             s_suppkey AS driver_id
-            {_elt('s_suppkey % 4', _CITIES)} AS home_city
-            CASE WHEN s_suppkey % 20 = 3 THEN 'deactivated' WHEN s_suppkey % 13 = 5 THEN 'inactive' ELSE 'active' END AS driver_status
+            {_code('zone', 's_suppkey % 4')} AS home_city
+            {_code('state', 'CASE WHEN s_suppkey % 20 = 3 THEN 2 WHEN s_suppkey % 13 = 5 THEN 1 ELSE 0 END')} AS driver_status
             s_suppkey % 111 * 0.01 + 3.90 AS rating
             {_after("timestamp_ntz'1993-01-01'", days='s_suppkey % 400 + 500 * n')} AS onboarded_at
-            {_elt('(s_suppkey + n) % 3', "'standard', 'premium', 'xl'")} AS vehicle_class
+            {_code('class', '(s_suppkey + n) % 3')} AS vehicle_class
         """))
 
     def rides_payments(self) -> DataFrame:
@@ -223,7 +229,7 @@ class Feeds:
             payment_status
             gross_fare AS amount
             currency
-            {_elt('trip_id % 4', "'card', 'wallet', 'apple_pay', 'cash'")} AS payment_method
+            {_code('pay', 'trip_id % 4')} AS payment_method
             CAST(gross_fare * 0.025 + 0.20 AS decimal(12,2)) AS processor_fee
             {_after('requested_at', mins='mins')} AS attempted_at
             CASE WHEN payment_status = 'captured' AND trip_status = 'completed' THEN {_after('requested_at', mins='mins + 1')} END AS captured_at
@@ -232,12 +238,11 @@ class Feeds:
     def rides_driver_incentives(self) -> DataFrame:
         rewarded = self.rides_trips().where("trip_status = 'completed' AND trip_id % 3 = 0")
         lines = _variants(rewarded, "n", ["0", "1"], "n = 0 OR trip_id % 11 = 0")
-        campaigns = "'quest_weekly', 'referral_bonus', 'consecutive_trips', 'surge_guarantee', 'peak_hour_boost'"
         return lines.selectExpr(*_columns(f"""
             trip_id * 2 + n AS incentive_id
             driver_id
             trip_id
-            {_elt('(trip_id + n) % 5', campaigns)} AS campaign
+            {_code('campaign', '(trip_id + n) % 5')} AS campaign
             (trip_id % 9 + n) * 0.75 + 2.50 AS bonus_amount
             currency
             ended_at AS earned_at
@@ -252,7 +257,7 @@ class Feeds:
         return marked.selectExpr(*_columns(f"""
             c AS subscriber_id
             concat('Brand#', CAST(c % 25 + 1 AS string)) AS plan_code
-            {_elt('c % 5', "'north', 'south', 'east', 'west', 'central'")} AS region
+            {_code('region', 'c % 5')} AS region
             if(gone, 'cancelled', 'active') AS account_status
             c % 2 = 0 AS autopay_enrolled
             CASE WHEN gone AND c % 49 <> 0 THEN {_elt('c % 3', "'voluntary', 'involuntary', 'ported_out'")} END AS disconnect_reason
@@ -264,7 +269,7 @@ class Feeds:
         brands = self.table("part").groupBy("p_brand").agg({"p_retailprice": "min", "p_size": "max", "p_partkey": "min"})
         return brands.selectExpr(*_columns("""
             p_brand AS plan_code
-            if(`min(p_partkey)` % 2 = 0, 'prepaid', 'postpaid') AS plan_type
+            concat('type-', `min(p_partkey)` % 2) AS plan_type
             CAST(`min(p_retailprice)` AS decimal(12,2)) AS monthly_recurring_charge
             `max(p_size)` AS data_allowance_gb
             `min(p_partkey)` % 3 * 12 AS contract_months
@@ -292,7 +297,7 @@ class Feeds:
             billing_period
             c % 30 + 20.00 AS amount_due
             payment_status
-            {_elt('c % 4', "'card', 'direct_debit', 'wallet', 'voucher'")} AS payment_method
+            {_code('pay', 'c % 4')} AS payment_method
             due_at
             CASE WHEN payment_status = 'paid' THEN {_after('due_at', days='if(retry, 5, 2)')} END AS paid_at
         """))
@@ -301,8 +306,8 @@ class Feeds:
         return self.table("events").where("event_type = 'error'").selectExpr(*_columns(f"""
             event_id AS ticket_id
             user_id * 10 AS subscriber_id
-            {_elt('event_id % 6', "'billing', 'coverage', 'device', 'roaming', 'porting', 'other'")} AS category
-            {_elt('event_id % 5', "'phone', 'chat', 'email', 'store', 'app'")} AS channel
+            {_code('topic', 'event_id % 6')} AS category
+            {_code('channel', 'event_id % 5')} AS channel
             ts AS opened_at
             CASE WHEN event_id % 10 <> 0 THEN {_after('ts', hours='event_id % 72')} END AS resolved_at
         """))
@@ -314,9 +319,9 @@ class Feeds:
             o_orderkey AS enrollment_id
             o_custkey AS student_id
             if(o_orderkey % 997 = 0, -1, o_orderkey % 200) AS course_id
-            {_elt('o_orderkey % 3', "'free', 'individual', 'team'")} AS plan
-            {_elt('o_orderkey % 4', "'en', 'fr', 'de', 'es'")} AS locale
-            CASE o_orderkey % 5 WHEN 0 THEN 'completed' WHEN 1 THEN 'enrolled' ELSE 'in_progress' END AS enrollment_status
+            {_code('plan', 'o_orderkey % 3')} AS plan
+            {_code('locale', 'o_orderkey % 4')} AS locale
+            if(o_orderkey % 5 = 0, 'completed', {_code('state', 'o_orderkey % 5')}) AS enrollment_status
             o_orderdate AS enrolled_at
             {_after('o_orderdate', days='if(o_orderkey % 499 = 0, -1, o_orderkey % 90)')} AS last_active_at
         """))
@@ -325,15 +330,15 @@ class Feeds:
         return self.table("part").selectExpr(*_columns(f"""
             p_partkey AS course_id
             p_name AS course_title
-            {_elt('p_partkey % 4', "'data', 'design', 'business', 'language'")} AS category
-            p_partkey % 4 + 2 AS lesson_count
+            {_code('field', 'p_partkey % 4')} AS category
+            if(p_partkey % 50 = 7, 2, p_partkey % 4 + 7) AS lesson_count
             70 AS pass_threshold
             p_partkey % 10 <> 9 AS is_active
             {_after("timestamp_ntz'1994-01-01'", days='p_partkey % 365')} AS created_at
         """))
 
     def learning_lessons(self) -> DataFrame:
-        events = self.table("lineitem").where("l_linenumber <= l_orderkey % 4 + 2").selectExpr(
+        events = self.table("lineitem").selectExpr(
             "*", f"{_after('l_shipdate', mins='l_partkey % 600')} AS started_at"
         )
         return events.selectExpr(*_columns(f"""
@@ -342,9 +347,9 @@ class Feeds:
             l_orderkey AS student_id
             l_orderkey % 200 AS course_id
             l_linenumber AS lesson_number
-            {_elt('l_partkey % 4', "'video', 'reading', 'quiz', 'lab'")} AS lesson_type
+            {_code('kind', 'l_partkey % 4')} AS lesson_type
             if(l_partkey % 19 = 0, 'started', 'completed') AS lesson_status
-            {_elt('l_suppkey % 3', "'web', 'ios', 'android'")} AS device
+            {_code('device', 'l_suppkey % 3')} AS device
             l_quantity AS duration_minutes
             started_at
             CASE WHEN l_partkey % 19 <> 0 AND l_partkey % 17 <> 0 THEN {_after('started_at', mins='l_quantity')} END AS completed_at
@@ -363,7 +368,7 @@ class Feeds:
             enrollment_id
             student_id
             course_id
-            'final_exam' AS assessment_type
+            'kind-0' AS assessment_type
             score
             70 AS pass_threshold
             score >= 70 AS is_passed

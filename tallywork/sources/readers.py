@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tallywork.operators._union import union_all
 from tallywork.sources.schemas import SCHEMAS
 
-_ISO = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
+_DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_TIME = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?"
+_ISO = f"^{_DATE}([ T]{_TIME})?$"
+_ZONED = f"^{_DATE}[ T]{_TIME} ?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$"
 
 
 def _parsed(column: str) -> Column:
@@ -17,7 +20,12 @@ def _parsed(column: str) -> Column:
 
 
 def _parsed_sql(column: str) -> str:
-    return f"CASE WHEN `{column}` RLIKE '{_ISO}' THEN try_cast(`{column}` AS timestamp_ntz) END"
+    """ISO dates and times, seconds optional; with a zone, the same instant in UTC."""
+    instant = f"try_cast(`{column}` AS timestamp)"
+    return (
+        f"CASE WHEN `{column}` RLIKE '{_ISO}' THEN try_cast(`{column}` AS timestamp_ntz) "
+        f"WHEN `{column}` RLIKE '{_ZONED}' THEN convert_timezone(current_timezone(), 'UTC', CAST({instant} AS timestamp_ntz)) END"
+    )
 
 
 def parse_timestamps(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -43,9 +51,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.selectExpr(*columns)
 
 
+def delivered(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One raw table as it was delivered."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 def read_raw(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
     """One raw table; a declared schema is enforced by casts, so that types may drift at the source."""
-    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    df = delivered(spark, folder, name)
     return conform(df, schema) if schema is not None else df
 
 
@@ -54,6 +67,25 @@ def read_domain(spark: SparkSession, folder: str, domain: str) -> dict[str, Data
     return {name: read_raw(spark, folder, name, schema) for name, schema in SCHEMAS[domain].items()}
 
 
+def unparsed_report(tables: Mapping[str, DataFrame], schemas: Mapping[str, T.StructType], severity: str = "error") -> DataFrame | None:
+    """What ``conform`` cannot read, in the shape of a check report: one row per timestamp that was delivered as text.
+
+    ``tables`` are the tables as delivered.  None if every timestamp has a type of its own.
+    """
+    parts = []
+    for name, schema in schemas.items():
+        kinds = {f.name: f.dataType for f in tables[name].schema.fields}
+        texts = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType) and isinstance(kinds[f.name], T.StringType)]
+        if texts:
+            counted = tables[name].agg(*[F.count_if(F.col(c).isNotNull() & _parsed(c).isNull()).alias(c) for c in texts])
+            lines = [F.struct(
+                F.lit(name).alias("table_name"), F.lit(f"unparsed({c})").alias("check_name"), F.lit(severity).alias("severity"),
+                F.col(c).alias("failures"), F.when(F.col(c) == 0, "pass").otherwise(severity).alias("status"),
+            ) for c in texts]
+            parts.append(counted.select(F.inline(F.array(*lines))))
+    return union_all(parts) if parts else None
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Manifest after a load: one row per table."""
     counted = [

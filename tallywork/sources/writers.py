@@ -1,15 +1,20 @@
-"""Full-refresh mart sink: write a new version, check it, then point readers at it.
+"""Full-refresh mart sink: every attempt writes new folders, one manifest per run makes them visible.
 
-``<root>/v=<run>/`` holds the data of one run and ``<root>/CURRENT`` names the run readers
-see.  A run that fails or is rejected leaves the pointer, and so the last good mart, alone;
-repeating a run overwrites its own version and nothing else.
+``<out>/<table>/v=<version>/`` holds what one attempt wrote; a version is never written twice, so neither a retry nor a second
+run of the same name can touch what readers see.  ``<out>/_manifests/<number>-<version>.json`` names the versions of all tables
+that a run published together.  A manifest is written under another name and renamed, and readers take the highest number, so
+they see all tables of one run or all of another.  A run that fails, is rejected or dies leaves the last manifest alone.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-_POINTER = "CURRENT"
+_MANIFESTS = "_manifests"
 
 
 def _file(spark: SparkSession, path: str):
@@ -17,45 +22,78 @@ def _file(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _version_path(root: str, run: str) -> str:
-    return f"{root.rstrip('/')}/v={run}"
+def _split(root: str) -> tuple[str, str]:
+    out, _, table = root.rstrip("/").rpartition("/")
+    return out, table
+
+
+def version_path(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/v={version}"
+
 
+def new_version(run: str) -> str:
+    """A version of its own for one attempt of a run."""
+    return f"{run}-{uuid.uuid4().hex[:8]}"
 
-def stage_version(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write one run's version and return it as read back, cut from the plan that made it."""
-    path = _version_path(root, run)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+def stage_version(df: DataFrame, root: str, version: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a new version and return it as read back, cut from the plan that made it; an existing one is an error."""
+    path = version_path(root, version)
+    df.write.mode("error").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish(spark: SparkSession, root: str, run: str) -> None:
-    """Make a staged version the current one."""
-    fs, pointer = _file(spark, f"{root.rstrip('/')}/{_POINTER}")
-    stream = fs.create(pointer, True)
-    stream.write(bytearray(run, "utf-8"))
-    stream.close()
+def _manifest_files(spark: SparkSession, out: str) -> list[str]:
+    fs, folder = _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}")
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, pointer = _file(spark, f"{root.rstrip('/')}/{_POINTER}")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
+def _read(spark: SparkSession, path: str) -> str:
+    fs, target = _file(spark, path)
+    stream = fs.open(target)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
+def current_versions(spark: SparkSession, out: str) -> dict[str, str]:
+    """Published version of every table below ``out``."""
+    files = _manifest_files(spark, out)
+    return json.loads(_read(spark, f"{out.rstrip('/')}/{_MANIFESTS}/{files[-1]}")) if files else {}
+
+
+def publish(spark: SparkSession, out: str, versions: Mapping[str, str]) -> None:
+    """Make staged versions of some tables current, all at once; other tables stay as they are."""
+    files = _manifest_files(spark, out)
+    number = int(files[-1].split("-", 1)[0]) + 1 if files else 1
+    name = f"{number:09d}-{uuid.uuid4().hex[:8]}"
+    fs, unfinished = _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}/.{name}.tmp")
+    stream = fs.create(unfinished, False)
+    stream.write(bytearray(json.dumps({**current_versions(spark, out), **versions}, sort_keys=True), "utf-8"))
+    stream.close()
+    if not fs.rename(unfinished, _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}/{name}.json")[1]):
+        raise OSError(f"manifest {name} could not be renamed")
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    out, table = _split(root)
+    return current_versions(spark, out).get(table)
+
+
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
-    run = current_version(spark, root)
-    if run is None:
+    version = current_version(spark, root)
+    if version is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(_version_path(root, run))
+    return spark.read.parquet(version_path(root, version))
 
 
 def write_mart(df: DataFrame, root: str, run: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Stage and publish in one step, for marts without checks."""
-    staged = stage_version(df, root, run, partition_by)
-    publish(df.sparkSession, root, run)
+    out, table = _split(root)
+    version = new_version(run)
+    staged = stage_version(df, root, version, partition_by)
+    publish(df.sparkSession, out, {table: version})
     return staged

@@ -1,3 +1,3 @@
-from tallywork.streaming.usage import daily_usage, read_stream, replay_dedup, run_available
+from tallywork.streaming.usage import daily_usage, read_stream, replay_dedup, run_available, with_end
 
-__all__ = ["daily_usage", "read_stream", "replay_dedup", "run_available"]
+__all__ = ["daily_usage", "read_stream", "replay_dedup", "run_available", "with_end"]

@@ -6,13 +6,10 @@ windows start at midnight UTC: run the session in UTC, as ``SETTINGS`` does.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallywork.session import shared_dir
-
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", **options) -> DataFrame:
     """File stream over a folder that keeps receiving files; ``pattern`` selects the feed."""
@@ -39,17 +36,32 @@ def daily_usage(usage: DataFrame, event_time: str, kind: str, units: str, waterm
     )
 
 
-def run_available(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything that has arrived into a parquet sink, then read the sink.
+def with_end(stream: DataFrame, event_time: str, folder: str, at: str) -> DataFrame:
+    """The stream and one more row, NULL but for its event time ``at``, so that a bounded run closes every earlier day.
 
-    Sink and checkpoint lie in the folder the cluster shares, so a restarted query resumes
-    from its offsets and files are committed exactly once.
+    The row is a file in ``folder``, read as a stream of its own next to the other; choose an instant later than any event by
+    more than the watermark and a day.  Its own day stays open, so it is never in a result.
     """
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    end = spark.range(1).select(*[
+        (F.lit(at).cast(f.dataType) if f.name == event_time else F.lit(None).cast(f.dataType)).alias(f.name) for f in stream.schema.fields
+    ])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
+    end.coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/end")
+    return stream.unionByName(spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/end"))
+
+
+def run_available(stream: DataFrame, folder: str) -> DataFrame:
+    """Process what has arrived since the last run into a Parquet sink below ``folder``, then read the whole sink.
+
+    Sink and checkpoint lie in ``folder``, which the caller names and all executors share: the next run with the same folder
+    resumes from its offsets and state, reads new files only, and every file is committed exactly once.  Set
+    ``maxFilesPerTrigger`` on the stream to bound its batches.
+    """
+    folder = folder.rstrip("/")
     query = (
         stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", f"{base}/checkpoint").start(f"{base}/data")
+        .option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/data")
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/data")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")

@@ -3,13 +3,15 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog import QUERIES
 from conftest import SF_SMALL
+from oracle import statements
 from tools.compare import compare, oracle_connection
 
 COMPARED = [
     "mart_monthly_revenue", "mart_driver_performance", "mart_rider_activity", "mart_churn_summary", "mart_completion_summary",
-    "dedup_latest", "flag_primary", "gap_drivers", "dq_report_learning", "fx_asof", "profile_table", "stream_daily_usage",
+    "dedup_latest", "flag_primary", "gap_drivers", "dq_report", "dq_report_rides", "dq_report_learning", "fx_asof", "profile_table", "stream_daily_usage", "ledger_tie_out", "run_trend",
 ]
 
 
@@ -19,15 +21,15 @@ def oracle() -> duckdb.DuckDBPyConnection:
 
 
 def test_every_query_has_a_statement_that_runs(oracle):
-    statements = oracle_sql()
-    assert set(statements) == set(queries()) and len(statements) > 100
-    for name, sql in statements.items():
+    known = statements()
+    assert set(known) == set(QUERIES) and len(known) > 100
+    for name, sql in known.items():
         assert oracle.execute(f"DESCRIBE {sql}").fetchall(), name
 
 
 @pytest.mark.parametrize("name", COMPARED)
 def test_query_equals_its_statement(spark, oracle, name):
-    assert compare(queries()[name](spark, SF_SMALL), oracle, oracle_sql()[name]) == ""
+    assert compare(QUERIES[name](spark, SF_SMALL), oracle, statements()[name]) == ""
 
 
 def test_entry_is_lazy_and_has_rows(spark):

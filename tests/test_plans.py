@@ -6,15 +6,16 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from catalog import QUERIES
 from conftest import SF_SMALL
 
 # Windows over raw rows are limited to one row per key before the exchange; the others
-# hold finished bridges (months, lines) or rate quotes.
+# hold finished bridges (months, lines), runs, rate quotes, or payouts summed per trip and driver.
 WINDOWS = {
     "stg_03_usage": "WindowGroupLimit", "stg_03_payments": "WindowGroupLimit", "dedup_priority": "WindowGroupLimit",
     "dedup_business_key": "WindowGroupLimit", "usage_window_30d": "WindowGroupLimit", "dq_report_telecom": "WindowGroupLimit",
-    "gap_drivers": "report_month", "gap_trend": "report_month", "fx_asof": "currency",
+    "gap_drivers": "report_month", "gap_trend": "report_month", "fx_asof": "currency", "run_trend": "ended_at",
+    "mart_driver_performance": "trip_id", "driver_incentives": "trip_id",
 }
 
 
@@ -24,7 +25,7 @@ def plans(spark):
     try:
         return {
             name: query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-            for name, query in queries().items() if not name.startswith("stream_")
+            for name, query in QUERIES.items() if not name.startswith("stream_")
         }
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -55,7 +56,7 @@ def test_only_finished_months_meet_in_one_task(plans):
         for below in parts[1:]:
             node = below.splitlines()[1] if len(below.splitlines()) > 1 else ""
             # What reaches a single task is a partial one-row aggregate, or the months of a bridge.
-            assert re.search(r"Aggregate\(keys=\[\]|SortAggregate\(key=\[\]", node) or name == "gap_trend", (name, node)
+            assert re.search(r"Aggregate\(keys=\[\]|SortAggregate\(key=\[\]", node) or name in ("gap_trend", "run_trend"), (name, node)
 
 
 @pytest.mark.parametrize(("name", "exchanges"), [
@@ -63,11 +64,22 @@ def test_only_finished_months_meet_in_one_task(plans):
     ("int_trips_enriched", 3),        # trips, payments, incentives
     ("int_subscriber_signals", 5),    # lines, usage by business key and by line, payments, tickets
     ("payment_rollup", 1), ("lesson_rollup", 2), ("dedup_latest", 1), ("stg_03_usage", 1),
+    ("payout_lag", 0),
+    ("driver_incentives", 4),         # payouts by trip and driver, by trip, trips, drivers
+    ("profile_table", 1),             # the keys alone
 ])
 def test_number_of_exchanges(plans, name, exchanges):
     assert _hash_exchanges(plans[name]) == exchanges
 
 
+def test_checks_read_each_table_once(plans):
+    """Before, the rides report took 37 scans and 67 exchanges."""
+    plan = plans["dq_report_rides"]
+    assert plan.count("FileScan parquet") <= 18 and plan.count("Exchange ") <= 20
+    assert plans["payout_lag"].count("FileScan") == 1
+    assert plans["mart_driver_performance"].count("FileScan") <= 5
+
+
 def test_scans_read_only_what_is_used(plans):
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plans["dedup_priority"])
     assert [re.sub(r"#\d+L?", "", s) for s in scans] == ["c_custkey"]
@@ -77,6 +89,6 @@ def test_scans_read_only_what_is_used(plans):
 
 
 def test_totals_use_whole_stage_codegen(spark):
-    df = queries()["mart_monthly_revenue"](spark, SF_SMALL)
+    df = QUERIES["mart_monthly_revenue"](spark, SF_SMALL)
     df.collect()
     assert "*(" in df._jdf.queryExecution().executedPlan().toString()

@@ -4,12 +4,15 @@ from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 
 from conftest import at, rows_of
-from tallywork.session import cluster_settings, shared_dir
+from tallywork.session import cluster_settings, input_size, shared_dir, size_session
+from tallywork.sources import writers
 from tallywork.sources import (
-    SCHEMAS, conform, current_version, parse_timestamps, publish, read_domain, read_mart, row_counts, stage_version,
-    unparsed_counts, write_mart,
+    SCHEMAS, conform, current_version, current_versions, new_version, parse_timestamps, publish, read_domain, read_mart, row_counts,
+    stage_version, unparsed_counts, unparsed_report, write_mart,
 )
 
 
@@ -55,12 +58,51 @@ def test_failed_version_leaves_the_published_one(frame, spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_mart(spark, root)
     write_mart(frame("v long", [(1,)]), root, "run1")
-    stage_version(frame("v long", [(2,)]), root, "run2")           # staged, never published
+    version = new_version("run2")
+    stage_version(frame("v long", [(2,)]), root, version)          # staged, never published
     assert rows_of(read_mart(spark, root)) == [(1,)]
-    publish(spark, root, "run2")
+    publish(spark, str(tmp_path), {"mart": version})
     assert rows_of(read_mart(spark, root)) == [(2,)]
-    write_mart(frame("v long", [(3,)]), root, "run2")              # repeating a run replaces its own version
+    with pytest.raises(AnalysisException):                         # a version is never written twice
+        stage_version(frame("v long", [(3,)]), root, version)
+    write_mart(frame("v long", [(3,)]), root, "run2")              # nor is what readers of the same run see
     assert rows_of(read_mart(spark, root)) == [(3,)]
+    assert rows_of(spark.read.parquet(f"{root}/v={version}")) == [(2,)]
+
+
+def test_tables_of_a_run_become_visible_together(frame, spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    for name in ("a", "b"):
+        write_mart(frame("v long", [(1,)]), f"{out}/{name}", "r1")
+    versions = {name: new_version("r2") for name in ("a", "b")}
+    for name, version in versions.items():
+        stage_version(frame("v long", [(2,)]), f"{out}/{name}", version)
+    before = current_versions(spark, out)
+    # A crash while the manifest is written leaves a file no reader looks at.
+    monkeypatch.setattr(writers.json, "dumps", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        publish(spark, out, versions)
+    monkeypatch.undo()
+    assert current_versions(spark, out) == before and rows_of(read_mart(spark, f"{out}/a")) == [(1,)]
+    publish(spark, out, versions)
+    assert current_versions(spark, out) == versions
+    assert [rows_of(read_mart(spark, f"{out}/{name}")) for name in versions] == [[(2,)], [(2,)]]
+
+
+def test_timestamps_with_zones_and_without_seconds(frame):
+    texts = {
+        "2024-01-01T00:00:00Z": "2024-01-01", "2024-01-01 00:00": "2024-01-01", "2024-01-01T02:00:00+02:00": "2024-01-01",
+        "2024-01-01 00:00:00.25-0130": "2024-01-01 01:30:00.250", "2024-01-01": "2024-01-01", "01/02/2024": None, "2024-13-01 00:00:00": None,
+    }
+    out = parse_timestamps(frame("s string, t string", [(t, t) for t in texts]), ["t"])
+    assert {r.s: (r.t, r.t_unparsed) for r in out.collect()} == {t: (at(e), e is None) for t, e in texts.items()}
+
+
+def test_what_cannot_be_read_is_counted(frame):
+    tables = {"raw_refunds": frame("refund_id long, requested_at string, processed_at timestamp_ntz", [(1, "soon", None), (2, "2024-01-01", None), (3, None, None)])}
+    schema = {"raw_refunds": T.StructType([f for f in SCHEMAS["commerce"]["raw_refunds"] if f.name in tables["raw_refunds"].columns])}
+    assert rows_of(unparsed_report(tables, schema)) == [("raw_refunds", "unparsed(requested_at)", "error", 1, "error")]
+    assert unparsed_report({"raw_refunds": tables["raw_refunds"].drop("requested_at")}, {"raw_refunds": T.StructType([schema["raw_refunds"]["processed_at"]])}) is None
 
 
 def _session(**settings):
@@ -76,5 +118,17 @@ def test_shared_dir_is_the_one_the_cluster_names(spark):
 
 
 def test_shuffle_partitions_grow_with_the_input():
-    counts = [int(cluster_settings(size)["spark.sql.shuffle.partitions"]) for size in (2**30, 2**40, 100 * 2**40)]
-    assert counts == [200, 8192, 100_000]
+    counts = [int(cluster_settings(size)["spark.sql.shuffle.partitions"]) for size in (2**30, 2**40, 100 * 2**40, 1000 * 2**40)]
+    assert counts == [200, 8192, 819_200, 8_192_000]
+
+
+def test_a_running_session_is_sized_for_its_input(frame, spark, tmp_path):
+    frame("v long", [(1,)]).write.parquet(f"{tmp_path}/t.parquet")
+    assert 0 < input_size(spark, str(tmp_path)) < 10_000
+    before = {k: spark.conf.get(k, None) for k in cluster_settings(1)}
+    try:
+        assert size_session(spark, str(tmp_path))["spark.sql.shuffle.partitions"] == "200"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F, types as T
 
 from conftest import at, rows_of
-from tallywork.streaming import daily_usage, read_stream, replay_dedup, run_available
+from tallywork.streaming import daily_usage, read_stream, replay_dedup, run_available, with_end
 
 SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("line", T.LongType()), T.StructField("kind", T.StringType()),
@@ -21,7 +21,7 @@ def _arrive(spark, folder, batches):
 
 
 def _stream(spark, folder):
-    files = read_stream(spark, f"{folder}/*", SCHEMA, maxFilesPerTrigger=1)
+    files = read_stream(spark, f"{folder}/[0-9]", SCHEMA, maxFilesPerTrigger=1)
     return files.withColumn("day", F.col("ts").cast("date"))
 
 
@@ -32,7 +32,7 @@ def test_replays_across_batches_count_once(spark, tmp_path):
         [(5, 7, "data", "1.000", "2024-01-02 09:00")],
     ])
     kept = replay_dedup(_stream(spark, tmp_path), ["line", "day", "kind", "units"], "ts", "1 day")
-    assert rows_of(run_available(kept.select("line", "day", "units"), "t"), "units") == [(Decimal("1.000"),), (Decimal("1.000"),), (Decimal("2.000"),)]
+    assert rows_of(run_available(kept.select("line", "day", "units"), f"{tmp_path}/out"), "units") == [(Decimal("1.000"),), (Decimal("1.000"),), (Decimal("2.000"),)]
 
 
 def test_late_rows_behind_the_watermark_are_left_out(spark, tmp_path):
@@ -43,7 +43,25 @@ def test_late_rows_behind_the_watermark_are_left_out(spark, tmp_path):
         [(5, 7, "data", "9.000", "2024-01-01 12:00")],   # arrives after the watermark passed its day
         [(6, 7, "data", "1.000", "2024-01-09 10:00")],
     ])
-    out = run_available(daily_usage(_stream(spark, tmp_path), "ts", "kind", "units"), "t")
+    out = run_available(daily_usage(_stream(spark, tmp_path), "ts", "kind", "units"), f"{tmp_path}/out")
     assert rows_of(out, "usage_day", "usage_type", "events", "units") == [
         (at("2024-01-01"), "data", 2, Decimal("3.000")), (at("2024-01-05"), "data", 2, Decimal("6.000")),
     ]
+
+
+def test_a_restarted_run_reads_only_new_files(spark, tmp_path):
+    """State and offsets are in the named folder: replays of an earlier run's rows are known, its files are not read again."""
+    _arrive(spark, tmp_path, [[(1, 7, "data", "1.000", "2024-01-01 10:00")], [(2, 7, "data", "2.000", "2024-01-01 11:00")]])
+    dedup = lambda: replay_dedup(_stream(spark, tmp_path), ["line", "day", "kind", "units"], "ts").select("id", "units")
+    assert rows_of(run_available(dedup(), f"{tmp_path}/out"), "id") == [(1,), (2,)]
+    assert rows_of(run_available(dedup(), f"{tmp_path}/out"), "id") == [(1,), (2,)]
+    part = spark.createDataFrame([(3, 7, "data", Decimal("1.000"), at("2024-01-01 10:30")), (4, 8, "data", Decimal("1.000"), at("2024-01-01 10:30"))], SCHEMA)
+    part.coalesce(1).write.parquet(f"{tmp_path}/2")
+    assert rows_of(run_available(dedup(), f"{tmp_path}/out"), "id") == [(1,), (2,), (4,)]
+
+
+def test_an_end_mark_closes_every_day(spark, tmp_path):
+    _arrive(spark, tmp_path, [[(1, 7, "data", "1.000", "2024-01-01 10:00")], [(2, 7, "data", "2.000", "2024-01-02 23:00")]])
+    usage = with_end(_stream(spark, tmp_path), "ts", f"{tmp_path}/out", "2100-01-01 00:00:00")
+    out = run_available(daily_usage(usage, "ts", "kind", "units"), f"{tmp_path}/out")
+    assert rows_of(out, "usage_day", "events") == [(at("2024-01-01"), 1), (at("2024-01-02"), 1)]
