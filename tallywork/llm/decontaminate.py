@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of ASCII letters, digits and other non-ASCII bytes, lower-cased, so punctuation and case do not hide a copy.
-The n-grams of a test item that occur in the fewest documents of the corpus are its seeds.  A document that holds a seed is
-aligned with the item around the seed: matching words score, other words and gaps cost, and the best local alignment as a
-share of a perfect one is the similarity.  Edited and paraphrased copies keep a high share, passages that merely share common
-words do not.
+Every n-gram of a test item is a seed.  A document that holds a seed is aligned with the item around the seed: matching words
+score, other words and gaps cost, and the best local alignment as a share of a perfect one is the similarity.  Edited and
+paraphrased copies keep a high share, passages that merely share common words do not.  Rarity chooses no seeds: the n-grams
+that editing destroyed are the rarest of a copy, so a quota of rare ones would go to those it does not hold.
 
 The items are the query set: they are read in blocks of bounded size and every document is compared with each block, so no
-document is moved.  Both passes over the documents - the counts of n-grams, then seeds and alignment - read whole texts.
+document is moved.  One pass over the documents for each block finds seeds and aligns; it reads whole texts.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from tallywork.llm import text as tx
 from tallywork.llm.shared import fresh, written
 
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Seeds of an item: the rarer half of its distinct n-grams, but this many at least where it has them.
+#: What ``rare_seeds`` leaves an item: the rarer half of its distinct n-grams, but this many at least where it has them.
 LEAST_SEEDS = 8
+#: Places of seeds in one step of the search; a document with more is a step of its own.
+STEP_SEEDS = 1 << 18
 #: Characters of items in one block; a longer item is a block of its own.
 BLOCK_CHARS = 8_000_000
 _FILTER_BITS = 22
@@ -74,7 +76,8 @@ def index_items(rows: list[tuple[int, str]], n: int) -> Items:
 def rare_seeds(items: Items, documents: np.ndarray) -> Items:
     """The items with the rarer half of each one's n-grams; ``documents`` counts those that hold each n-gram.
 
-    Rarity is relative to the item, so a passage that a great many documents hold keeps its seeds.
+    Rarity is relative to the item, so a passage that a great many documents hold keeps its seeds.  ``contamination`` does
+    not use this, as an edited copy may hold none of them.
     """
     owner = np.repeat(np.arange(len(items.grams)), np.diff(items.first))
     count = documents[owner]
@@ -165,6 +168,18 @@ def _windows(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, lengths: n
     return row[starts], item[starts], diagonal[starts], diagonal[ends]
 
 
+def _steps(row: np.ndarray, fan: np.ndarray) -> Iterator[slice]:
+    """Runs of seeds found that stand in about ``STEP_SEEDS`` places of items; those of a row stay together."""
+    low, total = 0, np.cumsum(fan)
+    while low < len(row):
+        last = min(len(row) - 1, int(np.searchsorted(total, STEP_SEEDS + (total[low - 1] if low else 0))))
+        # Back to the row's first, or on to its end where the run began with it.
+        high = int(np.searchsorted(row, row[last])) if last < len(row) - 1 else len(row)
+        high = high if high > low else int(np.searchsorted(row, row[last], side="right"))
+        yield slice(low, high)
+        low = high
+
+
 def _matches(items: Items, n: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, lengths = _Lookup(items.grams), np.diff(items.bounds)
@@ -173,52 +188,35 @@ def _matches(items: Items, n: int, similarity: float):
                 rows, hashes = _document_words(data, offsets)
                 _, grams, at = tx.shingles(hashes, rows, n, short=False)
                 where, which = lookup(grams)
-                if not len(where):
-                    continue
-                fan = np.diff(items.first)[which]
-                hit = np.repeat(items.first[which] - (np.cumsum(fan) - fan), fan) + np.arange(fan.sum())
-                item, place, word = items.item[hit], items.place[hit], np.repeat(at[where], fan)
-                row, item, least, most = _windows(rows[word], item, word - place, lengths)
                 bounds = np.searchsorted(rows, np.arange(high - low + 1))
-                pad = lengths[item] // 4 + 2
-                start = np.maximum(least - pad, bounds[row])
-                stop = np.minimum(most + lengths[item] + pad, bounds[row + 1])
-                query = [items.words[items.bounds[i] : items.bounds[i + 1]] for i in item]
-                score, last = align(query, [hashes[a:b] for a, b in zip(start, stop, strict=True)])
-                part = score / (MATCH * lengths[item])
-                good = np.flatnonzero(part >= similarity)
-                # The best window of each document and item, the first of equals.
-                good = good[np.lexsort((start[good], -score[good], item[good], row[good]))]
-                good = good[np.r_[True, (row[good][1:] != row[good][:-1]) | (item[good][1:] != item[good][:-1])]] if len(good) else good
-                # From the last word back, the reversed alignment ends where this one starts.
-                back = align([query[g][::-1] for g in good], [hashes[start[g] : start[g] + last[g] + 1][::-1] for g in good])[1]
-                end = start[good] + last[good]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(low, high - low).take(pa.array(row[good])), pa.array([items.ids[i] for i in item[good]], pa.int64()), pa.array(score[good]),
-                    pa.array(part[good]), pa.array(end - back - bounds[row[good]]), pa.array(end + 1 - bounds[row[good]]),
-                ], ["doc_id", "item_id", "score", "similarity", "start_word", "end_word"])
+                for some in _steps(rows[at[where]], np.diff(items.first)[which]):
+                    fan = np.diff(items.first)[which[some]]
+                    hit = np.repeat(items.first[which[some]] - (np.cumsum(fan) - fan), fan) + np.arange(fan.sum())
+                    item, place, word = items.item[hit], items.place[hit], np.repeat(at[where[some]], fan)
+                    row, item, least, most = _windows(rows[word], item, word - place, lengths)
+                    pad = lengths[item] // 4 + 2
+                    start = np.maximum(least - pad, bounds[row])
+                    stop = np.minimum(most + lengths[item] + pad, bounds[row + 1])
+                    query = [items.words[items.bounds[i] : items.bounds[i + 1]] for i in item]
+                    score, last = align(query, [hashes[a:b] for a, b in zip(start, stop, strict=True)])
+                    part = score / (MATCH * lengths[item])
+                    good = np.flatnonzero(part >= similarity)
+                    # The best window of each document and item, the first of equals.
+                    good = good[np.lexsort((start[good], -score[good], item[good], row[good]))]
+                    good = good[np.r_[True, (row[good][1:] != row[good][:-1]) | (item[good][1:] != item[good][:-1])]] if len(good) else good
+                    # From the last word back, the reversed alignment ends where this one starts.
+                    back = align([query[g][::-1] for g in good], [hashes[start[g] : start[g] + last[g] + 1][::-1] for g in good])[1]
+                    end = start[good] + last[good]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(low, high - low).take(pa.array(row[good])), pa.array([items.ids[i] for i in item[good]], pa.int64()), pa.array(score[good]),
+                        pa.array(part[good]), pa.array(end - back - bounds[row[good]]), pa.array(end + 1 - bounds[row[good]]),
+                    ], ["doc_id", "item_id", "score", "similarity", "start_word", "end_word"])
 
     return run
 
 
 # ---- Spark --------------------------------------------------------------------------
 
-def _gram_counts(grams: np.ndarray, n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, counts = _Lookup(grams), np.zeros(len(grams), dtype=np.int64)
-        for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column(0)):
-                rows, hashes = _document_words(data, offsets)
-                row, values, _ = tx.shingles(hashes, rows, n, short=False)
-                where, which = lookup(values)
-                both = np.unique(row[where] * len(grams) + which)
-                counts += np.bincount(both % max(1, len(grams)), minlength=len(grams))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["gram", "documents"])
-
-    return run
-
-
 def blocks(benchmark: DataFrame, id: str = "item_id", text: str = "text", chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's ``(id, text)`` rows in blocks of about ``chars`` characters, so that each fits any machine."""
     rows = benchmark.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("id IS NOT NULL")
@@ -244,12 +242,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 4, similarity:
         items = index_items(rows, n)
         if not len(items.grams):
             continue
-        counted = texts.select("t").mapInArrow(_gram_counts(items.grams, n), "gram long, documents long").groupBy("gram").agg(F.sum("documents").alias("documents"))
-        documents = np.zeros(len(items.grams), dtype=np.int64)
-        for r in counted.collect():  # as many as the block has n-grams at most
-            documents[r.gram] = r.documents
-        seeds = rare_seeds(items, documents)
-        found = texts.mapInArrow(_matches(seeds, n, similarity), "doc_id long, item_id long, score long, similarity double, start_word long, end_word long")
+        found = texts.mapInArrow(_matches(items, n, similarity), "doc_id long, item_id long, score long, similarity double, start_word long, end_word long")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, score long, similarity double, start_word long, end_word long")

@@ -95,3 +95,40 @@ def test_repeated_rows_empty_tables_and_stage(llm, docs):
     assert kept.columns == table.columns and tuples(kept, "doc_id") == sorted([(2,), (None,), (4,)], key=repr)
     assert dc.contamination(docs([]), bench).count() == 0
     assert dc.contamination(table, llm.createDataFrame([], ITEMS)).count() == 0
+
+
+def full_alignments(rows, items, n=4):
+    """Pairs that share an n-gram and whose full table reaches 0.6, with the score."""
+    out = {}
+    for d, text in rows:
+        t = text.split()
+        held = {tuple(t[i : i + n]) for i in range(len(t) - n + 1)}
+        for i, q in items:
+            if any(tuple(q[j : j + n]) in held for j in range(len(q) - n + 1)):
+                score = smith_waterman(q, t)[0]
+                if score >= 0.6 * dc.MATCH * len(q):
+                    out[d, i] = score
+    return out
+
+
+def test_edited_copies_against_full_alignment(llm, docs):
+    rng = random.Random(8)
+    items = [(i, words(rng, 50)) for i in range(40)]
+    rows = [(1000 + i, " ".join(q)) for i, q in items[::2]]
+    for i, q in items:
+        copy = list(q)
+        for at in rng.sample(range(50), 5 + i % 8):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join([*words(rng, 30), *copy, *words(rng, 30)])))
+    expected = full_alignments(rows, items)
+    assert len(expected) > 45
+    got = dc.contamination(docs(rows), llm.createDataFrame([(i, " ".join(q)) for i, q in items], ITEMS)).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == expected
+
+
+def test_steps_keep_rows_together(monkeypatch):
+    monkeypatch.setattr(dc, "STEP_SEEDS", 5)
+    row, fan = np.array([0, 0, 1, 2, 2, 2, 7, 8]), np.array([1, 2, 3, 4, 4, 4, 1, 1])
+    steps = list(dc._steps(row, fan))
+    assert [i for s in steps for i in range(s.start, s.stop)] == list(range(8)) and len(steps) > 2
+    assert all(set(row[a]).isdisjoint(row[b]) for a in steps for b in steps if a is not b)
