@@ -149,16 +149,24 @@ def align(queries: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndar
     return score, last
 
 
-def _windows(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``(row, item, lowest, highest diagonal)`` of runs of seeds that one alignment could hold.
+def drift(lengths: np.ndarray, similarity: float) -> np.ndarray:
+    """How far the diagonals of one alignment that reaches ``similarity`` can lie apart.
 
-    Seeds of a run lie within half an item's length of the next, and a run spans two lengths at most; neighbours then
-    overlap, as every window is widened by a part of the item.
+    A perfect score is ``MATCH`` a word of the item, and every diagonal left costs ``-GAP`` of it.
+    """
+    return np.ceil(MATCH * (1 - similarity) * lengths / -GAP).astype(np.int64)
+
+
+def _windows(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, lengths: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(row, item, lowest, highest diagonal)`` of runs of seeds.
+
+    Seeds of a run lie within an item's ``reach`` of the next, and a run spans two lengths at most.  An alignment through a
+    seed of a run is within reach of that seed, so a window widened by the reach on both sides holds it whole.
     """
     order = np.lexsort((diagonal, item, row))
     row, item, diagonal = row[order], item[order], diagonal[order]
     cut = np.ones(len(row), dtype=bool)
-    cut[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > lengths[item[1:]] // 2)
+    cut[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > reach[item[1:]])
     starts = np.flatnonzero(cut)
     origin = diagonal[starts][np.cumsum(cut) - 1]
     part = (diagonal - origin) // (2 * lengths[item])
@@ -183,6 +191,7 @@ def _steps(row: np.ndarray, fan: np.ndarray) -> Iterator[slice]:
 def _matches(items: Items, n: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, lengths = _Lookup(items.grams), np.diff(items.bounds)
+        reach = drift(lengths, similarity)
         for batch in batches:
             for low, high, data, offsets in tx.slices(batch.column(1)):
                 rows, hashes = _document_words(data, offsets)
@@ -193,10 +202,9 @@ def _matches(items: Items, n: int, similarity: float):
                     fan = np.diff(items.first)[which[some]]
                     hit = np.repeat(items.first[which[some]] - (np.cumsum(fan) - fan), fan) + np.arange(fan.sum())
                     item, place, word = items.item[hit], items.place[hit], np.repeat(at[where[some]], fan)
-                    row, item, least, most = _windows(rows[word], item, word - place, lengths)
-                    pad = lengths[item] // 4 + 2
-                    start = np.maximum(least - pad, bounds[row])
-                    stop = np.minimum(most + lengths[item] + pad, bounds[row + 1])
+                    row, item, least, most = _windows(rows[word], item, word - place, lengths, reach)
+                    start = np.maximum(least - reach[item], bounds[row])
+                    stop = np.minimum(most + lengths[item] + reach[item], bounds[row + 1])
                     query = [items.words[items.bounds[i] : items.bounds[i + 1]] for i in item]
                     score, last = align(query, [hashes[a:b] for a, b in zip(start, stop, strict=True)])
                     part = score / (MATCH * lengths[item])

@@ -132,3 +132,18 @@ def test_steps_keep_rows_together(monkeypatch):
     steps = list(dc._steps(row, fan))
     assert [i for s in steps for i in range(s.start, s.stop)] == list(range(8)) and len(steps) > 2
     assert all(set(row[a]).isdisjoint(row[b]) for a in steps for b in steps if a is not b)
+
+
+def test_inserted_passages_against_full_alignment(llm, docs):
+    rng = random.Random(9)
+    items = [(i, words(rng, 40)) for i in range(20)]
+    rows = []
+    for i, q in items:
+        split = rng.randint(12, 28)
+        rows.append((i, " ".join([*words(rng, 40), *q[:split], *[f"in{i}x{k}" for k in range(15 + i)], *q[split:], *words(rng, 40)])))
+    # One inserted word at a time, as far as the threshold allows.
+    rows += [(100 + i, " ".join(w for k, x in enumerate(q) for w in ([x, f"in{i}x{k}"] if k % 4 == 3 else [x]))) for i, q in items]
+    expected = full_alignments(rows, items)
+    assert len(expected) > 32
+    got = dc.contamination(docs(rows), llm.createDataFrame([(i, " ".join(q)) for i, q in items], ITEMS)).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == expected
