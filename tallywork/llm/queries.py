@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallywork.llm.chat import rotate
 from tallywork.llm.decontaminate import contamination
-from tallywork.llm.lm_scores import cross_entropy_difference
 from tallywork.llm.mixing import mixed
 from tallywork.llm.multi_index import nearest
 from tallywork.llm.ngram_join import jaccard_components
@@ -19,6 +18,7 @@ from tallywork.llm.shared import ship
 from tallywork.llm.tokens import token_report
 from tallywork.llm.toxicity import toxicity
 from tallywork.llm.url_lists import host, judge, keys
+from tallywork.llm.word_lm import word_cross_entropy_difference
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,4 +102,4 @@ def op2_inverted_multi_index(spark, table):
 
 @_query
 def op3_cross_entropy_difference(spark, table):
-    return cross_entropy_difference(table("documents"), table("labels").where("quality = 1"))
+    return word_cross_entropy_difference(table("documents"), table("labels").where("quality = 1"))
