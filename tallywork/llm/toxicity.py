@@ -247,14 +247,17 @@ def held_out(id: str = "doc_id") -> Column:
 def fit_to_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text", sample: int = SAMPLE, **options) -> Model:
     """Fit to the documents that ``labels`` marks 0 or 1, held-out ones left aside.
 
-    Labels that are NULL or neither are ignored; an id that is labelled twice counts as 1 if any label is.  Of documents that
-    repeat an id, each row takes part.  At most ``sample`` ids of a label are looked up, so only those are joined.
+    Labels that are NULL or neither are ignored; an id that is labelled twice counts as 1 if any label is.  At most ``sample``
+    ids of a label are looked up, so only those are joined.  Of documents that repeat an id, the one with the smallest hashed
+    text is fitted to, so an id of any number of rows is one example.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(id)).groupBy(F.col(id).cast("long").alias("id")).agg(F.max(label).cast("int").alias("label"))
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     some = [known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))  # 16 bytes for each of 2 * sample rows at most
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(chosen, "id")
+    # A partial aggregation: no task and no collect sees more than an id's one row.
+    rows = rows.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first")).select("first.text", "label")
     return fit(rows, (counts.get(0, 0), counts.get(1, 0)), **options)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,18 @@ def test_empty_table_and_stage(llm, docs):
     kept = tox.without_toxic(table, labels)
     assert kept.columns == table.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _, y in corpus(300) if not y} | {998, 999}
+
+
+def test_an_id_of_many_rows_is_one_example(llm, monkeypatch):
+    rows = [r for r in corpus(120) if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    labels = llm.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    hot = rows[0][0]
+    texts = [(i, t) for i, t, _ in rows] + [(hot, f"another text {k}") for k in range(300)]
+    seen = []
+    monkeypatch.setattr(tox, "fit", lambda some, prior, **_: seen.append((some.collect(), prior)))
+    for order in (texts, texts[::-1]):
+        tox.fit_to_labels(llm.createDataFrame(order, "doc_id long, text string").repartition(5), labels)
+    (examples, prior), (again, _) = seen
+    assert len(examples) == len(rows) == sum(prior)
+    assert sorted((r.text, r.label) for r in examples) == sorted((r.text, r.label) for r in again)
+    assert {(t, y) for i, t, y in rows if i != hot} <= {(r.text, r.label) for r in examples}
