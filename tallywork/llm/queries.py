@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from tallywork.llm.chat import rotate
 from tallywork.llm.decontaminate import contamination
+from tallywork.llm.hard_negatives import hard_negatives
 from tallywork.llm.mixing import mixed
 from tallywork.llm.multi_index import nearest
 from tallywork.llm.ngram_join import jaccard_components
 from tallywork.llm.secret_scan import findings, scan
 from tallywork.llm.shared import ship
+from tallywork.llm.spelling import spelling_variants
+from tallywork.llm.suffix_repeats import without_repeats
 from tallywork.llm.tokens import token_report
 from tallywork.llm.toxicity import toxicity
 from tallywork.llm.url_lists import host, judge, keys
@@ -103,3 +106,19 @@ def op2_inverted_multi_index(spark, table):
 @_query
 def op3_cross_entropy_difference(spark, table):
     return word_cross_entropy_difference(table("documents"), table("labels").where("quality = 1"))
+
+
+@_query
+def op11_rotated_codes(spark, table):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table("embeddings"), lambda i: i % 50 == 0, n_positives=5, n_negatives=3, low_percent=50, high_percent=95, label=label)
+
+
+@_query
+def op12_spelling_variants(spark, table):
+    return spelling_variants(table("documents"), least_letters=7, least_n=2, ratio=10, one_in=31)
+
+
+@_query
+def op13_suffix_repeats(spark, table):
+    return without_repeats(table("documents"), length=200)

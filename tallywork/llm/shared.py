@@ -9,12 +9,16 @@ import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywork.session import shared_dir
 
 _SHIPPED: set[str] = set()
 _BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000}
+#: Bits of a map of 64-bit values, 8 MB.  Beyond so many values it lets more through to the join that decides.
+MAP_BITS = 26
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -52,12 +56,37 @@ def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """A written table that is removed at the end; what was made from it must be written by then."""
     spark = df.sparkSession
     table = written(df, name)
-    yield table
+    try:
+        yield table
+    finally:
+        remove(table)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete the files of a written table that nothing reads any more."""
+    spark = table.sparkSession
     for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bit_map(df: DataFrame, column: str) -> np.ndarray:
+    """A map of the values of a long column by their low bits, of one size whatever their number: a superset of them."""
+    at = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1)) + 1
+    parts = df.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
+    for part in parts:
+        bits = np.frombuffer(bytes(part.bits), dtype=np.uint8)
+        out[(part.b - 1) * len(bits) : part.b * len(bits)] = bits
+    return out
+
+
+def bits_of(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit values a map may hold."""
+    at = values & np.uint64((1 << MAP_BITS) - 1)
+    return (known[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Make a session ready for the operators that run Python in tasks.
 
