@@ -135,3 +135,36 @@ listed AS (
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM docs LEFT JOIN listed USING (doc_id)
 """
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
+
+STATEMENTS["op3_cross_entropy_difference"] = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS marked,
+        list_append(regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '[0-9A-Za-z\x{{80}}-\x{{10FFFF}}]+'), '') AS words
+    FROM documents
+), symbols AS (
+    SELECT r, doc_id, marked, unnest(words) AS word, unnest(list_prepend('', words[1:len(words) - 1])) AS context FROM texts
+), own AS (
+    SELECT r, marked, NULL AS context, word, count(*) AS c FROM symbols GROUP BY r, marked, word
+    UNION ALL
+    SELECT r, marked, context, word, count(*) FROM symbols GROUP BY r, marked, context, word
+), counts AS (
+    SELECT context, word, sum(c) AS n, coalesce(sum(c) FILTER (WHERE marked), 0) AS m FROM own GROUP BY context, word
+), total AS (
+    SELECT CAST(sum(n) AS DOUBLE) AS n, CAST(sum(m) AS DOUBLE) AS m, 0.5 * (count(*) FILTER (WHERE n > 1) + 1) AS size FROM counts WHERE context IS NULL
+), others AS (
+    SELECT o.r, o.context, o.c, unnest([CAST(k.m AS DOUBLE), CAST(greatest(k.m - o.c, 0) AS DOUBLE), t.m / t.n * CAST(k.n - o.c AS DOUBLE)]) AS x, unnest([1, 2, 3]) AS side, t.size
+    FROM own o JOIN counts k ON o.word = k.word AND o.context IS NOT DISTINCT FROM k.context, total t WHERE k.n > 1
+), sums AS (
+    SELECT r, side, CAST(sum(round(c * (ln((x + 0.5) / 0.5) - CASE WHEN context IS NULL THEN ln((x + size) / size) ELSE 0 END) * 4294967296)) AS DOUBLE) AS g FROM others GROUP BY r, side
+), sides AS (
+    SELECT r, max(g) FILTER (WHERE side = 1) AS outside, max(g) FILTER (WHERE side = 2) AS inside, max(g) FILTER (WHERE side = 3) AS background FROM sums GROUP BY r
+), losses AS (
+    SELECT doc_id, len(words) AS s,
+        (ln(t.m - CASE WHEN marked THEN len(words) ELSE 0 END + size) - 2 * ln(0.5) + ln(size) - coalesce(CASE WHEN marked THEN inside ELSE outside END, 0) / (len(words) * 4294967296.0::DOUBLE)) / 2 AS target,
+        (ln(t.m / t.n * (t.n - len(words)) + size) - 2 * ln(0.5) + ln(size) - coalesce(background, 0) / (len(words) * 4294967296.0::DOUBLE)) / 2 AS background
+    FROM texts LEFT JOIN sides USING (r), total t
+)
+SELECT doc_id, CAST(s AS BIGINT) AS n_symbols, round(target, 9) AS target_loss, round(background, 9) AS background_loss, round(target - background, 9) AS score FROM losses
+"""

@@ -78,8 +78,14 @@ def test_toxicity_query(llm, documents):
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for d, r in got.items())
 
 
-def test_language_model_query(llm, documents):
-    got = QUERIES["op3_cross_entropy_difference"](llm, FOLDER)
-    labels = llm.read.parquet(f"{FOLDER}/labels.parquet")
-    mean = {r.quality: r["avg(score)"] for r in got.join(labels, "doc_id").groupBy("quality").avg("score").collect()}
-    assert got.count() == len(documents) and mean[1] < mean[0]
+def test_language_model_query_finds_the_labelled_half_it_has_not_seen(llm, tmp_path):
+    """Documents of quality 1 that are left out of the target score below the rest, and nearly as those in it."""
+    folder = FOLDER.replace("0.001", "0.01")
+    labels = llm.read.parquet(f"{folder}/labels.parquet")
+    llm.read.parquet(f"{folder}/documents.parquet").write.parquet(f"{tmp_path}/documents.parquet")
+    labels.where("doc_id % 2 = 0").write.parquet(f"{tmp_path}/labels.parquet")
+    scores = {r.doc_id: r.score for r in QUERIES["op3_cross_entropy_difference"](llm, str(tmp_path)).collect()}
+    kinds = {r.doc_id: r.quality for r in labels.collect()}
+    mean = lambda wanted: float(np.mean([x for d, x in scores.items() if wanted(kinds.get(d), d % 2)]))
+    inside, left_out, bad = mean(lambda q, odd: q == 1 and not odd), mean(lambda q, odd: q == 1 and odd), mean(lambda q, odd: q == 0)
+    assert left_out < bad - 0.04 and abs(left_out - inside) < 0.06
