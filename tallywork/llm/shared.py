@@ -70,20 +70,20 @@ def remove(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def bit_map(df: DataFrame, column: str) -> np.ndarray:
-    """A map of the values of a long column by their low bits, of one size whatever their number: a superset of them."""
-    at = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1)) + 1
+def bit_map(df: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
+    """A map of the values of a long column by their low ``bits``, of one size whatever their number: a superset of them."""
+    at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
     parts = df.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
-    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
+    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
     for part in parts:
-        bits = np.frombuffer(bytes(part.bits), dtype=np.uint8)
-        out[(part.b - 1) * len(bits) : part.b * len(bits)] = bits
+        held = np.frombuffer(bytes(part.bits), dtype=np.uint8)
+        out[(part.b - 1) * len(held) : part.b * len(held)] = held
     return out
 
 
 def bits_of(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the 64-bit values a map may hold."""
-    at = values & np.uint64((1 << MAP_BITS) - 1)
+    at = values & np.uint64(8 * len(known) - 1)
     return (known[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 

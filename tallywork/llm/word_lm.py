@@ -12,7 +12,7 @@ membership.  It is the mean over the symbols of target loss less background loss
 Symbols are the words and one mark, which ends every text and precedes its first word.
 
 Words and pairs grow with the corpus and are counted in one table, keyed by 64-bit hashes.  A key that no other document has adds the
-same to both models but for its context, so documents send on only keys that occur twice; a map of 8 MB tells most others apart.  The
+same to both models but for its context, so documents send on only keys that occur twice; a map of 16 MB tells most others apart.  The
 ``HEAD`` most frequent keys, which most symbols belong to, are held by every task, whatever the corpus; the documents' other
 keys are joined to the table.  So no key that fills a third of all rows is ever exchanged.  Losses are summed in units of
 ``1 / SCALE``, so the order of rows makes no difference.
@@ -36,8 +36,9 @@ from tallywork.llm.shared import bit_map, bits_of, remove, written
 MARK = np.uint64(0xA7C4D1E89B360F52)
 #: What every count is raised by.
 A = 0.5
-#: Keys that every task holds, 6 MB.
-HEAD = 1 << 18
+#: Keys that every task holds, 12 MB, and bits of the map of all that occur twice, 16 MB.
+HEAD = 1 << 19
+MAP_BITS = 27
 SCALE = 1 << 32
 #: The key of the number of all symbols.
 _ALL = 0
@@ -146,7 +147,7 @@ def _model(counts: DataFrame) -> tuple[Model, int, int]:
         least = at
     head = rows.where(level >= least if least is not None else F.lit(False)).select("key", "n", "m").toArrow()
     columns = head.column("key").to_numpy().view(np.uint64), head.column("n").to_numpy(), head.column("m").to_numpy()
-    return Model(m / n if n else 0.0, sum(words for _, _, words in sizes) + 1, columns, bit_map(rows, "key")), n, m
+    return Model(m / n if n else 0.0, sum(words for _, _, words in sizes) + 1, columns, bit_map(rows, "key", MAP_BITS)), n, m
 
 
 def word_cross_entropy_difference(docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,7 +159,8 @@ def word_cross_entropy_difference(docs: DataFrame, target: DataFrame, id: str =
     part.  Rows are told apart by a 64-bit hash of id and text, keys by 63 bits.
     """
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("doc", F.xxhash64("doc_id", "t"))
-    wanted = target.select(F.col(id).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("marked", F.lit(True))
+    # Written, so that Spark knows its size: small ids go to the texts, and only many ids make the texts move to them.
+    wanted = written(target.select(F.col(id).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("marked", F.lit(True)), "target")
     flagged = texts.join(wanted, "doc_id", "left").select("t", F.coalesce("marked", F.lit(False)).alias("marked"))
     counts = flagged.mapInArrow(_counted, "key long, n long, m long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     counts = written(counts.where((F.col("n") > 1) | (F.col("key") == _ALL)), "counts")
