@@ -36,9 +36,11 @@ from tallywork.llm.shared import bit_map, bits_of, remove, written
 MARK = np.uint64(0xA7C4D1E89B360F52)
 #: What every count is raised by.
 A = 0.5
-#: Keys that every task holds, 12 MB, and bits of the map of all that occur twice, 16 MB.
-HEAD = 1 << 19
+#: Keys that every task holds, 24 MB, and bits of the map of all that occur twice, 16 MB.
+HEAD = 1 << 20
 MAP_BITS = 27
+#: Ids of the target that go to the texts, 4 MB; with more of them the texts move to the ids.
+FEW_IDS = 1 << 19
 SCALE = 1 << 32
 #: The key of the number of all symbols.
 _ALL = 0
@@ -98,6 +100,7 @@ def _scored(model: Model):
     """For each row its symbols with the gains of frequent keys, under a key of its own, and its other keys that the map has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            marked = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             for low, high, data, offsets in tx.slices(batch.column(1)):
                 rows = high - low
                 row, key = _keys(data, offsets)
@@ -108,28 +111,22 @@ def _scored(model: Model):
                 at = np.minimum(np.searchsorted(model.keys, key), max(0, len(model.keys) - 1))
                 frequent = model.keys[at] == key if len(model.keys) else np.zeros(len(key), dtype=bool)
                 odd = (key & _ODD) == 1
-                sums = np.zeros((3, rows), dtype=np.int64)
-                for total, n in zip(sums, _others(model.n[at[frequent]], model.m[at[frequent]], c[frequent], model.share), strict=True):
-                    np.add.at(total, row[frequent], _units(c[frequent] * _gain(n, odd[frequent], model.size)))
+                own = marked[low:high][row] * c  # what the target model has of this row
+                sums = np.zeros((2, rows), dtype=np.int64)
+                for total, n in zip(sums, (model.m[at] - own, model.share * (model.n[at] - c)) if len(model.keys) else (), strict=False):
+                    np.add.at(total, row[frequent], _units(c[frequent] * _gain(n[frequent], odd[frequent], model.size)))
                 symbols = np.bincount(row[odd], c[odd], rows).astype(np.int64)
                 doc = batch.column(0).slice(low, rows)
-                yield pa.RecordBatch.from_arrays([doc, doc, pa.array(symbols), *map(pa.array, sums)], _ROW)
+                none = pa.array(np.zeros(rows, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([doc, doc, pa.array(symbols), none, *map(pa.array, sums)], _ROW)
                 rest = ~frequent & bits_of(model.known, key)
                 none = pa.array(np.zeros(int(rest.sum()), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([doc.take(pa.array(row[rest])), _long(key[rest]), pa.array(c[rest]), none, none, none], _ROW)
+                yield pa.RecordBatch.from_arrays([doc.take(pa.array(row[rest])), _long(key[rest]), pa.array(c[rest]), pa.array(own[rest]), none, none], _ROW)
 
     return run
 
 
-_ROW = ["doc", "key", "c", "outside", "inside", "background"]
-
-
-def _others(n, m, c, share: float) -> tuple:
-    """Occurrences in other rows: of the target where the row is not of it, where it is, and of the background."""
-    if isinstance(n, Column):
-        less = F.greatest(m - c, F.lit(0))
-        return m, less, share * F.greatest(n - c, F.lit(0))
-    return m, np.maximum(m - c, 0), share * np.maximum(n - c, 0)
+_ROW = ["doc", "key", "c", "own", "target", "background"]
 
 
 def _model(counts: DataFrame) -> tuple[Model, int, int]:
@@ -159,36 +156,37 @@ def word_cross_entropy_difference(docs: DataFrame, target: DataFrame, id: str =
     part.  Rows are told apart by a 64-bit hash of id and text, keys by 63 bits.
     """
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("doc", F.xxhash64("doc_id", "t"))
-    # Written, so that Spark knows its size: small ids go to the texts, and only many ids make the texts move to them.
     wanted = written(target.select(F.col(id).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("marked", F.lit(True)), "target")
-    flagged = texts.join(wanted, "doc_id", "left").select("t", F.coalesce("marked", F.lit(False)).alias("marked"))
-    counts = flagged.mapInArrow(_counted, "key long, n long, m long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    wanted = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted.hint("merge")
+    texts = texts.join(wanted, "doc_id", "left").withColumn("marked", F.coalesce("marked", F.lit(False)))
+    counts = texts.select("t", "marked").mapInArrow(_counted, "key long, n long, m long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     counts = written(counts.where((F.col("n") > 1) | (F.col("key") == _ALL)), "counts")
     model, all_n, all_m = _model(counts)
 
-    made = texts.select("doc", "t").mapInArrow(_scored(model), ", ".join(f"{c} long" for c in _ROW))
+    made = texts.select("doc", "t", "marked").mapInArrow(_scored(model), ", ".join(f"{c} long" for c in _ROW))
     # Every key is in one row of the counts, so the side that is hashed has no hot key.
     made = made.join(counts.hint("shuffle_hash"), "key", "left")
-    own = F.col("key") == F.col("doc")
+    summary = F.col("key") == F.col("doc")
     odd = F.col("key") % 2 != 0
     size = F.lit(A * model.size)
     gain = lambda x: F.log((x + A) / A) - F.when(odd, F.log((x + size) / size)).otherwise(0.0)
-    gains = [F.when(~own & F.col("n").isNotNull(), F.round(F.col("c") * gain(x) * SCALE).cast("long")).otherwise(0) for x in _others(F.col("n"), F.col("m"), F.col("c"), F.lit(model.share))]
-    sums = made.groupBy("doc").agg(F.sum(F.when(own, F.col("c")).otherwise(0)).alias("c"), F.count_if(own).alias("rows"), *(F.sum(F.col(name) + g).alias(name) for name, g in zip(_ROW[3:], gains, strict=True)))
+    gained = lambda x: F.when(~summary & F.col("n").isNotNull(), F.round(F.col("c") * gain(x) * SCALE).cast("long")).otherwise(0)
+    sums = made.groupBy("doc").agg(
+        F.sum(F.when(summary, F.col("c")).otherwise(0)).alias("c"), F.count_if(summary).alias("rows"),
+        F.sum(F.col("target") + gained(F.col("m") - F.col("own"))).alias("target"), F.sum(F.col("background") + gained(F.lit(model.share) * (F.col("n") - F.col("c")))).alias("background"),
+    )
     # Rows that repeat id and text were summed together.
     each = lambda name: (F.col(name) / F.col("rows")).alias(name)
-    sums = written(sums.select("doc", F.expr("c div rows").alias("c"), *map(each, _ROW[3:])), "sums")
+    sums = written(sums.select("doc", F.expr("c div rows").alias("c"), each("target"), each("background")), "sums")
     remove(counts)
 
-    rows = texts.select("doc_id", "doc").join(wanted, "doc_id", "left").join(sums, "doc")
-    marked = F.coalesce("marked", F.lit(False))
+    rows = texts.select("doc_id", "doc", "marked").join(sums, "doc")
     base = np.log(A) - np.log(A * model.size) + np.log(A)
 
     def loss(gained: Column, others: Column) -> Column:
         return (F.log(others + size) - base - gained / (F.col("c") * F.lit(float(SCALE)))) / 2
 
-    in_target = F.when(marked, F.col("c")).otherwise(0)
-    target_loss = loss(F.when(marked, F.col("inside")).otherwise(F.col("outside")), F.lit(float(all_m)) - in_target)
+    target_loss = loss(F.col("target"), F.lit(float(all_m)) - F.when(F.col("marked"), F.col("c")).otherwise(0))
     background_loss = loss(F.col("background"), F.lit(model.share) * (F.lit(float(all_n)) - F.col("c")))
     out = rows.select("doc_id", F.col("c").alias("n_symbols"), target_loss.alias("t"), background_loss.alias("b"))
     return out.select("doc_id", "n_symbols", F.round("t", 9).alias("target_loss"), F.round("b", 9).alias("background_loss"), F.round(F.col("t") - F.col("b"), 9).alias("score"))
