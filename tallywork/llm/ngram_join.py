@@ -14,6 +14,11 @@ Documents with equal sets are one class, joined in linear time.  Pairs of one co
 link per document, to the most central document under its most frequent root, and the trees then only join across
 components.  So a group of near copies costs as much as its size, and no link between components is lost.
 
+What is left between components is joined round by round.  Leaves reject by parities of the counts of four groups a shingle or more,
+so what passes is a link or very nearly one, and a task names no more pairs than span its components, nearest first.  Verified
+links join components, the others are remembered, and the next round looks again at what is apart; the last one names all that is
+left.  So neither a group of linked documents nor one of documents just too different makes pairs with the square of its size.
+
 The texts are read where they lie and never moved: for the sets' digests, for the roots, for the points of documents that
 share a root with another one, and for the sets of those that a bound has left as candidates.
 """
@@ -30,14 +35,16 @@ from pyspark.sql import functions as F
 
 from tallywork.llm import text as tx
 from tallywork.llm.components import components, roots
-from tallywork.llm.shared import fresh, scratch, written
+from tallywork.llm.shared import fresh, remove, scratch, written
 
 #: Coordinates of a point; each is the sum of 1,024 of the fine groups that address the roots.
 COORDINATES = 64
 #: Points below a root that one task joins; larger roots are cut into chunks and every pair of chunks is a task.
 CHUNK = 2_048
-#: Bits of the sketch that leaves try first: the parities of the counts of as many groups.
+#: Bits of the sketch that leaves try first, the parities folded to one length.
 SKETCH = 512
+#: Rounds in which tasks name pairs that span components; in the last, all pairs that are left.
+ROUNDS = 3
 _LEAF, _FAN = 16, 4
 #: Rows of candidate roots that one task joins, about; it may get one root, or pair of chunks, more.
 TASK_ROWS = 30_000
@@ -157,8 +164,8 @@ def _rooted(k: int, percent: int):
     return run
 
 
-#: What a look-up of the texts of some classes gives: point and sketch, a sketch as long as the set needs, or the set.
-_KINDS = {"points": "point binary, sketch array<long>", "parities": "parity binary", "sets": "shingles array<long>"}
+#: What a look-up of the texts of some classes gives: point and parities, as many as the set needs, or the set.
+_KINDS = {"points": "point binary, parity binary", "sets": "shingles array<long>"}
 
 
 def _parity(values: np.ndarray) -> bytes:
@@ -167,10 +174,39 @@ def _parity(values: np.ndarray) -> bytes:
     return np.packbits((np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups) & 1).astype(bool)).tobytes()
 
 
-def _differ(a: bytes, b: bytes) -> int:
-    """Bits in which two parities differ once the longer is folded to the length of the shorter."""
-    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
-    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+class Parities:
+    """Parities of many sets; two are compared once the longer is folded to the length of the shorter."""
+
+    def __init__(self, packed: list[bytes]) -> None:
+        self.length = np.array([len(p) for p in packed], dtype=np.int64)
+        self.place = np.zeros(len(packed), dtype=np.int64)
+        self.held = {}
+        for n in np.unique(self.length).tolist():
+            at = np.flatnonzero(self.length == n)
+            self.place[at] = np.arange(len(at))
+            self.held[n] = np.frombuffer(b"".join(packed[i] for i in at.tolist()), dtype=np.uint64).reshape(len(at), -1)
+
+    def sketches(self) -> np.ndarray:
+        """All of them folded to ``SKETCH`` bits."""
+        out = np.zeros((len(self.length), SKETCH // 64), dtype=np.uint64)
+        for n, rows in self.held.items():
+            out[self.length == n] = np.bitwise_xor.reduce(rows.reshape(len(rows), -1, SKETCH // 64), axis=1)
+        return out
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which the sets of each pair differ, at most as many as they have shingles that are not common."""
+        out = np.zeros(len(x), dtype=np.int64)
+        kinds = np.stack([self.length[x], self.length[y]], axis=1)
+        for n, m in np.unique(kinds, axis=0).tolist():
+            at = np.flatnonzero((kinds[:, 0] == n) & (kinds[:, 1] == m))
+            step = max(1, (1 << 22) // max(n, m))
+            for i in range(0, len(at), step):
+                part = at[i : i + step]
+                a, b = self.held[n][self.place[x[part]]], self.held[m][self.place[y[part]]]
+                if n != m:
+                    a, b = (np.bitwise_xor.reduce(v.reshape(len(part), -1, min(n, m) // 8), axis=1) for v in (a, b))
+                out[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def _looked_up(k: int, wanted: np.ndarray, kind: str):
@@ -185,17 +221,10 @@ def _looked_up(k: int, wanted: np.ndarray, kind: str):
                 rows = np.repeat(np.arange(n), np.diff(bounds))
                 if kind == "sets":
                     more, names = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))], ["shingles"]
-                elif kind == "parities":
-                    more, names = [pa.array([_parity(values[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["parity"]
                 else:
                     points = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).astype("<u4").tobytes()
-                    parity = np.bincount(rows * SKETCH + (values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=n * SKETCH) & 1
-                    words = np.packbits(parity.astype(bool)).view(np.int64)
-                    more = [
-                        pa.array([points[4 * COORDINATES * i : 4 * COORDINATES * (i + 1)] for i in range(n)], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (SKETCH // 64), pa.int32()), pa.array(words)),
-                    ]
-                    names = ["point", "sketch"]
+                    parities = [_parity(values[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+                    more, names = [pa.array([points[4 * COORDINATES * i : 4 * COORDINATES * (i + 1)] for i in range(n)], pa.binary()), pa.array(parities, pa.binary())], ["point", "parity"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(np.diff(bounds), pa.int64()), *map(pa.array, _digests(values, rows, n)), *more], ["least", "n", "d1", "d2", *names])
 
     return run
@@ -286,22 +315,56 @@ def _pairs_within(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
 
 
-def _joined(percent: int):
+def _spanning(pairs: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Of some pairs of labels, by ascending ``apart``, those that join labels which the ones before them leave apart."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    keep = []
+    for i in np.argsort(apart, kind="stable").tolist():
+        a, b = top(int(pairs[i, 0])), top(int(pairs[i, 1]))
+        if a != b:
+            above[a] = b
+            keep.append(i)
+    return np.array(keep, dtype=np.int64)
+
+
+def _joined(percent: int, spanning: bool):
     """Pairs of many roots at once: those of small roots together, each larger one through its tree."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["root", "one", "two"])
         points = np.frombuffer(b"".join(group["point"]), dtype="<u4").reshape(len(group), COORDINATES)
-        sketches = np.array(group["sketch"].tolist(), dtype=np.int64).view(np.uint64)
+        parities = Parities(group["parity"].tolist())
+        sketches = parities.sketches()
         ids, labels, chunk, n = (group[c].to_numpy() for c in ("id", "label", "chunk", "n"))
+        failed = {(i, j) for i, others in zip(ids.tolist(), group["failed"], strict=True) if others is not None for j in np.asarray(others).tolist()}
         task = group[["root", "one", "two"]].to_numpy()
         cuts = np.r_[0, np.flatnonzero((task[1:] != task[:-1]).any(axis=1)) + 1, len(group)]
-        apart = group["one"].to_numpy() != group["two"].to_numpy()
-        found = []
+        split = group["one"].to_numpy() != group["two"].to_numpy()
+        found: dict[tuple[int, int], tuple[int, int, float]] = {}
 
         def keep(x: np.ndarray, y: np.ndarray) -> None:
             # Pairs within a chunk belong to the task that has the chunk alone.
-            use = ~apart[x] | (chunk[x] != chunk[y])
-            found.append(np.unique(np.sort(np.c_[ids[x[use]], ids[y[use]]], axis=1), axis=0))
+            use = ~split[x] | (chunk[x] != chunk[y])
+            x, y = x[use], y[use]
+            for i in range(0, len(x), 1 << 16):
+                s, t = x[i : i + (1 << 16)], y[i : i + (1 << 16)]
+                differ, total = parities.differ(s, t), n[s] + n[t]
+                near = np.flatnonzero((100 + percent) * differ <= (100 - percent) * total)
+                if failed:
+                    near = np.array([i for i in near.tolist() if (min(ids[s[i]], ids[t[i]]), max(ids[s[i]], ids[t[i]])) not in failed], dtype=np.int64)
+                s, t, apart = s[near], t[near], differ[near] / total[near]
+                if spanning:
+                    first = _spanning(np.stack([labels[s], labels[t]], axis=1), apart)
+                    s, t, apart = s[first], t[first], apart[first]
+                for p, q, d in zip(s.tolist(), t.tolist(), apart.tolist(), strict=True):
+                    a, b = (p, q) if ids[p] < ids[q] else (q, p)
+                    found[int(ids[a]), int(ids[b])] = int(labels[a]), int(labels[b]), d
 
         small = np.diff(cuts) <= _SMALL
         for low, high in zip(cuts[:-1][~small].tolist(), cuts[1:][~small].tolist(), strict=True):
@@ -314,10 +377,12 @@ def _joined(percent: int):
             x, y = _pairs_within(bounds[i : i + 513])
             x, y = rows[x], rows[y]
             use = labels[x] != labels[y]
-            x, y = _bounded(x[use], y[use], points, n, percent, sketches)
-            keep(x, y)
-        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+            keep(*_bounded(x[use], y[use], points, n, percent, sketches))
+        pairs = np.array(list(found), dtype=np.int64).reshape(-1, 2)
+        if spanning and len(pairs):
+            about = np.array(list(found.values()))
+            pairs = pairs[_spanning(about[:, :2].astype(np.int64), about[:, 2])]
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
 
@@ -356,63 +421,67 @@ def _lookup(rows: DataFrame, wanted: DataFrame, k: int, kind: str) -> DataFrame:
     return found.drop("least", "d1", "d2")
 
 
-def _of_pairs(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, kind: str):
-    """The look-up of all classes of some pairs, as a table to be removed."""
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a, b, links`` of the pairs of classes: whether their sets link."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return scratch(_lookup(rows, written(classes.join(ids, "id", "left_semi"), "wanted"), k, kind), kind)
+    wanted = written(classes.join(ids, "id", "left_semi"), "wanted")
+    with scratch(_lookup(rows, wanted, k, "sets"), "sets") as sets:
+        side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s{name}"))
+        both = pairs.join(side("b"), "b").join(side("a"), "a")
+        overlap, total = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
+        checked = written(both.select("a", "b", ((100 + percent) * overlap >= percent * total).alias("links")), "links")
+    remove(wanted)
+    return checked
 
 
 def _near(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, na, nb, pa_, pb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "pa", "pb"))
-            keep = [(100 + percent) * _differ(x, y) <= (100 - percent) * (n + m) for n, m, x, y in zip(na, nb, pa_, pb, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, good in zip(side, keep, strict=True) if good], pa.int64()) for side in (a, b)], ["a", "b"])
+            parities = Parities(batch.column("pa").to_pylist() + batch.column("pb").to_pylist())
+            m = batch.num_rows
+            differ = parities.differ(np.arange(m), np.arange(m, 2 * m)) if m else np.zeros(0, np.int64)
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * differ <= (100 - percent) * total))
 
     return run
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that link, by their sets.
-
-    The sets of long documents are large, so only pairs whose parities leave a link possible have theirs moved.
-    """
-    pairs = written(pairs, "candidates")
-    with _of_pairs(pairs, rows, classes, k, "parities") as parities:
-        side = lambda name: parities.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("parity").alias(f"p{name}"))
-        near = pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(_near(percent), "a long, b long")
-        pairs = written(near, "near")
-    with _of_pairs(pairs, rows, classes, k, "sets") as sets:
-        side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s{name}"))
-        both = pairs.join(side("b"), "b").join(side("a"), "a")
-        overlap, total = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-        return written(both.where((100 + percent) * overlap >= percent * total).select("a", "b"), "links")
-
-
 def _first_links(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """One candidate per class: the leader it shares most roots with; a root's leader is its most central member."""
-    degree = members.groupBy("id").agg(F.sum("m").alias("degree"))
+    degree = members.groupBy("id").agg(F.sum(F.col("m") * F.col("w")).alias("degree"))
     leaders = members.join(degree, "id").groupBy("root").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("leader"))
-    shares = members.join(leaders, "root").where("id <> leader").groupBy("id", "leader").agg(F.count("*").alias("m"))
+    shares = members.join(leaders, "root").where("id <> leader").groupBy("id", "leader").agg(F.sum("w").alias("m"))
     best = shares.groupBy("id").agg(F.max_by("leader", F.struct("m", -F.col("leader"))).alias("a")).select("a", F.col("id").alias("b"))
-    side = lambda name: points.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"k{name}"))
-    near = best.join(side("b"), "b").join(side("a"), "a")
-    differ = sum((F.bit_count(F.col("ka")[i].bitwiseXOR(F.col("kb")[i])) for i in range(SKETCH // 64)), F.lit(0))
-    return near.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
+    side = lambda name: points.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("parity").alias(f"p{name}"))
+    return best.join(side("b"), "b").join(side("a"), "a").mapInArrow(_near(percent), "a long, b long")
 
 
-def _across(members: DataFrame, label: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components under one root, each once."""
+def _across(members: DataFrame, label: DataFrame, points: DataFrame, failed: DataFrame | None, percent: int, spanning: bool) -> DataFrame:
+    """Candidate pairs of different components under one root; with ``spanning`` as many as join them in each task."""
     held = members.select("root", "id").join(label.select("id", F.col("root").alias("top")), "id", "left").select("root", "id", F.coalesce("top", "id").alias("label"))
     mixed = held.groupBy("root").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).where("low <> high").select("root", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
     held = held.join(mixed, "root")
     # Every pair of chunks is a task of its own; a root of one chunk is one.
     held = held.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    held = written(held.select("root", "id", "label", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two")), "mixed")
-    tasks = held.count() // TASK_ROWS + 1
-    held = held.join(points, "id").withColumn("task", F.pmod(F.xxhash64("root", "one", "two"), F.lit(tasks)))
-    return held.groupBy("task").applyInPandas(_joined(percent), "a long, b long").distinct()
+    with scratch(held.select("root", "id", "label", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two")), "mixed") as held:
+        tasks = held.count() // TASK_ROWS + 1
+        near = held.join(points, "id").withColumn("task", F.pmod(F.xxhash64("root", "one", "two"), F.lit(tasks)))
+        if failed is None:
+            near = near.withColumn("failed", F.lit(None).cast("array<long>"))
+        else:
+            near = near.join(failed.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed")), "id", "left")
+        return written(near.groupBy("task").applyInPandas(_joined(percent, spanning), "a long, b long").distinct(), "candidates")
+
+
+def _labelled(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``id, root`` of the classes that have one, after more links."""
+    name = lambda col: label.select(F.col("id").alias(col), F.col("root").alias(f"r{col}"))
+    lifted = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    higher = written(components(lifted), "higher")
+    moved = label.join(higher.select(F.col("id").alias("root"), F.col("root").alias("up")), "root", "left").select("id", F.coalesce("up", "root").alias("root"))
+    # Roots of before that hang below another one now have a row of their own.
+    return written(moved.unionByName(higher).distinct(), "labels")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -437,17 +506,30 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     shared = below.groupBy("root").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("root")
     named = classes.select("id", F.col("d1").bitwiseAND(F.lit((1 << _KEY_BITS) - 1)).alias("key"))
     under = written(below.join(shared, "root", "left_semi").distinct().join(named, "key").select("root", "id"), "under")
-    members = written(under.join(under.groupBy("root").agg(F.count("*").alias("m")), "root"), "members")
-    points = _lookup(rows, written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted"), k, "points")
-    points = written(points, "points")
-    first = roots(_verified(_first_links(members, points, percent), rows, classes, k, percent).select(F.col("b").alias("id"), F.col("a").alias("parent")))
-    # What the first pass has joined, the trees need not look at.
-    links = _verified(_across(members, first, points, percent), rows, classes, k, percent)
-    name = lambda col: first.select(F.col("id").alias(col), F.col("root").alias(f"r{col}"))
-    lifted = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    second = components(lifted)
-    label = classes.join(first.select("id", F.col("root").alias("r1")), "id", "left").withColumn("r1", F.coalesce("r1", "id"))
-    label = label.join(second.select(F.col("id").alias("r1"), F.col("root").alias("r2")), "r1", "left").withColumn("r2", F.coalesce("r2", "r1"))
+    # Copies that differ in few places meet below most of their roots; of roots with the same members one is kept, with their number.
+    sizes = under.groupBy("root").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("m > 1")
+    kept = sizes.groupBy("m", "x", "y").agg(F.min("root").alias("root"), F.count("*").alias("w")).select("root", "m", "w")
+    members = written(under.join(kept, "root"), "members")
+    remove(under)
+    wanted = written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted")
+    points = written(_lookup(rows, wanted, k, "points"), "points")
+    checked = _verified(written(_first_links(members, points, percent), "candidates"), rows, classes, k, percent)
+    first = roots(checked.where("links").select(F.col("b").alias("id"), F.col("a").alias("parent")))
+    # What has been joined, the trees need not look at.
+    failed = None
+    for turn in range(1, ROUNDS + 1):
+        pairs = _across(members, first, points, failed, percent, turn < ROUNDS)
+        if pairs.isEmpty():
+            break
+        checked = _verified(pairs, rows, classes, k, percent)
+        first = _labelled(first, checked.where("links"))
+        apart = checked.where("NOT links").select("a", "b")
+        if apart.isEmpty():
+            break
+        failed = apart if failed is None else failed.unionByName(apart)
+    for done in (members, points, wanted):
+        remove(done)
+    label = classes.join(first.select("id", F.col("root").alias("r2")), "id", "left").withColumn("r2", F.coalesce("r2", "id"))
     label = label.join(label.groupBy("r2").agg(F.min("least").alias("component")), "r2").select("d1", "d2", "n", "component")
     out = table.select("id", "n", "d1", "d2").join(label, ["d1", "d2", "n"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))

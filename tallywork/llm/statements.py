@@ -168,3 +168,25 @@ WITH texts AS (
 )
 SELECT doc_id, CAST(s AS BIGINT) AS n_symbols, round(target, 9) AS target_loss, round(background, 9) AS background_loss, round(target - background, 9) AS score FROM losses
 """
+
+STATEMENTS["op4_ngram_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE unnest([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, greatest(len(w) - 1, 2))]) END AS s
+    FROM texts WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 90 * (x.n + y.n - both)
+), reach AS (
+    SELECT DISTINCT a AS doc_id, a AS other FROM links
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (
+    SELECT doc_id, min(other) AS component FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""

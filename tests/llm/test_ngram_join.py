@@ -124,5 +124,58 @@ def test_parities_never_differ_more_than_the_sets(seed):
         pool = rng.integers(0, 2**63, n + m, dtype=np.uint64)
         a, b = np.unique(pool[:n]), np.unique(np.r_[pool[: min(n, m) * 4 // 5], pool[n : n + m - min(n, m) * 4 // 5]])
         true = len(np.setxor1d(a, b))
-        assert nj._differ(nj._parity(a), nj._parity(b)) <= true
-        assert nj._differ(nj._parity(a), nj._parity(a)) == 0
+        both = nj.Parities([nj._parity(a), nj._parity(b)])
+        zero, one = np.array([0]), np.array([1])
+        assert both.differ(zero, one)[0] <= true and both.differ(zero, zero)[0] == 0
+        assert max(n, m) > 1.2 * min(n, m) or both.differ(zero, one)[0] > 0.85 * true
+        assert np.bitwise_count(both.sketches()[0] ^ both.sketches()[1]).sum() <= both.differ(zero, one)[0]
+
+
+def copies(n, edits, length=1500, seed=2):
+    """Copies of one text with as many of its words changed, each its own way."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(10_000)}" for _ in range(length)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(length), edits):
+            words[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    """Numbers of candidate pairs, call by call."""
+    made, plain = [], nj._verified
+
+    def run(pairs, *more):
+        made.append(pairs.count())
+        return plain(pairs, *more)
+
+    monkeypatch.setattr(nj, "_verified", run)
+    return made
+
+
+@pytest.mark.parametrize("n", [100, 400, 1600])
+def test_documents_just_too_different_make_few_pairs(docs, counted, n):
+    """About 0.6 alike and all below common roots: the parities tell them apart inside the tasks."""
+    got = nj.jaccard_components(docs(copies(n, 80)), 5, 80)
+    assert got.where("doc_id <> component_id").count() == 0
+    assert sum(counted) <= 3 * n
+
+
+def test_linked_documents_make_pairs_that_span(docs, counted, monkeypatch):
+    """All pairs link, but the first pass is kept from seeing it."""
+    monkeypatch.setattr(nj, "_first_links", lambda members, points, percent: members.select(nj.F.col("id").alias("a"), nj.F.col("id").alias("b")).limit(0))
+    rows = copies(300, 5, length=400)
+    got = nj.jaccard_components(docs(rows), 5, 80)
+    assert {r.component_id for r in got.collect()} == {0}
+    assert sum(counted) < 3 * 300
+
+
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_rounds_make_no_difference(docs, monkeypatch, rounds):
+    monkeypatch.setattr(nj, "ROUNDS", rounds)
+    rows = family(31, (12, 40, 80, 160, 161), 25, edits=(0, 2, 4, 6, 8))
+    assert tuples(nj.jaccard_components(docs(rows), 3, 80)) == brute(rows, 3, 80)
