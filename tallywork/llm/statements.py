@@ -178,9 +178,9 @@ WITH RECURSIVE texts AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), common AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
 ), links AS (
-    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 90 * (x.n + y.n - both)
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)
 ), reach AS (
     SELECT DISTINCT a AS doc_id, a AS other FROM links
     UNION
