@@ -8,7 +8,7 @@ library money stays decimal.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -19,10 +19,12 @@ from tallywork.functions import (
 from tallywork.plans import commerce, learning, metrics, rides, telecom
 from tallywork.plans.pipeline import checked, freshness_report, materialise
 from tallywork.session import shared_dir
-from tallywork.sources.adapters import Feeds
+from tallywork.sources.adapters import Feeds, StreamFeeds
 from tallywork.sources.readers import parse_timestamps, row_counts
 from tallywork.sources.writers import new_version
-from tallywork.streaming import daily_usage, read_stream, replay_dedup, run_available, with_end
+from tallywork.streaming import (
+    arrival_counts, collect_arrivals, daily_usage, kept_rows, read_stream, replay_dedup, run_available, unmatched_within, with_end,
+)
 
 OBSERVED = {"observation_date": date(2024, 1, 30)}
 ORDERS_AS_OF = "2001-08-03 12:00:00"
@@ -722,6 +724,19 @@ def _stream_folder(f: Feeds, name: str) -> str:
     return f"{shared_dir(f.spark)}/streams/{new_version(name)}"
 
 
+_USAGE_KEY = ["subscriber_id", "usage_day", "usage_type", "usage_units"]
+
+
+def _arrivals(f: Feeds, name: str) -> str:
+    """Usage in four arrivals: by day, and some of every day with the last one."""
+    folder = _stream_folder(f, name)
+    usage = f.raw("telecom")["raw_usage"].withColumn("usage_day", F.col("usage_date").cast("date"))
+    usage.withColumn("part", F.expr("if(usage_id % 17 = 3, 3, dayofmonth(usage_day) DIV 8)")).write.partitionBy("part").parquet(f"{folder}/feed")
+    stream = read_stream(f.spark, f"{folder}/feed/part=*", usage.schema, maxFilesPerTrigger=16)
+    collect_arrivals(stream, folder, _USAGE_KEY, ["usage_id"], "usage_date")
+    return folder
+
+
 @query
 def stream_replay_dedup(f):
     kept = replay_dedup(_usage_stream(f), ["subscriber_id", "usage_day", "usage_type", "usage_units"], "usage_date")
@@ -735,6 +750,139 @@ def stream_daily_usage(f):
     return run_available(daily_usage(usage, "usage_date", "usage_type", "usage_units"), folder)
 
 
+@query
+def stream_first_rows(f):
+    """The earliest usage row of every business key, whatever order the rows arrive in."""
+    folder = _arrivals(f, "first_rows")
+    return kept_rows(f.spark, folder, _USAGE_KEY, ["usage_id"]).drop("usage_date")
+
+
+@query
+def stream_arrival_counts(f):
+    """All arrivals: kept and replayed ones add up to the input, the late ones included."""
+    counts = arrival_counts(f.spark, _arrivals(f, "counts"), _USAGE_KEY)
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("n_input", "n_kept", "n_replay")])
+    return total.withColumn("balances", F.col("n_input") == F.col("n_kept") + F.col("n_replay"))
+
+
+@query
+def stream_uncaptured(f):
+    """Fares of the trip stream whose capture has not come within two days."""
+    folder = _stream_folder(f, "uncaptured")
+    raw = StreamFeeds(f.spark, f.folder).raw("rides")
+    fares = raw["raw_trips"].where("gross_fare > 0").select("trip_id", "trip_status", "gross_fare", "currency", "requested_at")
+    captures = raw["raw_payments"].where("payment_status = 'captured'").select("trip_id", "attempted_at")
+    fares = with_end(fares, "requested_at", f"{folder}/due", "2100-01-01 00:00:00")
+    captures = with_end(captures, "attempted_at", f"{folder}/done", "2100-01-01 00:00:00")
+    return run_available(unmatched_within(fares, captures, "trip_id", "requested_at", "attempted_at", "2 days"), folder).where("trip_id IS NOT NULL").drop("requested_at")
+
+
+# ---- history, restatements and line matches -----------------------------------------
+
+_TAKEN = [datetime(1996, 7, 1), datetime(1998, 7, 1), datetime(2001, 9, 1)]
+
+
+def _trip_snapshots(f: Feeds) -> dict[datetime, DataFrame]:
+    """The trips as three runs kept them: requested by then, flags set up to 900 days after the trip, some cleared at last."""
+    trips = f.raw("rides")["raw_trips"]
+    known = "is_fraud_flagged AND date_add(CAST(requested_at AS date), CAST(trip_id % 900 AS int)) <= CAST(taken AS date) AND NOT (last AND trip_id % 217 = 0)"
+
+    def at(i: int, taken: datetime) -> DataFrame:
+        rows = trips.where(F.col("requested_at") < F.lit(taken).cast("timestamp_ntz"))
+        marked = rows.withColumns({"taken": F.lit(taken).cast("timestamp_ntz"), "last": F.lit(i == len(_TAKEN) - 1)})
+        return marked.withColumn("is_fraud_flagged", F.expr(known)).drop("taken", "last")
+
+    return {taken: at(i, taken) for i, taken in enumerate(_TAKEN)}
+
+
+@query
+def flag_validity(f):
+    """Since when, and until when, the kept snapshots show which flag and status on each trip."""
+    return ops.validity(_trip_snapshots(f), ["trip_id"], ["trip_status", "is_fraud_flagged"])
+
+
+@query
+def fraud_reversals(f):
+    """GMV to net, with fraud fares reversed in the month the flag was set."""
+    trips = r_trips(f)
+    events = ops.flag_events(_trip_snapshots(f), ["trip_id"], "is_fraud_flagged")
+    return rides.net_after_reversals(rides.mart_marketplace_kpis(trips), rides.fraud_reversals(trips, events))
+
+
+def _earlier_close(f: Feeds) -> dict[str, DataFrame]:
+    """The commerce feeds as an earlier run saw them: orders that came late are missing, amounts, states and dates are not yet corrected."""
+    raw = dict(f.raw("commerce"))
+    raw["raw_orders"] = raw["raw_orders"].where("order_id % 29 <> 3").withColumns({
+        "order_status": F.expr("if(order_id % 43 = 7, 'cancelled', order_status)"),
+        "created_at": F.expr("if(order_id % 53 = 9, created_at - INTERVAL 40 DAYS, created_at)"),
+    })
+    raw["raw_payments"] = raw["raw_payments"].withColumn("amount", F.expr("if(order_id % 37 = 5, CAST(amount * 0.9 AS decimal(12,2)), amount)"))
+    raw["raw_refunds"] = raw["raw_refunds"].where("processed_at < timestamp_ntz'2000-12-01'")
+    return raw
+
+
+@query
+def restatement_bridge(f):
+    """Why recognised revenue of each month differs from what the close of November 2000 said."""
+    later = dict(f.raw("commerce"))
+    later["raw_orders"] = later["raw_orders"].where("order_id % 41 <> 11")
+    runs = [commerce.int_orders_enriched(raw) for raw in (_earlier_close(f), later)]
+    kind = F.col("revenue_classification")
+    return ops.restated(*runs, ["order_id"], F.date_trunc("month", "created_at").cast("timestamp_ntz"), kind, F.col("net_revenue_usd"), kind == "recognized", F.lit(datetime(2000, 11, 1)).cast("timestamp_ntz"))
+
+
+def _bank(f: Feeds) -> tuple[DataFrame, DataFrame]:
+    """Captured charges, and a bank's statement of them: some booked days off, some missing, charged twice or short.  Amounts are whole
+    fifty-thousands, so that many lines share key and amount."""
+    whole = "CAST(ceil(amount / 50000) * 50000 AS decimal(12,2))"
+    paid = f.raw("commerce")["raw_payments"].where("payment_status = 'succeeded'").selectExpr("payment_id", "payment_method", f"{whole} AS amount", "CAST(processed_at AS date) AS day")
+    charges = paid.selectExpr("payment_id AS line_id", "payment_method AS key", "amount", "day")
+    shift = "CASE payment_id % 10 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN -1 WHEN 3 THEN 9 ELSE 0 END"
+    lines = paid.where("payment_id % 53 <> 3").selectExpr(
+        "inline(array_compact(array(struct(payment_id * 3 AS line_id), if(payment_id % 61 = 8, struct(payment_id * 3 + 1 AS line_id), NULL))))", "payment_method AS key",
+        "amount - if(payment_id % 59 = 4, 1, 0) AS amount", f"date_add(day, {shift}) AS day",
+    )
+    return charges, lines
+
+
+@query
+def ledger_match_lines(f):
+    return ops.match_lines(*_bank(f), days=2)
+
+
+@query
+def ledger_match(f):
+    return ops.match_summary(ops.match_lines(*_bank(f), days=2))
+
+
+@query
+def trailing_active_riders(f):
+    """Riders with a completed trip on a day, and in the 7 and 28 days up to it."""
+    done = f.raw("rides")["raw_trips"].where("trip_status = 'completed'")
+    return ops.trailing_actives(done, "rider_id", "requested_at", [1, 7, 28])
+
+
+@query
+def robust_gap_trend(f):
+    return ops.robust_trend(c_months(f), "report_month", "gap_pct")
+
+
+@query
+def fx_restated(f):
+    """Orders of each month at the rates a close of mid-1998 knew, and at those known by now."""
+    quotes = f.fx_quotes().withColumn("known_on", F.date_add("rate_date", 1))
+    corrected = quotes.where(F.dayofmonth("rate_date") % 5 == 0).select("rate_date", "currency", (F.col("rate") + F.lit("0.010").cast("decimal(6,3)")).cast("decimal(6,3)").alias("rate"), F.date_add("rate_date", 45).alias("known_on"))
+    orders = f.raw("commerce")["raw_orders"].where("created_at < timestamp_ntz'1998-07-01'").select("order_id", "currency", "order_amount", "created_at")
+    every = quotes.unionByName(corrected)
+
+    def valued(as_of: str, name: str) -> DataFrame:
+        priced = ops.rate_as_known(orders, every, "currency", "created_at", F.lit(as_of).cast("date"))
+        return ops.by_month(priced, F.col("created_at"), {name: F.sum(F.col("order_amount") * F.col("fx_rate_to_usd"))})
+
+    both = valued("1998-06-30", "at_close_usd").join(valued("2002-01-01", "as_known_later_usd"), "report_month")
+    return both.withColumn("change_usd", F.col("as_known_later_usd") - F.col("at_close_usd"))
+
+
 # ---- registry -----------------------------------------------------------------------
 
 def _callable(function: Query) -> Callable[[SparkSession, str], DataFrame]:

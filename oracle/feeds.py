@@ -4,8 +4,7 @@ FEEDS = {
     # ---- commerce
     "c_raw_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-               CASE WHEN o_orderkey % 100 >= 92 THEN 'placed' WHEN o_orderkey % 100 >= 83 THEN 'cancelled'
-                    WHEN o_orderkey % 100 >= 64 THEN 'confirmed' ELSE 'completed' END AS order_status,
+               ['completed', 'completed', 'confirmed', 'placed', 'cancelled'][CAST(o_orderpriority[1] AS INTEGER)] AS order_status, o_orderstatus AS shelf,
                CAST(o_totalprice AS DECIMAL(12,2)) AS order_amount,
                ['USD','USD','USD','USD','USD','EUR','GBP'][1 + o_custkey % 7] AS currency,
                o_orderdate + to_minutes(o_orderkey % 1440) AS created_at,
@@ -14,18 +13,17 @@ FEEDS = {
         FROM orders""",
     "c_settling": """
         SELECT *, order_id AS k, order_status IN ('completed', 'confirmed') AS settled,
-               CASE order_status WHEN 'cancelled' THEN order_id % 9 < 4 WHEN 'placed' THEN order_id % 4 = 0
-                    ELSE true END AS paid
+               CASE order_status WHEN 'cancelled' THEN shelf = 'F' WHEN 'placed' THEN shelf = 'P' ELSE true END AS paid
         FROM c_raw_orders""",
     "c_attempts": """
         SELECT k, 1 AS n, 'failed' AS payment_status, 10 AS mins FROM c_settling WHERE k % 11 = 3 OR k % 11 = 7
         UNION ALL SELECT k, 2, 'failed', 20 FROM c_settling WHERE k % 11 = 7
         UNION ALL SELECT k, 3, 'succeeded', 40 FROM c_settling WHERE paid
-        UNION ALL SELECT k, 4, 'succeeded', 41 FROM c_settling WHERE settled AND k % 67 = 0""",
+        UNION ALL SELECT k, 4, 'succeeded', 41 FROM c_settling WHERE settled AND k % 23 = 0""",
     "c_raw_payments": """
         SELECT a.k * 10 + a.n AS payment_id, a.k AS order_id, a.payment_status, o.order_amount AS amount, o.currency,
                'pay-' || a.k % 4 AS payment_method,
-               CAST(o.order_amount * 0.029 + 0.30 AS DECIMAL(12,2)) AS gateway_fee,
+               CAST(o.order_amount * 0.0175 + 0.15 AS DECIMAL(12,2)) AS gateway_fee,
                o.created_at + to_minutes(a.mins) AS attempted_at,
                CASE WHEN a.payment_status = 'succeeded' THEN o.created_at + to_minutes(a.mins + 1) END AS processed_at
         FROM c_attempts a JOIN c_raw_orders o ON o.order_id = a.k""",
@@ -41,8 +39,8 @@ FEEDS = {
         SELECT k * 2 + n AS shipment_id, k AS order_id, 'carrier-' || k % 4 AS carrier,
                CAST(k % 7 + 4.99 AS DECIMAL(12,2)) AS shipping_cost,
                CASE WHEN n = 1 OR k % 8 = 0 THEN 'step-2' ELSE 'step-1' END AS status,
-               CASE WHEN k % 12 <> 0 THEN created_at + to_days(2 + n) END AS shipped_at,
-               CASE WHEN k % 16 <> 0 THEN created_at + to_days(6 + n) END AS delivered_at
+               CASE WHEN k % 7 <> 3 THEN created_at + to_days(2 + n) END AS shipped_at,
+               CASE WHEN k % 5 <> 1 THEN created_at + to_days(6 + n) END AS delivered_at
         FROM c_settling, (VALUES (0), (1)) parcel(n)
         WHERE paid AND (order_status <> 'cancelled' OR k % 5 = 0) AND (n = 0 OR k % 37 = 0)""",
     # ---- rides
@@ -83,12 +81,12 @@ FEEDS = {
     "r_attempts": """
         SELECT trip_id AS k, 1 AS n, 'failed' AS payment_status, 40 AS mins FROM r_raw_trips WHERE trip_id % 11 IN (3, 7)
         UNION ALL SELECT trip_id, 2, 'failed', 45 FROM r_raw_trips WHERE trip_id % 11 = 7
-        UNION ALL SELECT trip_id, 3, 'captured', 50 FROM r_raw_trips WHERE trip_id % 33 > 0
-        UNION ALL SELECT trip_id, 4, 'captured', 51 FROM r_raw_trips WHERE trip_id % 33 > 0 AND trip_id % 67 = 0""",
+        UNION ALL SELECT trip_id, 3, 'captured', 50 FROM r_raw_trips WHERE trip_id % 14 > 0
+        UNION ALL SELECT trip_id, 4, 'captured', 51 FROM r_raw_trips WHERE trip_id % 14 > 0 AND trip_id % 29 = 0""",
     "r_raw_payments": """
         SELECT a.k * 10 + a.n AS payment_id, t.trip_id, t.rider_id, a.payment_status, t.gross_fare AS amount, t.currency,
                'pay-' || a.k % 4 AS payment_method,
-               CAST(t.gross_fare * 0.025 + 0.20 AS DECIMAL(12,2)) AS processor_fee,
+               CAST(t.gross_fare * 0.0125 + 0.05 AS DECIMAL(12,2)) AS processor_fee,
                t.requested_at + to_minutes(a.mins) AS attempted_at,
                CASE WHEN a.payment_status = 'captured' AND t.trip_status = 'completed'
                     THEN t.requested_at + to_minutes(a.mins + 1) END AS captured_at

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from oracle.compose import gbp, money_ratio, pick, ratio, usd, with_parts
 from oracle.feeds import FEEDS
+from oracle.history import HISTORY_FINAL, HISTORY_PARTS
 from oracle.models import MODELS
 
-PARTS = {**FEEDS, **MODELS}
+PARTS = {**FEEDS, **MODELS, **HISTORY_PARTS}
 
 
 def _check(table: str, name: str, failures: str, source: str, severity: str = "error") -> str:
@@ -459,6 +460,7 @@ FINAL = {
     "ops_findings": """
         SELECT (SELECT count(*) FROM c_raw_refunds) AS all_refunds,
                (SELECT count(*) FROM c_raw_refunds r JOIN c_raw_orders o USING (order_id) WHERE r.refund_amount < o.order_amount) AS partial_refunds,
+               (SELECT count(*) FROM c_raw_refunds WHERE order_id NOT IN (SELECT order_id FROM c_raw_orders)) AS refunds_of_unknown_orders,
                (SELECT count(*) FROM c_cash WHERE had_duplicate_charge) AS duplicate_charge_orders""",
     "payout_findings": """
         SELECT campaign, count(*) AS n_lines, CAST(sum(payout_lag_days) AS BIGINT) AS lag_days_sum, min(payout_lag_days) AS min_lag_days,
@@ -479,4 +481,4 @@ FINAL = {
 
 
 def statements() -> dict[str, str]:
-    return {name: with_parts(PARTS, final) for name, final in FINAL.items()}
+    return {name: with_parts(PARTS, final) for name, final in {**FINAL, **HISTORY_FINAL}.items()}

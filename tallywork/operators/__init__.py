@@ -1,6 +1,7 @@
-from tallywork.operators.asof import daily_rates, rate_as_of
+from tallywork.operators.actives import trailing_actives
+from tallywork.operators.asof import daily_rates, known_rates, rate_as_known, rate_as_of
 from tallywork.operators.bridge import (
-    bridge, gap_ties, gap_trend, partition_check, rank_drivers, run_trend, tie_out,
+    bridge, gap_ties, gap_trend, partition_check, rank_drivers, robust_trend, run_trend, tie_out,
 )
 from tallywork.operators.dedup import (
     dedup_business_key, dedup_latest, dedup_priority, first_success_rollup, flag_multi, flag_primary,
@@ -9,6 +10,8 @@ from tallywork.operators.dedup import (
 from tallywork.operators.definitions import (
     define_flags, definition_spread, overlap_matrix, overlap_summary,
 )
+from tallywork.operators.history import flag_events, restated, validity
+from tallywork.operators.matching import match_lines, match_summary
 from tallywork.operators.profile import dup_keys, profile, value_counts
 from tallywork.operators.quality import (
     Check, DataQualityError, accepted, enforce, expression, freshness, generic_warn, not_null, orphans, relationship,
@@ -19,8 +22,8 @@ from tallywork.operators.rollup import best_outcome, by_month, fan_in, fill, loo
 __all__ = [
     "Check", "DataQualityError", "accepted", "best_outcome", "bridge", "by_month", "daily_rates",
     "dedup_business_key", "dedup_latest", "dedup_priority", "define_flags", "definition_spread", "dup_keys",
-    "enforce", "expression", "fan_in", "fill", "first_success_rollup", "flag_multi", "flag_primary",
-    "flag_primary_completion", "freshness", "generic_warn", "gap_ties", "gap_trend", "keep_first", "lookup", "not_null", "orphans",
-    "overlap_matrix", "overlap_summary", "partition_check", "profile", "rank_drivers", "rate_as_of", "relationship",
-    "run_checks", "run_trend", "summarize", "tie_out", "tie_out_check", "unique", "value_counts", "with_boundary", "with_group_stats",
+    "enforce", "expression", "fan_in", "fill", "first_success_rollup", "flag_events", "flag_multi", "flag_primary",
+    "flag_primary_completion", "freshness", "generic_warn", "gap_ties", "gap_trend", "keep_first", "known_rates", "lookup", "match_lines", "match_summary", "not_null", "orphans",
+    "overlap_matrix", "overlap_summary", "partition_check", "profile", "rank_drivers", "rate_as_known", "rate_as_of", "relationship", "restated", "robust_trend",
+    "run_checks", "run_trend", "summarize", "tie_out", "tie_out_check", "trailing_actives", "unique", "validity", "value_counts", "with_boundary", "with_group_stats",
 ]

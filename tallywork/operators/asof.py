@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallywork.operators.rollup import with_boundary
 
@@ -30,6 +30,24 @@ def daily_rates(rates: DataFrame, horizon: DataFrame) -> DataFrame:
     ).withColumnRenamed("valid_on", "rate_date")
 
 
+def known_rates(quotes: DataFrame, as_of: Column) -> DataFrame:
+    """``currency, rate_date, rate`` as they were known on a day: the last quote of each date that had arrived by then.
+
+    ``quotes`` carry ``known_on`` next to ``rate_date``: a rate that is corrected or filled in later is another row for its date.  Of
+    quotes that arrived on one day for one date the highest counts.
+    """
+    known = quotes.where(F.col("known_on") <= as_of)
+    return known.groupBy("currency", "rate_date").agg(F.max(F.struct("known_on", "rate")).alias("__q")).select("currency", "rate_date", "__q.rate")
+
+
+def rate_as_known(facts: DataFrame, quotes: DataFrame, currency: str, ts: str, as_of: Column, base: str = "USD") -> DataFrame:
+    """``rate_as_of`` on two axes: valid on the day of the fact, known on ``as_of``.
+
+    A close that is run again with its own ``as_of`` gives its own numbers, whatever has been corrected since.
+    """
+    return rate_as_of(facts, known_rates(quotes, as_of), currency, ts, base)
+
+
 def rate_as_of(facts: DataFrame, rates: DataFrame, currency: str, ts: str, base: str = "USD") -> DataFrame:
     """Add ``fx_rate_to_usd`` and ``quoted_on``; NULL before the first quote of a currency.
 

@@ -82,6 +82,35 @@ def gap_trend(df: DataFrame, period: str, value: str, jump: str | float | Decima
     })
 
 
+def _median(values: Column) -> Column:
+    """Of a sorted array; NULL where it is empty."""
+    n = F.size(values)
+    middle = F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, middle / 2)
+
+
+def robust_trend(df: DataFrame, period: str, value: str, frame: int = 12, least: int = 6, limit: float = 3.0) -> DataFrame:
+    """A value against its own past: ``baseline`` and ``spread`` of the ``frame`` periods before, ``score`` and ``is_anomaly``.
+
+    The baseline is the median, the spread the median distance from it times 1.4826, which for a normal value is its standard
+    deviation; one wild period moves neither.  Beyond ``limit`` spreads a value is an anomaly.  Where the past is constant any other value
+    is one, without a score; with fewer than ``least`` known periods none is.  NULL values are no past and no anomaly.
+
+    The input is a finished bridge, one row per period, so the unpartitioned window is as long as the calendar.
+    """
+    past = F.sort_array(F.collect_list(F.col(value).cast("double")).over(W.orderBy(period).rowsBetween(-frame, -1)))
+    out = df.select(period, F.col(value).cast("double").alias(value), past.alias("__past"))
+    out = out.withColumn("baseline", _median(F.col("__past")))
+    distances = F.sort_array(F.transform("__past", lambda x: F.abs(x - F.col("baseline"))))
+    out = out.withColumns({"n_past": F.size("__past"), "spread": F.round(_median(distances) * 1.4826, 6)})
+    apart = F.abs(F.col(value) - F.col("baseline"))
+    anomaly = F.when(F.col("spread") > 0, apart > limit * F.col("spread")).otherwise(apart > 0)
+    return out.withColumns({
+        "baseline": F.round("baseline", 6), "score": F.when(F.col("spread") > 0, F.round((F.col(value) - F.col("baseline")) / F.col("spread"), 4)),
+        "is_anomaly": F.coalesce((F.col("n_past") >= least) & anomaly, F.lit(False)),
+    }).drop("__past")
+
+
 def run_trend(history: DataFrame, subject: str, jump: str | float | Decimal, order: str = "ended_at") -> DataFrame:
     """Change of one subject of a run history from run to run, flagged when it moves by more than ``jump``.
 

@@ -75,12 +75,13 @@ def fx_asof(raw: Tables, quotes: DataFrame) -> DataFrame:
 
 
 def ops_findings(raw: Tables) -> DataFrame:
-    """Partial refunds and duplicate charges: what the client has to fix at source."""
+    """Partial refunds, refunds of orders nobody knows and duplicate charges: what the client has to fix at source."""
     orders = raw["raw_orders"].select("order_id", "order_amount")
-    refunds = raw["raw_refunds"].select("order_id", "refund_amount").join(orders, "order_id")
+    refunds = raw["raw_refunds"].select("order_id", "refund_amount").join(orders.withColumn("known", F.lit(True)), "order_id", "left")
     partial = refunds.agg(
         row_count().alias("all_refunds"),
         cond_count(F.col("refund_amount") < F.col("order_amount")).alias("partial_refunds"),
+        cond_count(F.col("known").isNull()).alias("refunds_of_unknown_orders"),
     )
     charged = commerce.payment_rollup(raw).agg(cond_count(F.col("had_duplicate_charge")))
     return with_boundary(partial, "duplicate_charge_orders", charged)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywork.operators._union import union_all
 from tallywork.operators.quality import Check, DataQualityError, enforce, freshness, run_checks
-from tallywork.sources.writers import new_version, publish, read_mart, stage_version
+from tallywork.sources.writers import discard, new_version, publish, read_mart, stage_version
 
 HISTORY = "_history"
 _HISTORY_SCHEMA = "run string, version string, ended_at timestamp, kind string, subject string, status string, value double"
@@ -86,14 +86,16 @@ def materialise(spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataF
 
 def run_domain(
     spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataFrame], out: str, run: str, as_of=None,
-    checks: list[Check] | None = None, reports: Sequence[DataFrame] = (), snapshot: bool = True, **options,
+    checks: list[Check] | None = None, reports: Sequence[DataFrame] = (), snapshot: bool = True, keep_rejected: bool = False, **options,
 ) -> RunResult:
     """Build, check and publish one domain.
 
     The feeds are written once and everything reads that snapshot, so the checks test the very rows the marts were built
     from, whatever arrives meanwhile; with ``snapshot=False`` they are read as they are, for feeds that cannot change.
     Marts are written as a new version, checked as written, and become visible together when no error-level check, tie-out or
-    row of ``reports`` (check reports made elsewhere) fails.  What a run found is added to the history, also if it is rejected.
+    row of ``reports`` (check reports made elsewhere) fails.  What a run found is added to the history, also if it is rejected; what
+    a rejected run has written is removed, unless ``keep_rejected``.  The manifest names the snapshot next to the marts, so ``sweep``
+    keeps the one that belongs to them, and ``read_versions`` finds earlier ones.
     """
     out, version = out.rstrip("/"), new_version(run)
     fresh = []
@@ -102,16 +104,25 @@ def run_domain(
         stale = sorted(row.source for row in fresh if row.status == "error")
         if stale:
             raise DataQualityError(f"stale sources: {', '.join(stale)}")
+    feeds = f"_feeds/{domain.__name__.rpartition('.')[2]}"
+    staged = {}
     if snapshot:
-        raw = _stage_all(spark, dict(raw), f"{out}/_feeds", version)
+        raw = _stage_all(spark, dict(raw), f"{out}/{feeds}", version)
+        staged = {f"{feeds}/{name}": version for name in raw}
     built = materialise(spark, domain, raw, out, version, **options)
     marts = [name for name in built if name != domain.INTERMEDIATE]
     checks = domain.CHECKS if checks is None else checks
     report = union_all([run_checks({**checked(domain, raw, checks), **built}, checks), *reports])
     rows = report.collect()
     _remember(spark, out, run, version, fresh, rows, {name: built[name].count() for name in marts}, _measures(domain, built))
-    enforce(rows)
-    publish(spark, out, {name: version for name in built})
+    staged |= {name: version for name in built}
+    try:
+        enforce(rows)
+    except DataQualityError:
+        if not keep_rejected:
+            discard(spark, out, staged)
+        raise
+    publish(spark, out, staged)
     return RunResult(run, {name: read_mart(spark, f"{out}/{name}") for name in marts}, fresh, rows)
 
 

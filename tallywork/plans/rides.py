@@ -10,6 +10,7 @@ from tallywork.functions import (
     GBP_ONLY, active_since, any_true, classify, cond_count, cond_sum, fx_rate, is_present, lag_days, max_if, max_str,
     pct, pct0, route_measure, row_count, span, truthy,
 )
+from tallywork.functions.times import month_of
 from tallywork.operators import (
     accepted, bridge, dedup_latest, define_flags, expression, fan_in, fill, first_success_rollup, flag_multi,
     flag_primary, generic_warn, not_null, relationship, tie_out_check, unique, with_boundary,
@@ -260,6 +261,34 @@ def net_after_fraud(kpis: DataFrame) -> DataFrame:
     return kpis.withColumn("net_after_fraud_usd", F.col("net_revenue_usd") - F.col("fraud_fare_usd"))
 
 
+def fraud_reversals(trips: DataFrame, events: DataFrame) -> DataFrame:
+    """Fares reversed per month in which the flag was set, less those whose flag was cleared in it.
+
+    ``events`` come from the kept snapshots (``flag_events`` on ``is_fraud_flagged``).  A trip nobody knows any more reverses nothing.
+    """
+    fares = trips.select("trip_id", "gross_fare_usd")
+    booked = events.join(fares, "trip_id").withColumn("is_set", F.col("event") == "set")
+    return booked.groupBy(month_of(F.col("at")).alias("report_month")).agg(
+        cond_count(F.col("is_set")).alias("flags_set"), cond_count(~F.col("is_set")).alias("flags_cleared"),
+        F.sum(F.when(F.col("is_set"), F.col("gross_fare_usd")).otherwise(-F.col("gross_fare_usd"))).alias("fraud_reversal_usd"),
+    )
+
+
+def net_after_reversals(kpis: DataFrame, reversals: DataFrame) -> DataFrame:
+    """The bridge with fraud reversed in the month the flag was set: a month can hold reversals of trips of earlier ones.
+
+    Months with reversals and without trips have a row of their own, so the reversals of all months are those of all flags.
+    """
+    both = kpis.select("report_month", "gmv_usd", "net_revenue_usd").join(reversals, "report_month", "full")
+    filled = fill(both, zeros=["gmv_usd", "net_revenue_usd", "flags_set", "flags_cleared", "fraud_reversal_usd"])
+    after = F.col("net_revenue_usd") - F.col("fraud_reversal_usd")
+    gap = F.col("gmv_usd") - after
+    return filled.withColumns({
+        "net_after_reversals_usd": after, "gmv_to_net_gap_usd": gap,
+        "ties": gap == (F.col("gmv_usd") - F.col("net_revenue_usd")) + F.col("fraud_reversal_usd"),
+    })
+
+
 # ---- declaration for the run --------------------------------------------------------
 
 STAGING = {

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from tallywork.operators import DataQualityError
 from tallywork.plans import DOMAINS, run_domain
 from tallywork.session import apply_settings, size_session
-from tallywork.sources import SCHEMAS, delivered, read_domain, unparsed_report
+from tallywork.sources import SCHEMAS, delivered, drift_report, read_domain, unparsed_report
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -31,11 +31,12 @@ def main(argv: list[str] | None = None) -> int:
     size_session(spark, args.raw)
     options = {"observation_date": args.observation_date} if args.observation_date else {}
     schemas = SCHEMAS[args.domain]
-    unread = unparsed_report({name: delivered(spark, args.raw, name) for name in schemas}, schemas)
+    tables = {name: delivered(spark, args.raw, name) for name in schemas}
+    found = [report for report in (drift_report(spark, tables, schemas), unparsed_report(tables, schemas)) if report is not None]
     try:
         done = run_domain(
-            spark, DOMAINS[args.domain], read_domain(spark, args.raw, args.domain), args.out, args.run,
-            as_of=args.as_of, reports=[] if unread is None else [unread], **options,
+            spark, DOMAINS[args.domain], read_domain(spark, args.raw, args.domain, strict=False), args.out, args.run,
+            as_of=args.as_of, reports=found, **options,
         )
     except DataQualityError as rejected:
         print(f"rejected: {rejected}", file=sys.stderr)

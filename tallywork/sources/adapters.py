@@ -103,10 +103,11 @@ class Feeds:
     def commerce_orders(self) -> DataFrame:
         stamped = self.table("orders").selectExpr(
             "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_totalprice AS decimal(12,2)) AS order_amount",
+            "o_orderpriority AS priority", "o_orderstatus AS shelf",
             f"{_after('o_orderdate', mins='o_orderkey % 1440')} AS created_at",
         )
         return stamped.selectExpr("*", *_columns(f"""
-            CASE WHEN order_id % 100 < 64 THEN 'completed' WHEN order_id % 100 < 83 THEN 'confirmed' WHEN order_id % 100 < 92 THEN 'cancelled' ELSE 'placed' END AS order_status
+            CASE left(priority, 1) WHEN '5' THEN 'cancelled' WHEN '4' THEN 'placed' WHEN '3' THEN 'confirmed' ELSE 'completed' END AS order_status
             CASE customer_id % 7 WHEN 5 THEN 'EUR' WHEN 6 THEN 'GBP' ELSE 'USD' END AS currency
             {_after('created_at', hours='if(order_id % 499 = 0, -5, 30)')} AS updated_at
         """))
@@ -115,7 +116,7 @@ class Feeds:
         settled = self.commerce_orders().selectExpr("*", "order_status IN ('completed', 'confirmed') AS settled")
         return settled.selectExpr(
             "*",
-            "settled OR (order_status = 'cancelled' AND order_id % 9 < 4) OR (order_status = 'placed' AND order_id % 4 = 0) AS paid",
+            "settled OR (order_status = 'cancelled' AND shelf = 'F') OR (order_status = 'placed' AND shelf = 'P') AS paid",
         )
 
     def commerce_payments(self) -> DataFrame:
@@ -123,7 +124,7 @@ class Feeds:
             self._paid_orders(), "n, payment_status, mins",
             ["1, 'failed', 10", "2, 'failed', 20", "3, 'succeeded', 40", "4, 'succeeded', 41"],
             "CASE n WHEN 1 THEN order_id % 11 IN (3, 7) WHEN 2 THEN order_id % 11 = 7 WHEN 3 THEN paid "
-            "ELSE settled AND order_id % 67 = 0 END",
+            "ELSE settled AND order_id % 23 = 0 END",
         )
         return attempts.selectExpr(*_columns(f"""
             order_id * 10 + n AS payment_id
@@ -132,7 +133,7 @@ class Feeds:
             order_amount AS amount
             currency
             {_code('pay', 'order_id % 4')} AS payment_method
-            CAST(order_amount * 0.029 + 0.30 AS decimal(12,2)) AS gateway_fee
+            CAST(order_amount * 0.0175 + 0.15 AS decimal(12,2)) AS gateway_fee
             {_after('created_at', mins='mins')} AS attempted_at
             CASE WHEN payment_status = 'succeeded' THEN {_after('created_at', mins='mins + 1')} END AS processed_at
         """))
@@ -160,8 +161,8 @@ class Feeds:
             {_code('carrier', 'order_id % 4')} AS carrier
             CAST(order_id % 7 + 4.99 AS decimal(12,2)) AS shipping_cost
             {_code('step', 'if(n = 1 OR order_id % 8 = 0, 2, 1)')} AS status
-            CASE WHEN order_id % 12 <> 0 THEN {_after('created_at', days='2 + n')} END AS shipped_at
-            CASE WHEN order_id % 16 <> 0 THEN {_after('created_at', days='6 + n')} END AS delivered_at
+            CASE WHEN order_id % 7 <> 3 THEN {_after('created_at', days='2 + n')} END AS shipped_at
+            CASE WHEN order_id % 5 <> 1 THEN {_after('created_at', days='6 + n')} END AS delivered_at
         """))
 
     # ---- rides ----------------------------------------------------------------------
@@ -219,8 +220,8 @@ class Feeds:
         attempts = _variants(
             self.rides_trips().where("gross_fare > 0"), "n, payment_status, mins",
             ["1, 'failed', 40", "2, 'failed', 45", "3, 'captured', 50", "4, 'captured', 51"],
-            "CASE n WHEN 1 THEN trip_id % 11 IN (3, 7) WHEN 2 THEN trip_id % 11 = 7 WHEN 3 THEN trip_id % 33 <> 0 "
-            "ELSE trip_id % 33 <> 0 AND trip_id % 67 = 0 END",
+            "CASE n WHEN 1 THEN trip_id % 11 IN (3, 7) WHEN 2 THEN trip_id % 11 = 7 WHEN 3 THEN trip_id % 14 <> 0 "
+            "ELSE trip_id % 14 <> 0 AND trip_id % 29 = 0 END",
         )
         return attempts.selectExpr(*_columns(f"""
             trip_id * 10 + n AS payment_id
@@ -230,7 +231,7 @@ class Feeds:
             gross_fare AS amount
             currency
             {_code('pay', 'trip_id % 4')} AS payment_method
-            CAST(gross_fare * 0.025 + 0.20 AS decimal(12,2)) AS processor_fee
+            CAST(gross_fare * 0.0125 + 0.05 AS decimal(12,2)) AS processor_fee
             {_after('requested_at', mins='mins')} AS attempted_at
             CASE WHEN payment_status = 'captured' AND trip_status = 'completed' THEN {_after('requested_at', mins='mins + 1')} END AS captured_at
         """))
@@ -386,3 +387,11 @@ class Feeds:
         return days.where("weekday(rate_date) < 5").selectExpr("rate_date", bases).selectExpr(
             "rate_date", "currency", "CAST(base + dayofmonth(rate_date) * 0.001 AS decimal(6,3)) AS rate"
         )
+
+
+class StreamFeeds(Feeds):
+    """The same feeds as streams over the files of the benchmark tables; those made by aggregation stay out of reach."""
+
+    def table(self, name: str) -> DataFrame:
+        reader = self.spark.readStream.schema(_BENCH[name]).option("pathGlobFilter", f"{name}.parquet")
+        return reader.parquet(self.folder)

@@ -1,9 +1,11 @@
 """Full-refresh mart sink: every attempt writes new folders, one manifest per run makes them visible.
 
 ``<out>/<table>/v=<version>/`` holds what one attempt wrote; a version is never written twice, so neither a retry nor a second
-run of the same name can touch what readers see.  ``<out>/_manifests/<number>-<version>.json`` names the versions of all tables
-that a run published together.  A manifest is written under another name and renamed, and readers take the highest number, so
-they see all tables of one run or all of another.  A run that fails, is rejected or dies leaves the last manifest alone.
+run of the same name can touch what readers see.  ``<out>/_manifests/<number>.json`` names the versions of all tables of the
+folder.  Numbers are taken one by one: a publisher writes its manifest under another name and claims the next number, which only one can;
+whoever comes second reads the manifest of the first, adds its own tables and claims the number after.  So runs that publish to
+one folder side by side all stay, and readers see all tables of a run or none.  A run that fails, is rejected or dies leaves the
+last manifest alone.  ``sweep`` removes what no kept manifest names.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import json
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _MANIFESTS = "_manifests"
@@ -65,17 +68,90 @@ def current_versions(spark: SparkSession, out: str) -> dict[str, str]:
     return json.loads(_read(spark, f"{out.rstrip('/')}/{_MANIFESTS}/{files[-1]}")) if files else {}
 
 
-def publish(spark: SparkSession, out: str, versions: Mapping[str, str]) -> None:
-    """Make staged versions of some tables current, all at once; other tables stay as they are."""
-    files = _manifest_files(spark, out)
-    number = int(files[-1].split("-", 1)[0]) + 1 if files else 1
-    name = f"{number:09d}-{uuid.uuid4().hex[:8]}"
-    fs, unfinished = _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}/.{name}.tmp")
-    stream = fs.create(unfinished, False)
-    stream.write(bytearray(json.dumps({**current_versions(spark, out), **versions}, sort_keys=True), "utf-8"))
-    stream.close()
-    if not fs.rename(unfinished, _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}/{name}.json")[1]):
-        raise OSError(f"manifest {name} could not be renamed")
+def _number(file: str) -> int:
+    return int(file.split(".", 1)[0].split("-", 1)[0])
+
+
+def _claim(spark: SparkSession, unfinished: str, final: str) -> bool:
+    """Give a written file its final name if no other has it; False if one has.
+
+    A rename refuses an existing target on HDFS and on stores with an atomic one.  On a local disk it would replace it, so there a
+    link is made, which never does.
+    """
+    fs, source = _file(spark, unfinished)
+    _, target = _file(spark, final)
+    if source.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return not fs.exists(target) and fs.rename(source, target)
+    local = lambda path: spark._jvm.java.io.File(path.toUri().getPath()).toPath()
+    try:
+        spark._jvm.java.nio.file.Files.createLink(local(target), local(source))
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(source, False)
+    return True
+
+
+def publish(spark: SparkSession, out: str, versions: Mapping[str, str]) -> int:
+    """Make staged versions of some tables current, all at once; other tables stay as they are.  Returns the manifest's number."""
+    folder = f"{out.rstrip('/')}/{_MANIFESTS}"
+    while True:
+        files = _manifest_files(spark, out)
+        number = _number(files[-1]) + 1 if files else 1
+        current = json.loads(_read(spark, f"{folder}/{files[-1]}")) if files else {}
+        unfinished = f"{folder}/.{number:09d}-{uuid.uuid4().hex[:8]}.tmp"
+        fs, path = _file(spark, unfinished)
+        stream = fs.create(path, False)
+        stream.write(bytearray(json.dumps({**current, **versions}, sort_keys=True), "utf-8"))
+        stream.close()
+        if _claim(spark, unfinished, f"{folder}/{number:09d}.json"):
+            return number
+
+
+def manifests(spark: SparkSession, out: str) -> dict[int, dict[str, str]]:
+    """Versions of all tables by manifest number, oldest first."""
+    return {_number(f): json.loads(_read(spark, f"{out.rstrip('/')}/{_MANIFESTS}/{f}")) for f in _manifest_files(spark, out)}
+
+
+def sweep(spark: SparkSession, out: str, keep: int) -> list[str]:
+    """Remove the manifests but the last ``keep``, and every version that only those named; returns the removed paths.
+
+    Readers of a kept manifest keep all its tables.  A version that no manifest names may be one that a run is about to publish, so
+    it stays; what a rejected run left is removed by ``discard``.
+    """
+    if keep < 1:
+        raise ValueError("the last manifest stays")
+    log, out = manifests(spark, out), out.rstrip("/")
+    old, kept = sorted(log)[:-keep], sorted(log)[-keep:]
+    reached = {(t, v) for n in kept for t, v in log[n].items()}
+    gone = sorted({(t, v) for n in old for t, v in log[n].items()} - reached)
+    # Manifests go first: a crash in between leaves versions without a reader, never a reader without its versions.
+    paths = [f"{out}/{_MANIFESTS}/{f}" for f in _manifest_files(spark, out) if _number(f) in old]
+    paths += [version_path(f"{out}/{t}", v) for t, v in gone]
+    for path in paths:
+        fs, target = _file(spark, path)
+        fs.delete(target, True)
+    return paths
+
+
+def discard(spark: SparkSession, out: str, versions: Mapping[str, str]) -> None:
+    """Remove staged versions that were never published, as of a rejected run."""
+    named = {(t, v) for versions_ in manifests(spark, out).values() for t, v in versions_.items()}
+    for table, version in versions.items():
+        if (table, version) not in named:
+            fs, target = _file(spark, version_path(f"{out.rstrip('/')}/{table}", version))
+            fs.delete(target, True)
+
+
+def read_versions(spark: SparkSession, out: str, table: str) -> dict[int, DataFrame]:
+    """Every kept version of a table by the first manifest that names it, oldest first."""
+    first: dict[str, int] = {}
+    for number, versions in manifests(spark, out).items():
+        if table in versions:
+            first.setdefault(versions[table], number)
+    return {number: spark.read.parquet(version_path(f"{out.rstrip('/')}/{table}", version)) for version, number in first.items()}
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:

@@ -86,7 +86,10 @@ def test_bridge_algebra(shop):
 def test_commerce_metrics(shop):
     assert rows_of(metrics.refunds_by_month(shop), "refunds") == [(3,)]
     assert metrics.cross_month_refunds(shop).first().cross_month_refunds == 3
-    assert rows_of(metrics.ops_findings(shop)) == [(3, 1, 1)]
+    assert rows_of(metrics.ops_findings(shop)) == [(3, 1, 0, 1)]
+    unknown = shop["raw_refunds"].limit(1).withColumn("order_id", F.lit(-1).cast("bigint"))
+    more = {**shop, "raw_refunds": shop["raw_refunds"].unionByName(unknown)}
+    assert rows_of(metrics.ops_findings(more)) == [(4, 1, 1, 1)]
     assert rows_of(metrics.status_contradictions(commerce.int_orders_enriched(shop)), "order_status", "n_orders") == [("cancelled", 1)]
 
 

@@ -11,8 +11,8 @@ from conftest import at, rows_of
 from tallywork.session import cluster_settings, input_size, shared_dir, size_session
 from tallywork.sources import writers
 from tallywork.sources import (
-    SCHEMAS, conform, current_version, current_versions, new_version, parse_timestamps, publish, read_domain, read_mart, row_counts,
-    stage_version, unparsed_counts, unparsed_report, write_mart,
+    SCHEMAS, conform, current_version, current_versions, discard, drift_report, manifests, new_version, parse_timestamps, publish, read_domain,
+    read_mart, read_versions, row_counts, stage_version, sweep, unparsed_counts, unparsed_report, write_mart,
 )
 
 
@@ -132,3 +132,71 @@ def test_a_running_session_is_sized_for_its_input(frame, spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_two_publishers_of_one_folder_both_stay(frame, spark, tmp_path, monkeypatch):
+    """Both have listed the same manifests; the second to claim the number reads the first one's and takes the next."""
+    out = str(tmp_path)
+    write_mart(frame("v long", [(0,)]), f"{out}/a", "r0")
+    staged = {name: new_version("r1") for name in ("commerce", "rides")}
+    for i, (name, version) in enumerate(staged.items()):
+        stage_version(frame("v long", [(i,)]), f"{out}/{name}", version)
+    plain, held = writers._manifest_files, []
+
+    def interleaved(session, folder):
+        files = plain(session, folder)
+        if not held:                       # the other publisher gets in between listing and claiming
+            held.append(True)
+            publish(session, folder, {"commerce": staged["commerce"]})
+        return files
+
+    monkeypatch.setattr(writers, "_manifest_files", interleaved)
+    publish(spark, out, {"rides": staged["rides"]})
+    monkeypatch.undo()
+    versions = current_versions(spark, out)
+    assert {k: versions[k] for k in staged} == staged and "a" in versions and sorted(manifests(spark, out)) == [1, 2, 3]
+
+
+def test_many_publishers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    with ThreadPoolExecutor(8) as pool:
+        run = inheritable_thread_target(spark)(lambda i: publish(spark, str(tmp_path), {f"t{i}": f"v{i}"}))
+        numbers = sorted(pool.map(run, range(16)))
+    assert numbers == list(range(1, 17)) and current_versions(spark, str(tmp_path)) == {f"t{i}": f"v{i}" for i in range(16)}
+    assert not [p for p in (tmp_path / "_manifests").iterdir() if p.name.endswith(".tmp")]
+
+
+def test_a_sweep_keeps_what_kept_manifests_reach(frame, spark, tmp_path):
+    out = str(tmp_path)
+    for i in range(4):
+        write_mart(frame("v long", [(i,)]), f"{out}/mart", f"r{i}")
+    write_mart(frame("v long", [(9,)]), f"{out}/other", "r9")
+    staged = new_version("unpublished")
+    stage_version(frame("v long", [(5,)]), f"{out}/mart", staged)
+    reader = read_versions(spark, out, "mart")
+    assert sorted(reader) == [1, 2, 3, 4]
+    removed = sweep(spark, out, keep=3)
+    assert len(removed) == 4 and sorted(manifests(spark, out)) == [3, 4, 5]     # two manifests and the versions only they named
+    assert [rows_of(reader[n]) for n in (3, 4)] == [[(2,)], [(3,)]]
+    assert rows_of(read_mart(spark, f"{out}/other")) == [(9,)] and rows_of(spark.read.parquet(f"{out}/mart/v={staged}")) == [(5,)]
+    discard(spark, out, {"mart": staged, "other": current_versions(spark, out)["other"]})
+    assert not (tmp_path / f"mart/v={staged}").exists() and rows_of(read_mart(spark, f"{out}/other")) == [(9,)]
+
+
+def test_drift_is_a_line_of_the_report(frame):
+    schema = {"raw_refunds": SCHEMAS["commerce"]["raw_refunds"]}
+    kinds = {f.name: f.dataType.simpleString() for f in schema["raw_refunds"].fields}
+    kinds.pop("refund_reason")
+    kinds["refund_id"] = "string"
+    got = frame(", ".join(f"{c} {k}" for c, k in {**kinds, "agent": "string"}.items()), [])
+    spark = got.sparkSession
+    assert rows_of(drift_report(spark, {"raw_refunds": got}, schema), "check_name", "status") == [
+        ("extra_column(agent)", "warn"), ("missing_column(refund_reason)", "error"), ("retyped_column(refund_id: bigint as string)", "warn"),
+    ]
+    with pytest.raises(ValueError, match="raw_refunds lacks refund_reason"):
+        conform(got, schema["raw_refunds"], "raw_refunds")
+    assert conform(got, schema["raw_refunds"], strict=False).schema["refund_reason"].dataType == T.StringType()
+    assert drift_report(spark, {"raw_refunds": conform(got, schema["raw_refunds"], strict=False)}, schema) is None

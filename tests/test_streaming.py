@@ -5,7 +5,9 @@ from decimal import Decimal
 from pyspark.sql import functions as F, types as T
 
 from conftest import at, rows_of
-from tallywork.streaming import daily_usage, read_stream, replay_dedup, run_available, with_end
+from tallywork.streaming import (
+    arrival_counts, collect_arrivals, compact, daily_usage, kept_rows, read_stream, replay_dedup, run_available, unmatched_within, with_end,
+)
 
 SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("line", T.LongType()), T.StructField("kind", T.StringType()),
@@ -65,3 +67,78 @@ def test_an_end_mark_closes_every_day(spark, tmp_path):
     usage = with_end(_stream(spark, tmp_path), "ts", f"{tmp_path}/out", "2100-01-01 00:00:00")
     out = run_available(daily_usage(usage, "ts", "kind", "units"), f"{tmp_path}/out")
     assert rows_of(out, "usage_day", "events") == [(at("2024-01-01"), 1), (at("2024-01-02"), 1)]
+
+
+KEY = ["line", "day", "kind", "units"]
+BATCHES = [
+    [(5, 7, "data", "1.000", "2024-01-05 10:00"), (6, 7, "data", "1.000", "2024-01-05 11:00"), (7, None, "data", "1.000", "2024-01-05 12:00")],
+    [(3, 7, "data", "1.000", "2024-01-05 09:00"), (8, 8, "sms", "2.000", "2024-01-09 12:00")],
+    [(1, 9, "data", "4.000", "2024-01-01 10:00"), (2, 7, "data", "1.000", "2024-01-05 23:00"), (9, None, "data", "1.000", "2024-01-05 12:00")],
+]
+
+
+def _collect(spark, folder, source=None):
+    stream = read_stream(spark, f"{source or folder}/[0-9]", SCHEMA, maxFilesPerTrigger=1).withColumn("day", F.col("ts").cast("date"))
+    collect_arrivals(stream, f"{folder}/out", KEY, ["id"], "ts")
+
+
+def test_nothing_that_arrives_is_lost(spark, tmp_path):
+    """The lowest id of each key survives any order of arrival; kept and replayed rows are the input, late ones among them."""
+    _arrive(spark, tmp_path, BATCHES)
+    _collect(spark, tmp_path)
+    out = f"{tmp_path}/out"
+    assert rows_of(kept_rows(spark, out, KEY, ["id"]), "id") == [(1,), (2,), (7,), (8,)]
+    assert rows_of(arrival_counts(spark, out, KEY)) == [(0, 3, 2, 1, 0), (1, 2, 1, 1, 0), (2, 3, 1, 2, 3)]
+    for order in ([2, 1, 0], [1, 0, 2]):
+        other = tmp_path / "-".join(map(str, order))
+        _arrive(spark, other, [BATCHES[i] for i in order])
+        _collect(spark, other)
+        assert rows_of(kept_rows(spark, f"{other}/out", KEY, ["id"]), "id") == [(1,), (2,), (7,), (8,)]
+        total = arrival_counts(spark, f"{other}/out", KEY).agg(F.sum("n_input"), F.sum("n_kept"), F.sum("n_replay")).first()
+        assert tuple(total) == (8, 4, 4)
+
+
+def test_compacted_batches_count_the_same_and_later_ones_go_on(spark, tmp_path):
+    _arrive(spark, tmp_path, BATCHES[:2])
+    _collect(spark, tmp_path)
+    out = f"{tmp_path}/out"
+    compact(spark, out, KEY, ["id"])
+    compact(spark, out, KEY, ["id"])
+    assert rows_of(arrival_counts(spark, out, KEY)) == [(0, 3, 2, 1, 0), (1, 2, 1, 1, 0)]
+    spark.createDataFrame([(a, b, c, Decimal(d), at(t)) for a, b, c, d, t in BATCHES[2]], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/2")
+    _collect(spark, tmp_path)
+    assert rows_of(kept_rows(spark, out, KEY, ["id"]), "id") == [(1,), (2,), (7,), (8,)]
+    assert rows_of(arrival_counts(spark, out, KEY)) == [(0, 3, 2, 1, 0), (1, 2, 1, 1, 0), (2, 3, 1, 2, 3)]
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    """As after a failure between a batch's write and its commit."""
+    _arrive(spark, tmp_path, BATCHES)
+    _collect(spark, tmp_path)
+    (tmp_path / "out/checkpoint/commits/2").unlink()
+    for crc in (tmp_path / "out/checkpoint/commits").glob(".2*"):
+        crc.unlink()
+    _collect(spark, tmp_path)
+    assert arrival_counts(spark, f"{tmp_path}/out", KEY).agg(F.sum("n_input")).first()[0] == 8
+
+
+DUE = T.StructType([T.StructField("trip", T.LongType()), T.StructField("asked", T.TimestampNTZType())])
+DONE = T.StructType([T.StructField("trip", T.LongType()), T.StructField("got", T.TimestampNTZType())])
+
+
+def _unmatched(spark, folder):
+    due = with_end(read_stream(spark, f"{folder}/due/[0-9]", DUE, maxFilesPerTrigger=1), "asked", f"{folder}/a", "2100-01-01 00:00:00")
+    done = with_end(read_stream(spark, f"{folder}/done/[0-9]", DONE, maxFilesPerTrigger=1), "got", f"{folder}/b", "2100-01-01 00:00:00")
+    return due, done
+
+
+def test_fares_without_capture_come_out_once_their_time_has_passed(spark, tmp_path):
+    put = lambda side, i, schema, rows: spark.createDataFrame([(a, at(t)) for a, t in rows], schema).coalesce(1).write.parquet(f"{tmp_path}/{side}/{i}")
+    put("due", 0, DUE, [(1, "2024-01-01 10:00"), (2, "2024-01-01 11:00"), (3, "2024-01-02 10:00"), (None, "2024-01-01 10:00")])
+    put("done", 0, DONE, [(1, "2024-01-01 12:00"), (3, "2024-01-05 12:00"), (None, "2024-01-01 12:00")])
+    open_ = lambda: unmatched_within(read_stream(spark, f"{tmp_path}/due/[0-9]", DUE), read_stream(spark, f"{tmp_path}/done/[0-9]", DONE), "trip", "asked", "got", "1 day", "1 hour")
+    first = rows_of(run_available(open_(), f"{tmp_path}/out"), "trip")
+    put("due", 1, DUE, [(4, "2024-02-01 10:00")])
+    put("done", 1, DONE, [(4, "2024-02-01 10:30")])
+    second = rows_of(run_available(open_(), f"{tmp_path}/out"), "trip")      # resumes with the state of the first run
+    assert set(first) <= set(second) and sorted(second, key=str) == sorted([(None,), (2,), (3,)], key=str)
