@@ -5,8 +5,11 @@ ranks the centroids of either half by distance and walks their pairs by summed d
 enough entries.  Those are reranked by exact distance in double precision.
 
 The codebooks are fitted on at most ``SAMPLE`` vectors; every vector is indexed.  Cells are packed into parts of bounded size, cells
-beyond that are cut into several by a hash of the id, and a part meets only the queries that reach one of its cells.  So each
-task holds a bounded number of vectors, and a cell of any size is searched whole.
+beyond that are cut into several by a hash of the row, and a part meets only the queries that reach one of its cells, in blocks
+of bounded size.  So each task holds a bounded number of vectors and of queries, and a cell of any size is searched whole.
+
+The work is queries times the candidates each reranks.  Where queries are a share of all rows and candidates too, that grows with the
+square of the table; ``share`` is for the caller to set by the recall that the data needs.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ SAMPLE = 20_000
 CELL_ENTRIES, LARGEST_CODEBOOK = 1, 1_024
 #: Vectors that one task holds.
 PART_ENTRIES = 20_000
+#: Queries that one task holds.
+BLOCK_QUERIES = 4_000
 _ROUNDS = 15
 
 
@@ -93,15 +98,16 @@ def traverse(left: np.ndarray, right: np.ndarray, counts: np.ndarray, want: int)
     ``left`` and ``right`` are a query's squared distances to the centroids, ``counts`` the entries of each cell.  The heap holds
     the next pair of each row of the sorted grid, and a row is opened when the one before it has given its first pair.
     """
-    a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
-    la, rb = left[a].tolist(), right[b].tolist()
-    grid = counts.reshape(len(left), len(right))[a][:, b]
+    order = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
+    la, rb = left[order[0]].tolist(), right[order[1]].tolist()
+    a, b = order[0].tolist(), order[1].tolist()
     heap, out, held, n, reach = [(la[0] + rb[0], 0, 0)], [], 0, len(rb), 0.0
     while heap and held < want:
         reach, i, j = heapq.heappop(heap)
-        if grid[i, j]:
-            out.append(int(a[i]) * n + int(b[j]))
-            held += int(grid[i, j])
+        cell = a[i] * n + b[j]
+        if entries := int(counts[cell]):
+            out.append(cell)
+            held += entries
         if j + 1 < n:
             heapq.heappush(heap, (la[i] + rb[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(la):
@@ -112,8 +118,8 @@ def traverse(left: np.ndarray, right: np.ndarray, counts: np.ndarray, want: int)
 def _indexed(books: Codebooks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(books.cells(v))], ["vec_id", "v", "cell"])
+            v = _matrix(batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(books.cells(v))], ["row", "vec_id", "v", "cell"])
 
     return run
 
@@ -131,7 +137,7 @@ def _distances(books: Codebooks, q: np.ndarray) -> list[np.ndarray]:
 def _probed(books: Codebooks, counts: np.ndarray, first: np.ndarray, pieces: np.ndarray, want: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            v = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(batch.num_rows, -1)
             for lo in range(0, len(v), 64):
                 at, parts, reaches = [], [], []
                 left, right = _distances(books, v[lo : lo + 64])
@@ -142,7 +148,7 @@ def _probed(books: Codebooks, counts: np.ndarray, first: np.ndarray, pieces: np.
                     parts += sorted(reached)
                     reaches += [reach] * len(reached)
                 rows = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(parts, pa.int64()), pa.array(reaches, pa.float64())], ["query_id", "q", "part", "reach"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(rows) for i in range(3)), pa.array(parts, pa.int64()), pa.array(reaches, pa.float64())], ["query", "query_id", "q", "part", "reach"])
 
     return run
 
@@ -153,16 +159,16 @@ def _reranked(books: Codebooks, k: int):
         out = []
         if len(entries) and len(queries):
             v = np.frombuffer(b"".join(entries["v"]), np.float64).reshape(len(entries), -1)
-            ids = entries["vec_id"].to_numpy()
+            ids, rows = entries["vec_id"].to_numpy(), entries["row"].to_numpy()
             i, j = np.divmod(entries["cell"].to_numpy(), len(books.right))
-            for query, q, reach in zip(queries["query_id"], queries["q"], queries["reach"], strict=True):
+            for query, name, q, reach in zip(queries["query"], queries["query_id"], queries["q"], queries["reach"], strict=True):
                 q = np.frombuffer(q, np.float64)
                 left, right = (d[0] for d in _distances(books, q[None]))
-                at = np.flatnonzero((left[i] + right[j] <= reach) & (ids != query))
+                at = np.flatnonzero((left[i] + right[j] <= reach) & (rows != query))
                 score = np.sqrt(((v[at] - q) ** 2).sum(1))
                 best = np.lexsort((ids[at], score))[:k]
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+                out.append(pd.DataFrame({"query": query, "query_id": name, "vec_id": ids[at][best], "score": score[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": np.zeros(0, np.int64), "query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
     return run
 
@@ -188,24 +194,29 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, candidates: int = 2_000,
 
     A query reranks the entries of the nearest cells that together hold ``candidates`` vectors, or ``share`` of all where that is
     more (nearness of random vectors is hard to index: 0.4 finds 19 of 20 neighbours among them).  Score is the Euclidean distance; ties go to the smaller id.  Vectors that are NULL, zero, of another length than
-    most or not finite take no part; of rows that repeat an id any one does.  Queries find all others if there are fewer than
-    ``k``.
+    most or not finite take no part.  Rows that repeat id and vector are one row; rows that share an id with different vectors are
+    different rows, each a candidate and, where the id is a query's, a query with ranks of its own.  Queries find all others if
+    there are fewer than ``k``.
     """
     spark = vectors.sparkSession
-    rows = written(usable(vectors, id, vector).dropDuplicates(["vec_id"]), "vectors")
+    rows = written(usable(vectors, id, vector).distinct().select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), "vectors")
     total = rows.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books = fit(rows, total)
-    entries = written(rows.mapInArrow(_indexed(books), "vec_id long, v binary, cell long"), "cells")
+    entries = written(rows.mapInArrow(_indexed(books), "row long, vec_id long, v binary, cell long"), "cells")
     counts = np.zeros(len(books.left) * len(books.right), dtype=np.int64)
     for r in entries.groupBy("cell").count().collect():  # LARGEST_CODEBOOK squared rows at most
         counts[r.cell] = r["count"]
     first, pieces = _parts(counts)
     want = max(candidates, int(total * share), k) + 1
-    probes = entries.where(is_query(F.col("vec_id"))).select("vec_id", "v").mapInArrow(_probed(books, counts, first, pieces, want), "query_id long, q binary, part long, reach double")
+    asked = entries.where(is_query(F.col("vec_id"))).select("row", "vec_id", "v")
+    blocks = -(-asked.count() // BLOCK_QUERIES) or 1
+    probes = asked.mapInArrow(_probed(books, counts, first, pieces, want), "query long, query_id long, q binary, part long, reach double")
+    probes = probes.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
     place = spark.createDataFrame(pd.DataFrame({"cell": np.flatnonzero(counts), "first": first[counts > 0], "pieces": pieces[counts > 0]}))
-    dealt = entries.join(place, "cell").withColumn("part", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("pieces"))).select("vec_id", "v", "cell", "part")
-    found = dealt.groupBy("part").cogroup(probes.groupBy("part")).applyInPandas(_reranked(books, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    dealt = entries.join(place, "cell").withColumn("part", F.col("first") + F.pmod(F.xxhash64("row"), F.col("pieces"))).select("row", "vec_id", "v", "cell", "part")
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = dealt.groupBy("part", "block").cogroup(probes.groupBy("part", "block")).applyInPandas(_reranked(books, k), "query long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -49,6 +49,8 @@ ADDED = (
 RULES = BASE + ADDED
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
+#: Matches whose positions are added up together.
+RUN = 256
 
 
 def spans(text: Column, rule: Rule) -> Column:
@@ -59,16 +61,43 @@ def spans(text: Column, rule: Rule) -> Column:
     values = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
     pieces = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("match")))
     pieces = F.zip_with(pieces, values, lambda p, value: F.struct(p["gap"].alias("gap"), p["match"].alias("match"), (F.length(value) >= rule.least).alias("good")))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("found"))
+    return F.when(text.rlike(rule.hint or rule.pattern), _let(pieces, _placed)).otherwise(F.array().cast(_SPANS))
 
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(pieces: Column) -> Column:
+    """Spans of the good ones of some ``gap, match, good`` pieces.
+
+    An array that grows by a match at a time is copied each time.  So pieces are cut into runs of ``RUN``: lengths are summed by run,
+    runs start where the sums before them end, and only within a run do arrays grow.
+    """
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(pieces) - 1) / RUN).cast("int"))), lambda i: F.slice(pieces, i * RUN + 1, RUN))
+    return _let(runs, lambda cut: _let(_starts(F.transform(cut, _length)), lambda starts: F.flatten(F.transform(cut, lambda run, i: _within(run, F.get(starts, i))))))
+
+
+def _length(run: Column) -> Column:
+    return F.aggregate(run, F.lit(0).cast("bigint"), lambda n, p: n + p["gap"] + p["match"])
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of all lengths before each, and of all."""
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array(F.lit(0).cast("bigint")).alias("all"))
+    grown = lambda held, n: F.struct((held["at"] + n).alias("at"), F.concat(held["all"], F.array(held["at"] + n)).alias("all"))
+    return F.aggregate(lengths, none, grown, lambda held: held["all"])
+
+
+def _within(run: Column, start: Column) -> Column:
     def step(held: Column, p: Column) -> Column:
-        start = held["at"] + p["gap"]
-        end = start + p["match"]
-        one = F.array(F.struct(start.alias("start"), end.alias("end"))).cast(_SPANS)
-        return F.struct(end.alias("at"), F.when(p["good"], F.concat(held["found"], one)).otherwise(held["found"]).alias("found"))
+        low = held["at"] + p["gap"]
+        high = low + p["match"]
+        one = F.array(F.struct(low.alias("start"), high.alias("end"))).cast(_SPANS)
+        return F.struct(high.alias("at"), F.when(p["good"], F.concat(held["found"], one)).otherwise(held["found"]).alias("found"))
 
-    found = F.aggregate(pieces, empty, step, lambda held: held["found"])
-    return F.when(text.rlike(rule.hint or rule.pattern), found).otherwise(F.array().cast(_SPANS))
+    return F.aggregate(run, F.struct(start.alias("at"), F.array().cast(_SPANS).alias("found")), step, lambda held: held["found"])
 
 
 def address(text: str = "text") -> Column:

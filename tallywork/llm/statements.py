@@ -6,7 +6,7 @@ STATEMENTS: dict[str, str] = {}
 
 STATEMENTS["op7_temperature_mixing"] = r"""
 WITH sizes AS (
-    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens FROM documents
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens, substr(md5(coalesce(text, '')), 1, 15) AS mark FROM documents
 ), sources AS (
     SELECT source, CAST(sum(tokens) AS BIGINT) AS total FROM sizes GROUP BY source
 ), shares AS (
@@ -18,13 +18,13 @@ WITH sizes AS (
 ), plan AS (
     SELECT source, total, CAST(round(w * (SELECT max(total / w) FROM raw WHERE w > 0)) AS BIGINT) AS budget FROM raw
 ), reads AS (
-    SELECT s.doc_id, s.source, s.tokens, p.budget, unnest(range(0, CAST(greatest(1, ceil(p.budget / greatest(p.total, 1))) AS BIGINT))) AS pass
+    SELECT s.doc_id, s.source, s.tokens, s.mark, p.budget, unnest(range(0, CAST(greatest(1, ceil(p.budget / greatest(p.total, 1))) AS BIGINT))) AS pass
     FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 ), keyed AS (
-    SELECT *, CAST('0x' || substr(md5('mix|' || pass || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+    SELECT *, CAST('0x' || substr(md5('mix|' || pass || '|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(CAST('0x' || mark AS BIGINT) AS VARCHAR)), 1, 15) AS BIGINT) AS key
     FROM reads WHERE tokens > 0 OR pass = 0
 ), placed AS (
-    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY pass, key, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM keyed
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY pass, key, doc_id, mark ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM keyed
 ), blocks AS (
     SELECT greatest(1, CAST(ceil(sum(budget) / 1000000.0) AS BIGINT)) AS n FROM plan
 ), kept AS (
@@ -38,23 +38,24 @@ FROM kept
 
 STATEMENTS["op5_perspective_rotation"] = """
 WITH said AS (
-    SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations
-    WHERE conv_id IS NOT NULL AND role IS NOT NULL
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, substr(md5(role || '|' || text), 1, 2), role, text) - 1 AS position FROM (
+        SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND role IS NOT NULL
+    ) d
 ), speakers AS (
     SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'
 ), lines AS (
-    SELECT s.*, p.perspective, coalesce(CAST(floor(turn / 256.0) AS BIGINT), -1) AS part,
+    SELECT s.*, p.perspective, CAST(position // 256 AS BIGINT) AS part,
         '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head,
         text || '<|im_end|>' || chr(10) AS body, role = perspective AS learned
     FROM said s JOIN speakers p USING (conv_id)
 ), placed AS (
     SELECT *, coalesce(sum(length(head) + length(body)) OVER (
-        PARTITION BY conv_id, perspective, part ORDER BY turn NULLS LAST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        PARTITION BY conv_id, perspective, part ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM lines
 )
 SELECT conv_id, perspective, part, count(*) AS n_turns, CAST(coalesce(sum(length(body)) FILTER (WHERE learned), 0) AS BIGINT) AS n_masked,
-    string_agg(head || body, '' ORDER BY turn NULLS LAST, role, text) AS rendered,
-    coalesce(string_agg(CAST(before + length(head) AS BIGINT) || ':' || CAST(before + length(head) + length(body) AS BIGINT), ',' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE learned), '') AS mask
+    string_agg(head || body, '' ORDER BY position) AS rendered,
+    coalesce(string_agg(CAST(before + length(head) AS BIGINT) || ':' || CAST(before + length(head) + length(body) AS BIGINT), ',' ORDER BY position) FILTER (WHERE learned), '') AS mask
 FROM placed GROUP BY conv_id, perspective, part
 """
 

@@ -76,7 +76,8 @@ def judge(captures: DataFrame, entries: DataFrame, id: str = "page_id", url: str
     held = written(made, "captures")
     spans = written(intervals(entries), "intervals")
     asked = held.where("fetched_on IS NOT NULL").select("row", F.col("fetched_on").alias("day"), F.posexplode("keys").alias("rank", "key"))
-    days = asked.select("key", "day").distinct().join(spans.select("key").distinct(), "key", "left_semi")
+    # A host's rows are reduced to days in an exchange by key and day of their own; a semi-join would go below it, to an exchange by key.
+    days = asked.select("key", "day").distinct().join(spans.select("key").distinct(), "key")
     active = _active(days, spans)
     best = asked.join(active, ["key", "day"]).groupBy("row").agg(F.min_by(F.struct("action", "key", "since"), "rank").alias("hit"))
     return held.join(best, "row", "left").select(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 from tallywork.llm import chat
 from tests.llm.conftest import tuples
 
@@ -16,8 +18,9 @@ def brute(rows, part_turns=chat.PART_TURNS):
     for conv in {s[0] for s in said}:
         for who in {s[2] for s in said if s[0] == conv and s[2] != "system"}:
             parts = {}
-            for _, t, r, x in sorted((s for s in said if s[0] == conv), key=lambda s: (s[1] is None, s[1] or 0, s[2], s[3])):
-                parts.setdefault(-1 if t is None else t // part_turns, []).append((r, x))
+            digits = lambda s: hashlib.md5(f"{s[2]}|{s[3]}".encode()).hexdigest()[:2]
+            for at, (_, _, r, x) in enumerate(sorted((s for s in said if s[0] == conv), key=lambda s: (s[1] is None, s[1] or 0, digits(s), s[2], s[3]))):
+                parts.setdefault(at // part_turns, []).append((r, x))
             for part, lines in parts.items():
                 rendered, mask, masked = "", [], 0
                 for r, x in lines:
@@ -54,5 +57,12 @@ def test_long_dialogues_are_cut_into_parts(llm):
     assert tuples(got) == brute(rows, 64) and got.count() == 16
 
 
+def test_turns_without_number_and_of_one_number_are_cut_too(llm):
+    """Neither meets in one array or window: parts hold 256 turns, positions have no gap."""
+    rows = [(1, None, "ab"[i % 2], f"line {i}") for i in range(1_500)] + [(2, 7, "ab"[i % 2], f"line {i}") for i in range(700)] + [(2, 6, "a", "first"), (2, None, "b", "last")]
+    got = chat.rotate(turns(llm, rows))
+    assert tuples(got) == brute(rows) and max(r.n_turns for r in got.collect()) == chat.PART_TURNS
+
+
 def test_empty_table(llm):
     assert chat.rotate(turns(llm, [])).count() == 0

@@ -82,6 +82,24 @@ def test_remixed_reads_what_the_stream_reads(docs):
     assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in mx.mixed(df, repetition=2.0).collect())
 
 
+@pytest.mark.parametrize("copies", [40, 200])
+def test_a_budget_ends_between_copies_of_one_row(docs, monkeypatch, copies):
+    """Stream and stage read the same rows, also where the budget ends among equal ones."""
+    monkeypatch.setattr(mx, "RANGE_DOCS", 16)
+    df = docs([(7, "w " * 30, "en", "s")] * copies + [(None, f"v{i} " * 30, "en", "s") for i in range(20)] + [(9, "u " * 30, "en", "t")])
+    stream = mx.mixed(df, repetition=1.0, budget_tokens=900).collect()
+    stage = mx.remixed(df, repetition=1.0, budget_tokens=900).collect()
+    count = lambda rows: Counter((r.doc_id, r.source) for r in rows)
+    assert count(stream) == count(stage) and 25 <= sum(1 for r in stream if r.source == "s") <= 31
+
+
+def test_rows_without_id_spread_over_ranges(docs, monkeypatch):
+    monkeypatch.setattr(mx, "RANGE_DOCS", 16)
+    sizes = mx.sized(docs([(None, f"text {i}", "en", "s") for i in range(300)] + [(3, f"other {i}", "en", "s") for i in range(300)]))
+    plan = mx.budgets(mx.source_sizes(sizes), 1.0)
+    assert max(r["count"] for r in mx._read(sizes, plan, "mix").groupBy("range").count().collect()) < 60
+
+
 def test_repeated_rows_and_empty_tables(docs):
     df = docs([(1, "a b", "en", "s")] * 5 + [(2, "a b", "en", "t")])
     assert Counter(r.doc_id for r in mx.mixed(df, repetition=1.0).collect()) == {1: 5, 2: 1}

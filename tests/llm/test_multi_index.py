@@ -71,6 +71,24 @@ def test_vectors_that_take_no_part(llm):
     assert got == {100: [(1, 1, 1.0), (2, 9, 1.0)]}
 
 
+def test_an_id_with_several_vectors_loses_none(llm):
+    rows = [(100, [0, 1]), (5, [0, 2]), (5, [0, 4]), (5, [0, 2]), (100, [0, 3])]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in mi.nearest(table(llm, rows), lambda i: i % 100 == 0).collect())
+    # Both rows of id 100 are queries, and each is a candidate of the other.
+    assert got == [(100, 1, 5, 1.0), (100, 1, 5, 1.0), (100, 2, 5, 1.0), (100, 2, 100, 2.0), (100, 3, 5, 3.0), (100, 3, 100, 2.0)]
+
+
+@pytest.mark.parametrize("queries", [3, 1_000])
+def test_blocks_of_queries_give_the_same(llm, monkeypatch, queries):
+    monkeypatch.setattr(mi, "BLOCK_QUERIES", queries)
+    monkeypatch.setattr(mi, "PART_ENTRIES", 50)
+    x = np.random.default_rng(6).normal(size=(600, 8))
+    rows = [(i, v) for i, v in enumerate(x)]
+    got = found(mi.nearest(table(llm, rows), lambda i: i % 20 == 0, k=5, candidates=10_000))
+    want = exact(rows, range(0, 600, 20), 5)
+    assert {q: [(r, v) for r, v, _ in h] for q, h in got.items()} == {q: [(r, v) for r, v, _ in h] for q, h in want.items()}
+
+
 def test_few_or_no_vectors(llm):
     assert mi.nearest(table(llm, []), lambda i: i % 100 == 0).count() == 0
     assert mi.nearest(table(llm, [(100, [1, 2])]), lambda i: i % 100 == 0).count() == 0
