@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -68,11 +69,34 @@ def test_a_passage_of_most_documents_keeps_its_seeds(llm, docs):
     assert {r.doc_id for r in got.collect()} == set(range(300))
 
 
-def test_seeds_are_the_rarer_half(llm):
-    items = dc.index_items([(1, " ".join(f"w{i}" for i in range(23)))], 4)
-    counts = np.arange(len(items.grams))[::-1].copy()
-    seeds = dc.rare_seeds(items, counts)
-    assert len(seeds.grams) == 10 and set(seeds.grams.tolist()) == set(items.grams[counts < 10].tolist())
+def test_the_rarest_seed_of_each_pair_comes_first():
+    row, item, count = np.array([0, 0, 0, 1, 1]), np.array([2, 2, 3, 2, 2]), np.array([5, 1, 9, 4, 4])
+    assert dc._rarest(row, item, count).tolist() == [False, True, True, True, True]
+    assert len(dc._rarest(*(np.zeros(0, np.int64) for _ in range(3)))) == 0
+
+
+def test_short_items_and_scripts_without_spaces(llm, docs):
+    items = [(1, "alpha beta gamma"), (2, "\u6c34\u304c\u6d41\u308c\u308b\u9752\u3044\u5ddd\u306e\u4e0a\u306b\u6708\u304c\u51fa\u308b\u591c"), (3, "Solo"), (4, "two words"), (5, "\u0e19\u0e49\u0e33\u0e43\u0e2a"), (6, "..."), (7, "\u5c71\U00020000")]
+    texts = [t for _, t in items]
+    rows = [
+        (1, f"before {texts[0].upper()}, after"), (2, f"x{texts[1]}y"), (3, "a solo act"), (4, "two, words"), (5, f"abc {texts[4]}"), (6, "alpha beta delta"), (7, f"{texts[1][:6]}\u5c71{texts[1][6:]}"),
+        (8, f"{texts[1][:4]} and nothing more"), (9, "... "), (10, f"q{texts[6]}"), (11, "alpha"), (12, "words two"),
+    ]
+    got = {(r.doc_id, r.item_id, r.similarity) for r in dc.contamination(docs(rows), llm.createDataFrame(items, ITEMS)).collect()}
+    assert {(d, i) for d, i, _ in got} == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (7, 2), (10, 7)}
+    assert all(s == 1.0 for d, _, s in got if d != 7)
+
+
+def test_words_of_mixed_scripts():
+    column = "ab\u6c34cd \u3042\u3044x|\u6c34"
+    for texts in ([column], ["", column, "", "z\u6c34", "\u6c34"]):
+        raw = [t.encode() for t in texts]
+        offsets = np.r_[0, np.cumsum([len(r) for r in raw])]
+        rows, hashes = dc._document_words(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        want = [(i, w) for i, t in enumerate(texts) for w in re.findall(r"[\u3040-\u30ff\u3400-\u9fff]|[a-z]+", t)]
+        same = {}
+        assert rows.tolist() == [i for i, _ in want] and all(same.setdefault(w, h) == h for (_, w), h in zip(want, hashes.tolist(), strict=True))
+        assert len(set(same.values())) == len(same)
 
 
 @pytest.mark.parametrize("chars", [10, 10_000])
@@ -89,7 +113,7 @@ def test_blocks_hold_every_item_once(llm, monkeypatch, docs, chars):
 def test_repeated_rows_empty_tables_and_stage(llm, docs):
     text = "one two three four five six seven eight"
     bench = llm.createDataFrame([(1, text), (2, "too short"), (3, None)], ITEMS)
-    table = docs([(1, text), (1, text), (2, "clean words only"), (None, "clean"), (4, None)])
+    table = docs([(1, text), (1, text), (2, "short words only"), (None, "clean"), (4, None)])
     assert tuples(dc.contamination(table, bench), "doc_id", "item_id", "score") == [(1, 1, 16), (1, 1, 16)]
     kept = dc.decontaminated(table, bench)
     assert kept.columns == table.columns and tuples(kept, "doc_id") == sorted([(2,), (None,), (4,)], key=repr)
@@ -147,3 +171,28 @@ def test_inserted_passages_against_full_alignment(llm, docs):
     assert len(expected) > 32
     got = dc.contamination(docs(rows), llm.createDataFrame([(i, " ".join(q)) for i, q in items], ITEMS)).collect()
     assert {(r.doc_id, r.item_id): r.score for r in got} == expected
+
+
+def test_share_of_all_similar_pairs_that_is_found(llm, docs):
+    """Of pairs whose full table reaches 0.6, also those without a common 4-gram: a copy edited at every fourth word has none."""
+    rng = random.Random(12)
+    items = [(i, words(rng, 40)) for i in range(30)]
+    rows = []
+    for i, q in items:
+        for edits in (4, 8, 10, 11):
+            copy = list(q)
+            for at in rng.sample(range(40), edits):
+                copy[at] = f"e{i}x{edits}x{at}"
+            rows.append((i * 100 + edits, " ".join(copy)))
+    similar = {(d, i) for d, t in rows for i, q in items if smith_waterman(q, t.split())[0] >= 0.6 * dc.MATCH * len(q)}
+    got = {(r.doc_id, r.item_id) for r in dc.contamination(docs(rows), llm.createDataFrame([(i, " ".join(q)) for i, q in items], ITEMS)).collect()}
+    assert got <= similar and len(similar) > 60 and len(got) / len(similar) >= 0.99
+
+
+def test_perfect_copies_beside_edited_ones_keep_their_place(llm, docs):
+    """Deciding a pair by its rarest seeds gives what all seeds give: the first perfect copy."""
+    item = [f"w{i}" for i in range(20)]
+    edited = [*item[:9], "x", *item[10:]]
+    rows = [(1, " ".join([*edited, *["y"] * 50, *item, *["z"] * 50, *item])), (2, " ".join([*item, *["y"] * 40, *edited])), (3, " ".join(edited))]
+    got = tuples(dc.contamination(docs(rows), llm.createDataFrame([(1, " ".join(item))], ITEMS)), "doc_id", "score", "start_word", "end_word")
+    assert got == [(1, 40, 70, 90), (2, 40, 0, 20), (3, 37, 0, 20)]

@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,35 @@ def test_an_id_of_many_rows_is_one_example(llm, monkeypatch):
     assert len(examples) == len(rows) == sum(prior)
     assert sorted((r.text, r.label) for r in examples) == sorted((r.text, r.label) for r in again)
     assert {(t, y) for i, t, y in rows if i != hot} <= {(r.text, r.label) for r in examples}
+
+
+def test_fitted_weights_are_where_the_written_loss_is_least(llm):
+    """The loss of the module's description, written out for a tiny corpus: its slope at the fitted weights is nearly none."""
+    rows = [("good women sing", 0), ("good men sing", 0), ("bad women shout", 1), ("bad men shout", 1), ("good song", 0), ("bad noise", 1), ("women shout", 0), ("men noise", 1)] * 6
+    model = tox.fit(llm.createDataFrame(rows, "text string, label int"), pairing=0.7, ridge=0.02, rounds=3_000)
+    assert len(model.buckets) > 4
+    known = tox._term_hashes(tox.IDENTITY_TERMS)
+    keep = np.zeros(2**tox.BITS, dtype=bool)
+    keep[model.buckets] = True
+
+    def present(swap):
+        raw = [t.encode() for t, _ in rows]
+        some = tox._Batch(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])], *known)
+        row, bucket = some.buckets(keep, swap)
+        x = np.zeros((len(rows), len(model.buckets)))
+        x[row, np.searchsorted(model.buckets, bucket)] = 1
+        return x, np.isin(np.arange(len(rows)), some.rows[some.named])
+
+    (x, named), (swapped, _) = present(False), present(True)
+    y = np.array([label for _, label in rows], dtype=float)
+
+    def loss(theta):
+        logit = x @ theta[:-1] + theta[-1]
+        change = (x[named] - swapped[named]) @ theta[:-1]
+        return float(np.mean(np.logaddexp(0, logit) - y * logit) + 0.02 / 2 * (theta[:-1] ** 2).sum() + 0.7 * np.mean(change**2))
+
+    at = np.r_[model.weights, model.bias]
+    step = 1e-5
+    slope = np.array([(loss(at + step * e) - loss(at - step * e)) / (2 * step) for e in np.eye(len(at))])
+    assert np.abs(slope).max() < 2e-3 and loss(at) < loss(np.zeros(len(at)))
+    assert all(loss(at + 0.05 * np.random.default_rng(k).normal(size=len(at))) > loss(at) for k in range(20))
