@@ -37,7 +37,10 @@ from tallywork.llm import text as tx
 from tallywork.llm.components import components, roots
 from tallywork.llm.shared import fresh, remove, scratch, written
 
-#: Coordinates of a point; each is the sum of 1,024 of the fine groups that address the roots.
+#: Bits of the fine groups that address the roots.  With too few of them sections of one shingle would meet by chance, and ever more as
+#: documents do.
+FINE_BITS = 24
+#: Coordinates of a point; each is the sum of ``2 ** FINE_BITS / COORDINATES`` fine groups.
 COORDINATES = 64
 #: Points below a root that one task joins; larger roots are cut into chunks and every pair of chunks is a task.
 CHUNK = 2_048
@@ -54,7 +57,6 @@ _SMALL = 48
 _KEY_BITS = 48
 #: Bits of the map of wanted ids, 8 MB.  Beyond so many ids it lets more texts through to the join that decides.
 _MAP_BITS = 26
-_FINE = tx.mix(np.arange(1, 65_537, dtype=np.uint64))
 
 
 def bands(limit: int = 1 << 40) -> np.ndarray:
@@ -96,7 +98,7 @@ def _sectioned(counts: np.ndarray, band: np.ndarray, rows: np.ndarray, values: n
     rows, values = rows[use], values[use]
     section = (tx.mix(values ^ np.uint64(0x5EC7)) % sections[rows].astype(np.uint64)).astype(np.int64)
     sums, filled = np.zeros(base[-1], dtype=np.uint64), np.zeros(base[-1], dtype=bool)
-    np.add.at(sums, base[rows] + section, _FINE[(values >> np.uint64(48)).astype(np.int64)])
+    np.add.at(sums, base[rows] + section, tx.mix((values >> np.uint64(64 - FINE_BITS)) + np.uint64(1)))
     filled[base[rows] + section] = True
     owner = np.repeat(np.arange(len(counts)), sections)
     enough = np.bincount(owner[filled], minlength=len(counts)) >= n_sections(safe, percent)
@@ -174,6 +176,15 @@ def _parity(values: np.ndarray) -> bytes:
     return np.packbits((np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups) & 1).astype(bool)).tobytes()
 
 
+def _points(packed: list[bytes]) -> np.ndarray:
+    """Points of one byte a coordinate, or of four where a count needs them."""
+    out = np.zeros((len(packed), COORDINATES), dtype=np.uint32)
+    small = np.array([len(p) == COORDINATES for p in packed], dtype=bool)
+    for kind, some in (("u1", small), ("<u4", ~small)):
+        out[some] = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(some).tolist()), dtype=kind).reshape(-1, COORDINATES)
+    return out
+
+
 class Parities:
     """Parities of many sets; two are compared once the longer is folded to the length of the shorter."""
 
@@ -222,9 +233,9 @@ def _looked_up(k: int, wanted: np.ndarray, kind: str):
                 if kind == "sets":
                     more, names = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))], ["shingles"]
                 else:
-                    points = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).astype("<u4").tobytes()
+                    points = np.bincount(rows * COORDINATES + (values >> np.uint64(58)).astype(np.int64), minlength=n * COORDINATES).reshape(n, COORDINATES)
                     parities = [_parity(values[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-                    more, names = [pa.array([points[4 * COORDINATES * i : 4 * COORDINATES * (i + 1)] for i in range(n)], pa.binary()), pa.array(parities, pa.binary())], ["point", "parity"]
+                    more, names = [pa.array([p.astype("u1" if p.max(initial=0) < 256 else "<u4").tobytes() for p in points], pa.binary()), pa.array(parities, pa.binary())], ["point", "parity"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(np.diff(bounds), pa.int64()), *map(pa.array, _digests(values, rows, n)), *more], ["least", "n", "d1", "d2", *names])
 
     return run
@@ -338,7 +349,7 @@ def _joined(percent: int, spanning: bool):
     """Pairs of many roots at once: those of small roots together, each larger one through its tree."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["root", "one", "two"])
-        points = np.frombuffer(b"".join(group["point"]), dtype="<u4").reshape(len(group), COORDINATES)
+        points = _points(group["point"].tolist())
         parities = Parities(group["parity"].tolist())
         sketches = parities.sketches()
         ids, labels, chunk, n = (group[c].to_numpy() for c in ("id", "label", "chunk", "n"))
@@ -509,7 +520,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
     # Copies that differ in few places meet below most of their roots; of roots with the same members one is kept, with their number.
     sizes = under.groupBy("root").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("m > 1")
     kept = sizes.groupBy("m", "x", "y").agg(F.min("root").alias("root"), F.count("*").alias("w")).select("root", "m", "w")
-    members = written(under.join(kept, "root"), "members")
+    members = held = written(under.join(kept, "root"), "members")
     remove(under)
     wanted = written(classes.join(members.select("id").distinct(), "id", "left_semi"), "wanted")
     points = written(_lookup(rows, wanted, k, "points"), "points")
@@ -522,12 +533,18 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id: str =
         if pairs.isEmpty():
             break
         checked = _verified(pairs, rows, classes, k, percent)
-        first = _labelled(first, checked.where("links"))
         apart = checked.where("NOT links").select("a", "b")
         if apart.isEmpty():
+            first = _labelled(first, checked.where("links"))
             break
+        # A pair that was not named is between components that named ones join, so only theirs are looked at again.
+        label = lambda ids: ids.join(first, "id", "left").select("id", F.coalesce("root", "id").alias("label"))  # noqa: E731, B023
+        named = label(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()).select("label").distinct()
+        again = written(label(members.select("id").distinct()).join(named, "label", "left_semi").select("id"), "again")
+        first = _labelled(first, checked.where("links"))
+        members = members.join(again, "id", "left_semi")
         failed = apart if failed is None else failed.unionByName(apart)
-    for done in (members, points, wanted):
+    for done in (held, points, wanted):
         remove(done)
     label = classes.join(first.select("id", F.col("root").alias("r2")), "id", "left").withColumn("r2", F.coalesce("r2", "id"))
     label = label.join(label.groupBy("r2").agg(F.min("least").alias("component")), "r2").select("d1", "d2", "n", "component")
