@@ -611,6 +611,16 @@ def profile_table(f):
     return ops.profile(f.raw("commerce")["raw_payments"], ["order_id"])
 
 
+@query
+def profile_merged(f):
+    """Sketches kept per month of shipping, merged into the profile of the whole table."""
+    lines = f.table("lineitem").select(
+        F.date_trunc("month", "l_shipdate").alias("ship_month"), "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag",
+    )
+    report = ops.sketch_report(ops.sketch(lines, by=["ship_month"]))
+    return report.select("column_name", "rows", "nulls", "distinct_estimate", *[F.round(q, 4).alias(q) for q in ("q50", "q95", "q99")])
+
+
 @query
 def value_counts(f):
     return ops.value_counts(f.table("events"), "event_type")

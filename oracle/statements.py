@@ -68,6 +68,27 @@ def _fresh(source: str, feed: str, column: str, warn: int, error: int, as_of: st
         FROM {feed}"""
 
 
+def _sketched(column: str, number: bool) -> str:
+    """What sketches tell of a whole column: registers of hashes, and the bucket of the value that has the rank, found by sorting."""
+    base, registers = "ln(1.01::DOUBLE / 0.99::DOUBLE)", 2048.0
+    registers_read = f"""
+        SELECT CAST('0x' || md5({column}::VARCHAR)[1:8] AS BIGINT) % 2048 AS register,
+               max(53 - if(CAST('0x' || md5({column}::VARCHAR)[9:21] AS BIGINT) = 0, 0, length(bin(CAST('0x' || md5({column}::VARCHAR)[9:21] AS BIGINT))))) AS zeros
+        FROM lineitem WHERE {column} IS NOT NULL GROUP BY 1"""
+    raw = f"{0.7213 / (1 + 1.079 / registers) * registers * registers!r}::DOUBLE / (coalesce(sum(pow(2::DOUBLE, -zeros)), 0) + 2048 - count(*))"
+    distinct = f"""(SELECT CAST(round(if(count(*) < 2048 AND {raw} <= 5120, 2048::DOUBLE * ln(2048::DOUBLE / nullif(2048 - count(*), 0)), {raw})) AS BIGINT)
+        FROM ({registers_read}))"""
+
+    def at(q: str) -> str:
+        if not number:
+            return "NULL::DOUBLE"
+        x = f"list_sort(list({column}::DOUBLE))[greatest(ceil({q}::DOUBLE * count({column}))::BIGINT, 1)]"
+        return f"round(if({x} = 0, 0, exp(ceil(ln(nullif({x}, 0)) / {base}) * {base}) * 2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE)), 4)"
+
+    return f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls, {distinct} AS distinct_estimate,
+        {at('0.5')} AS q50, {at('0.95')} AS q95, {at('0.99')} AS q99 FROM lineitem"""
+
+
 def _profile(column: str, low: str = "NULL", high: str = "NULL", mean: str = "NULL") -> str:
     return f"""
         SELECT count(*) AS "rows", count(DISTINCT order_id) AS distinct_keys, '{column}' AS column_name, count(*) - count({column}) AS nulls,
@@ -385,6 +406,9 @@ FINAL = {
         _profile_id("payment_id"), _profile_id("order_id"), _profile_money("amount"), _profile_money("gateway_fee"),
         *[_profile(c) for c in ("payment_status", "currency", "payment_method", "attempted_at", "processed_at")],
     ]),
+    "profile_merged": " UNION ALL ".join([
+        *[_sketched(c, True) for c in ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")], _sketched("l_returnflag", False),
+    ]),
     "value_counts": f"""
         SELECT event_type AS value, n, {ratio('n', 'total')} AS share_pct
         FROM (SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS total FROM events GROUP BY event_type)""",

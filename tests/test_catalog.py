@@ -13,7 +13,7 @@ COMPARED = [
     "mart_monthly_revenue", "mart_driver_performance", "mart_rider_activity", "mart_churn_summary", "mart_completion_summary",
     "dedup_latest", "flag_primary", "gap_drivers", "dq_report", "dq_report_rides", "dq_report_learning", "fx_asof", "profile_table", "stream_daily_usage", "ledger_tie_out", "run_trend",
     "flag_validity", "fraud_reversals", "restatement_bridge", "ledger_match_lines", "trailing_active_riders", "robust_gap_trend", "fx_restated",
-    "stream_first_rows", "stream_arrival_counts", "stream_uncaptured",
+    "profile_merged", "stream_first_rows", "stream_arrival_counts", "stream_uncaptured",
 ]
 
 

@@ -10,13 +10,14 @@ from catalog import QUERIES
 from conftest import SF_SMALL
 
 # Windows over raw rows are limited to one row per key before the exchange; the others
-# hold finished bridges (months, lines), runs, rate quotes, payouts summed per trip and driver, the days of a block of bitmaps, or
-# one of 256 parts of the lines of a key, amount and day.
+# hold finished bridges (months, lines), runs, rate quotes, payouts summed per trip and driver, the days of a block of bitmaps, one
+# of 256 parts of the lines of a key, amount and day, or the buckets of a column's sketch.
 WINDOWS = {
     "stg_03_usage": "WindowGroupLimit", "stg_03_payments": "WindowGroupLimit", "dedup_priority": "WindowGroupLimit",
     "dedup_business_key": "WindowGroupLimit", "usage_window_30d": "WindowGroupLimit", "dq_report_telecom": "WindowGroupLimit",
     "gap_drivers": "report_month", "gap_trend": "report_month", "fx_asof": "currency", "run_trend": "ended_at", "robust_gap_trend": "report_month",
     "fx_restated": "currency", "trailing_active_riders": "block", "ledger_match_lines": "part", "ledger_match": "part",
+    "profile_merged": "column_name",
     "mart_driver_performance": "trip_id", "driver_incentives": "trip_id",
 }
 
