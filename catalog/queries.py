@@ -571,8 +571,8 @@ def _report(f: Feeds, domain, name: str, *extra, **options) -> DataFrame:
     """Intermediate and marts are written once, as in a gated run, and checked as written."""
     raw, checks = f.raw(name), [*domain.CHECKS, *extra]
     version = new_version("checked")
-    built = materialise(f.spark, domain, raw, f"{shared_dir(f.spark)}/{name}", version, **options)
-    return ops.run_checks({**checked(domain, raw, checks), **built}, checks)
+    built = materialise(f.spark, domain, raw, f"{shared_dir(f.spark)}/{name}", version, checks, **options)
+    return ops.run_checks({**checked(domain, raw, checks), **built.tables}, checks, built.failures)
 
 
 @query

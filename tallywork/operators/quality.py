@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallywork.functions.times import ntz
 from tallywork.operators._union import union_all
@@ -82,6 +82,18 @@ def _row_rule(check: Check) -> Column:
     return ~F.expr(check.rule)
 
 
+def observable(checks: Sequence[Check]) -> dict[str, dict[Check, Column]]:
+    """By table, the aggregates that count what flat rules reject: those that look at one row at a time.
+
+    They can be taken while a table is written and handed to ``run_checks``.
+    """
+    out: dict[str, dict[Check, Column]] = defaultdict(dict)
+    for check in checks:
+        if check.kind in ("not_null", "accepted_values", "expression"):
+            out[check.table][check] = F.count_if(_row_rule(check))
+    return dict(out)
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Child keys without a parent and the rows that carry them.
 
@@ -94,24 +106,32 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> D
     return counted.join(known, F.col("orphan_key") == F.col("__known"), "left_anti")
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def _marks(number: int, check: Check, table: str, tables: Mapping[str, DataFrame]) -> list[Column]:
-    """What a row of ``table`` says about a check: a struct, or NULL where it says nothing."""
-    def mark(when: Column, key: list[Column], parent: bool) -> Column:
+    """What a row of ``table`` says about a check: a struct, or NULL where it says nothing.
+
+    A key of one integer column travels as a number, every other key as texts.
+    """
+    def mark(when: Column, key: list[Column], parent: bool, kind: T.DataType | None = None) -> Column:
+        whole = isinstance(kind, _INTEGERS)
         return F.when(when, F.struct(
-            F.lit(number).alias("check"), F.array(*key).cast("array<string>").alias("key"), F.lit(parent).alias("parent"),
+            F.lit(number).alias("check"), (key[0] if whole else F.lit(None)).cast("bigint").alias("number"),
+            (F.array(*[k.cast("string") for k in key]) if key and not whole else F.lit(None)).cast("array<string>").alias("key"), F.lit(parent).alias("parent"),
         ))
 
     if check.kind == "unique":
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
-        return [mark(complete, [F.col(c).cast("string") for c in check.columns], False)]
+        only = tables[table].schema[check.columns[0]].dataType if len(check.columns) == 1 else None
+        return [mark(complete, [F.col(c) for c in check.columns], False, only)]
     if check.kind != "relationship":
         return [mark(_row_rule(check), [], False)]
-    out = []
+    out, kind = [], tables[check.parent].schema[check.parent_key].dataType
     if table == check.table:
-        kind = tables[check.parent].schema[check.parent_key].dataType
-        out.append(mark(F.col(check.columns[0]).isNotNull(), [F.col(check.columns[0]).cast(kind).cast("string")], False))
+        out.append(mark(F.col(check.columns[0]).isNotNull(), [F.col(check.columns[0]).cast(kind)], False, kind))
     if table == check.parent:
-        out.append(mark(F.col(check.parent_key).isNotNull(), [F.col(check.parent_key).cast("string")], True))
+        out.append(mark(F.col(check.parent_key).isNotNull(), [F.col(check.parent_key)], True, kind))
     return out
 
 
@@ -128,16 +148,18 @@ def _line(check: Check, failures: Column) -> Column:
     ).alias("line")
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], counted: Mapping[Check, int] | None = None) -> DataFrame:
     """Report (table_name, check_name, severity, failures, status), one row per check.
 
     Every table is read once and everything meets in one exchange: a row gives a mark for each rule it breaks and for each
     key that a check counts or looks up, the marks are counted per check and key before the exchange, and a key that
     repeats or has no parent is seen after it.  ``failures`` counts rejected rows, for ``unique`` the keys that repeat, for
-    ``tie_out`` 1 if the totals differ.  Without checks the report is empty.
+    ``tie_out`` 1 if the totals differ.  Checks whose failures are in ``counted``, because they were taken while the table was
+    written, read nothing.  Without checks the report is empty.
     """
+    counted = counted or {}
     marked: dict[str, list[Column]] = defaultdict(list)
-    keyed = [c for c in checks if c.kind != "tie_out"]
+    keyed = [c for c in checks if c.kind != "tie_out" and c not in counted]
     for number, check in enumerate(keyed):
         for table in dict.fromkeys([check.table, check.parent or check.table]):
             marked[table] += _marks(number, check, table, tables)
@@ -148,22 +170,24 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             for table, columns in marked.items()
         ]
         n = F.count_if(~F.col("parent"))
-        met = union_all(marks).groupBy("check", "key").agg(n.alias("n"), F.bool_or("parent").alias("known"))
-        counted = met.groupBy("check").agg(
+        met = union_all(marks).groupBy("check", "number", "key").agg(n.alias("n"), F.bool_or("parent").alias("known"))
+        per_check = met.groupBy("check").agg(
             F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"),
             F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0)).alias("orphaned"),
         )
         # One entry per declared check, so the single row stays small.
-        found = counted.agg(F.map_from_entries(F.collect_list(F.struct("check", F.struct("rows", "repeated", "orphaned")))).alias("found"))
+        found = per_check.agg(F.map_from_entries(F.collect_list(F.struct("check", F.struct("rows", "repeated", "orphaned")))).alias("found"))
         field = {"unique": "repeated", "relationship": "orphaned"}
         lines = [_line(c, F.coalesce(F.col("found")[i][field.get(c.kind, "rows")], F.lit(0))) for i, c in enumerate(keyed)]
         parts.append(found.select(F.explode(F.array(*lines)).alias("line")))
     parts += [_tie(c, tables) for c in checks if c.kind == "tie_out"]
-    if not parts:
+    known = [(c.table, c.name, c.severity, int(counted[c])) for c in checks if c in counted]
+    lines = [part.select("line.*") for part in parts]
+    if known or not lines:
         spark = next(iter(tables.values())).sparkSession
-        return spark.createDataFrame([], "table_name string, check_name string, severity string, failures bigint, status string")
+        lines.append(spark.createDataFrame(known, "table_name string, check_name string, severity string, failures bigint"))
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
-    return union_all(parts).select("line.*").withColumn("status", status)
+    return union_all(lines).withColumn("status", status)
 
 
 def enforce(report: DataFrame | list) -> list:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -11,9 +11,10 @@ from types import ModuleType
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallywork.functions.aggregates import row_count
 from tallywork.operators._union import union_all
-from tallywork.operators.quality import Check, DataQualityError, enforce, freshness, run_checks
-from tallywork.sources.writers import discard, new_version, publish, read_mart, stage_version
+from tallywork.operators.quality import Check, DataQualityError, enforce, freshness, observable, run_checks
+from tallywork.sources.writers import discard, new_version, publish, read_mart, stage_observed, stage_version
 
 HISTORY = "_history"
 _HISTORY_SCHEMA = "run string, version string, ended_at timestamp, kind string, subject string, status string, value double"
@@ -67,21 +68,50 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[st
     return [f"{prefix}{name}" for name in tables]
 
 
-def _stage_all(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, version: str) -> dict[str, DataFrame]:
-    """Tables that do not depend on each other, written side by side."""
+def _side_by_side(spark: SparkSession, tables: Mapping[str, DataFrame], write: Callable) -> dict:
+    """Tables that do not depend on each other, written at the same time by ``write(name, table)``."""
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        write = inheritable_thread_target(spark)(lambda item: stage_version(item[1], f"{out}/{item[0]}", version))
-        return dict(zip(tables, pool.map(write, tables.items())))
+        task = inheritable_thread_target(spark)(lambda item: write(*item))
+        return dict(zip(tables, pool.map(task, tables.items())))
 
 
-def materialise(spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataFrame], out: str, version: str, **options) -> dict[str, DataFrame]:
-    """Intermediate and marts as written tables.
+@dataclass
+class Written:
+    """Written tables and what was observed of them: rows, headlines, and failures of flat rules."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+    headlines: dict[str, float | None] = field(default_factory=dict)
+    failures: dict[Check, int] = field(default_factory=dict)
+
+
+def materialise(
+    spark: SparkSession, domain: ModuleType, raw: Mapping[str, DataFrame], out: str, version: str, checks: Sequence[Check] = (), **options,
+) -> Written:
+    """Intermediate and marts as written tables, their rows, headlines and flat rules counted by the same jobs.
 
     The intermediate feeds several marts, so it is written once and read back: every mart then scans a finished table, and a
     lost executor costs one partition of one stage, not the whole lineage.
     """
-    inter = stage_version(domain.intermediate(raw, **options), f"{out}/{domain.INTERMEDIATE}", version)
-    return {domain.INTERMEDIATE: inter, **_stage_all(spark, domain.marts(inter, raw), out, version)}
+    done, rules, headlines = Written(), observable(checks), getattr(domain, "HEADLINES", {})
+
+    def write(name: str, table: DataFrame) -> tuple[DataFrame, dict]:
+        watched = {h: F.expr(rule) for h, (of, rule) in headlines.items() if of == name}
+        return stage_observed(table, f"{out}/{name}", version, {"rows": row_count(), **watched, **rules.get(name, {})})
+
+    def keep(name: str, table: DataFrame, seen: dict) -> DataFrame:
+        done.tables[name], done.rows[name] = table, seen.pop("rows")
+        for what, value in seen.items():
+            if isinstance(what, Check):
+                done.failures[what] = value
+            else:
+                done.headlines[what] = None if value is None else float(value)
+        return table
+
+    inter = keep(domain.INTERMEDIATE, *write(domain.INTERMEDIATE, domain.intermediate(raw, **options)))
+    for name, (table, seen) in _side_by_side(spark, domain.marts(inter, raw), write).items():
+        keep(name, table, seen)
+    return done
 
 
 def run_domain(
@@ -107,15 +137,15 @@ def run_domain(
     feeds = f"_feeds/{domain.__name__.rpartition('.')[2]}"
     staged = {}
     if snapshot:
-        raw = _stage_all(spark, dict(raw), f"{out}/{feeds}", version)
+        raw = _side_by_side(spark, dict(raw), lambda name, df: stage_version(df, f"{out}/{feeds}/{name}", version))
         staged = {f"{feeds}/{name}": version for name in raw}
-    built = materialise(spark, domain, raw, out, version, **options)
-    marts = [name for name in built if name != domain.INTERMEDIATE]
     checks = domain.CHECKS if checks is None else checks
-    report = union_all([run_checks({**checked(domain, raw, checks), **built}, checks), *reports])
+    built = materialise(spark, domain, raw, out, version, checks, **options)
+    marts = [name for name in built.tables if name != domain.INTERMEDIATE]
+    report = union_all([run_checks({**checked(domain, raw, checks), **built.tables}, checks, built.failures), *reports])
     rows = report.collect()
-    _remember(spark, out, run, version, fresh, rows, {name: built[name].count() for name in marts}, _measures(domain, built))
-    staged |= {name: version for name in built}
+    _remember(spark, out, run, version, fresh, rows, {name: built.rows[name] for name in marts}, built.headlines)
+    staged |= {name: version for name in built.tables}
     try:
         enforce(rows)
     except DataQualityError:
@@ -128,15 +158,6 @@ def run_domain(
 
 # ---- history ------------------------------------------------------------------------
 
-def _measures(domain: ModuleType, built: Mapping[str, DataFrame]) -> dict[str, float | None]:
-    """Headline numbers of a run, as the domain declares them."""
-    out = {}
-    for name, (table, rule) in getattr(domain, "HEADLINES", {}).items():
-        value = built[table].agg(F.expr(rule)).first()[0]
-        out[name] = None if value is None else float(value)
-    return out
-
-
 def _remember(spark: SparkSession, out: str, run: str, version: str, fresh: list, checks: list, counts: Mapping[str, int], measures: Mapping[str, float | None]) -> None:
     """Append what a run found: a row per freshness source, check, mart and headline."""
     now = datetime.now(timezone.utc)

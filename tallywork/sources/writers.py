@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Hashable, Mapping
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _MANIFESTS = "_manifests"
 
@@ -46,6 +47,23 @@ def stage_version(df: DataFrame, root: str, version: str, partition_by: tuple[st
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(
+    df: DataFrame, root: str, version: str, measures: Mapping[Hashable, Column], partition_by: tuple[str, ...] = (),
+) -> tuple[DataFrame, dict[Hashable, Any]]:
+    """Like ``stage_version``, with aggregates of the rows taken while they are written, so nothing has to be read for them.
+
+    The aggregates are part of the stage that writes, where the rows of a task that ran twice count once.  Distinct
+    aggregates cannot be observed.
+    """
+    if not measures:
+        return stage_version(df, root, version, partition_by), {}
+    seen = Observation()
+    columns = [column.alias(f"m{i}") for i, column in enumerate(measures.values())]
+    staged = stage_version(df.observe(seen, *columns), root, version, partition_by)
+    found = seen.get
+    return staged, {key: found[f"m{i}"] for i, key in enumerate(measures)}
+
+
 def _manifest_files(spark: SparkSession, out: str) -> list[str]:
     fs, folder = _file(spark, f"{out.rstrip('/')}/{_MANIFESTS}")
     if not fs.exists(folder):

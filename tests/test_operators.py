@@ -12,7 +12,7 @@ from conftest import at, rows_of
 from tallywork.functions import cond_sum, pct0, row_count
 from tallywork.operators import (
     DataQualityError, accepted, bridge, define_flags, definition_spread, dup_keys, enforce, expression, fan_in, fill,
-    freshness, gap_ties, gap_trend, lookup, not_null, orphans, overlap_matrix, overlap_summary, partition_check,
+    freshness, gap_ties, gap_trend, lookup, not_null, observable, orphans, overlap_matrix, overlap_summary, partition_check,
     profile, rank_drivers, rate_as_of, relationship, run_checks, tie_out, unique, value_counts,
 )
 
@@ -175,6 +175,37 @@ def test_checks_on_an_empty_table_pass(frame):
     assert [(r.failures, r.status) for r in report] == [(0, "pass")] * 3
 
 
+def test_observed_failures_spare_the_table(frame):
+    """The report is the same, and a table with flat rules only is not read again."""
+    tables = _tables(frame)
+    checks = [
+        unique("child", "id"), not_null("child", "id"), accepted("child", "kind", ["a", "b"]), expression("child", "v > 0", severity="warn"),
+        relationship("child", "parent_id", "parent", "parent_id"), not_null("parent", "parent_id"),
+    ]
+    counted = {}
+    for table, rules in observable(checks).items():
+        found = tables[table].agg(*[column.alias(f"c{i}") for i, column in enumerate(rules.values())]).first()
+        counted |= dict(zip(rules, found))
+    assert len(counted) == 4
+    assert rows_of(run_checks(tables, checks, counted)) == rows_of(run_checks(tables, checks))
+    flat = [c for c in checks if c in counted]
+    plan = run_checks(tables, flat, counted)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parent_id" not in plan and "kind#" not in plan and "Generate" not in plan
+    for given, read in ((None, True), (counted, False)):
+        plan = run_checks(tables, checks, given)._jdf.queryExecution().executedPlan().toString()
+        assert (" IN (a,b)" in plan, "> 0)" in plan) == (read, read)
+
+
+@pytest.mark.parametrize(("child", "parent", "values", "known"), [
+    ("int", "long", [(1,), (2,), (2,), (None,)], [(1,), (None,)]), ("string", "string", [("1",), ("2",), ("2",), (None,)], [("1",), (None,)]),
+    ("string", "long", [("1",), ("2",), ("2",), (None,)], [(1,), (None,)]), ("int", "string", [(1,), (2,), (2,), (None,)], [("1",), ("x",)]),
+])
+def test_keys_of_any_type_meet(frame, child, parent, values, known):
+    tables = {"c": frame(f"k {child}", values), "p": frame(f"k {parent}", known)}
+    report = run_checks(tables, [unique("c", "k"), relationship("c", "k", "p", "k"), unique("p", "k")])
+    assert [r.failures for r in report.collect()] == [1, 2, 0]
+
+
 def test_errors_block_and_warnings_do_not(frame):
     tables = _tables(frame)
     assert [r.status for r in enforce(run_checks(tables, [not_null("child", "id", severity="warn")]))] == ["warn"]

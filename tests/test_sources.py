@@ -5,14 +5,14 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from conftest import at, rows_of
 from tallywork.session import cluster_settings, input_size, shared_dir, size_session
 from tallywork.sources import writers
 from tallywork.sources import (
     SCHEMAS, conform, current_version, current_versions, discard, drift_report, manifests, new_version, parse_timestamps, publish, read_domain,
-    read_mart, read_versions, row_counts, stage_version, sweep, unparsed_counts, unparsed_report, write_mart,
+    read_mart, read_versions, row_counts, stage_observed, stage_version, sweep, unparsed_counts, unparsed_report, write_mart,
 )
 
 
@@ -200,3 +200,15 @@ def test_drift_is_a_line_of_the_report(frame):
         conform(got, schema["raw_refunds"], "raw_refunds")
     assert conform(got, schema["raw_refunds"], strict=False).schema["refund_reason"].dataType == T.StringType()
     assert drift_report(spark, {"raw_refunds": conform(got, schema["raw_refunds"], strict=False)}, schema) is None
+
+
+def test_measures_are_taken_while_a_table_is_written(frame, spark, tmp_path):
+    df = frame("v long, part string", [(i, str(i % 3)) for i in range(100)] + [(None, None)]).repartition(7, "part")
+    measures = {"rows": F.count(F.lit(1)), ("nulls", "v"): F.count_if(F.col("v").isNull()), "ratio": F.expr("sum(v) / count(v)"), "none": F.max(F.when(F.col("v") < 0, 1))}
+    staged, seen = stage_observed(df, f"{tmp_path}/t", "v1", measures, partition_by=("part",))
+    assert seen == {"rows": 101, ("nulls", "v"): 1, "ratio": 49.5, "none": None} and staged.count() == 101
+    empty, seen = stage_observed(df.where("v < 0").groupBy("v").count(), f"{tmp_path}/t", "v2", {"rows": F.count(F.lit(1))})
+    assert seen == {"rows": 0} and empty.columns == ["v", "count"] and empty.count() == 0
+    assert stage_observed(df, f"{tmp_path}/t", "v3", {})[1] == {}
+    with pytest.raises(Exception, match="already exists"):
+        stage_observed(df, f"{tmp_path}/t", "v3", measures)
