@@ -10,15 +10,17 @@ from tallywork.functions.aggregates import any_true, cond_count, row_count
 from tallywork.functions.times import month_of
 
 
-def fan_in(parent: DataFrame, key: str, children: Iterable[DataFrame]) -> DataFrame:
+def fan_in(parent: DataFrame, key: str, children: Iterable[DataFrame], parts: int | None = None) -> DataFrame:
     """Left-join children that already hold one row per key; no join can multiply rows.
 
     Each child leaves its aggregation partitioned by ``key``, so only the parent needs an
-    exchange of its own.
+    exchange of its own.  With ``parts`` parent and children are dealt into so many partitions
+    instead, so that the joins of a task stay small whatever the session's number is.
     """
-    out = parent
+    dealt = (lambda df: df.repartition(parts, key)) if parts else (lambda df: df)
+    out = dealt(parent)
     for child in children:
-        out = out.join(child, key, "left")
+        out = out.join(dealt(child), key, "left")
     return out
 
 

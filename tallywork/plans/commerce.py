@@ -94,8 +94,8 @@ def revenue_class(paid: Column, status: Column, refund: Column, amount: Column)
     ], default="unpaid_open")
 
 
-def int_orders_enriched(raw: Tables) -> DataFrame:
-    joined = fan_in(stg_orders(raw), "order_id", [payment_rollup(raw), refund_rollup(raw), shipping_rollup(raw)])
+def int_orders_enriched(raw: Tables, parts: int | None = None) -> DataFrame:
+    joined = fan_in(stg_orders(raw), "order_id", [payment_rollup(raw), refund_rollup(raw), shipping_rollup(raw)], parts)
     joined = fill(
         joined, zeros=["captured_usd", "gateway_fee_usd", "refund_usd", "refund_count"],
         falses=["had_duplicate_charge", "missing_ship_date"],

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.functions import null_sentinel
+from tallywork.session import input_size
 from tallywork.sources.readers import conform
 from tallywork.sources.schemas import SCHEMAS
 
@@ -95,6 +96,11 @@ class Feeds:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(_BENCH[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def parts(self, table: str, each: int = 2 * 2**20) -> int:
+        """Partitions for what is made of a table: the session's number, or one per ``each`` bytes of its files if that is more."""
+        stored = input_size(self.spark, f"{self.folder}/{table}.parquet")
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-stored // each))
+
     def raw(self, domain: str) -> LazyTables:
         return self._raw[domain]
 
